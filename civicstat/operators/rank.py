@@ -18,7 +18,7 @@ from civicstat.functions.labels import category_ordinal
 
 
 def _list(x) -> list:
-    return [x] if isinstance(x, str) else list(x)
+    return [x] if isinstance(x, (str, Column)) else list(x)
 
 
 def with_ordinal(df: DataFrame, col: str, categories: Sequence[str], alias: str) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 
 def _list(x) -> list:
-    return [x] if isinstance(x, str) else list(x)
+    return [x] if isinstance(x, (str, Column)) else list(x)
 
 
 def _rename(df: DataFrame, values: Sequence, aliases: Mapping | Sequence | None) -> tuple[DataFrame, list[str]]:

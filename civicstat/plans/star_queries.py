@@ -107,12 +107,12 @@ def star_multi_predicate(spark, d):
 @query("star_not_in_positive", ids="P6 P8", sql="""
 SELECT p_partkey, p_type, p_size, p_retailprice
 FROM part
-WHERE p_type NOT IN ('PROMO', 'SMALL') AND p_retailprice > 1500
+WHERE p_type NOT IN ('PROMO', 'SMALL') AND p_retailprice > 950
 ORDER BY p_type, p_partkey
 """)
 def star_not_in_positive(spark, d):
     part = load(spark, d, "part")
-    return (part.filter(~F.col("p_type").isin("PROMO", "SMALL") & (F.col("p_retailprice") > 1500))
+    return (part.filter(~F.col("p_type").isin("PROMO", "SMALL") & (F.col("p_retailprice") > 950))
             .select("p_partkey", "p_type", "p_size", "p_retailprice")
             .orderBy("p_type", "p_partkey"))
 
