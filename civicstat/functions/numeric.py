@@ -38,6 +38,22 @@ def pct(num, den, decimals: int = 1) -> Column:
     return F.round(F.try_divide(_c(num).cast("double") * F.lit(100.0), _c(den).cast("double")), decimals)
 
 
+def pct_half_up(part, whole, decimals: int = 1) -> Column:
+    """Percent of two integer counts rounded half up, computed exactly.
+
+    ``round(100 * part / whole, d)`` in integer arithmetic, so the result
+    does not depend on binary floating point at the rounding boundary.
+    NULL when ``whole`` is 0.
+    """
+    scale = 10 ** decimals
+    p = _c(part).cast("bigint")
+    w = _c(whole).cast("bigint")
+    num = F.lit(200 * scale).cast("bigint") * p + w
+    den = F.lit(2).cast("bigint") * w
+    q = ((num - F.pmod(num, den)) / den).cast("bigint")   # exact floor division
+    return F.when(w != 0, q.cast("double") / F.lit(float(scale)))
+
+
 def is_fractional(expected) -> Column:
     """True when an expected value has a fractional part (tolerance rule)."""
     e = _c(expected)

@@ -1 +1,317 @@
-"""Registered queries."""
+"""Gap and freshness rules (G1-G12) on IND and the driver tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from civicstat.functions.labels import clean_geography_name
+from civicstat.operators import profile as P
+from civicstat.plans.indicators import IND_SQL, geography, indicators, with_ind
+from civicstat.plans.profile_queries import SECTIONS
+from civicstat.plans.registry import query
+from civicstat.sources.tables import load
+
+YEARS = tuple(range(1995, 2002))
+_YEAR_SQL = "CASE WHEN regexp_full_match(timeframe, '[0-9]{4}') THEN CAST(timeframe AS INTEGER) END"
+_SECTIONS_SQL = ", ".join(f"('{s}')" for s in SECTIONS)
+
+# Expected characteristics per section (the gap report's "needed" lists).
+EXPECTED_CHARACTERISTICS = (
+    ("demand", "Orders"),
+    ("demand", "Orders - 1-URGENT (number)"),
+    ("demand", "Orders - 6-UNKNOWN (number)"),
+    ("rates", "High value (rate)"),
+    ("rates", "Open (rate)"),
+    ("rates", "Returned (rate)"),
+    ("segments", "Segment: GOVERNMENT"),
+    ("shipments", "Shipments - A"),
+    ("shipments", "Shipments - N"),
+    ("shipments", "Shipments - R"),
+    ("shipments", "Shipments - X"),
+)
+DEPTH_SECTIONS = ("rates", "shipments")
+GOOD_DEPTH = 7
+
+# Issue register: rule -> (issue type, priority)
+RULES = {
+    "G1 missing periods": ("MISSING", "High"),
+    "G2 missing characteristic": ("MISSING", "High"),
+    "G4 uneven depth": ("INCOMPLETE", "Medium"),
+    "G5 non-year period": ("DATA QUALITY", "High"),
+    "G6 name drift": ("DATA QUALITY", "Medium"),
+    "G9 stale series": ("STALE", "Low"),
+    "G10 available elsewhere": ("INCOMPLETE", "Medium"),
+}
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+_EXPECTED_CHARS_SQL = "SELECT * FROM (VALUES " + ", ".join(
+    f"({_q(s)}, {_q(c)})" for s, c in EXPECTED_CHARACTERISTICS) + ") t(dashboard_section, characteristic)"
+
+# ---- G1 ----------------------------------------------------------------
+
+_PERIODS_BODY = f"""
+SELECT g.dashboard_section, g.geography, g.year FROM (
+  SELECT s.dashboard_section, n_name AS geography, CAST(y.year AS INTEGER) AS year
+  FROM nation, (VALUES {_SECTIONS_SQL}) s(dashboard_section),
+       (SELECT unnest(range({YEARS[0]}, {YEARS[-1] + 1})) AS year) y
+) g
+WHERE NOT EXISTS (SELECT 1 FROM ind i WHERE i.dashboard_section = g.dashboard_section
+                  AND i.geography = g.geography AND {_YEAR_SQL.replace('timeframe', 'i.timeframe')} = g.year)
+"""
+
+
+def missing_periods(spark, d):
+    return P.missing_periods(indicators(spark, d), geography(spark, d), SECTIONS, YEARS)
+
+
+@query("gap_periods", ids="G1", sql=with_ind(_PERIODS_BODY + "ORDER BY 1, 2, 3"))
+def gap_periods(spark, d):
+    return missing_periods(spark, d).orderBy("dashboard_section", "geography", "year")
+
+
+# ---- G2 ----------------------------------------------------------------
+
+_CHARS_BODY = f"""
+SELECT e.dashboard_section, e.characteristic FROM ({_EXPECTED_CHARS_SQL}) e
+WHERE NOT EXISTS (SELECT 1 FROM ind i WHERE i.dashboard_section = e.dashboard_section
+                  AND i.characteristic = e.characteristic)
+"""
+
+
+def missing_characteristics(spark, d):
+    expected = spark.createDataFrame(list(EXPECTED_CHARACTERISTICS), "dashboard_section string, characteristic string")
+    return P.missing_characteristics(indicators(spark, d), expected)
+
+
+@query("gap_characteristics", ids="G2", sql=with_ind(_CHARS_BODY + "ORDER BY 1, 2"))
+def gap_characteristics(spark, d):
+    return missing_characteristics(spark, d).orderBy("dashboard_section", "characteristic")
+
+
+# ---- G4 ----------------------------------------------------------------
+
+_DEPTH_BODY = f"""
+WITH sec AS (SELECT * FROM ind WHERE dashboard_section IN ({", ".join(_q(s) for s in DEPTH_SECTIONS)})),
+chars AS (SELECT DISTINCT dashboard_section, characteristic FROM sec),
+grid AS (SELECT c.dashboard_section, n_name AS geography, c.characteristic FROM chars c, nation),
+yrs AS (SELECT dashboard_section, geography, characteristic, count(DISTINCT timeframe) AS periods FROM sec
+        WHERE {_YEAR_SQL} IS NOT NULL GROUP BY 1, 2, 3),
+o AS (SELECT g.dashboard_section, g.geography, g.characteristic, coalesce(y.periods, 0) AS periods
+      FROM grid g LEFT JOIN yrs y ON g.dashboard_section = y.dashboard_section AND g.geography = y.geography
+      AND g.characteristic = y.characteristic)
+SELECT dashboard_section, geography, characteristic, periods,
+       CASE WHEN periods >= {GOOD_DEPTH} THEN 'good' WHEN periods >= 1 THEN 'sparse' ELSE 'missing' END AS depth
+FROM o
+"""
+
+
+def depth(spark, d):
+    return P.depth(indicators(spark, d), geography(spark, d), DEPTH_SECTIONS, good=GOOD_DEPTH).select(
+        "dashboard_section", "geography", "characteristic", "periods", "depth")
+
+
+@query("gap_depth", ids="G4", sql=with_ind(_DEPTH_BODY + "ORDER BY 1, 2, 3"))
+def gap_depth(spark, d):
+    return depth(spark, d).orderBy("dashboard_section", "geography", "characteristic")
+
+
+# ---- G5 ----------------------------------------------------------------
+
+_BAD_BODY = f"""
+SELECT dashboard_section, timeframe, count(*) AS rows FROM ind WHERE {_YEAR_SQL} IS NULL GROUP BY 1, 2
+"""
+
+
+@query("gap_bad_timeframe", ids="G5", sql=with_ind(_BAD_BODY + "ORDER BY 1, 2"))
+def gap_bad_timeframe(spark, d):
+    return P.bad_periods(indicators(spark, d)).orderBy("dashboard_section", "timeframe")
+
+
+# ---- G6 / G7 -------------------------------------------------------------
+
+# Display names as a second source shows them: the Middle East nations as
+# 'Unknown', African nations with their region appended.
+_SOURCE_NAMES_SQL = """
+SELECT CAST(n_nationkey AS VARCHAR) AS geography_id,
+       CASE WHEN r_name LIKE '%EAST%' THEN 'Unknown'
+            WHEN r_name = 'AFRICA' THEN n_name || ' (' || r_name || ')'
+            ELSE n_name END AS geography
+FROM nation JOIN region ON n_regionkey = r_regionkey
+"""
+
+_DRIFT_BODY = f"""
+WITH src AS (SELECT DISTINCT geography_id, geography AS source_name FROM ({_SOURCE_NAMES_SQL})),
+dim AS (SELECT DISTINCT CAST(n_nationkey AS VARCHAR) AS geography_id, n_name AS dim_name FROM nation)
+SELECT s.geography_id, s.source_name, d.dim_name,
+       CASE WHEN d.dim_name IS NULL THEN 'unknown id' WHEN lower(s.source_name) = 'unknown' THEN 'unknown'
+            WHEN starts_with(s.source_name, d.dim_name) THEN 'decorated' ELSE 'different' END AS drift,
+       coalesce(d.dim_name, trim(regexp_replace(regexp_replace(regexp_replace(s.source_name, '\\s*\\(.*$', ''),
+                ',.*$', ''), '\\s+', ' ', 'g'))) AS standard_name
+FROM src s LEFT JOIN dim d ON s.geography_id = d.geography_id
+WHERE d.dim_name IS NULL OR s.source_name <> d.dim_name
+"""
+
+
+def source_names(spark, d):
+    nation = load(spark, d, "nation")
+    region = load(spark, d, "region")
+    j = nation.join(region, nation.n_regionkey == region.r_regionkey)
+    name = (F.when(F.col("r_name").like("%EAST%"), F.lit("Unknown"))
+            .when(F.col("r_name") == "AFRICA", F.concat(F.col("n_name"), F.lit(" ("), F.col("r_name"), F.lit(")")))
+            .otherwise(F.col("n_name")))
+    return j.select(F.col("n_nationkey").cast("string").alias("geography_id"), name.alias("geography"))
+
+
+def drift(spark, d):
+    dim = load(spark, d, "nation").select(F.col("n_nationkey").cast("string").alias("geography_id"),
+                                          F.col("n_name").alias("geography"))
+    return P.name_drift(source_names(spark, d), dim)
+
+
+@query("gap_name_drift", ids="G6 G7", sql=_DRIFT_BODY + "ORDER BY geography_id")
+def gap_name_drift(spark, d):
+    return drift(spark, d).orderBy("geography_id")
+
+
+@query("label_clean_names", ids="G7", sql=f"""
+SELECT geography_id, geography AS source_name,
+       trim(regexp_replace(regexp_replace(regexp_replace(geography, '\\s*\\(.*$', ''), ',.*$', ''), '\\s+', ' ', 'g'))
+         AS cleaned_name
+FROM ({_SOURCE_NAMES_SQL}) ORDER BY geography_id
+""")
+def label_clean_names(spark, d):
+    """G7 text fallback on its own (used when no dimension row matches)."""
+    s = source_names(spark, d)
+    return s.select("geography_id", F.col("geography").alias("source_name"),
+                    clean_geography_name("geography").alias("cleaned_name")).orderBy("geography_id")
+
+
+# ---- G8 ----------------------------------------------------------------
+
+@query("gap_density", ids="G8", sql=with_ind("""
+WITH g AS (SELECT dashboard_section, count(*) AS rows, count(DISTINCT geography) AS communities,
+                  count(DISTINCT characteristic) AS characteristics, count(DISTINCT timeframe) AS timeframes
+           FROM ind GROUP BY dashboard_section)
+SELECT *, communities * characteristics * timeframes AS expected_cells,
+       CAST(rows AS DOUBLE) / CAST(communities * characteristics * timeframes AS DOUBLE) AS density
+FROM g ORDER BY dashboard_section
+"""))
+def gap_density(spark, d):
+    return P.density(indicators(spark, d)).orderBy("dashboard_section")
+
+
+# ---- G9 ----------------------------------------------------------------
+
+_STALE_BODY = f"""
+WITH last AS (SELECT dashboard_section, characteristic, geography, max({_YEAR_SQL}) AS last_year FROM ind
+              WHERE {_YEAR_SQL} IS NOT NULL GROUP BY 1, 2, 3),
+peer AS (SELECT dashboard_section, characteristic, max(last_year) AS peer_last_year FROM last GROUP BY 1, 2)
+SELECT l.dashboard_section, l.characteristic, l.geography, l.last_year, p.peer_last_year,
+       p.peer_last_year - l.last_year AS years_behind
+FROM last l JOIN peer p ON l.dashboard_section = p.dashboard_section AND l.characteristic = p.characteristic
+WHERE l.last_year < p.peer_last_year
+"""
+
+
+@query("gap_stale", ids="G9", sql=with_ind(_STALE_BODY + "ORDER BY 1, 2, 3"))
+def gap_stale(spark, d):
+    return P.stale_series(indicators(spark, d)).select(
+        "dashboard_section", "characteristic", "geography", "last_year", "peer_last_year", "years_behind") \
+        .orderBy("dashboard_section", "characteristic", "geography")
+
+
+# ---- G10 ---------------------------------------------------------------
+
+_ELSEWHERE_BODY = """
+SELECT 'shipments' AS missing_in, 'demand' AS found_in, geography FROM (
+  SELECT DISTINCT geography FROM ind WHERE dashboard_section = 'demand'
+  EXCEPT SELECT DISTINCT geography FROM ind WHERE dashboard_section = 'shipments')
+"""
+
+
+@query("gap_elsewhere", ids="G10", sql=with_ind(_ELSEWHERE_BODY + "ORDER BY geography"))
+def gap_elsewhere(spark, d):
+    return P.available_elsewhere(indicators(spark, d), "shipments", "demand").orderBy("geography")
+
+
+# ---- G11 ---------------------------------------------------------------
+
+@query("gap_scope_share", ids="G11", sql="""
+WITH lab AS (SELECT DISTINCT doc_id FROM labels),
+t AS (SELECT source, count(*) AS total_rows, count(lab.doc_id) AS in_scope_rows
+      FROM documents LEFT JOIN lab ON documents.doc_id = lab.doc_id GROUP BY source)
+SELECT source, total_rows, in_scope_rows,
+       CAST((2000 * in_scope_rows + total_rows) // (2 * total_rows) AS DOUBLE) / 10 AS in_scope_pct
+FROM t ORDER BY source
+""")
+def gap_scope_share(spark, d):
+    """Share of each document source that is labelled (in scope)."""
+    docs = load(spark, d, "documents").select("doc_id", "source")
+    lab = load(spark, d, "labels").select(F.col("doc_id").alias("__lab")).distinct()
+    j = docs.join(lab, docs.doc_id == lab["__lab"], "left")
+    return P.scope_share(j, "source", F.col("__lab").isNotNull()).orderBy("source")
+
+
+# ---- G12 ---------------------------------------------------------------
+
+def _issue_sql(rule: str, section: str, subject: str, detail: str, body: str) -> str:
+    t, p = RULES[rule]
+    return (f"SELECT {_q(rule)} AS rule, CAST({section} AS VARCHAR) AS section, CAST({subject} AS VARCHAR) AS subject, "
+            f"{_q(t)} AS issue_type, {_q(p)} AS priority, CAST({detail} AS VARCHAR) AS detail FROM ({body})")
+
+
+_REGISTER_SQL = "WITH " + IND_SQL + "\n" + "\nUNION ALL\n".join([
+    _issue_sql("G1 missing periods", "dashboard_section", "geography", "'year ' || CAST(year AS VARCHAR)", _PERIODS_BODY),
+    _issue_sql("G2 missing characteristic", "dashboard_section", "characteristic", "'not in data'", _CHARS_BODY),
+    _issue_sql("G4 uneven depth", "dashboard_section", "geography || ' / ' || characteristic",
+               "depth || ': ' || CAST(periods AS VARCHAR) || ' periods'",
+               f"SELECT * FROM ({_DEPTH_BODY}) WHERE depth <> 'good'"),
+    _issue_sql("G5 non-year period", "dashboard_section", "timeframe", "CAST(rows AS VARCHAR) || ' rows'", _BAD_BODY),
+    _issue_sql("G6 name drift", "NULL", "geography_id", "drift || ': ' || source_name", _DRIFT_BODY),
+    _issue_sql("G9 stale series", "dashboard_section", "geography || ' / ' || characteristic",
+               "'last ' || CAST(last_year AS VARCHAR) || ' vs ' || CAST(peer_last_year AS VARCHAR)", _STALE_BODY),
+    _issue_sql("G10 available elsewhere", "missing_in", "geography", "'found in ' || found_in", _ELSEWHERE_BODY),
+]) + "\nORDER BY rule, section, subject"
+
+
+@query("gap_issue_register", ids="G12 G1 G2 G4 G5 G6 G9 G10", sql=_REGISTER_SQL)
+def gap_issue_register(spark, d):
+    ind = indicators(spark, d)
+    geo = geography(spark, d)
+    expected = spark.createDataFrame(list(EXPECTED_CHARACTERISTICS), "dashboard_section string, characteristic string")
+
+    def rule(name, df, section, subject, detail):
+        t, p = RULES[name]
+        return P.issue(df, name, t, p, section, subject, detail)
+
+    dep = P.depth(ind, geo, DEPTH_SECTIONS, good=GOOD_DEPTH).filter(F.col("depth") != "good")
+    parts = [
+        rule("G1 missing periods", P.missing_periods(ind, geo, SECTIONS, YEARS), "dashboard_section",
+             F.col("geography"), F.concat(F.lit("year "), F.col("year").cast("string"))),
+        rule("G2 missing characteristic", P.missing_characteristics(ind, expected), "dashboard_section",
+             F.col("characteristic"), F.lit("not in data")),
+        rule("G4 uneven depth", dep, "dashboard_section",
+             F.concat(F.col("geography"), F.lit(" / "), F.col("characteristic")),
+             F.concat(F.col("depth"), F.lit(": "), F.col("periods").cast("string"), F.lit(" periods"))),
+        rule("G5 non-year period", P.bad_periods(ind), "dashboard_section", F.col("timeframe"),
+             F.concat(F.col("rows").cast("string"), F.lit(" rows"))),
+        rule("G6 name drift", drift(spark, d), None, F.col("geography_id"),
+             F.concat(F.col("drift"), F.lit(": "), F.col("source_name"))),
+        rule("G9 stale series", P.stale_series(ind), "dashboard_section",
+             F.concat(F.col("geography"), F.lit(" / "), F.col("characteristic")),
+             F.concat(F.lit("last "), F.col("last_year").cast("string"), F.lit(" vs "),
+                      F.col("peer_last_year").cast("string"))),
+        rule("G10 available elsewhere", P.available_elsewhere(ind, "shipments", "demand"), "missing_in",
+             F.col("geography"), F.concat(F.lit("found in "), F.col("found_in"))),
+    ]
+    return P.issue_register(parts).orderBy("rule", "section", "subject")
+
+
+@query("gap_issue_counts", ids="G12", sql="WITH reg AS (" + _REGISTER_SQL.replace("\nORDER BY rule, section, subject", "")
+       + ")\nSELECT rule, issue_type, priority, count(*) AS findings FROM reg GROUP BY 1, 2, 3 ORDER BY 1")
+def gap_issue_counts(spark, d):
+    return P.issue_counts(gap_issue_register(spark, d)).orderBy("rule")
