@@ -9,6 +9,7 @@ from civicstat.operators import profile as P
 from civicstat.plans.indicators import IND_SQL, geography, indicators, with_ind
 from civicstat.plans.profile_queries import SECTIONS
 from civicstat.plans.registry import query
+from civicstat.session import materialize
 from civicstat.sources.tables import load
 
 YEARS = tuple(range(1995, 2002))
@@ -280,7 +281,7 @@ _REGISTER_SQL = "WITH " + IND_SQL + "\n" + "\nUNION ALL\n".join([
 
 @query("gap_issue_register", ids="G12 G1 G2 G4 G5 G6 G9 G10", sql=_REGISTER_SQL)
 def gap_issue_register(spark, d):
-    ind = indicators(spark, d)
+    ind = materialize(indicators(spark, d))   # read by six rules: build once
     geo = geography(spark, d)
     expected = spark.createDataFrame(list(EXPECTED_CHARACTERISTICS), "dashboard_section string, characteristic string")
 

@@ -18,12 +18,13 @@ Sections
     shipments  'Shipments - <l_returnflag>' summed l_quantity by ship year
                and supplier nation; nations 0-19 only (partial coverage)
 
-Plan: orders are joined to customer once (sort-merge on the customer key at
-scale; AQE splits a skewed key) and partially aggregated to a fine cell grid
-(nation, year, priority, segment), which is at most a few thousand rows at
-any scale factor.  Every section is derived from that grid; the grid's
-shuffle is reused across the union branches (ReuseExchange).  Money is
-summed as DECIMAL(18,2) so sums do not depend on row order.
+Plan: orders are joined to customer (broadcast while customer is under the
+size threshold, else a sort-merge join on the customer key, where AQE
+splits a skewed key).  Each section family is ONE grouped aggregation with
+map-side partial aggregation (so a hot nation or year never lands whole in
+one task), and its characteristic rows are generated from the aggregate
+with ``inline``.  Money is summed as DECIMAL(18,2) so sums do not depend on
+row order.
 """
 
 from __future__ import annotations
@@ -50,19 +51,14 @@ def geography(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("r_name").alias("geography_type"))
 
 
-def order_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders joined to their customer's nation and segment (pruned columns)."""
     orders = load(spark, sf_dir, "orders").select(
         "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority",
         F.year("o_orderdate").alias("yr"))
-    customer = load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    j = orders.join(customer, orders.o_custkey == customer.c_custkey)
-    return j.groupBy(F.col("c_nationkey").alias("nk"), "yr",
-                     F.col("o_orderpriority").alias("prio"),
-                     F.col("c_mktsegment").alias("seg")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("amt"),
-        F.count_if(F.col("o_totalprice") > HIGH_VALUE).alias("n_high"),
-        F.count_if(F.col("o_orderstatus") == "O").alias("n_open"))
+    customer = load(spark, sf_dir, "customer").select(
+        "c_custkey", F.col("c_nationkey").alias("nk"), F.col("c_mktsegment").alias("seg"))
+    return orders.join(customer, orders.o_custkey == customer.c_custkey)
 
 
 def _rate(part: str, whole: str):
@@ -70,51 +66,59 @@ def _rate(part: str, whole: str):
     return (F.expr(f"(2000 * {part} + {whole}) div (2 * {whole})").cast("double") / F.lit(10))
 
 
-def _row(section, characteristic, yr, value, source):
-    return [F.lit(section).alias("dashboard_section"), F.col("nk"),
-            characteristic.alias("characteristic"), yr.alias("timeframe"),
-            value.cast("double").alias("indicator_value"), F.lit(source).alias("data_source")]
+def _rows(section: str, source: str, timeframe, cells: list[tuple]):
+    """Columns of ``section`` rows: one generated row per (characteristic, value) pair."""
+    arr = F.array(*[F.struct(c.alias("characteristic"), v.cast("double").alias("indicator_value"))
+                    for c, v in cells])
+    return [F.lit(section).alias("dashboard_section"), F.col("nk"), timeframe.alias("timeframe"),
+            F.inline(arr), F.lit(source).alias("data_source")]
 
 
 def indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = order_cells(spark, sf_dir)
-    year_txt = F.col("yr").cast("string")
-
-    per_year = cells.groupBy("nk", "yr").agg(
-        F.sum("n").alias("n"), F.sum("n_high").alias("h"), F.sum("n_open").alias("o"))
-    per_prio = cells.groupBy("nk", "yr", "prio").agg(F.sum("n").alias("n"), F.sum("amt").alias("amt"))
-    per_seg = cells.groupBy("nk", "yr", "seg").agg(F.sum("n").alias("n"))
-    per_seg_all = cells.groupBy("nk", "seg").agg(F.sum("n").alias("n"))
+    """Build IND: one aggregation (one shuffle) per section family.
 
+    Rows of a family are generated from its aggregate with ``inline``; a
+    section filter from the caller removes whole union branches before
+    anything is scanned, and period filters reach the orders scan.
+    """
+    facts = order_facts(spark, sf_dir)
+    year_txt = F.col("yr").cast("string")
     kept = F.col("n") >= SUPPRESS_BELOW
-    demand_total = per_year.select(*_row("demand", F.lit("Orders"), year_txt, F.col("n"), "orders"))
-    demand_num = per_prio.select(*_row(
-        "demand", F.concat(F.lit("Orders - "), "prio", F.lit(" (number)")), year_txt,
-        F.when(kept, F.col("n")), "orders"))
-    demand_val = per_prio.select(*_row(
-        "demand", F.concat(F.lit("Orders - "), "prio", F.lit(" (value)")), year_txt,
-        F.when(kept, F.col("amt")), "orders"))
 
+    per_year = facts.groupBy("nk", "yr").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("o_totalprice") > HIGH_VALUE).alias("h"),
+        F.count_if(F.col("o_orderstatus") == "O").alias("o"))
+    demand_total = per_year.select(*_rows("demand", "orders", year_txt, [(F.lit("Orders"), F.col("n"))]))
     fresh = per_year.filter(~((F.col("nk") == STALE_NATION) & (F.col("yr") > STALE_AFTER)))
-    rate_high = fresh.select(*_row("rates", F.lit("High value (rate)"), year_txt, _rate("h", "n"), "orders"))
-    rate_open = fresh.select(*_row("rates", F.lit("Open (rate)"), year_txt, _rate("o", "n"), "orders"))
-
-    seg_year = per_seg.select(*_row("segments", F.concat(F.lit("Segment: "), "seg"), year_txt,
-                                    F.col("n"), "orders"))
-    seg_all = per_seg_all.select(*_row("segments", F.concat(F.lit("Segment: "), "seg"),
-                                       F.lit("All years"), F.col("n"), "orders"))
+    rates = fresh.select(*_rows("rates", "orders", year_txt, [
+        (F.lit("High value (rate)"), _rate("h", "n")), (F.lit("Open (rate)"), _rate("o", "n"))]))
 
-    supplier = (load(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-                .filter(F.col("s_nationkey") < SHIPMENT_NATIONS_BELOW))
+    per_prio = facts.groupBy("nk", "yr", F.col("o_orderpriority").alias("prio")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("amt"))
+    demand_prio = per_prio.select(*_rows("demand", "orders", year_txt, [
+        (F.concat(F.lit("Orders - "), "prio", F.lit(" (number)")), F.when(kept, F.col("n"))),
+        (F.concat(F.lit("Orders - "), "prio", F.lit(" (value)")), F.when(kept, F.col("amt")))]))
+
+    # per year and over all years in one aggregation (grouping sets)
+    per_seg = facts.groupingSets([["nk", "seg", "yr"], ["nk", "seg"]], "nk", "seg", "yr").agg(
+        F.count(F.lit(1)).alias("n"), F.grouping("yr").alias("all_years"))
+    seg_tf = F.when(F.col("all_years") == 1, F.lit("All years")).otherwise(year_txt)
+    segments = per_seg.select(*_rows("segments", "orders", seg_tf, [
+        (F.concat(F.lit("Segment: "), "seg"), F.col("n"))]))
+
+    supplier = (load(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("nk"))
+                .filter(F.col("nk") < SHIPMENT_NATIONS_BELOW))
     lineitem = load(spark, sf_dir, "lineitem").select(
         "l_suppkey", "l_quantity", "l_returnflag", F.year("l_shipdate").alias("yr"))
     ship = (lineitem.join(supplier, lineitem.l_suppkey == supplier.s_suppkey)
-            .groupBy(F.col("s_nationkey").alias("nk"), "yr", "l_returnflag")
+            .groupBy("nk", "yr", "l_returnflag")
             .agg(F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("q")))
-    shipments = ship.select(*_row("shipments", F.concat(F.lit("Shipments - "), "l_returnflag"),
-                                  year_txt, F.col("q"), "lineitem"))
+    shipments = ship.select(*_rows("shipments", "lineitem", year_txt, [
+        (F.concat(F.lit("Shipments - "), "l_returnflag"), F.col("q"))]))
 
-    parts = [demand_total, demand_num, demand_val, rate_high, rate_open, seg_year, seg_all, shipments]
+    parts = [demand_total, demand_prio, rates, segments, shipments]
     body = parts[0]
     for p in parts[1:]:
         body = body.unionByName(p)

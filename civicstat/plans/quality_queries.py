@@ -18,6 +18,7 @@ from civicstat.operators import quality as Q
 from civicstat.operators import rank
 from civicstat.plans.indicators import indicators, with_ind, IND_SQL
 from civicstat.plans.registry import query
+from civicstat.session import materialize
 from civicstat.sources.catalog import list_tables
 from civicstat.sources.expected import truth_frame
 from civicstat.sources.tables import load, DRIVER_TABLES
@@ -199,8 +200,9 @@ _NULL_SQL = _register_sql("dq_nulls", "\nUNION ALL\n".join(
     for t, cols in NULL_COLUMNS.items() for c in cols), uses_ind=True)
 
 
-def null_checks(spark, d):
-    frames = {t: (indicators(spark, d) if t == "ind" else load(spark, d, t), cols)
+def null_checks(spark, d, ind=None):
+    ind = indicators(spark, d) if ind is None else ind
+    frames = {t: (ind if t == "ind" else load(spark, d, t), cols)
               for t, cols in NULL_COLUMNS.items()}
     return Q.null_checks(frames)
 
@@ -323,7 +325,7 @@ FROM j
 """, uses_ind=True)
 
 
-def tolerance_rule_checks(spark, d):
+def tolerance_rule_checks(spark, d, ind=None):
     """IND's rounded rates and counts against values recomputed from orders."""
     orders = load(spark, d, "orders").select("o_custkey", "o_orderstatus", F.year("o_orderdate").alias("yr"))
     customer = load(spark, d, "customer").select("c_custkey", "c_nationkey")
@@ -337,7 +339,8 @@ def tolerance_rule_checks(spark, d):
                        F.col("n").cast("double").alias("orders")) \
                .unpivot(["subject", "period"], ["open_rate", "orders"], "column", "expected") \
                .withColumn("is_fractional", F.col("expected") != F.floor("expected"))
-    ind = L.select_indicators(indicators(spark, d), characteristics=["Open (rate)", "Orders"])
+    ind = L.select_indicators(indicators(spark, d) if ind is None else ind,
+                              characteristics=["Open (rate)", "Orders"])
     from civicstat.operators.reshape import pivot_unique
     wide = pivot_unique(ind, ["geography", "timeframe"], "characteristic", "indicator_value",
                         ["Open (rate)", "Orders"], aliases=["open_rate", "orders"])
@@ -365,8 +368,8 @@ FROM j
 """, uses_ind=True)
 
 
-def total_equal_checks(spark, d):
-    ind = indicators(spark, d)
+def total_equal_checks(spark, d, ind=None):
+    ind = indicators(spark, d) if ind is None else ind
     left = (L.select_indicators(ind, like="Segment: %", periods=["All years"])
             .groupBy("geography").agg(F.sum("indicator_value").alias("value")))
     orders = load(spark, d, "orders").select("o_custkey")
@@ -397,8 +400,8 @@ FROM j
 """, uses_ind=True)
 
 
-def sum_close_checks(spark, d):
-    ind = indicators(spark, d)
+def sum_close_checks(spark, d, ind=None):
+    ind = indicators(spark, d) if ind is None else ind
     key = F.concat(F.col("geography"), F.lit("|"), F.col("timeframe")).alias("k")
     parts = L.select_indicators(ind, like="Orders - %(number)").select(key, F.col("indicator_value").alias("value"))
     whole = L.select_indicators(ind, characteristics=["Orders"]).select(key, F.col("indicator_value").alias("value"))
@@ -465,8 +468,8 @@ FROM neg
 """, uses_ind=True)
 
 
-def spot_checks(spark, d):
-    ind = indicators(spark, d)
+def spot_checks(spark, d, ind=None):
+    ind = indicators(spark, d) if ind is None else ind
     v = (L.select_indicators(ind, like="Orders - %(value)")
          .select("geography", "timeframe", F.replace("characteristic", F.lit(" (value)"), F.lit("")).alias("base"),
                  F.col("indicator_value").alias("v")))
@@ -534,9 +537,12 @@ _ALL = ("dq_row_counts", "dq_key_set", "dq_orphans", "dq_nulls", "dq_truth_compa
 
 
 def all_checks(spark, d):
+    """Every check in one frame.  IND is built once and checkpointed to the
+    shared checkpoint folder, since five check families read it."""
+    ind = materialize(indicators(spark, d))
     ind_free = [row_count_checks, key_set_checks, orphan_checks, truth_compare_checks, unused_ref_checks]
     with_ind_checks = [null_checks, tolerance_rule_checks, total_equal_checks, sum_close_checks, spot_checks]
-    return Q.union_checks([f(spark, d) for f in ind_free + with_ind_checks])
+    return Q.union_checks([f(spark, d) for f in ind_free] + [f(spark, d, ind) for f in with_ind_checks])
 
 
 def _all_checks_sql() -> str:
