@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicstat.sources.tables import load
+from civicstat.sources.tables import load, plan_cache
 
 SUPPRESS_BELOW = 10
 HIGH_VALUE = 250000
@@ -75,6 +75,15 @@ def _rows(section: str, source: str, timeframe, cells: list[tuple]):
 
 
 def indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IND over the tables in ``sf_dir`` (plan memoized per session, see ``build_indicators``)."""
+    cache = plan_cache(spark)
+    key = ("ind", sf_dir.rstrip("/"))
+    if key not in cache:
+        cache[key] = build_indicators(spark, sf_dir)
+    return cache[key]
+
+
+def build_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Build IND: one aggregation (one shuffle) per section family.
 
     Rows of a family are generated from its aggregate with ``inline``; a

@@ -42,5 +42,28 @@ class Tables:
         return self(name)
 
 
+def plan_cache(spark: SparkSession) -> dict:
+    """Per-session memo of lazy DataFrames (plans only, never data).
+
+    ``spark.read.parquet`` lists files and reads footers on every call; a
+    memoized handle skips that driver work while every action still scans
+    the files.  ``refresh(spark)`` drops the memo after files change.
+    """
+    cache = getattr(spark, "_civicstat_plans", None)
+    if cache is None:
+        cache = {}
+        spark._civicstat_plans = cache
+    return cache
+
+
+def refresh(spark: SparkSession) -> None:
+    plan_cache(spark).clear()
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    cache = plan_cache(spark)
+    key = ("parquet", path)
+    if key not in cache:
+        cache[key] = spark.read.parquet(path)
+    return cache[key]
