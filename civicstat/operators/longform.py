@@ -40,7 +40,14 @@ def with_year(df: DataFrame, col: str = TIMEFRAME, alias: str = "year") -> DataF
 
 
 def normalise_value(df: DataFrame, col: str = VALUE) -> DataFrame:
-    """Value arrives as text or decimal; normalise once to double."""
+    """Value arrives as text or decimal; normalise once to double.
+
+    Numeric columns are cast directly; text goes through the lenient cast
+    (non-numeric text -> NULL instead of an error).
+    """
+    from pyspark.sql.types import NumericType
+    if isinstance(df.schema[col].dataType, NumericType):
+        return df.withColumn(col, F.col(col).cast("double"))
     return df.withColumn(col, lenient_double(col))
 
 
