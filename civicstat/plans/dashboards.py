@@ -39,6 +39,7 @@ CHN_TENURE = "hna_chn_tenure_csd_2016_2021"
 EI_RECIPIENTS = "ei_recipients_csd_2016_2024"
 BUILDING_PERMITS = "hna_building_permits_csd_2016_2024"
 COMMUNITY_TOTAL = "community_total"
+DEFAULT_COMMUNITY = "airdrie"          # community key the single-community queries filter on
 
 
 def _facts(t: Accessor, fact: str, cols: list, community: str | None = None) -> DataFrame:
@@ -112,11 +113,11 @@ def _starts(t: Accessor, dimension: str, label: str, community: str) -> DataFram
             .orderBy("year", label))
 
 
-def starts_by_structure(t: Accessor, community: str = "airdrie") -> DataFrame:
+def starts_by_structure(t: Accessor, community: str = DEFAULT_COMMUNITY) -> DataFrame:
     return _starts(t, "structure_type", "category", community)
 
 
-def starts_by_tenure(t: Accessor, community: str = "airdrie") -> DataFrame:
+def starts_by_tenure(t: Accessor, community: str = DEFAULT_COMMUNITY) -> DataFrame:
     return _starts(t, "tenure", "tenure", community)
 
 
@@ -125,18 +126,18 @@ def ei_series(t: Accessor) -> DataFrame:
                                      "recipient_count"]).orderBy("community", "year")
 
 
-def priority_groups(t: Accessor, community: str = "airdrie") -> DataFrame:
+def priority_groups(t: Accessor, community: str = DEFAULT_COMMUNITY) -> DataFrame:
     """Detail rows only: the stored community total is excluded."""
     return (_facts(t, PRIORITY_GROUPS, ["priority_group", "chn_count", "chn_rate"], community)
             .filter(F.col("priority_group") != COMMUNITY_TOTAL).orderBy(F.col("chn_count").desc()))
 
 
-def shelter_cost(t: Accessor, community: str = "airdrie") -> DataFrame:
+def shelter_cost(t: Accessor, community: str = DEFAULT_COMMUNITY) -> DataFrame:
     return (_facts(t, SHELTER_COST, [_c("timeframe_id", "year"), "cost_band", "household_count"], community)
             .orderBy("year", category_ordinal("cost_band", COST_BAND_ORDER)))
 
 
-def income_distribution(t: Accessor, community: str = "airdrie", tenure: str = "total") -> DataFrame:
+def income_distribution(t: Accessor, community: str = DEFAULT_COMMUNITY, tenure: str = "total") -> DataFrame:
     return (_facts(t, INCOME_DISTRIBUTION, [_c("timeframe_id", "year"), "tenure", "income_band", "household_count"],
                    community)
             .filter(F.col("tenure") == tenure)
@@ -149,7 +150,7 @@ def median_income(t: Accessor) -> DataFrame:
         "median_renter", "avg_total", "avg_owner", "avg_renter"]).orderBy("community", "year")
 
 
-def dwelling_values(t: Accessor, community: str = "airdrie",
+def dwelling_values(t: Accessor, community: str = DEFAULT_COMMUNITY,
                     excluded: tuple = ("other", "high_rise")) -> DataFrame:
     return (_facts(t, DWELLING_VALUES, [_c("timeframe_id", "year"), "structure_type", "avg_dwelling_value"],
                    community)
@@ -163,12 +164,12 @@ def chn_by_tenure(t: Accessor) -> DataFrame:
         "chn_renter_count", "chn_renter_rate"]).orderBy("community", "year")
 
 
-def building_permits(t: Accessor, community: str = "airdrie") -> DataFrame:
+def building_permits(t: Accessor, community: str = DEFAULT_COMMUNITY) -> DataFrame:
     return _facts(t, BUILDING_PERMITS, [_c("geography", "community"), _c("timeframe_id", "year"),
                                         "permit_sector", "permit_count"], community).orderBy("year", "permit_sector")
 
 
-def housing_deficit(t: Accessor, community: str = "airdrie") -> DataFrame:
+def housing_deficit(t: Accessor, community: str = DEFAULT_COMMUNITY) -> DataFrame:
     return (_facts(t, HOUSING_DEFICIT, ["income_tier", "household_size", "deficit_count", "deficit_unsubsidized",
                                         "deficit_subsidized"], community)
             .filter(F.col("deficit_count") > 0)

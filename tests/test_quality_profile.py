@@ -186,7 +186,7 @@ def test_missing_characteristics_and_elsewhere(spark, long):
 
 
 def test_name_drift_unknown_decorated(spark):
-    src = spark.createDataFrame([("1", "Alderton CY (4806021) 00000 (  1.8%)"), ("2", "Unknown"),
+    src = spark.createDataFrame([("1", "Alderton CY (9900001) 00000 (  1.8%)"), ("2", "Unknown"),
                                  ("3", "Cedarvale"), ("9", "Nowhere (X)")], "geography_id string, geography string")
     dim = spark.createDataFrame([("1", "Alderton"), ("2", "Brookfield"), ("3", "Cedarvale")],
                                 "geography_id string, geography string")
