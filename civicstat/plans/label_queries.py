@@ -80,3 +80,14 @@ def label_number_text(spark, d):
                     LB.number_text(F.col("n").cast("double"), 0).alias("orders_text"),
                     LB.currency_text(F.col("total_value").cast("double"), 0).alias("value_text"),
                     LB.percent_text(open_pct, 1).alias("open_text")).orderBy("community")
+
+
+@query("name_contains", ids="F9", sql="""
+SELECT n_nationkey, n_name, strpos(lower(n_name), 'nation_1') > 0 AS matched
+FROM nation ORDER BY n_nationkey
+""")
+def name_contains(spark, d):
+    """Case-insensitive substring test on a name."""
+    nation = load(spark, d, "nation")
+    return nation.select("n_nationkey", "n_name", LB.contains_ci("n_name", "NATION_1").alias("matched")) \
+        .orderBy("n_nationkey")

@@ -190,3 +190,23 @@ def series_mean(spark, d):
     m = R.mean_series(sel.withColumnRenamed("geography", "community"), ["community", "year"],
                       "indicator_value", "mean_orders")
     return R.ordered_series(m, ["community", "year"])
+
+
+@query("stack_offsets_lineitem", ids="W3 A19", sql="""
+WITH cells AS (
+  SELECT CAST(year(l_shipdate) AS INTEGER) AS year, l_returnflag,
+         CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantity
+  FROM lineitem GROUP BY 1, 2
+)
+SELECT year, l_returnflag, quantity,
+       coalesce(sum(quantity) OVER (PARTITION BY year ORDER BY l_returnflag
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS "offset"
+FROM cells ORDER BY year, l_returnflag
+""")
+def stack_offsets_lineitem(spark, d):
+    """Stack bases straight on lineitem: aggregate to cells first, then a
+    window partitioned by year over at most one row per return flag."""
+    li = load(spark, d, "lineitem").select(F.year("l_shipdate").alias("year"), "l_returnflag", "l_quantity")
+    cells = li.groupBy("year", "l_returnflag").agg(
+        F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("quantity"))
+    return R.stack_offsets(cells, "year", "l_returnflag", "quantity").orderBy("year", "l_returnflag")

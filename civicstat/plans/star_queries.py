@@ -220,3 +220,23 @@ SELECT DISTINCT geography, geography_id, geography_type FROM ind ORDER BY geogra
 def distinct_dim(spark, d):
     ind = indicators(spark, d)
     return star.distinct_rows(ind, ["geography", "geography_id", "geography_type"]).orderBy("geography")
+
+
+@query("key_star_projection", ids="P2 J1", sql="""
+SELECT n_name AS community, customer.*
+FROM customer JOIN nation ON c_nationkey = n_nationkey
+ORDER BY c_custkey
+""")
+def key_star_projection(spark, d):
+    """Dimension key plus every fact column (``SELECT g.key, d.*``)."""
+    customer = load(spark, d, "customer")
+    nation = _nation(spark, d)
+    j = customer.join(nation, customer.c_nationkey == nation.n_nationkey)
+    return j.select(F.col("n_name").alias("community"), customer["*"]).orderBy("c_custkey")
+
+
+@query("group_size", ids="A14", sql="""
+SELECT user_id, count(*) AS events FROM events GROUP BY user_id ORDER BY user_id
+""")
+def group_size(spark, d):
+    return star.group_count(load(spark, d, "events"), "user_id", "events").orderBy("user_id")

@@ -46,18 +46,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is
     used as is.  Only when it is unset (local tests) a fresh scratch folder
-    is created and registered.
+    is created and registered.  Works without a SparkContext handle (Spark
+    Connect), where the server reads ``spark.checkpoint.dir`` itself.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="civicstat-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", configured)
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+        try:
+            spark.conf.set("spark.checkpoint.dir", configured)
+        except Exception:  # noqa: BLE001 - some deployments reject core confs at runtime
+            pass
+    if sc is not None:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir() or configured
+    return configured
 
 
 def materialize(df: DataFrame) -> DataFrame:
