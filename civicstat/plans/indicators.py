@@ -20,11 +20,13 @@ Sections
 
 Plan: orders are joined to customer (broadcast while customer is under the
 size threshold, else a sort-merge join on the customer key, where AQE
-splits a skewed key).  Each section family is ONE grouped aggregation with
-map-side partial aggregation (so a hot nation or year never lands whole in
-one task), and its characteristic rows are generated from the aggregate
-with ``inline``.  Money is summed as DECIMAL(18,2) so sums do not depend on
-row order.
+splits a skewed key) and reduced, with map-side partial aggregation, to a
+cell table (nation, year, priority, segment) that has at most a few
+thousand rows at any scale; a hot nation or year never lands whole in one
+task.  Each section family re-aggregates the cells and generates its
+characteristic rows with ``inline``; the families share the cells' exchange
+(reuse), so the orders scan and join run once per query.  Money is summed
+as DECIMAL(18,2) so sums do not depend on row order.
 """
 
 from __future__ import annotations
@@ -83,36 +85,46 @@ def indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cache[key]
 
 
+def order_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders x customer reduced to (nation, year, priority, segment) cells.
+
+    The heavy step (scan + join + map-side partial aggregation) happens
+    once; the cell table holds at most nations x years x priorities x
+    segments rows at any scale, and every section family is a re-aggregation
+    of it.  Branches that read the same cells share one exchange (reuse).
+    """
+    return order_facts(spark, sf_dir).groupBy("nk", "yr", F.col("o_orderpriority").alias("prio"), "seg").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("amt"),
+        F.count_if(F.col("o_totalprice") > HIGH_VALUE).alias("h"),
+        F.count_if(F.col("o_orderstatus") == "O").alias("o"))
+
+
 def build_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Build IND: one aggregation (one shuffle) per section family.
+    """Build IND from the order cells and the shipment aggregate.
 
     Rows of a family are generated from its aggregate with ``inline``; a
     section filter from the caller removes whole union branches before
     anything is scanned, and period filters reach the orders scan.
     """
-    facts = order_facts(spark, sf_dir)
+    cells = order_cells(spark, sf_dir)
     year_txt = F.col("yr").cast("string")
     kept = F.col("n") >= SUPPRESS_BELOW
 
-    per_year = facts.groupBy("nk", "yr").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("o_totalprice") > HIGH_VALUE).alias("h"),
-        F.count_if(F.col("o_orderstatus") == "O").alias("o"))
+    per_year = cells.groupBy("nk", "yr").agg(F.sum("n").alias("n"), F.sum("h").alias("h"), F.sum("o").alias("o"))
     demand_total = per_year.select(*_rows("demand", "orders", year_txt, [(F.lit("Orders"), F.col("n"))]))
     fresh = per_year.filter(~((F.col("nk") == STALE_NATION) & (F.col("yr") > STALE_AFTER)))
     rates = fresh.select(*_rows("rates", "orders", year_txt, [
         (F.lit("High value (rate)"), _rate("h", "n")), (F.lit("Open (rate)"), _rate("o", "n"))]))
 
-    per_prio = facts.groupBy("nk", "yr", F.col("o_orderpriority").alias("prio")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("amt"))
+    per_prio = cells.groupBy("nk", "yr", "prio").agg(F.sum("n").alias("n"), F.sum("amt").alias("amt"))
     demand_prio = per_prio.select(*_rows("demand", "orders", year_txt, [
         (F.concat(F.lit("Orders - "), "prio", F.lit(" (number)")), F.when(kept, F.col("n"))),
         (F.concat(F.lit("Orders - "), "prio", F.lit(" (value)")), F.when(kept, F.col("amt")))]))
 
     # per year and over all years in one aggregation (grouping sets)
-    per_seg = facts.groupingSets([["nk", "seg", "yr"], ["nk", "seg"]], "nk", "seg", "yr").agg(
-        F.count(F.lit(1)).alias("n"), F.grouping("yr").alias("all_years"))
+    per_seg = cells.groupingSets([["nk", "seg", "yr"], ["nk", "seg"]], "nk", "seg", "yr").agg(
+        F.sum("n").alias("n"), F.grouping("yr").alias("all_years"))
     seg_tf = F.when(F.col("all_years") == 1, F.lit("All years")).otherwise(year_txt)
     segments = per_seg.select(*_rows("segments", "orders", seg_tf, [
         (F.concat(F.lit("Segment: "), "seg"), F.col("n"))]))
