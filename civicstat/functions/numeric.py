@@ -54,6 +54,17 @@ def pct_half_up(part, whole, decimals: int = 1) -> Column:
     return F.when(w != 0, q.cast("double") / F.lit(float(scale)))
 
 
+def exact_mean(col, scale: int = 6) -> Column:
+    """Mean that does not depend on row order: sum as DECIMAL(38, scale), then divide.
+
+    A double sum's last bits depend on the order partitions are combined;
+    values with at most ``scale`` decimals are summed exactly.  NULLs are
+    skipped like ``avg``.
+    """
+    c = _c(col)
+    return F.sum(c.cast(f"decimal(38,{scale})")).cast("double") / F.count(c)
+
+
 def is_fractional(expected) -> Column:
     """True when an expected value has a fractional part (tolerance rule)."""
     e = _c(expected)

@@ -36,7 +36,7 @@ _COMPLETE_SQL = f"""count(*) AS total_rows, count(DISTINCT geography) AS communi
        count(DISTINCT characteristic) AS characteristics, count(DISTINCT timeframe) AS timeframes,
        min(timeframe) AS earliest_period, max(timeframe) AS latest_period,
        min({_YEAR_SQL}) AS earliest_year, max({_YEAR_SQL}) AS latest_year,
-       count_if(indicator_value IS NULL) AS null_values,
+       CAST(count_if(indicator_value IS NULL) AS BIGINT) AS null_values,
        CAST((2000 * count(indicator_value) + count(*)) // (2 * count(*)) AS DOUBLE) / 10 AS pct_complete"""
 
 
@@ -76,7 +76,8 @@ WITH c AS (SELECT dashboard_section, geography, count(*) AS n FROM ind GROUP BY
 grid AS (SELECT s.dashboard_section, n_name AS geography FROM nation, (VALUES {_SECTIONS_SQL}) s(dashboard_section)),
 m AS (SELECT g.dashboard_section, coalesce(c.n, 0) AS rows FROM grid g LEFT JOIN c
       ON g.dashboard_section = c.dashboard_section AND g.geography = c.geography)
-SELECT dashboard_section, count_if(rows > 0) AS covered, count(*) AS total, count_if(rows = 0) AS uncovered
+SELECT dashboard_section, CAST(count_if(rows > 0) AS BIGINT) AS covered, count(*) AS total,
+       CAST(count_if(rows = 0) AS BIGINT) AS uncovered
 FROM m GROUP BY dashboard_section ORDER BY dashboard_section
 """))
 def gap_coverage(spark, d):
@@ -86,7 +87,7 @@ def gap_coverage(spark, d):
 
 @query("event_profile", ids="A3 A5", sql="""
 SELECT event_type, count(*) AS row_count, count(DISTINCT user_id) AS users,
-       count_if(value IS NULL) AS null_values,
+       CAST(count_if(value IS NULL) AS BIGINT) AS null_values,
        CAST(min(ts) AS DATE) AS first_day, CAST(max(ts) AS DATE) AS last_day
 FROM events GROUP BY event_type ORDER BY event_type
 """)

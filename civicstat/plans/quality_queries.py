@@ -552,8 +552,8 @@ def _all_checks_sql() -> str:
 
 @query("dq_summary", ids="C10 A22 A21", sql="WITH " + IND_SQL + ",\n" + _all_checks_sql() + """
 SELECT coalesce(category, 'TOTAL') AS category, count(*) AS total,
-       count_if(status = 'PASS') AS passed, count_if(status = 'FAIL') AS failed,
-       count_if(status = 'MISSING') AS missing, count_if(status = 'SKIPPED') AS skipped,
+       CAST(count_if(status = 'PASS') AS BIGINT) AS passed, CAST(count_if(status = 'FAIL') AS BIGINT) AS failed,
+       CAST(count_if(status = 'MISSING') AS BIGINT) AS missing, CAST(count_if(status = 'SKIPPED') AS BIGINT) AS skipped,
        CAST(grouping(category) AS BOOLEAN) AS is_total
 FROM all_checks GROUP BY ROLLUP (category) ORDER BY is_total, category
 """)

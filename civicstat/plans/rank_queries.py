@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from civicstat.functions.numeric import lenient_double
+from civicstat.functions.numeric import exact_mean, lenient_double
 from civicstat.operators import longform as L
 from civicstat.operators import rank
 from civicstat.plans.indicators import indicators, with_ind
@@ -125,7 +125,8 @@ def top6_by_mean_filtered(spark, d):
 
 @query("avg_above_median", ids="A9 A15", sql=with_ind("""
 WITH a AS (
-  SELECT characteristic, avg(indicator_value) AS avg_value, count(*) AS n_rows,
+  SELECT characteristic, CAST(sum(CAST(indicator_value AS DECIMAL(38,6))) AS DOUBLE) / count(indicator_value)
+         AS avg_value, count(*) AS n_rows,
          count(indicator_value) AS n_values
   FROM ind WHERE dashboard_section = 'demand' AND timeframe = '1997'
   GROUP BY characteristic
@@ -137,7 +138,7 @@ FROM a ORDER BY avg_value DESC
 def avg_above_median(spark, d):
     sel = L.select_indicators(indicators(spark, d), section="demand", periods=["1997"])
     a = sel.groupBy("characteristic").agg(
-        F.avg("indicator_value").alias("avg_value"), F.count(F.lit(1)).alias("n_rows"),
+        exact_mean("indicator_value").alias("avg_value"), F.count(F.lit(1)).alias("n_rows"),
         F.count("indicator_value").alias("n_values"))
     return rank.above_median(a, "avg_value").orderBy(F.col("avg_value").desc())
 

@@ -44,11 +44,19 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
 
 
+SPARK_TO_DUCK = {"LongType": "BIGINT", "IntegerType": "INTEGER", "DoubleType": "DOUBLE", "StringType": "VARCHAR",
+                 "BooleanType": "BOOLEAN", "DateType": "DATE", "TimestampNTZType": "TIMESTAMP"}
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     sdf = QUERIES[name](spark, SF_SMALL)
     scols = sdf.columns
     srows = [tuple(r) for r in sdf.collect()]
+    rel = con.sql(ORACLE[name])
+    dtypes = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    stypes = {f.name: SPARK_TO_DUCK.get(type(f.dataType).__name__) for f in sdf.schema.fields}
+    assert stypes == dtypes
     res = con.execute(ORACLE[name])
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
