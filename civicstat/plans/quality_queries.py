@@ -11,11 +11,9 @@ summary / confidence tiers (C10).
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from civicstat.operators import longform as L
 from civicstat.operators import quality as Q
-from civicstat.operators import rank
 from civicstat.plans.indicators import indicators, with_ind, IND_SQL
 from civicstat.plans.registry import query
 from civicstat.session import materialize
@@ -45,16 +43,12 @@ def _tol_sql(a: str, e: str, frac: str) -> str:
             f"ELSE coalesce(trunc({a}) = trunc({e}), false) END")
 
 
-_BODIES: dict[str, str] = {}     # check SQL bodies (may reference ind)
-_USES_IND: set[str] = set()
+_BODIES: dict[str, str] = {}     # check SQL bodies (may reference ind), reused by the summary
 
 
 def _register_sql(name: str, body: str, uses_ind: bool = False) -> str:
     _BODIES[name] = body
-    if uses_ind:
-        _USES_IND.add(name)
-        return with_ind(body)
-    return body
+    return with_ind(body) if uses_ind else body
 
 
 # ------------------------------------------------------------------ C1
