@@ -300,4 +300,4 @@ def confidence_tiers(checks: DataFrame, verified: Sequence[str]) -> DataFrame:
 def skipped(spark: SparkSession, category: str, names: Iterable[str], reason: str) -> DataFrame:
     """Explicit SKIPPED rows for checks whose inputs do not exist."""
     rows = [(category, n, None, None, SKIPPED, None, None, None, reason) for n in names]
-    return spark.createDataFrame(rows, CHECK_SCHEMA)
+    return spark.createDataFrame(rows, CHECK_SCHEMA).coalesce(1)

@@ -84,7 +84,8 @@ WHERE NOT EXISTS (SELECT 1 FROM ind i WHERE i.dashboard_section = e.dashboard_se
 
 
 def missing_characteristics(spark, d):
-    expected = spark.createDataFrame(list(EXPECTED_CHARACTERISTICS), "dashboard_section string, characteristic string")
+    expected = spark.createDataFrame(list(EXPECTED_CHARACTERISTICS),
+                                     "dashboard_section string, characteristic string").coalesce(1)
     return P.missing_characteristics(indicators(spark, d), expected)
 
 
@@ -283,7 +284,8 @@ _REGISTER_SQL = "WITH " + IND_SQL + "\n" + "\nUNION ALL\n".join([
 def gap_issue_register(spark, d):
     ind = materialize(indicators(spark, d))   # read by six rules: build once
     geo = geography(spark, d)
-    expected = spark.createDataFrame(list(EXPECTED_CHARACTERISTICS), "dashboard_section string, characteristic string")
+    expected = spark.createDataFrame(list(EXPECTED_CHARACTERISTICS),
+                                     "dashboard_section string, characteristic string").coalesce(1)
 
     def rule(name, df, section, subject, detail):
         t, p = RULES[name]

@@ -76,7 +76,7 @@ _ROWCOUNT_SQL = _register_sql("dq_row_counts", "WITH counts AS (\n  " + "\n  UNI
 def row_count_checks(spark, d):
     counts = Q.table_counts({t: load(spark, d, t) for t in COUNTED})
     fixed = spark.createDataFrame([(k, v) for k, v in FIXED_COUNTS.items()],
-                                  "table_name string, expected_rows bigint")
+                                  "table_name string, expected_rows bigint").coalesce(1)
     ratios = [counts.filter(F.col("table_name") == src).select(
         F.lit(t).alias("table_name"), (F.col("actual_rows") * f).alias("expected_rows"))
         for t, f, src in RATIO_COUNTS]
@@ -122,7 +122,7 @@ FROM (SELECT count(*) AS n FROM nation)
 def key_set_checks(spark, d):
     nation = load(spark, d, "nation").withColumn("in_first_region", F.col("n_regionkey") == 0)
     actual = nation.filter(F.col("in_first_region")).select(F.col("n_nationkey").alias("k"))
-    expected = spark.createDataFrame([(k,) for k in EXPECTED_REGION0_KEYS], "k int")
+    expected = spark.createDataFrame([(k,) for k in EXPECTED_REGION0_KEYS], "k int").coalesce(1)
     return Q.union_checks([
         Q.key_set_check(actual, expected, "k", "first-region nation keys").withColumn(
             "column", F.lit("n_nationkey")),
@@ -146,7 +146,7 @@ FROM e FULL OUTER JOIN a ON e.k = a.k ORDER BY k
 def dq_key_status(spark, d):
     from civicstat.operators.star import key_set_diff
     nation = load(spark, d, "nation").filter(F.col("n_regionkey") == 0).select(F.col("n_nationkey").alias("k"))
-    expected = spark.createDataFrame([(k,) for k in EXPECTED_REGION0_KEYS], "k int")
+    expected = spark.createDataFrame([(k,) for k in EXPECTED_REGION0_KEYS], "k int").coalesce(1)
     return key_set_diff(nation, expected, "k").orderBy("k")
 
 

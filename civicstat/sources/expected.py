@@ -37,7 +37,7 @@ def truth_frame(spark: SparkSession, truth: Mapping, nested_period: bool = False
                     rows.append((str(subject), str(k), str(col), float(val), _fractional(val)))
             else:
                 rows.append((str(subject), None, str(k), float(v), _fractional(v)))
-    return spark.createDataFrame(rows, TRUTH_SCHEMA)
+    return spark.createDataFrame(rows, TRUTH_SCHEMA).coalesce(1)   # literal-sized: one partition
 
 
 def expected_counts(spark: SparkSession, counts: Mapping[str, int]) -> DataFrame:
@@ -45,4 +45,4 @@ def expected_counts(spark: SparkSession, counts: Mapping[str, int]) -> DataFrame
         T.StructField("table_name", T.StringType(), False),
         T.StructField("expected_rows", T.LongType(), False),
     ])
-    return spark.createDataFrame([(k, int(v)) for k, v in counts.items()], schema)
+    return spark.createDataFrame([(k, int(v)) for k, v in counts.items()], schema).coalesce(1)
