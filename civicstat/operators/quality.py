@@ -301,3 +301,36 @@ def skipped(spark: SparkSession, category: str, names: Iterable[str], reason: st
     """Explicit SKIPPED rows for checks whose inputs do not exist."""
     rows = [(category, n, None, None, SKIPPED, None, None, None, reason) for n in names]
     return spark.createDataFrame(rows, CHECK_SCHEMA).coalesce(1)
+
+
+# -- one-pass checks while writing ----------------------------------------
+
+def write_with_checks(df: DataFrame, path: str, name: str, null_columns: Sequence[str] = (),
+                      expected_rows: int | None = None, mode: str = "overwrite",
+                      partition_by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` as parquet and return row-count / NULL checks of what was written.
+
+    The metrics are gathered by ``DataFrame.observe`` during the write
+    itself, so validating a freshly built fact table costs no second scan.
+    """
+    from pyspark.sql import Observation
+    obs = Observation(f"checks_{name}")
+    metrics = [F.count(F.lit(1)).alias("__rows")] + [
+        F.count_if(F.col(c).isNull()).alias(f"__null_{i}") for i, c in enumerate(null_columns)]
+    writer = df.observe(obs, *metrics).write.mode(mode)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+    got = obs.get
+    spark = df.sparkSession
+    rows = []
+    n = int(got["__rows"])
+    if expected_rows is not None:
+        ok = n == expected_rows
+        rows.append(("1-rowcounts", name, None, None, PASS if ok else FAIL, float(n), float(expected_rows),
+                     float(abs(n - expected_rows)), None if ok else f"actual={n} expected={expected_rows}"))
+    for i, c in enumerate(null_columns):
+        k = int(got[f"__null_{i}"])
+        rows.append(("4-nulls", f"{name}.{c}", name, c, PASS if k == 0 else FAIL, float(k), 0.0, float(k),
+                     None if k == 0 else f"{k} NULLs"))
+    return spark.createDataFrame(rows, CHECK_SCHEMA).coalesce(1)

@@ -200,3 +200,16 @@ def test_density_and_scope_share(spark, long):
     docs = spark.createDataFrame([("s", True), ("s", False), ("t", False)], "src string, ok boolean")
     got = rows(P.scope_share(docs, "src", F.col("ok")))
     assert got == [("s", 2, 1, 50.0), ("t", 1, 0, 0.0)]
+
+
+def test_write_with_checks_one_pass(spark, tmp_path):
+    df = spark.createDataFrame([("1", "a"), ("2", None), (None, None)], "geography_id string, source_id string")
+    out = Q.write_with_checks(df, str(tmp_path / "fact"), "fact", ["geography_id", "source_id"], expected_rows=3)
+    got = {r.check_name: (r.status, r.actual) for r in out.collect()}
+    assert got == {"fact": ("PASS", 3.0), "fact.geography_id": ("FAIL", 1.0), "fact.source_id": ("FAIL", 2.0)}
+    assert spark.read.parquet(str(tmp_path / "fact")).count() == 3
+
+
+def test_approx_profile_runs(long):
+    got = {r.dashboard_section: r.communities for r in P.section_profile(long, approx=True).collect()}
+    assert got == {"demographics": 2, "rental_market": 2}
