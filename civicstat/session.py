@@ -41,6 +41,13 @@ def get_session(app: str = "civicstat", cores: int | str = "*",
     return spark
 
 
+def _is_local(spark: SparkSession) -> bool:
+    try:
+        return spark.conf.get("spark.master", "local").startswith("local")
+    except Exception:  # noqa: BLE001 - master not readable (e.g. Connect): treat as cluster
+        return False
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
@@ -58,6 +65,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not _is_local(spark):
+            raise RuntimeError("spark.checkpoint.dir is unset: on a cluster it must name a shared folder "
+                               "(a machine-local scratch folder would not survive a lost executor)")
         configured = tempfile.mkdtemp(prefix="civicstat-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         try:
             spark.conf.set("spark.checkpoint.dir", configured)
