@@ -23,6 +23,14 @@ def lenient_double(col) -> Column:
     return F.when(s.rlike(NUMERIC_TEXT), F.trim(s).try_cast("double"))
 
 
+def as_double(df, name: str) -> Column:
+    """Column ``name`` of ``df`` as double: numeric types cast directly, text leniently."""
+    from pyspark.sql.types import NumericType
+    if isinstance(df.schema[name].dataType, NumericType):
+        return F.col(name).cast("double")
+    return lenient_double(name)
+
+
 def truncate(col) -> Column:
     """truncate toward zero (int(x)); NULL for NaN/inf/out of range."""
     return _c(col).try_cast("bigint")

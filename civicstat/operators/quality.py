@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from civicstat.functions.numeric import lenient_double, tolerance_pass, truncate, DEFAULT_TOLERANCE
+from civicstat.functions.numeric import as_double, tolerance_pass, truncate, DEFAULT_TOLERANCE
 
 CHECK_COLUMNS = ("category", "check_name", "subject", "column", "status",
                  "actual", "expected", "diff", "detail")
@@ -170,7 +170,7 @@ def truth_checks(actual: DataFrame, truth: DataFrame, subject: str, measures: Se
     """
     ids = [F.col(subject).cast("string").alias("subject"),
            (F.col(period).cast("string") if period else F.lit("")).alias("period")]
-    wide = actual.select(*ids, *[lenient_double(F.col(m)).alias(m) for m in measures])
+    wide = actual.select(*ids, *[as_double(actual, m).alias(m) for m in measures])
     long = wide.unpivot(["subject", "period"], list(measures), "column", "actual")
     seen = wide.select("subject", "period", F.lit(True).alias("__seen")).distinct()
     t = truth.withColumn("period", F.coalesce(F.col("period"), F.lit("")))
