@@ -60,9 +60,20 @@ def refresh(spark: SparkSession) -> None:
     plan_cache(spark).clear()
 
 
+TABLE_PREFIX = "table:"
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    """Table ``name`` under a root: a folder of ``<name>.parquet`` files, or
+    ``table:<database>`` for catalog tables (e.g. bucketed copies, see
+    ``sources.layout``)."""
     cache = plan_cache(spark)
+    if sf_dir.startswith(TABLE_PREFIX):
+        key = ("table", f"{sf_dir[len(TABLE_PREFIX):]}.{name}")
+        if key not in cache:
+            cache[key] = spark.table(key[1])
+        return cache[key]
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     key = ("parquet", path)
     if key not in cache:
         cache[key] = spark.read.parquet(path)
