@@ -34,9 +34,17 @@ def _rename(df: DataFrame, values: Sequence, aliases: Mapping | Sequence | None)
     return out, new
 
 
-def pivot_values(df: DataFrame, column: str) -> list:
-    """Sorted distinct values of a pivot column (one small distinct job)."""
-    return sorted(r[0] for r in df.select(column).distinct().collect() if r[0] is not None)
+def pivot_values(df: DataFrame, column: str, max_values: int = 10000) -> list:
+    """Sorted distinct values of a pivot column (one small distinct job).
+
+    A pivot column is a dimension attribute; more than ``max_values``
+    distinct values (Spark's own pivot limit) raises instead of silently
+    truncating the column list.
+    """
+    vals = [r[0] for r in df.select(column).distinct().limit(max_values + 1).collect()]
+    if len(vals) > max_values:
+        raise ValueError(f"pivot column {column!r} has more than {max_values} distinct values")
+    return sorted(v for v in vals if v is not None)
 
 
 def pivot_unique(df: DataFrame, index: str | Sequence[str], column: str, value: str,

@@ -162,3 +162,10 @@ def test_union_distinct(spark):
     a = spark.createDataFrame([(1,), (1,), (2,)], "k int")
     b = spark.createDataFrame([(2,), (3,)], "k int")
     assert rows(star.union_distinct([a, b])) == [(1,), (2,), (3,)]
+
+
+def test_pivot_values_guard(spark):
+    df = spark.range(30).selectExpr("cast(id as string) as c")
+    assert len(R.pivot_values(df, "c")) == 30
+    with pytest.raises(ValueError):
+        R.pivot_values(df, "c", max_values=10)
