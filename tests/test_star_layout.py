@@ -56,3 +56,16 @@ def test_publish_views_and_retire(spark):
     assert spark.table(f"{DB}.v_housing_supply").count() == 0
     dry = {r.object_name.split(".")[1]: r.status for r in S.retire_star_tables(spark, DB).collect()}
     assert dry["geography_dim"] == "WOULD_DROP" and dry["timeframe_dim"] == "ABSENT"
+
+
+def test_validate_cli(spark, tmp_path, capsys):
+    from civicstat.validate_cli import main
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {DB}")
+    truth = tmp_path / "truth.json"
+    truth.write_text('[{"category": "5-truth-demographics", "table": "hna_demographics_csd_2021", '
+                     '"measures": ["pop_2021"], "truth": {"airdrie": {"pop_2021": 1000}}}]')
+    rc = main(["--schema", DB, "--out", str(tmp_path / "checks"), "--truth", str(truth)], spark=spark)
+    assert rc == 1                                    # the partial schema has MISSING tables
+    written = spark.read.parquet(str(tmp_path / "checks"))
+    assert written.filter("check_name = 'airdrie.pop_2021'").count() == 1
+    assert "TOTAL" in capsys.readouterr().out
