@@ -510,9 +510,11 @@ FROM (SELECT count(*) AS n FROM names)
 
 
 def naming_checks(spark, d):
+    # global temp views: listed under ``global_temp`` without replacing the caller's own temp views
     for t in DRIVER_TABLES:
-        load(spark, d, t).createOrReplaceTempView(t)
-    names = list_tables(spark).filter(F.col("table_name").isin(list(DRIVER_TABLES))).select("table_name").distinct()
+        load(spark, d, t).createOrReplaceGlobalTempView(t)
+    names = (list_tables(spark, "global_temp").filter(F.col("table_name").isin(list(DRIVER_TABLES)))
+             .select("table_name").distinct())
     return Q.union_checks([
         Q.naming_checks(names, NAME_PATTERN),
         Q.count_check(names, len(DRIVER_TABLES), "table count", category="9-standards"),
