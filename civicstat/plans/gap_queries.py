@@ -6,14 +6,14 @@ from pyspark.sql import functions as F
 
 from civicstat.functions.labels import clean_geography_name
 from civicstat.operators import profile as P
-from civicstat.plans.indicators import IND_SQL, geography, indicators, with_ind
+from civicstat.plans.indicators import IND_SQL, geography, indicators, with_ind, YEAR_SQL, sql_str
 from civicstat.plans.profile_queries import SECTIONS
 from civicstat.plans.registry import query
 from civicstat.session import materialize
 from civicstat.sources.tables import load
 
 YEARS = tuple(range(1995, 2002))
-_YEAR_SQL = "CASE WHEN regexp_full_match(timeframe, '[0-9]{4}') THEN CAST(timeframe AS INTEGER) END"
+_YEAR_SQL = YEAR_SQL
 _SECTIONS_SQL = ", ".join(f"('{s}')" for s in SECTIONS)
 
 # Expected characteristics per section (the gap report's "needed" lists).
@@ -45,8 +45,7 @@ RULES = {
 }
 
 
-def _q(s: str) -> str:
-    return "'" + s.replace("'", "''") + "'"
+_q = sql_str
 
 
 _EXPECTED_CHARS_SQL = "SELECT * FROM (VALUES " + ", ".join(

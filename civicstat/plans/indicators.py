@@ -206,6 +206,15 @@ ind AS (
 )"""
 
 
+# Parsed year of the text period in oracle SQL (NULL for non-year periods).
+YEAR_SQL = "CASE WHEN regexp_full_match(timeframe, '[0-9]{4}') THEN CAST(timeframe AS INTEGER) END"
+
+
+def sql_str(s: str) -> str:
+    """SQL string literal."""
+    return "'" + s.replace("'", "''") + "'"
+
+
 def with_ind(sql: str) -> str:
     """Prefix an oracle query with the IND CTE chain (query may add CTEs)."""
     s = sql.strip()

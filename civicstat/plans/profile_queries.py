@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from civicstat.operators import profile as P
-from civicstat.plans.indicators import geography, indicators, with_ind
+from civicstat.plans.indicators import geography, indicators, with_ind, YEAR_SQL
 from civicstat.plans.registry import query
 from civicstat.sources.tables import load
 
 SECTIONS = ("demand", "rates", "segments", "shipments")
-_YEAR_SQL = "CASE WHEN regexp_full_match(timeframe, '[0-9]{4}') THEN CAST(timeframe AS INTEGER) END"
+_YEAR_SQL = YEAR_SQL
 _SECTIONS_SQL = ", ".join(f"('{s}')" for s in SECTIONS)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from civicstat.operators import longform as L
 from civicstat.operators import quality as Q
-from civicstat.plans.indicators import indicators, with_ind, IND_SQL
+from civicstat.plans.indicators import indicators, with_ind, IND_SQL, sql_str
 from civicstat.plans.registry import query
 from civicstat.session import materialize
 from civicstat.sources.catalog import list_tables
@@ -34,8 +34,7 @@ def sql_check(category, check_name, subject="NULL", column="NULL", status="NULL"
             f"CAST({detail} AS VARCHAR) AS detail")
 
 
-def _q(s: str) -> str:
-    return "'" + s.replace("'", "''") + "'"
+_q = sql_str
 
 
 def _tol_sql(a: str, e: str, frac: str) -> str:

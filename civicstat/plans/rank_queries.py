@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from civicstat.functions.numeric import exact_mean, lenient_double
 from civicstat.operators import longform as L
 from civicstat.operators import rank
-from civicstat.plans.indicators import indicators, with_ind
+from civicstat.plans.indicators import indicators, with_ind, YEAR_SQL
 from civicstat.plans.registry import query
 from civicstat.sources.tables import load
 
-_YEAR_SQL = "CASE WHEN regexp_full_match(timeframe, '[0-9]{4}') THEN CAST(timeframe AS INTEGER) END"
+_YEAR_SQL = YEAR_SQL
 
 
 @query("latest_per_group", ids="W1 O7", sql=with_ind(f"""
