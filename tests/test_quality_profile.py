@@ -213,3 +213,17 @@ def test_write_with_checks_one_pass(spark, tmp_path):
 def test_approx_profile_runs(long):
     got = {r.dashboard_section: r.communities for r in P.section_profile(long, approx=True).collect()}
     assert got == {"demographics": 2, "rental_market": 2}
+
+
+def test_all_null_measure(spark):
+    from civicstat.operators import rank, reshape as R
+    df = spark.createDataFrame([("s", "A", "1", "T", "c", "2020", None, "x"), ("s", "B", "2", "T", "c", "2021", None, "x")],
+                               LONG_SCHEMA)
+    p = P.completeness_profile(df).first()
+    assert (p.total_rows, p.null_values, p.pct_complete) == (2, 2, 0.0)
+    wide = R.pivot_unique(df, "geography", "timeframe", "indicator_value", ["2020", "2021"])
+    assert {(r["2020"], r["2021"]) for r in wide.collect()} == {(None, None)}
+    assert R.pivot_latest(df, "geography", "characteristic", "indicator_value", "timeframe", ["c"]).count() == 0
+    latest = rank.latest_per_group(df.withColumn("year", F.col("timeframe").cast("int")), "geography", "year",
+                                   ["indicator_value"])
+    assert {r.indicator_value for r in latest.collect()} == {None}
