@@ -16,9 +16,17 @@ def events(path: str):
     for p in glob.glob(os.path.join(path, "*")) if os.path.isdir(path) else [path]:
         files += sorted(glob.glob(os.path.join(p, "events_*"))) if os.path.isdir(p) else [p]
     for f in files:
-        with open(f) as fh:
-            for line in fh:
-                yield json.loads(line)
+        if f.endswith(".zstd"):                     # Spark 4 compresses event logs with zstd
+            import io
+            import zstandard
+            with open(f, "rb") as raw:
+                text = io.TextIOWrapper(zstandard.ZstdDecompressor().stream_reader(raw), encoding="utf-8")
+                for line in text:
+                    yield json.loads(line)
+        elif not os.path.basename(f).startswith((".", "appstatus")):
+            with open(f) as fh:
+                for line in fh:
+                    yield json.loads(line)
 
 
 def main() -> None:
