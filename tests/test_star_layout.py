@@ -1,5 +1,6 @@
 """The reference layout spec against a partial schema; section views; retire."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from civicstat.operators.validator import TruthSpec, report, validate
@@ -8,7 +9,8 @@ from civicstat.plans import star_layout as S
 DB = "civic_layout"
 
 
-def test_layout_spec_on_partial_schema(spark):
+@pytest.fixture(scope="module")
+def layout_db(spark):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {DB}")
     w = lambda df, t: df.write.mode("overwrite").saveAsTable(f"{DB}.{t}")
     keys = list(S.COMMUNITY_KEYS)
@@ -23,10 +25,14 @@ def test_layout_spec_on_partial_schema(spark):
     w(spark.createDataFrame([(str(100 + i), "S1", 10 + i + (i == 0)) for i in range(7)],
                             "geography_id string, source_id string, chn_total long"),
       "hna_housing_indicators_csd_2021")
+    return DB
+
+
+def test_layout_spec_on_partial_schema(spark, layout_db):
     spec = S.layout_spec(truths=[TruthSpec("5-truth-demographics", "hna_demographics_csd_2021", ["pop_2021"],
                                            {"airdrie": {"pop_2021": 1000}, "cochrane": {"pop_2021": 5}})],
                          expected_objects=None)
-    checks = validate(spark, spec, DB)
+    checks = validate(spark, spec, layout_db)
     got = {(r.category, r.check_name): r.status for r in checks.collect()}
     assert got[("1-rowcounts", "geography_dim")] == "PASS"
     assert got[("1-rowcounts", "timeframe_dim")] == "MISSING"
@@ -43,7 +49,7 @@ def test_layout_spec_on_partial_schema(spark):
     assert failures.filter(F.col("status") == "MISSING").count() >= 16
 
 
-def test_publish_views_and_retire(spark):
+def test_publish_views_and_retire(spark, layout_db):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {DB}")
     long = spark.createDataFrame([("demographics", "Alderton", 1.0), ("rental_market", "Alderton", 2.0)],
                                  "dashboard_section string, geography string, indicator_value double")
@@ -58,7 +64,7 @@ def test_publish_views_and_retire(spark):
     assert dry["geography_dim"] == "WOULD_DROP" and dry["timeframe_dim"] == "ABSENT"
 
 
-def test_validate_cli(spark, tmp_path, capsys):
+def test_validate_cli(spark, layout_db, tmp_path, capsys):
     from civicstat.validate_cli import main
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {DB}")
     truth = tmp_path / "truth.json"
