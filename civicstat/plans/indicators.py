@@ -34,6 +34,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from civicstat.functions.numeric import pct_half_up
 from civicstat.sources.tables import load, plan_cache
 
 SUPPRESS_BELOW = 10
@@ -65,7 +66,7 @@ def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _rate(part: str, whole: str):
     # round-half-up of 100 * part / whole to one decimal, in exact integers
-    return (F.expr(f"(2000 * {part} + {whole}) div (2 * {whole})").cast("double") / F.lit(10))
+    return pct_half_up(F.col(part), F.col(whole), 1)
 
 
 def _rows(section: str, source: str, timeframe, cells: list[tuple]):

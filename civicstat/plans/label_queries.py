@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from civicstat.functions import labels as LB
+from civicstat.functions.numeric import pct_half_up
 from civicstat.operators import longform as L
 from civicstat.plans.indicators import indicators, with_ind
 from civicstat.plans.registry import query
@@ -75,7 +76,7 @@ def label_number_text(spark, d):
          .groupBy(F.col("n_name").alias("community"))
          .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("total_value"),
               F.count(F.lit(1)).alias("n"), F.count_if(F.col("o_orderstatus") == "O").alias("n_open")))
-    open_pct = F.expr("(2000 * n_open + n) div (2 * n)").cast("double") / F.lit(10)
+    open_pct = pct_half_up(F.col("n_open"), F.col("n"), 1)
     return a.select("community",
                     LB.number_text(F.col("n").cast("double"), 0).alias("orders_text"),
                     LB.currency_text(F.col("total_value").cast("double"), 0).alias("value_text"),
