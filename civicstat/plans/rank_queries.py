@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from civicstat.functions.numeric import exact_mean, lenient_double
 from civicstat.operators import longform as L
 from civicstat.operators import rank
-from civicstat.plans.indicators import indicators, with_ind, YEAR_SQL
+from civicstat.plans.indicators import indicators, with_ind, YEAR_SQL, sql_str
 from civicstat.plans.registry import query
 from civicstat.sources.tables import load
 
@@ -162,3 +162,51 @@ def typed_value_sort(spark, d):
                                            F.lit("n/a")).alias("value_text"))
     return (t.withColumn("numeric_value", lenient_double("value_text"))
             .orderBy(F.col("numeric_value").desc_nulls_last(), "geography"))
+
+
+# Segments of the driver data, as a Python list (P5: the IN list is assembled at run time).
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+def _industry_sql() -> str:
+    from civicstat.plans.indicator_report import NAICS_SHORT
+    short = "CASE industry " + " ".join(f"WHEN {sql_str(k)} THEN {sql_str(v)}" for k, v in NAICS_SHORT.items()) \
+        + " ELSE industry END"
+    return f"""
+WITH census AS (
+  SELECT CAST(c_nationkey AS VARCHAR) AS geography_id, c_mktsegment AS characteristic,
+         CAST(count(*) AS DOUBLE) AS indicator_value
+  FROM customer GROUP BY 1, 2
+),
+geo AS (
+  SELECT CAST(n_nationkey AS VARCHAR) AS geography_id, n_name || ', ' || r_name AS geography
+  FROM nation JOIN region ON n_regionkey = r_regionkey
+),
+r AS (
+  SELECT CASE WHEN g.geography LIKE '%Rocky View%' THEN 'Rocky View' ELSE split_part(g.geography, ',', 1) END
+           AS community,
+         c.characteristic AS industry, c.indicator_value AS workers
+  FROM census c JOIN geo g ON c.geography_id = g.geography_id
+  WHERE c.characteristic IN ({", ".join(sql_str(s) for s in SEGMENTS)})
+),
+top AS (SELECT industry FROM r GROUP BY industry ORDER BY sum(workers) DESC, industry LIMIT 3),
+kept AS (SELECT {short} AS short, community, workers FROM r WHERE industry IN (SELECT industry FROM top))
+PIVOT kept ON community USING coalesce(avg(workers), 0) GROUP BY short ORDER BY short
+"""
+
+
+@query("industry_top_pivot", ids="J5 P5 F2 F3 A12 O4 J8 F5 A17 A20", sql=_industry_sql())
+def industry_top_pivot(spark, d):
+    """The census industry analysis on a census-like long table: customers per
+    (nation, segment); top 3 segments by total, mean per (label, community), 0-filled."""
+    customer = load(spark, d, "customer")
+    census = customer.groupBy(F.col("c_nationkey").cast("string").alias("geography_id"),
+                              F.col("c_mktsegment").alias("characteristic")) \
+        .agg(F.count(F.lit(1)).cast("double").alias("indicator_value"))
+    nation = load(spark, d, "nation")
+    region = load(spark, d, "region")
+    geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
+        F.col("n_nationkey").cast("string").alias("geography_id"),
+        F.concat(F.col("n_name"), F.lit(", "), F.col("r_name")).alias("geography"))
+    from civicstat.plans.indicator_report import labour_force_top_industries
+    return labour_force_top_industries(census, geo, k=3, industries=SEGMENTS)
