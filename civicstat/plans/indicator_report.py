@@ -65,9 +65,30 @@ NAICS_SHORT = {
     "31-33 Manufacturing": "Manufacturing",
 }
 
+# The per-section exploration listings (S11): whether the
+# source column is shown, and the sort order.
+LISTINGS = {
+    DEMOGRAPHICS: (True, ("geography", "characteristic", "timeframe")),
+    CORE_HOUSING_NEED: (False, ("geography", "timeframe", "characteristic")),
+    AFFORDABILITY: (False, ("geography", "characteristic")),
+    HOUSING_SUPPLY: (True, ("geography", "characteristic", "timeframe")),
+    GROWTH_PROJECTIONS: (False, ("geography", "characteristic")),
+    ECONOMIC_INDICATORS: (True, ("geography", "characteristic", "timeframe")),
+    PRIORITY_POPULATIONS: (False, ("geography", "characteristic")),
+    RENTAL_MARKET: (True, ("geography", "characteristic", "timeframe")),
+}
+
 _VAL = "indicator_value"
 
 
+def exploration_listing(long: DataFrame, section: str) -> DataFrame:
+    """One section's rows, projected and sorted as its exploration cell."""
+    from civicstat.sources.catalog import listing
+    with_source, order = LISTINGS[section]
+    cols = ["geography", "characteristic", "timeframe", _VAL] + (["data_source"] if with_source else [])
+    return listing(L.normalise_value(long), section, cols, list(order))
+
+
 def _prep(long: DataFrame) -> DataFrame:
     return L.with_year(L.normalise_value(long))
 

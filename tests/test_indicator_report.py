@@ -146,3 +146,14 @@ def test_completeness_summary(long):
     assert rows["demographics"].latest_period == "Percentage of all HHs"
     assert rows["demographics"].latest_year == 2011
     assert rows["TOTAL"].is_total
+
+
+def test_exploration_listings(long):
+    assert len(IR.LISTINGS) == 8
+    demo = IR.exploration_listing(long, "demographics")
+    assert demo.columns == ["geography", "characteristic", "timeframe", "indicator_value", "data_source"]
+    chn = IR.exploration_listing(long, "core_housing_need")
+    assert chn.columns == ["geography", "characteristic", "timeframe", "indicator_value"]
+    got = [(r.geography, r.timeframe, r.characteristic) for r in chn.collect()]
+    assert got == sorted(got)                       # geography, timeframe, characteristic order
+    assert IR.exploration_listing(long, "affordability").count() == 6
