@@ -24,9 +24,10 @@ splits a skewed key) and reduced, with map-side partial aggregation, to a
 cell table (nation, year, priority, segment) that has at most a few
 thousand rows at any scale; a hot nation or year never lands whole in one
 task.  Each section family re-aggregates the cells and generates its
-characteristic rows with ``inline``; the families share the cells' exchange
-(reuse), so the orders scan and join run once per query.  Money is summed
-as DECIMAL(18,2) so sums do not depend on row order.
+characteristic rows with ``inline``.  Section filters remove whole
+branches and period filters reach the orders scan; a query over all of IND
+scans orders once per order family.  Money is summed as DECIMAL(18,2) so
+sums do not depend on row order.
 """
 
 from __future__ import annotations
@@ -89,10 +90,14 @@ def indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders x customer reduced to (nation, year, priority, segment) cells.
 
-    The heavy step (scan + join + map-side partial aggregation) happens
-    once; the cell table holds at most nations x years x priorities x
-    segments rows at any scale, and every section family is a re-aggregation
-    of it.  Branches that read the same cells share one exchange (reuse).
+    Scan, join and map-side partial aggregation produce at most nations x
+    years x priorities x segments rows at any scale; every section family
+    re-aggregates them.  Catalyst prunes each family's copy of this
+    aggregate to the measures it needs and pushes a caller's period filter
+    below it into the orders scan (before the join), so a section- or
+    period-filtered query scans orders once, for its own family only.  A
+    query over all of IND runs one scan per order family (four); build IND
+    once per refresh and store it when many such queries run.
     """
     return order_facts(spark, sf_dir).groupBy("nk", "yr", F.col("o_orderpriority").alias("prio"), "seg").agg(
         F.count(F.lit(1)).alias("n"),

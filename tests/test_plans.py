@@ -85,3 +85,20 @@ def test_section_filter_prunes_union_branches(spark, q):
 def test_top_k_is_take_ordered(spark, q):
     p = plan(q["top6_by_mean_filtered"](spark, SF_SMALL))
     assert "TakeOrderedAndProject" in p
+
+
+def _final_scans(df, table):
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue().split("+- == Initial Plan ==")[0].count(f"/{table}.parquet")
+
+
+def test_ind_scans_orders_once_per_needed_family(spark, q):
+    """Section filter: one orders scan, no lineitem.  Full IND: one scan per order family."""
+    one = q["section_listing"](spark, SF_SMALL)
+    one.collect()
+    assert _final_scans(one, "orders") == 1 and _final_scans(one, "lineitem") == 0
+    full = q["section_profile"](spark, SF_SMALL)
+    full.collect()
+    assert _final_scans(full, "orders") == 4 and _final_scans(full, "lineitem") == 1
