@@ -65,7 +65,7 @@ WHERE NOT EXISTS (SELECT 1 FROM ind i WHERE i.dashboard_section = g.dashboard_se
 
 
 def missing_periods(spark, d):
-    return P.missing_periods(indicators(spark, d), geography(spark, d), SECTIONS, YEARS)
+    return P.missing_periods(indicators(spark, d, single_scan=True), geography(spark, d), SECTIONS, YEARS)
 
 
 @query("gap_periods", ids="G1", sql=with_ind(_PERIODS_BODY + "ORDER BY 1, 2, 3"))
@@ -85,7 +85,7 @@ WHERE NOT EXISTS (SELECT 1 FROM ind i WHERE i.dashboard_section = e.dashboard_se
 def missing_characteristics(spark, d):
     expected = spark.createDataFrame(list(EXPECTED_CHARACTERISTICS),
                                      "dashboard_section string, characteristic string").coalesce(1)
-    return P.missing_characteristics(indicators(spark, d), expected)
+    return P.missing_characteristics(indicators(spark, d, single_scan=True), expected)
 
 
 @query("gap_characteristics", ids="G2", sql=with_ind(_CHARS_BODY + "ORDER BY 1, 2"))
@@ -129,7 +129,7 @@ SELECT dashboard_section, timeframe, count(*) AS rows FROM ind WHERE {_YEAR_SQL}
 
 @query("gap_bad_timeframe", ids="G5", sql=with_ind(_BAD_BODY + "ORDER BY 1, 2"))
 def gap_bad_timeframe(spark, d):
-    return P.bad_periods(indicators(spark, d)).orderBy("dashboard_section", "timeframe")
+    return P.bad_periods(indicators(spark, d, single_scan=True)).orderBy("dashboard_section", "timeframe")
 
 
 # ---- G6 / G7 -------------------------------------------------------------
@@ -202,7 +202,7 @@ SELECT *, communities * characteristics * timeframes AS expected_cells,
 FROM g ORDER BY dashboard_section
 """))
 def gap_density(spark, d):
-    return P.density(indicators(spark, d)).orderBy("dashboard_section")
+    return P.density(indicators(spark, d, single_scan=True)).orderBy("dashboard_section")
 
 
 # ---- G9 ----------------------------------------------------------------
@@ -220,7 +220,7 @@ WHERE l.last_year < p.peer_last_year
 
 @query("gap_stale", ids="G9", sql=with_ind(_STALE_BODY + "ORDER BY 1, 2, 3"))
 def gap_stale(spark, d):
-    return P.stale_series(indicators(spark, d)).select(
+    return P.stale_series(indicators(spark, d, single_scan=True)).select(
         "dashboard_section", "characteristic", "geography", "last_year", "peer_last_year", "years_behind") \
         .orderBy("dashboard_section", "characteristic", "geography")
 
@@ -236,7 +236,7 @@ SELECT 'shipments' AS missing_in, 'demand' AS found_in, geography FROM (
 
 @query("gap_elsewhere", ids="G10", sql=with_ind(_ELSEWHERE_BODY + "ORDER BY geography"))
 def gap_elsewhere(spark, d):
-    return P.available_elsewhere(indicators(spark, d), "shipments", "demand").orderBy("geography")
+    return P.available_elsewhere(indicators(spark, d, single_scan=True), "shipments", "demand").orderBy("geography")
 
 
 # ---- G11 ---------------------------------------------------------------
@@ -281,7 +281,7 @@ _REGISTER_SQL = "WITH " + IND_SQL + "\n" + "\nUNION ALL\n".join([
 
 @query("gap_issue_register", ids="G12 G1 G2 G4 G5 G6 G9 G10", sql=_REGISTER_SQL)
 def gap_issue_register(spark, d):
-    ind = materialize(indicators(spark, d))   # read by six rules: build once
+    ind = materialize(indicators(spark, d, single_scan=True))   # read by six rules: build once
     geo = geography(spark, d)
     expected = spark.createDataFrame(list(EXPECTED_CHARACTERISTICS),
                                      "dashboard_section string, characteristic string").coalesce(1)

@@ -23,11 +23,12 @@ size threshold, else a sort-merge join on the customer key, where AQE
 splits a skewed key) and reduced, with map-side partial aggregation, to a
 cell table (nation, year, priority, segment) that has at most a few
 thousand rows at any scale; a hot nation or year never lands whole in one
-task.  Each section family re-aggregates the cells and generates its
-characteristic rows with ``inline``.  Section filters remove whole
-branches and period filters reach the orders scan; a query over all of IND
-scans orders once per order family.  Money is summed as DECIMAL(18,2) so
-sums do not depend on row order.
+task.  Two plans yield identical rows (see ``indicators``): per-family
+branches for selective queries (section filters remove whole branches,
+period filters reach the orders scan before the join) and a single-scan
+plan for queries reading several sections (grouping sets over the small
+cell table, one generator).  Money is summed as DECIMAL(18,2) so sums do
+not depend on row order.
 """
 
 from __future__ import annotations
@@ -78,12 +79,24 @@ def _rows(section: str, source: str, timeframe, cells: list[tuple]):
             F.inline(arr), F.lit(source).alias("data_source")]
 
 
-def indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """IND over the tables in ``sf_dir`` (plan memoized per session, see ``build_indicators``)."""
+def indicators(spark: SparkSession, sf_dir: str, single_scan: bool = False) -> DataFrame:
+    """IND over the tables in ``sf_dir`` (plan memoized per session).
+
+    Two plans give identical rows; the query picks the one that fits its
+    access pattern:
+
+    * ``single_scan=False`` (``build_indicators``): one branch per section
+      family.  A caller's section filter removes whole branches and a
+      period filter reaches the orders scan before the join, so selective
+      queries read only what they need.
+    * ``single_scan=True`` (``build_indicators_single_scan``): all order
+      families come from ONE cell aggregate, for queries that read all (or
+      several) sections; orders is scanned and joined once.
+    """
     cache = plan_cache(spark)
-    key = ("ind", sf_dir.rstrip("/"))
+    key = ("ind", sf_dir.rstrip("/"), single_scan)
     if key not in cache:
-        cache[key] = build_indicators(spark, sf_dir)
+        cache[key] = (build_indicators_single_scan if single_scan else build_indicators)(spark, sf_dir)
     return cache[key]
 
 
@@ -92,12 +105,10 @@ def order_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Scan, join and map-side partial aggregation produce at most nations x
     years x priorities x segments rows at any scale; every section family
-    re-aggregates them.  Catalyst prunes each family's copy of this
-    aggregate to the measures it needs and pushes a caller's period filter
-    below it into the orders scan (before the join), so a section- or
-    period-filtered query scans orders once, for its own family only.  A
-    query over all of IND runs one scan per order family (four); build IND
-    once per refresh and store it when many such queries run.
+    re-aggregates them.  In the per-family plan Catalyst prunes each
+    family's copy of this aggregate to the measures it needs and pushes a
+    caller's period filter below it into the orders scan (before the join);
+    the single-scan plan computes it once for all families.
     """
     return order_facts(spark, sf_dir).groupBy("nk", "yr", F.col("o_orderpriority").alias("prio"), "seg").agg(
         F.count(F.lit(1)).alias("n"),
@@ -155,6 +166,67 @@ def build_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
         "characteristic", "timeframe", "indicator_value", "data_source")
 
 
+def _shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    supplier = (load(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("nk"))
+                .filter(F.col("nk") < SHIPMENT_NATIONS_BELOW))
+    lineitem = load(spark, sf_dir, "lineitem").select(
+        "l_suppkey", "l_quantity", "l_returnflag", F.year("l_shipdate").alias("yr"))
+    ship = (lineitem.join(supplier, lineitem.l_suppkey == supplier.s_suppkey)
+            .groupBy("nk", "yr", "l_returnflag")
+            .agg(F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("q")))
+    return ship.select(*_rows("shipments", "lineitem", F.col("yr").cast("string"), [
+        (F.concat(F.lit("Shipments - "), "l_returnflag"), F.col("q"))]))
+
+
+def _finish(spark: SparkSession, sf_dir: str, body: DataFrame) -> DataFrame:
+    geo = geography(spark, sf_dir)
+    return body.join(geo, "nk").select(
+        "dashboard_section", "geography", "geography_id", "geography_type",
+        "characteristic", "timeframe", "indicator_value", "data_source")
+
+
+def build_indicators_single_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IND with one orders scan: the cells are re-aggregated by grouping sets
+    (the ``Expand`` multiplies only the few-thousand-row cell table) and
+    every order family's rows come from one generator."""
+    cells = order_cells(spark, sf_dir)
+    fam = cells.groupingSets([["nk", "yr"], ["nk", "yr", "prio"], ["nk", "seg", "yr"], ["nk", "seg"]],
+                             "nk", "yr", "prio", "seg").agg(
+        F.sum("n").alias("n"), F.sum("amt").alias("amt"), F.sum("h").alias("h"), F.sum("o").alias("o"),
+        F.grouping("yr").alias("g_yr"), F.grouping("prio").alias("g_prio"), F.grouping("seg").alias("g_seg"))
+    year_txt = F.col("yr").cast("string")
+    kept = F.col("n") >= SUPPRESS_BELOW
+    fresh = ~((F.col("nk") == STALE_NATION) & (F.col("yr") > STALE_AFTER))
+
+    def row(section, characteristic, timeframe, value, keep=F.lit(True)):
+        return F.struct(F.lit(section).alias("dashboard_section"), characteristic.alias("characteristic"),
+                        timeframe.alias("timeframe"), value.cast("double").alias("indicator_value"),
+                        keep.alias("keep"))
+
+    by_year = (F.col("g_yr") == 0) & (F.col("g_prio") == 1) & (F.col("g_seg") == 1)
+    by_prio = (F.col("g_yr") == 0) & (F.col("g_prio") == 0)
+    by_seg_year = (F.col("g_yr") == 0) & (F.col("g_seg") == 0)
+    generated = (
+        F.when(by_year, F.array(
+            row("demand", F.lit("Orders"), year_txt, F.col("n")),
+            row("rates", F.lit("High value (rate)"), year_txt, _rate("h", "n"), fresh),
+            row("rates", F.lit("Open (rate)"), year_txt, _rate("o", "n"), fresh)))
+        .when(by_prio, F.array(
+            row("demand", F.concat(F.lit("Orders - "), "prio", F.lit(" (number)")), year_txt,
+                F.when(kept, F.col("n"))),
+            row("demand", F.concat(F.lit("Orders - "), "prio", F.lit(" (value)")), year_txt,
+                F.when(kept, F.col("amt")))))
+        .when(by_seg_year, F.array(
+            row("segments", F.concat(F.lit("Segment: "), "seg"), year_txt, F.col("n"))))
+        .otherwise(F.array(
+            row("segments", F.concat(F.lit("Segment: "), "seg"), F.lit("All years"), F.col("n")))))
+    orders_rows = (fam.select("nk", F.inline(generated)).filter(F.col("keep")).drop("keep")
+                   .withColumn("data_source", F.lit("orders"))
+                   .select("dashboard_section", "nk", "timeframe", "characteristic", "indicator_value",
+                           "data_source"))
+    return _finish(spark, sf_dir, orders_rows.unionByName(_shipments(spark, sf_dir)))
+
+
 # DuckDB twin of ``indicators`` for the oracle queries (a CTE named ind).
 IND_SQL = f"""
 geo AS (

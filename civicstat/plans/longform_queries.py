@@ -32,7 +32,9 @@ ORDER BY geography, characteristic, timeframe
 
     @query(name, ids=ids, sql=sql)
     def _q(spark, d):
-        return (L.select_indicators(indicators(spark, d), **sel).select(*_COLS)
+        # without a section filter every family is read: one orders scan serves them all
+        ind = indicators(spark, d, single_scan="section" not in sel)
+        return (L.select_indicators(ind, **sel).select(*_COLS)
                 .orderBy("geography", "characteristic", "timeframe"))
     return _q
 

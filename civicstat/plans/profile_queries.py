@@ -20,7 +20,7 @@ SELECT dashboard_section, count(*) AS row_count, count(DISTINCT geography) AS co
 FROM ind GROUP BY dashboard_section ORDER BY dashboard_section
 """))
 def section_profile(spark, d):
-    return P.section_profile(indicators(spark, d)).orderBy("dashboard_section")
+    return P.section_profile(indicators(spark, d, single_scan=True)).orderBy("dashboard_section")
 
 
 @query("characteristic_profile", ids="A4", sql=with_ind("""
@@ -29,7 +29,7 @@ SELECT dashboard_section, characteristic, count(*) AS row_count, count(DISTINCT
 FROM ind GROUP BY dashboard_section, characteristic ORDER BY dashboard_section, characteristic
 """))
 def characteristic_profile(spark, d):
-    return P.characteristic_profile(indicators(spark, d)).orderBy("dashboard_section", "characteristic")
+    return P.characteristic_profile(indicators(spark, d, single_scan=True)).orderBy("dashboard_section", "characteristic")
 
 
 _COMPLETE_SQL = f"""count(*) AS total_rows, count(DISTINCT geography) AS communities,
@@ -45,7 +45,7 @@ SELECT dashboard_section, {_COMPLETE_SQL}
 FROM ind GROUP BY dashboard_section ORDER BY dashboard_section
 """))
 def completeness_profile(spark, d):
-    return P.completeness_profile(indicators(spark, d)).orderBy("dashboard_section")
+    return P.completeness_profile(indicators(spark, d, single_scan=True)).orderBy("dashboard_section")
 
 
 @query("completeness_rollup", ids="A21 A5", sql=with_ind(f"""
@@ -54,7 +54,7 @@ SELECT CASE WHEN grouping(dashboard_section) = 1 THEN 'TOTAL' ELSE dashboard_sec
 FROM ind GROUP BY ROLLUP (dashboard_section) ORDER BY is_total, dashboard_section
 """))
 def completeness_rollup(spark, d):
-    return P.completeness_rollup(indicators(spark, d)).orderBy("is_total", "dashboard_section")
+    return P.completeness_rollup(indicators(spark, d, single_scan=True)).orderBy("is_total", "dashboard_section")
 
 
 @query("coverage_matrix_zero", ids="G3 A2", sql=with_ind(f"""
@@ -67,7 +67,7 @@ ORDER BY g.dashboard_section, g.geography
 def coverage_matrix_zero(spark, d):
     """Rows per (section, community) incl. zero cells: nations 20-24 ship nothing."""
     geo = geography(spark, d)
-    return P.coverage_matrix(indicators(spark, d), geo, SECTIONS).select(
+    return P.coverage_matrix(indicators(spark, d, single_scan=True), geo, SECTIONS).select(
         "dashboard_section", "geography", "rows").orderBy("dashboard_section", "geography")
 
 
@@ -81,7 +81,7 @@ SELECT dashboard_section, CAST(count_if(rows > 0) AS BIGINT) AS covered, count(*
 FROM m GROUP BY dashboard_section ORDER BY dashboard_section
 """))
 def gap_coverage(spark, d):
-    m = P.coverage_matrix(indicators(spark, d), geography(spark, d), SECTIONS)
+    m = P.coverage_matrix(indicators(spark, d, single_scan=True), geography(spark, d), SECTIONS)
     return P.coverage_summary(m).orderBy("dashboard_section")
 
 

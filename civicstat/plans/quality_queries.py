@@ -194,7 +194,7 @@ _NULL_SQL = _register_sql("dq_nulls", "\nUNION ALL\n".join(
 
 
 def null_checks(spark, d, ind=None):
-    ind = indicators(spark, d) if ind is None else ind
+    ind = indicators(spark, d, single_scan=True) if ind is None else ind
     frames = {t: (ind if t == "ind" else load(spark, d, t), cols)
               for t, cols in NULL_COLUMNS.items()}
     return Q.null_checks(frames)
@@ -332,7 +332,7 @@ def tolerance_rule_checks(spark, d, ind=None):
                        F.col("n").cast("double").alias("orders")) \
                .unpivot(["subject", "period"], ["open_rate", "orders"], "column", "expected") \
                .withColumn("is_fractional", F.col("expected") != F.floor("expected"))
-    ind = L.select_indicators(indicators(spark, d) if ind is None else ind,
+    ind = L.select_indicators(indicators(spark, d, single_scan=True) if ind is None else ind,
                               characteristics=["Open (rate)", "Orders"])
     from civicstat.operators.reshape import pivot_unique
     wide = pivot_unique(ind, ["geography", "timeframe"], "characteristic", "indicator_value",
@@ -462,7 +462,7 @@ FROM neg
 
 
 def spot_checks(spark, d, ind=None):
-    ind = indicators(spark, d) if ind is None else ind
+    ind = indicators(spark, d, single_scan=True) if ind is None else ind
     v = (L.select_indicators(ind, like="Orders - %(value)")
          .select("geography", "timeframe", F.replace("characteristic", F.lit(" (value)"), F.lit("")).alias("base"),
                  F.col("indicator_value").alias("v")))
@@ -534,7 +534,7 @@ _ALL = ("dq_row_counts", "dq_key_set", "dq_orphans", "dq_nulls", "dq_truth_compa
 def all_checks(spark, d):
     """Every check in one frame.  IND is built once and checkpointed to the
     shared checkpoint folder, since five check families read it."""
-    ind = materialize(indicators(spark, d))
+    ind = materialize(indicators(spark, d, single_scan=True))
     ind_free = [row_count_checks, key_set_checks, orphan_checks, truth_compare_checks, unused_ref_checks]
     with_ind_checks = [null_checks, tolerance_rule_checks, total_equal_checks, sum_close_checks, spot_checks]
     return Q.union_checks([f(spark, d) for f in ind_free] + [f(spark, d, ind) for f in with_ind_checks])

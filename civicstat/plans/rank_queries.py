@@ -24,7 +24,7 @@ ORDER BY indicator_value
 """))
 def latest_per_group(spark, d):
     """Newest year per geography; the stale nation keeps its own (older) year."""
-    sel = L.with_year(L.select_indicators(indicators(spark, d), characteristics=["High value (rate)"]))
+    sel = L.with_year(L.select_indicators(indicators(spark, d, single_scan=True), characteristics=["High value (rate)"]))
     return (rank.latest_per_group(sel, "geography", "year", ["indicator_value"])
             .select("geography", "year", "indicator_value").orderBy("indicator_value"))
 
@@ -53,7 +53,7 @@ ORDER BY indicator_value
 """))
 def latest_global(spark, d):
     """Rows of the globally newest year; the stale nation drops out."""
-    sel = L.with_year(L.select_indicators(indicators(spark, d), characteristics=["Open (rate)"]))
+    sel = L.with_year(L.select_indicators(indicators(spark, d, single_scan=True), characteristics=["Open (rate)"]))
     return (rank.latest_global(sel, "year").select("geography", "year", "indicator_value")
             .orderBy("indicator_value"))
 

@@ -218,7 +218,7 @@ def union_distinct_refs(spark, d):
 SELECT DISTINCT geography, geography_id, geography_type FROM ind ORDER BY geography
 """))
 def distinct_dim(spark, d):
-    ind = indicators(spark, d)
+    ind = indicators(spark, d, single_scan=True)
     return star.distinct_rows(ind, ["geography", "geography_id", "geography_type"]).orderBy("geography")
 
 
