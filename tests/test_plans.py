@@ -103,3 +103,11 @@ def test_ind_scans_orders_once(spark, q):
     full = q["section_profile"](spark, SF_SMALL)
     full.collect()
     assert _final_scans(full, "orders") == 1 and _final_scans(full, "lineitem") == 1
+
+
+def test_both_ind_plans_yield_identical_rows(spark):
+    from civicstat.plans.indicators import build_indicators, build_indicators_single_scan
+    a = build_indicators(spark, SF_SMALL)
+    b = build_indicators_single_scan(spark, SF_SMALL).select(*a.columns)
+    assert a.count() == b.count()
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
