@@ -169,3 +169,10 @@ def test_pivot_values_guard(spark):
     assert len(R.pivot_values(df, "c")) == 30
     with pytest.raises(ValueError):
         R.pivot_values(df, "c", max_values=10)
+
+
+def test_above_median_sketch_option(spark):
+    df = spark.range(1, 1002).selectExpr("cast(id as double) as v")        # median 501
+    exact = {r.v for r in rank.above_median(df, "v").filter("above_median").collect()}
+    approx = {r.v for r in rank.above_median(df, "v", exact=False, accuracy=100000).filter("above_median").collect()}
+    assert exact == approx == {float(x) for x in range(502, 1002)}
