@@ -88,7 +88,8 @@ def gap_coverage(spark, d):
 @query("event_profile", ids="A3 A5", sql="""
 SELECT event_type, count(*) AS row_count, count(DISTINCT user_id) AS users,
        CAST(count_if(value IS NULL) AS BIGINT) AS null_values,
-       CAST(min(ts) AS DATE) AS first_day, CAST(max(ts) AS DATE) AS last_day
+       strftime(CAST(min(ts) AS DATE), '%Y-%m-%d') AS first_day,
+       strftime(CAST(max(ts) AS DATE), '%Y-%m-%d') AS last_day
 FROM events GROUP BY event_type ORDER BY event_type
 """)
 def event_profile(spark, d):
@@ -97,5 +98,7 @@ def event_profile(spark, d):
     return (ev.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("row_count"), F.count_distinct("user_id").alias("users"),
         F.count_if(F.col("value").isNull()).alias("null_values"),
-        F.to_date(F.min("ts")).alias("first_day"), F.to_date(F.max("ts")).alias("last_day"))
+        # ISO text: dates reach pandas as different types from the two engines
+        F.date_format(F.to_date(F.min("ts")), "yyyy-MM-dd").alias("first_day"),
+        F.date_format(F.to_date(F.max("ts")), "yyyy-MM-dd").alias("last_day"))
         .orderBy("event_type"))
