@@ -56,6 +56,8 @@ COMMUNITY_KEYS = ("airdrie", "cochrane", "okotoks", "chestermere", "strathmore",
 VERIFIED_COMMUNITIES = ("airdrie", "cochrane")
 CENSUS_YEARS = (2006, 2011, 2016, 2021)
 SOURCE_COUNT = 12
+# Table naming standard: <source>_<topic>_csd_<year>[_<year>] for facts, <name>_dim for dimensions.
+NAME_PATTERN = r"^([a-z]+_dim|[a-z]+(_[a-z]+)+_csd_[0-9]{4}(_[0-9]{4})?)$"
 SECTIONS = ("demographics", "core_housing_need", "affordability", "housing_supply", "growth_projections",
             "economic_indicators", "priority_populations", "rental_market")
 
@@ -84,6 +86,7 @@ def layout_spec(truths: Sequence[TruthSpec] = (), expected_objects: int | None =
                      "geography_key IN ('crossfield', 'strathmore')", minimum=2),
         ) + tuple(extra_spots),
         expected_objects=expected_objects,
+        name_pattern=NAME_PATTERN,
         verified=VERIFIED_COMMUNITIES,
     )
 

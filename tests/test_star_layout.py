@@ -75,3 +75,13 @@ def test_validate_cli(spark, layout_db, tmp_path, capsys):
     written = spark.read.parquet(str(tmp_path / "checks"))
     assert written.filter("check_name = 'airdrie.pop_2021'").count() == 1
     assert "TOTAL" in capsys.readouterr().out
+
+
+def test_layout_naming_pattern(spark, layout_db):
+    import re
+    rx = re.compile(S.NAME_PATTERN)
+    assert all(rx.match(t) for t in S.EXPECTED_ROWS)
+    assert not rx.match("v_demographics") and not rx.match("long_table")
+    checks = validate(spark, S.layout_spec(expected_objects=None), layout_db)
+    naming = {r.subject: r.status for r in checks.filter(F.col("category") == "9-standards").collect()}
+    assert naming["hna_demographics_csd_2021"] == "PASS" and naming["geography_dim"] == "PASS"
