@@ -89,7 +89,7 @@ def select_indicators(df: DataFrame, section: str | None = None,
     return df.filter(cond)
 
 
-def fallback_select(df: DataFrame, predicates: Sequence[Column]) -> DataFrame:
+def fallback_select(df: DataFrame, predicates: Sequence[Column], share_input: bool = False) -> DataFrame:
     """Rows of the first predicate (in order) that selects anything.
 
     Each row is tagged with the index of the first predicate it satisfies;
@@ -101,5 +101,8 @@ def fallback_select(df: DataFrame, predicates: Sequence[Column]) -> DataFrame:
     for i, p in enumerate(predicates):
         tier = F.when(p, F.lit(i)) if tier is None else tier.when(p, F.lit(i))
     tagged = df.withColumn("__tier", tier).filter(F.col("__tier").isNotNull())
+    if share_input:   # the subquery and the main plan then read one computed input
+        from civicstat.session import materialize
+        tagged = materialize(tagged)
     best = tagged.select(F.min("__tier")).scalar()
     return tagged.filter(F.col("__tier") == best).drop("__tier")

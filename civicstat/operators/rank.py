@@ -69,17 +69,29 @@ def latest_per_group(df: DataFrame, keys: str | Sequence[str], order: str | Sequ
     return best.select(*k, *[F.col(f"__best.{c}").alias(c) for c in cols])
 
 
-def latest_global(df: DataFrame, order: str) -> DataFrame:
+def _shared(df: DataFrame, share_input: bool) -> DataFrame:
+    # A scalar subquery and the main plan each evaluate ``df``; for a small
+    # but expensive input (a selection of a derived table) a reliable
+    # checkpoint in the shared folder lets both read it once computed.
+    if not share_input:
+        return df
+    from civicstat.session import materialize
+    return materialize(df)
+
+
+def latest_global(df: DataFrame, order: str, share_input: bool = False) -> DataFrame:
     """Rows at the globally latest period (scalar subquery, no window).
 
     Groups lacking that period disappear, as in the reference.
+    ``share_input`` checkpoints a small, expensive input so it is computed once.
     """
+    df = _shared(df, share_input)
     newest = df.select(F.max(order)).scalar()
     return df.filter(F.col(order) == newest)
 
 
 def above_median(df: DataFrame, value: str, alias: str = "above_median",
-                 exact: bool = True, accuracy: int = 10000) -> DataFrame:
+                 exact: bool = True, accuracy: int = 10000, share_input: bool = False) -> DataFrame:
     """Flag rows strictly above the median of ``value``.
 
     ``exact`` uses the interpolated median (pandas semantics); it holds all
@@ -87,6 +99,7 @@ def above_median(df: DataFrame, value: str, alias: str = "above_median",
     frames (one row per group).  ``exact=False`` uses a bounded-memory
     quantile sketch (``percentile_approx``) for unbounded inputs.
     """
+    df = _shared(df, share_input)
     m = F.median(value) if exact else F.percentile_approx(value, 0.5, accuracy)
     med = df.select(m).scalar()
     return df.withColumn(alias, F.col(value) > med)

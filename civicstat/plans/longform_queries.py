@@ -55,7 +55,8 @@ _like_query("in_list_exact", "P4 P3", "dashboard_section = 'demand' AND characte
 
 def _fallback(spark, d, narrow: str, broad: str):
     ind = L.with_year(indicators(spark, d).filter(F.col("dashboard_section") == "rates"))
-    picked = L.fallback_select(ind, [F.col("characteristic").like(narrow), F.col("characteristic").like(broad)])
+    picked = L.fallback_select(ind, [F.col("characteristic").like(narrow), F.col("characteristic").like(broad)],
+                               share_input=True)
     latest = rank.latest_per_group(picked, "geography", "year", ["indicator_value"], tiebreak=["characteristic"])
     return latest.select("geography", "year", "characteristic", "indicator_value").orderBy("indicator_value")
 

@@ -54,7 +54,7 @@ ORDER BY indicator_value
 def latest_global(spark, d):
     """Rows of the globally newest year; the stale nation drops out."""
     sel = L.with_year(L.select_indicators(indicators(spark, d, single_scan=True), characteristics=["Open (rate)"]))
-    return (rank.latest_global(sel, "year").select("geography", "year", "indicator_value")
+    return (rank.latest_global(sel, "year", share_input=True).select("geography", "year", "indicator_value")
             .orderBy("indicator_value"))
 
 
@@ -140,7 +140,7 @@ def avg_above_median(spark, d):
     a = sel.groupBy("characteristic").agg(
         exact_mean("indicator_value").alias("avg_value"), F.count(F.lit(1)).alias("n_rows"),
         F.count("indicator_value").alias("n_values"))
-    return rank.above_median(a, "avg_value").orderBy(F.col("avg_value").desc())
+    return rank.above_median(a, "avg_value", share_input=True).orderBy(F.col("avg_value").desc())
 
 
 @query("typed_value_sort", ids="P16 O8 O1", sql=with_ind(r"""
