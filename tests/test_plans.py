@@ -111,3 +111,15 @@ def test_both_ind_plans_yield_identical_rows(spark):
     b = build_indicators_single_scan(spark, SF_SMALL).select(*a.columns)
     assert a.count() == b.count()
     assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_share_input_reads_checkpoint_once(spark):
+    from pyspark.sql import functions as F
+    from civicstat.operators import rank
+    from civicstat.plans.indicators import indicators
+    sel = indicators(spark, SF_SMALL).filter(F.col("characteristic") == "Open (rate)") \
+        .withColumn("year", F.col("timeframe").cast("int"))
+    shared = plan(rank.latest_global(sel, "year", share_input=True))
+    lazy = plan(rank.latest_global(sel, "year"))
+    assert "orders.parquet" not in shared and "ExistingRDD" in shared
+    assert "orders.parquet" in lazy
