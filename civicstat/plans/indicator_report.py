@@ -238,7 +238,8 @@ def permits_by_sector_latest(long: DataFrame, values=None) -> DataFrame:
 
 
 def labour_force_top_industries(census: DataFrame, geo_dim: DataFrame, k: int = 6,
-                                industries: Sequence[str] = NAICS_INDUSTRIES, communities=None) -> DataFrame:
+                                industries: Sequence[str] = NAICS_INDUSTRIES, communities=None,
+                                share_input: bool = False) -> DataFrame:
     """Top-k industries by total workers, workers per (short label, community).
 
     census(geography_id, characteristic, indicator_value) joins the
@@ -251,6 +252,9 @@ def labour_force_top_industries(census: DataFrame, geo_dim: DataFrame, k: int =
         community.alias("community"), F.col("characteristic").alias("industry"), F.col(_VAL).alias("workers"))
     top = rank.keep_top_k(rows, "industry", "workers", k, "sum")
     labelled = top.withColumn("short", map_with_fallback("industry", NAICS_SHORT))
+    if share_input and communities is None:   # column discovery and pivot read it once
+        from civicstat.session import materialize
+        labelled = materialize(labelled)
     cols = _values(labelled, "community", communities)
     return R.pivot_agg(labelled, "short", "community", F.avg("workers"), cols, fill=0).orderBy("short")
 

@@ -209,4 +209,4 @@ def industry_top_pivot(spark, d):
         F.col("n_nationkey").cast("string").alias("geography_id"),
         F.concat(F.col("n_name"), F.lit(", "), F.col("r_name")).alias("geography"))
     from civicstat.plans.indicator_report import labour_force_top_industries
-    return labour_force_top_industries(census, geo, k=3, industries=SEGMENTS)
+    return labour_force_top_industries(census, geo, k=3, industries=SEGMENTS, share_input=True)

@@ -8,6 +8,7 @@ from civicstat.operators import longform as L
 from civicstat.operators import reshape as R
 from civicstat.plans.indicators import indicators, with_ind
 from civicstat.plans.registry import query
+from civicstat.session import materialize
 from civicstat.plans.star_queries import PRIORITY_ORDER
 from civicstat.sources.tables import load
 
@@ -58,7 +59,8 @@ ORDER BY characteristic
 """))
 def transposed_pivot(spark, d):
     """characteristic x geography, not filled (a comparison table)."""
-    sel = L.select_indicators(indicators(spark, d), section="rates", periods=["1997"])
+    # the column discovery and the pivot both read the selection: compute it once
+    sel = materialize(L.select_indicators(indicators(spark, d), section="rates", periods=["1997"]))
     values = R.pivot_values(sel, "geography")
     return R.pivot_unique(sel, "characteristic", "geography", "indicator_value", values).orderBy("characteristic")
 
