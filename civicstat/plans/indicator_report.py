@@ -9,7 +9,9 @@ result is for the caller to collect or plot.
 
 Reshaping follows the reference's choices: pivots fill absent cells with 0
 except the comparison tables; "latest" uses parsed years, never the text
-maximum of the period.
+maximum of the period.  Functions that filter by a global value (latest
+year, median, fallback tier) accept ``share_input=True`` to compute their
+input once (a checkpoint) instead of once per plan part.
 """
 
 from __future__ import annotations
@@ -187,9 +189,9 @@ def rental_units(long: DataFrame) -> tuple[DataFrame, DataFrame]:
             R.duplicate_cells(sel, "geography", "characteristic"))
 
 
-def vacancy_latest_year(long: DataFrame) -> DataFrame:
+def vacancy_latest_year(long: DataFrame, share_input: bool = False) -> DataFrame:
     sel = L.select_indicators(_prep(long), section=HOUSING_SUPPLY, characteristics=["Vacancy Rate"])
-    return rank.latest_global(sel, "year").select("geography", "year", _VAL).orderBy(_VAL)
+    return rank.latest_global(sel, "year", share_input).select("geography", "year", _VAL).orderBy(_VAL)
 
 
 def rental_inventory(long: DataFrame) -> DataFrame:
@@ -261,11 +263,11 @@ def labour_force_top_industries(census: DataFrame, geo_dim: DataFrame, k: int =
 
 # ---- 7 priority populations ----------------------------------------------
 
-def priority_rates_avg(long: DataFrame, period: str = "2021") -> DataFrame:
+def priority_rates_avg(long: DataFrame, period: str = "2021", share_input: bool = False) -> DataFrame:
     sel = L.select_indicators(_prep(long), section=PRIORITY_POPULATIONS, like="%rate%", periods=[period])
     a = sel.groupBy("characteristic").agg(F.avg(_VAL).alias("avg_rate"), F.count(F.lit(1)).alias("n_communities"),
                                           F.count(_VAL).alias("n_values"))
-    return rank.above_median(a, "avg_rate").orderBy(F.col("avg_rate").desc())
+    return rank.above_median(a, "avg_rate", share_input=share_input).orderBy(F.col("avg_rate").desc())
 
 
 def priority_top_groups(long: DataFrame, period: str = "2021", k: int = 6) -> DataFrame:
@@ -276,10 +278,10 @@ def priority_top_groups(long: DataFrame, period: str = "2021", k: int = 6) -> Da
 
 # ---- 8 rental market -----------------------------------------------------
 
-def vacancy_latest_per_community(long: DataFrame) -> DataFrame:
+def vacancy_latest_per_community(long: DataFrame, share_input: bool = False) -> DataFrame:
     sel = L.select_indicators(_prep(long), section=RENTAL_MARKET)
     picked = L.fallback_select(sel, [F.col("characteristic").like("Vacancy Rate%Total%"),
-                                     F.col("characteristic").like("Vacancy Rate%")])
+                                     F.col("characteristic").like("Vacancy Rate%")], share_input)
     latest = rank.latest_per_group(picked, "geography", "year", [_VAL], tiebreak=["characteristic"])
     return latest.select("geography", "year", "characteristic", _VAL).orderBy(_VAL)
 
@@ -299,9 +301,9 @@ def vacancy_trend(long: DataFrame) -> DataFrame:
     return R.ordered_series(R.mean_series(sel, ["geography", "year"], _VAL, "mean_rate"), ["geography", "year"])
 
 
-def housing_starts_latest(long: DataFrame) -> DataFrame:
+def housing_starts_latest(long: DataFrame, share_input: bool = False) -> DataFrame:
     sel = L.select_indicators(_prep(long), section=RENTAL_MARKET, like="Housing Starts%")
-    latest = rank.latest_global(sel, "year")
+    latest = rank.latest_global(sel, "year", share_input)
     cells = latest.groupBy("geography", "characteristic").agg(F.sum(_VAL).alias(_VAL))
     return _stacked(cells, ["Housing Starts - ", "Housing Starts "])
 

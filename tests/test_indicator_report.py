@@ -157,3 +157,11 @@ def test_exploration_listings(long):
     got = [(r.geography, r.timeframe, r.characteristic) for r in chn.collect()]
     assert got == sorted(got)                       # geography, timeframe, characteristic order
     assert IR.exploration_listing(long, "affordability").count() == 6
+
+
+def test_shared_input_variants_equal_lazy(long):
+    for fn in (IR.vacancy_latest_year, IR.priority_rates_avg, IR.vacancy_latest_per_community,
+               IR.housing_starts_latest):
+        lazy = sorted(map(tuple, fn(long).collect()))
+        shared = sorted(map(tuple, fn(long, share_input=True).collect()))
+        assert lazy == shared, fn.__name__
