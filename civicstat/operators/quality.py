@@ -312,6 +312,9 @@ def write_with_checks(df: DataFrame, path: str, name: str, null_columns: Sequenc
 
     The metrics are gathered by ``DataFrame.observe`` during the write
     itself, so validating a freshly built fact table costs no second scan.
+    Observed metrics can be inflated when a stage is recomputed after an
+    executor is lost, so a failing result is confirmed by recounting the
+    written files (one scan, only on that path): a reported FAIL is exact.
     """
     from pyspark.sql import Observation
     obs = Observation(f"checks_{name}")
@@ -323,6 +326,10 @@ def write_with_checks(df: DataFrame, path: str, name: str, null_columns: Sequenc
     writer.parquet(path)
     got = obs.get
     spark = df.sparkSession
+    bad_rows = expected_rows is not None and int(got["__rows"]) != expected_rows
+    if bad_rows or any(int(got[f"__null_{i}"]) for i in range(len(null_columns))):
+        written = spark.read.parquet(path)
+        got = written.agg(*metrics).first().asDict()
     rows = []
     n = int(got["__rows"])
     if expected_rows is not None:
