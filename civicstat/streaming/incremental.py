@@ -64,17 +64,23 @@ def validate_batches(stream: DataFrame, check: Callable[[DataFrame], DataFrame],
 
 
 def running_coverage(stream: DataFrame, table_name: str, name: str = "coverage",
-                     checkpoint_location: str | None = None, available_now: bool = True) -> StreamingQuery:
+                     checkpoint_location: str | None = None, available_now: bool = True,
+                     sink_path: str | None = None) -> StreamingQuery:
     """Rows and non-null values per (section, geography) over all batches so far.
 
     A streaming aggregation with map-side partial aggregation; its state is
-    one row per (section, geography), bounded by the dimension sizes.  The
-    result is kept in a memory table named ``table_name`` (small by
-    construction) for the caller to query.
+    one row per (section, geography), bounded by the dimension sizes.  With
+    ``sink_path`` every trigger overwrites that parquet folder with the
+    current totals (complete mode through ``foreachBatch``); without it the
+    totals stay in a memory table named ``table_name`` for interactive use.
     """
     agg = stream.groupBy(SECTION, GEOGRAPHY).agg(
         F.count(F.lit(1)).alias("rows"), F.count(VALUE).alias("non_null_values"))
-    writer = (agg.writeStream.outputMode("complete").format("memory").queryName(table_name)
-              .option("checkpointLocation", _location(stream.sparkSession, name, checkpoint_location)))
+    writer = agg.writeStream.outputMode("complete").queryName(table_name).option(
+        "checkpointLocation", _location(stream.sparkSession, name, checkpoint_location))
+    if sink_path:
+        writer = writer.foreachBatch(lambda batch, _id: batch.write.mode("overwrite").parquet(sink_path))
+    else:
+        writer = writer.format("memory")
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

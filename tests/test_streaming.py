@@ -32,3 +32,15 @@ def test_checks_per_batch_and_running_coverage(spark):
     cov = spark.table("coverage_now")
     expected = ind.filter(F.col("dashboard_section").isin("rates", "segments")).count()
     assert cov.agg(F.sum("rows")).first()[0] == expected
+
+
+def test_running_coverage_to_parquet(spark):
+    ind = indicators(spark, SF_SMALL)
+    src = tempfile.mkdtemp(prefix="civicstat-stream-src-")
+    out = tempfile.mkdtemp(prefix="civicstat-stream-cov-") + "/coverage"
+    ind.filter(F.col("dashboard_section") == "rates").coalesce(1).write.parquet(src + "/part1")
+    q = running_coverage(long_table_stream(spark, src + "/part1", ind.schema), "cov_parquet", name="cov_parquet",
+                         sink_path=out)
+    q.awaitTermination(120)
+    got = spark.read.parquet(out)
+    assert got.agg(F.sum("rows")).first()[0] == ind.filter(F.col("dashboard_section") == "rates").count()
