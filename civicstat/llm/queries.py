@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicstat.llm import host_rules, simhash
+from civicstat.llm import host_rules, langid, simhash
 from civicstat.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,14 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+@query("op3_langid_ppm")
+def op3_langid_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = langid.train(docs, "doc_id", "text", "lang", langid.fold("doc_id") != 2)
+    found = langid.predict(docs, model, "doc_id", "text")
+    return found.select("doc_id", F.coalesce(langid.fold("doc_id") == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "bits_per_byte")
+
+
 @query("op7_simhash_bktree")
 def op7_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.classes(documents(spark, sf_dir))
