@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicstat.llm import host_rules, langid, simhash
+from civicstat.llm import host_rules, langid, simhash, warc
 from civicstat.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,26 @@ def op7_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+WARC_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+h AS (SELECT page_id, octet_length(b) AS n, sha1(b) AS d FROM p),
+l AS (SELECT d, max(page_id) AS last FROM h GROUP BY d),
+g AS (SELECT d, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + v, 1), '' ORDER BY i) AS digest
+      FROM (SELECT d, i, CAST(('0x' || substr(d, 10 * (i // 8) + 1, 10)) AS BIGINT) // CAST(pow(32, 7 - i % 8) AS BIGINT) % 32 AS v
+            FROM l CROSS JOIN range(32) r(i)) GROUP BY d)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = last THEN NULL ELSE last END AS refers_to
+FROM h JOIN l USING (d) JOIN g USING (d)
+"""
+
+
+@query("op9_warc_revisits", WARC_SQL)
+def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = warc.archive(documents(spark, sf_dir, "pages"))
+    return back.select(F.col("id").alias("page_id"), F.col("n_bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type", "refers_to")
+
+
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
 HOST_RULES_SQL = rf"""
