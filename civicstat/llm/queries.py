@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicstat.llm import host_rules, langid, simhash, suffix, warc
+from civicstat.llm import decontam, host_rules, langid, simhash, suffix, warc
 from civicstat.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,11 @@ def op3_langid_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(langid.fold("doc_id") == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "bits_per_byte")
 
 
+@query("op4_decontaminate_cgk")
+def op4_decontaminate_cgk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
 @query("op6_suffix_dedup")
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix.dedup(documents(spark, sf_dir))
