@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicstat.llm import decontam, host_rules, langid, simhash, suffix, warc
+from civicstat.llm import decontam, host_rules, langid, passages, simhash, suffix, warc
 from civicstat.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,11 @@ def op4_decontaminate_cgk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
 
+@query("op5_compact_windows")
+def op5_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.find(documents(spark, sf_dir))
+
+
 @query("op6_suffix_dedup")
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix.dedup(documents(spark, sf_dir))
