@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicstat.llm import decontam, host_rules, langid, passages, simhash, suffix, warc
+from civicstat.llm import decontam, host_rules, langid, passages, pii, simhash, suffix, warc
 from civicstat.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,12 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+@query("op1_pii_surrogates")
+def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return pii.replace(docs, count_col="n_entities")
+
+
 @query("op3_langid_ppm")
 def op3_langid_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
