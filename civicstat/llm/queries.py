@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicstat.llm import decontam, host_rules, langid, passages, pii, simhash, suffix, warc
+from civicstat.llm import bpe, decontam, host_rules, langid, passages, pii, simhash, suffix, warc
 from civicstat.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +30,12 @@ def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace(docs, count_col="n_entities")
 
 
+@query("op2_byte_bpe")
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bpe.encode(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return found.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @query("op3_langid_ppm")
 def op3_langid_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
