@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicstat.llm import bpe, decontam, host_rules, langid, passages, pii, simhash, suffix, warc
+from civicstat.llm import bpe, decontam, host_rules, langid, passages, pii, simhash, suffix, tokenfile, warc
 from civicstat.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,6 +66,12 @@ def op7_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@query("op8_token_files")
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = tokenfile.round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+    return back.select("doc_id", "start", F.col("n_ids").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
 WARC_SQL = """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
 h AS (SELECT page_id, octet_length(b) AS n, sha1(b) AS d FROM p),
