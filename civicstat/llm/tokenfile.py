@@ -353,7 +353,7 @@ def _segments(tokenizer, end_id: int, least: int):
             listed = pa.concat_arrays(docs)
             held = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
             return pa.RecordBatch.from_arrays(
-                [pa.array([file_no]), pa.array([number]), pa.array([len(ids)]), held(listed), held(pa.array(lengths, pa.int64())), pa.array([pack(ids)], pa.binary())],
+                [pa.array([file_no], pa.int32()), pa.array([number], pa.int32()), pa.array([len(ids)], pa.int64()), held(listed), held(pa.array(lengths, pa.int64())), pa.array([pack(ids)], pa.binary())],
                 ["file_no", "segment_no", "n_ids", "docs", "lengths", "data"])
 
         for b in batches:
