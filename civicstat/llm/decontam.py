@@ -41,7 +41,7 @@ STRIDE = 16
 STEPS = 40
 WALKS = 2
 SAMPLES = 4
-BITS = 13
+BITS = 12
 MAX_EDIT = 0.1
 SHORT = 40
 SEED = 4
@@ -114,7 +114,7 @@ def distance(item: bytes, text: bytes, most: int) -> tuple[int, int] | None:
         masks[c] = masks.get(c, 0) | 1 << i
     full, top = (1 << m) - 1, 1 << (m - 1)
     up, down, score = full, 0, m  # places where the column rises and falls
-    best, end = most + 1, -1
+    best, end = (m, 0) if m <= most else (most + 1, -1)
     for i, c in enumerate(text):
         eq = masks.get(c, 0)
         x = eq | down
