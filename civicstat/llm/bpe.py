@@ -4,8 +4,8 @@ Documents are packed into blocks of ``BLOCK_CHARS``; a block is one row that hol
 words and, for each document, which of them follow one another. Spark's higher-order functions
 then fold the merges over each distinct word: its bytes are a list of token ids, a step finds the
 adjacent pair whose merge has the lowest rank and puts the merged id in its place, and the fold ends
-when no pair merges. The rank map is a literal: for each bucket of pair keys, a small map from pair
-to merged id, so that a look-up scans few entries. A block's row then gives each document its ids,
+when no pair merges. The rank map is a literal array of small maps, so that a look-up scans few
+entries. A block's row then gives each document its ids,
 and decoding concatenates the binary pieces of the ids.
 
 No word is shuffled, so the work grows with the text only and a frequent word is no hot key.
@@ -26,9 +26,7 @@ from __future__ import annotations
 import base64
 import heapq
 import json
-import re
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,12 +34,12 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civicstat.llm.common import bounded_batches
+from civicstat.llm.common import bounded_batches, chunk_text, space_chunks
 
 #: Characters of text in a block, about.
-BLOCK_CHARS = 24_000_000
-#: Buckets of the literal rank map.
-BUCKETS = 1 << 16
+BLOCK_CHARS = 32_000_000
+#: Buckets of the literal rank map, a power of two above the number of tokens.
+BUCKETS = 1 << 17
 #: Words of more bytes are merged by a heap: a fold takes time with the square of the length.
 LONG = 128
 #: Codes below are token ids, codes from here on are places in a block's list of words.
@@ -49,9 +47,6 @@ WORD = 1 << 20
 #: Tokens in a batch that goes back to Spark, about.
 BATCH = 1 << 19
 
-_RARE = re.compile("[\t\x0b-\x0d\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]|  |\n | \n")
-_BETWEEN = re.compile(r"(?<=\S)(?= \S)")
-
 
 def read_ranks(path: str) -> dict[bytes, int]:
     """token -> rank of a rank file."""
@@ -71,11 +66,18 @@ def merges(ranks: dict[bytes, int]) -> dict[int, int]:
 
 
 def rank_literal(ranks: dict[bytes, int]) -> Column:
-    """The merges as a literal array of maps, by bucket; folded to a literal by the optimizer."""
+    """The merges as a literal array of maps right id -> merged id; folded to a literal by the optimizer.
+
+    The pair's place in the array is (31 * left + right) mod BUCKETS, so place and right id determine
+    the left id, and a map holds about two entries.
+    """
+    if len(ranks) > BUCKETS:
+        raise ValueError(f"{len(ranks)} tokens; the rank map is made for {BUCKETS}")
     held: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
     for pair, rank in merges(ranks).items():
-        held[((pair >> 20) * 40503 + (pair & 0xFFFFF) * 30011) % BUCKETS][str(pair)] = rank
-    return F.from_json(F.lit(json.dumps(held, separators=(",", ":"))), "array<map<string,int>>").cast("array<map<bigint,int>>")
+        left, right = pair >> 20, pair & 0xFFFFF
+        held[(left * 31 + right) & (BUCKETS - 1)][str(right)] = rank
+    return F.from_json(F.lit(json.dumps(held, separators=(",", ":"))), "array<map<string,int>>").cast("array<map<int,int>>")
 
 
 def _let(value: Column, body) -> Column:
@@ -87,11 +89,15 @@ def fold(word: Column, table: Column, byte_ids: Column) -> Column:
     """Token ids of a word, an array of its bytes (0 to 255).
 
     Each step looks up the rank of every adjacent pair and merges the lowest, the leftmost of
-    equals; after the last merge a step only finds that there is none.
+    equals; once no pair merges, the steps left only pass the ids on.
     """
+    def rank(left: Column, right: Column) -> Column:
+        return F.try_element_at(F.get(table, (left * 31 + right).bitwiseAND(F.lit(BUCKETS - 1))), right)
+
     def step(acc: Column, _: Column) -> Column:
         ids = acc["ids"]
-        return F.when(acc["done"], acc).otherwise(_let(_pair_ranks(ids, table), lambda ranks: _let(F.array_min(ranks), lambda low: F.when(
+        ranks = F.transform(ids, lambda right, i: rank(F.get(ids, i - 1), right))
+        return F.when(acc["done"], acc).otherwise(_let(ranks, lambda ranks: _let(F.array_min(ranks), lambda low: F.when(
             low.isNull(), F.struct(ids.alias("ids"), F.lit(True).alias("done"))).otherwise(_let(
                 F.array_position(ranks, low).cast("int"), lambda at: F.struct(
                     F.concat(F.slice(ids, F.lit(1), at - 2), F.array(low), F.slice(ids, at + 1, F.size(ids))).alias("ids"),
@@ -101,15 +107,6 @@ def fold(word: Column, table: Column, byte_ids: Column) -> Column:
     return F.aggregate(word, start, step, lambda acc: acc["ids"])
 
 
-def _pair_ranks(ids: Column, table: Column) -> Column:
-    """Rank of the merge of each id with the one before it, null where there is none."""
-    def one(right: Column, i: Column) -> Column:
-        left = F.get(ids, i - 1).cast("bigint")
-        held = F.get(table, ((left * 40503 + right * 30011) % BUCKETS).cast("int"))
-        return F.when(i > 0, F.try_element_at(held, left * (1 << 20) + right))
-    return F.transform(ids, one)
-
-
 def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """The same ids by a heap of pairs, for long words."""
     parts = [word[i:i + 1] for i in range(len(word))]
@@ -132,14 +129,14 @@ def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class _Words(dict):
-    """Codes of a chunk of text, by the chunk; collects the words that need a fold."""
+    """Codes (32-bit integers) of a chunk of text, by the chunk; collects the words that need a fold."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.find, self.word, self.places = ranks, regex.compile(pattern).findall, [], {}
 
-    def __missing__(self, chunk: str) -> tuple[int, ...]:
+    def __missing__(self, chunk: str) -> bytes:
         out: list[int] = []
-        for piece in self.find(chunk):
+        for piece in self.find(chunk_text(chunk)):
             raw = piece.encode()
             rank = self.ranks.get(raw)
             if rank is not None:
@@ -152,19 +149,11 @@ class _Words(dict):
                     at = self.places[raw] = len(self.word)
                     self.word.append(raw)
                 out.append(WORD + at)
-        own = self[chunk] = tuple(out)
+        own = self[chunk] = np.array(out, np.int32).tobytes()
         return own
 
-    def codes(self, text: str) -> np.ndarray:
-        """A space between two other characters always begins a match, so texts are cut there."""
-        if not text:
-            return np.zeros(0, np.int32)
-        if _RARE.search(text):
-            chunks = _BETWEEN.split(text)
-        else:
-            first, *rest = text.split(" ")
-            chunks = [first, *[" " + c for c in rest]]
-        return np.array(list(chain.from_iterable(map(self.__getitem__, chunks))), np.int32)
+    def codes(self, text: str) -> bytes:
+        return b"".join(map(self.__getitem__, space_chunks(text)))
 
 
 def _blocks(ranks, pattern: str, chars: int):
@@ -176,14 +165,14 @@ def _blocks(ranks, pattern: str, chars: int):
             n = np.array([len(w) for w in words.word], np.int64)
             flat = pa.array(np.frombuffer(b"".join(words.word), np.uint8).astype(np.int16))
             word = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)).astype(np.int32)), flat)
-            data = np.concatenate(codes) if codes else np.zeros(0, np.int32)
+            data = b"".join(codes)
             return pa.RecordBatch.from_arrays(
                 [pa.concat_arrays(ids).cast(ids[0].type) if len(ids) > 1 else ids[0]], ["id"]), pa.array(counts, pa.int64()), data, word
 
         def emit():
             b, n, data, word = row()
             held = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
-            return pa.RecordBatch.from_arrays([held(b.column(0)), held(n), pa.array([data.tobytes()], pa.binary()), held(word)], ["ids", "counts", "codes", "words"])
+            return pa.RecordBatch.from_arrays([held(b.column(0)), held(n), pa.array([data], pa.binary()), held(word)], ["ids", "counts", "codes", "words"])
 
         for b in batches:
             texts = b.column("text").to_pylist()
@@ -191,14 +180,15 @@ def _blocks(ranks, pattern: str, chars: int):
             for i, t in enumerate(texts):
                 c = words.codes(t or "")
                 codes.append(c)
-                counts.append(len(c))
+                counts.append(len(c) // 4)
                 size += len(t or "")
                 if size >= chars or i + 1 == len(texts):
                     ids.append(b.column("id").slice(done, i + 1 - done))
                     done = i + 1
                 if size >= chars:
-                    yield emit()
-                    ids, codes, counts, size, words = [], [], [], 0, _Words(own, pattern)
+                    block = emit()
+                    ids, codes, counts, size, words = [], [], [], 0, _Words(own, pattern)  # before Spark takes the block
+                    yield block
         if counts:
             yield emit()
     return run
@@ -260,3 +250,8 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     blocks = rows.mapInArrow(_blocks(ranks, pattern, block_chars), f"ids array<{id_type}>, counts array<bigint>, codes binary, words array<array<smallint>>")
     folded = blocks.select("ids", "counts", "codes", F.transform("words", lambda w: fold(w, table, byte_ids)).alias("folded"))
     return folded.mapInArrow(_documents(pieces), f"id {id_type}, token_ids array<int>, decoded binary").withColumnRenamed("id", id_col)
+
+
+def id_text(column: str) -> Column:
+    """Decimal ids joined by one space."""
+    return F.replace(F.btrim(F.col(column).cast("string"), F.lit("[]")), F.lit(", "), F.lit(" "))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -14,7 +15,7 @@ from civicstat.session import checkpoint_dir
 #: ASCII white space, the only separators of words in the contracts of this subpackage.
 SPACE = r"[\x20\x09-\x0D]+"
 #: Arrow batches handed to Python are cut at so many bytes, whatever the number of rows in them.
-BATCH_BYTES = "16m"
+BATCH_BYTES = "8m"
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -86,3 +87,28 @@ def grouped_batches(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Itera
         held.append(batch.slice(start, n - start))
     if held:
         yield pa.Table.from_batches(held)
+
+
+#: Stands before a text's first chunk; no text holds it, since it is half of a surrogate pair.
+FIRST = "\ud800"
+_RARE = re.compile("[\t\x0b-\x0d\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+
+
+def space_chunks(text: str) -> list[str]:
+    """A text cut at single spaces between other characters, where byte-level patterns begin a match.
+
+    The space goes; ``chunk_text`` puts it back. The first chunk, which has none, is marked.
+    """
+    if not text:
+        return []
+    if "  " in text or "\n " in text or " \n" in text or _RARE.search(text):
+        own = _BETWEEN.split(text)
+    else:
+        own = text.split(" ")
+    own[0] = FIRST + own[0]
+    return own
+
+
+def chunk_text(chunk: str) -> str:
+    return chunk[1:] if chunk[:1] == FIRST else " " + chunk

@@ -33,7 +33,7 @@ def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_byte_bpe")
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = bpe.encode(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    return found.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return found.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), F.sha2(bpe.id_text("token_ids"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 @query("op3_langid_ppm")

@@ -32,7 +32,6 @@ Defined results:
 from __future__ import annotations
 
 import os
-import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -44,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from civicstat.llm.common import bounded_batches, scratch
+from civicstat.llm.common import bounded_batches, chunk_text, scratch, space_chunks
 
 BLOCK_IDS = 2048
 SEGMENT_IDS = 4096 * BLOCK_IDS
@@ -276,11 +275,7 @@ def unpack(data: bytes) -> np.ndarray:
 
 # ---- texts to ids
 
-_RARE = re.compile("[\t\x0b-\x0d\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-#: Stands before a text's first chunk; no text holds it, since it is half of a surrogate pair.
-_FIRST = "\ud800"
 _MARKS = frozenset(".,")
-_BETWEEN = re.compile(r"(?<=\S)(?= \S)")
 
 
 class _Tokenizer:
@@ -301,19 +296,9 @@ class _Tokenizer:
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.known) > CACHE:
             self.known = {}
-        cut, all_ = [], set()
-        for t in texts:
-            if not t:
-                own = []
-            elif "  " in t or "\n " in t or " \n" in t or _RARE.search(t):
-                own = _BETWEEN.split(t)
-                own[1:] = [c[1:] for c in own[1:]]
-            else:
-                own = t.split(" ")
-            if own:
-                own[0] = _FIRST + own[0]  # has no space before it
+        cut, all_ = [space_chunks(t) for t in texts], set()
+        for own in cut:
             all_.update(own)
-            cut.append(own)
         known = self.known
         new = list(all_.difference(known))
         # a mark after letters is a match of its own, and most such words are known without it
@@ -321,8 +306,7 @@ class _Tokenizer:
         new = list({bare.get(c, c) for c in new}.difference(known))
         for lo in range(0, len(new), 20_000):
             part = new[lo:lo + 20_000]
-            text = [c[1:] if c[:1] == _FIRST else " " + c for c in part]
-            for c, e in zip(part, self.library.encode_batch_fast(text, add_special_tokens=False)):
+            for c, e in zip(part, self.library.encode_batch_fast([*map(chunk_text, part)], add_special_tokens=False)):
                 known[c] = np.array(e.ids, "<u4").tobytes()
         for c, word in bare.items():
             known[c] = known[word] + self.mark[c[-1]]

@@ -42,7 +42,7 @@ def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, and digests of the ids and of the decoded bytes, as query op2 has them."""
     found = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    return found.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return found.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), F.sha2(bpe.id_text("token_ids"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [
