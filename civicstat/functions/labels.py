@@ -64,8 +64,8 @@ def number_text(col, decimals: int = 0) -> Column:
 
 
 def percent_text(col, decimals: int = 1) -> Column:
-    """F8: ``{x:.1f}%``."""
-    return F.concat(F.format_number(_c(col), decimals), F.lit("%"))
+    """F8: ``{x:.1f}%``, without thousands separators."""
+    return F.concat(F.replace(F.format_number(_c(col), decimals), F.lit(",")), F.lit("%"))
 
 
 def currency_text(col, decimals: int = 0) -> Column:

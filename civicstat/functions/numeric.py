@@ -58,7 +58,7 @@ def pct_half_up(part, whole, decimals: int = 1) -> Column:
     w = _c(whole).cast("bigint")
     num = F.lit(200 * scale).cast("bigint") * p + w
     den = F.lit(2).cast("bigint") * w
-    q = ((num - F.pmod(num, den)) / den).cast("bigint")   # exact floor division
+    q = F.call_function("div", num, den)   # integer division; counts are not negative
     return F.when(w != 0, q.cast("double") / F.lit(float(scale)))
 
 

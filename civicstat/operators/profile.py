@@ -150,10 +150,10 @@ def name_drift(source: DataFrame, dim: DataFrame, id_col: str = GEOGRAPHY_ID,
     d = dim.select(F.col(id_col).alias("__id"), F.col(dim_name_col).alias("dim_name")).distinct()
     j = names.join(d, "__id", "left")
     kind = (F.when(F.col("dim_name").isNull(), F.lit("unknown id"))
-            .when(F.lower(F.col("source_name")) == "unknown", F.lit("unknown"))
+            .when(F.col("source_name").isNull() | (F.lower(F.col("source_name")) == "unknown"), F.lit("unknown"))
             .when(F.col("source_name").startswith(F.col("dim_name")), F.lit("decorated"))
             .otherwise(F.lit("different")))
-    return (j.filter(F.col("dim_name").isNull() | (F.col("source_name") != F.col("dim_name")))
+    return (j.filter(F.col("dim_name").isNull() | ~F.col("source_name").eqNullSafe(F.col("dim_name")))
             .select(F.col("__id").alias(id_col), "source_name", "dim_name", kind.alias("drift"),
                     F.coalesce(F.col("dim_name"), clean_geography_name(F.col("source_name"))).alias("standard_name")))
 

@@ -9,6 +9,7 @@ without PARTITION BY (which would move all rows to one task).
 
 from __future__ import annotations
 
+from functools import reduce
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -55,18 +56,23 @@ def keep_top_k(df: DataFrame, group: str | Sequence[str], value: str | Column, k
 
 
 def latest_per_group(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str],
-                     payload: Sequence[str], tiebreak: Sequence[str] = ()) -> DataFrame:
+                     payload: Sequence[str], tiebreak: Sequence[str] = (),
+                     status: str | None = None) -> DataFrame:
     """The row with the greatest ``order`` (then ``tiebreak``) per group.
 
-    Rows whose order value is NULL (non-year periods) never win over a
-    dated row.  Returns keys + order + tiebreak + payload columns.
+    A row with a NULL in any order column (a non-year period) never wins over
+    a dated row.  A group without any dated row keeps one row, with NULL order
+    columns and ``dated`` false where ``status`` names that column.  Returns
+    keys + order + tiebreak + payload columns (+ ``status``).
     """
     k = _list(keys)
     o = _list(order)
     cols = o + [c for c in tiebreak if c not in o] + [c for c in payload if c not in o and c not in tiebreak]
-    best = (df.filter(F.coalesce(*[F.col(c).isNotNull() for c in o]))
-            .groupBy(*k).agg(F.max(F.struct(*cols)).alias("__best")))
-    return best.select(*k, *[F.col(f"__best.{c}").alias(c) for c in cols])
+    dated = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in o])
+    best = df.groupBy(*k).agg(F.max(F.struct(dated.alias("__dated"), *cols)).alias("__best"))
+    kept = [F.when(F.col("__best.__dated"), F.col(f"__best.{c}")).alias(c) if c in o else F.col(f"__best.{c}").alias(c)
+            for c in cols]
+    return best.select(*k, *kept, *([F.col("__best.__dated").alias(status)] if status else []))
 
 
 def _shared(df: DataFrame, share_input: bool) -> DataFrame:

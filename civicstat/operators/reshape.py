@@ -39,12 +39,14 @@ def pivot_values(df: DataFrame, column: str, max_values: int = 10000) -> list:
 
     A pivot column is a dimension attribute; more than ``max_values``
     distinct values (Spark's own pivot limit) raises instead of silently
-    truncating the column list.
+    truncating the column list, and so does a NULL, which names no column.
     """
     vals = [r[0] for r in df.select(column).distinct().limit(max_values + 1).collect()]
     if len(vals) > max_values:
         raise ValueError(f"pivot column {column!r} has more than {max_values} distinct values")
-    return sorted(v for v in vals if v is not None)
+    if None in vals:
+        raise ValueError(f"pivot column {column!r} holds NULL; filter or label it first")
+    return sorted(vals)
 
 
 def pivot_unique(df: DataFrame, index: str | Sequence[str], column: str, value: str,
@@ -52,11 +54,11 @@ def pivot_unique(df: DataFrame, index: str | Sequence[str], column: str, value:
                  fill=None) -> DataFrame:
     """Long -> wide where each (index, column) cell holds one row.
 
-    Use ``duplicate_cells`` to report cells with several rows (the
-    reference raises on them).  ``fill`` replaces absent cells (A20); leave
+    A cell with several rows is an error; ``duplicate_cells`` reports them.  ``fill`` replaces absent cells (A20); leave
     it None for comparison tables, where absent and zero differ.
     """
-    wide = df.groupBy(*_list(index)).pivot(column, list(values)).agg(F.max(value))
+    wide = df.groupBy(*_list(index)).pivot(column, list(values)).agg(
+        F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit("a pivot cell holds several rows"))).otherwise(F.max(value)))
     wide, cols = _rename(wide, values, aliases)
     if fill is not None:
         wide = wide.na.fill(fill, subset=cols)

@@ -57,13 +57,13 @@ def keep_keys(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFr
 
 def key_set_diff(actual: DataFrame, expected: DataFrame, key: str) -> DataFrame:
     """Full outer join of two key sets -> (key, status OK/MISSING/EXTRA)."""
-    a = actual.select(F.col(key).alias("__a")).distinct()
-    e = expected.select(F.col(key).alias("__e")).distinct()
-    j = e.join(a, e["__e"] == a["__a"], "full_outer")
+    a = actual.select(F.col(key).alias("__a"), F.lit(True).alias("__in_a")).distinct()
+    e = expected.select(F.col(key).alias("__e"), F.lit(True).alias("__in_e")).distinct()
+    j = e.join(a, e["__e"].eqNullSafe(a["__a"]), "full_outer")   # a NULL key is a key of its own
     return j.select(
         F.coalesce(F.col("__e"), F.col("__a")).alias(key),
-        F.when(F.col("__a").isNull(), F.lit("MISSING"))
-         .when(F.col("__e").isNull(), F.lit("EXTRA"))
+        F.when(F.col("__in_a").isNull(), F.lit("MISSING"))
+         .when(F.col("__in_e").isNull(), F.lit("EXTRA"))
          .otherwise(F.lit("OK")).alias("status"))
 
 

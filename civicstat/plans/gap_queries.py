@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from civicstat.functions.labels import clean_geography_name
 from civicstat.operators import profile as P
-from civicstat.plans.indicators import IND_SQL, geography, indicators, with_ind, YEAR_SQL, sql_str
+from civicstat.plans.indicators import GAP_IND_SQL, geography, gap_indicators, with_gap_ind, YEAR_SQL, sql_str
 from civicstat.plans.profile_queries import SECTIONS
 from civicstat.plans.registry import query
 from civicstat.session import materialize
@@ -65,10 +65,10 @@ WHERE NOT EXISTS (SELECT 1 FROM ind i WHERE i.dashboard_section = g.dashboard_se
 
 
 def missing_periods(spark, d):
-    return P.missing_periods(indicators(spark, d, single_scan=True), geography(spark, d), SECTIONS, YEARS)
+    return P.missing_periods(gap_indicators(spark, d), geography(spark, d), SECTIONS, YEARS)
 
 
-@query("gap_periods", ids="G1", sql=with_ind(_PERIODS_BODY + "ORDER BY 1, 2, 3"))
+@query("gap_periods", ids="G1", sql=with_gap_ind(_PERIODS_BODY + "ORDER BY 1, 2, 3"))
 def gap_periods(spark, d):
     return missing_periods(spark, d).orderBy("dashboard_section", "geography", "year")
 
@@ -85,10 +85,10 @@ WHERE NOT EXISTS (SELECT 1 FROM ind i WHERE i.dashboard_section = e.dashboard_se
 def missing_characteristics(spark, d):
     expected = spark.createDataFrame(list(EXPECTED_CHARACTERISTICS),
                                      "dashboard_section string, characteristic string").coalesce(1)
-    return P.missing_characteristics(indicators(spark, d, single_scan=True), expected)
+    return P.missing_characteristics(gap_indicators(spark, d), expected)
 
 
-@query("gap_characteristics", ids="G2", sql=with_ind(_CHARS_BODY + "ORDER BY 1, 2"))
+@query("gap_characteristics", ids="G2", sql=with_gap_ind(_CHARS_BODY + "ORDER BY 1, 2"))
 def gap_characteristics(spark, d):
     return missing_characteristics(spark, d).orderBy("dashboard_section", "characteristic")
 
@@ -111,11 +111,11 @@ FROM o
 
 
 def depth(spark, d):
-    return P.depth(indicators(spark, d), geography(spark, d), DEPTH_SECTIONS, good=GOOD_DEPTH).select(
+    return P.depth(gap_indicators(spark, d), geography(spark, d), DEPTH_SECTIONS, good=GOOD_DEPTH).select(
         "dashboard_section", "geography", "characteristic", "periods", "depth")
 
 
-@query("gap_depth", ids="G4", sql=with_ind(_DEPTH_BODY + "ORDER BY 1, 2, 3"))
+@query("gap_depth", ids="G4", sql=with_gap_ind(_DEPTH_BODY + "ORDER BY 1, 2, 3"))
 def gap_depth(spark, d):
     return depth(spark, d).orderBy("dashboard_section", "geography", "characteristic")
 
@@ -127,9 +127,9 @@ SELECT dashboard_section, timeframe, count(*) AS rows FROM ind WHERE {_YEAR_SQL}
 """
 
 
-@query("gap_bad_timeframe", ids="G5", sql=with_ind(_BAD_BODY + "ORDER BY 1, 2"))
+@query("gap_bad_timeframe", ids="G5", sql=with_gap_ind(_BAD_BODY + "ORDER BY 1, 2"))
 def gap_bad_timeframe(spark, d):
-    return P.bad_periods(indicators(spark, d, single_scan=True)).orderBy("dashboard_section", "timeframe")
+    return P.bad_periods(gap_indicators(spark, d)).orderBy("dashboard_section", "timeframe")
 
 
 # ---- G6 / G7 -------------------------------------------------------------
@@ -193,7 +193,7 @@ def label_clean_names(spark, d):
 
 # ---- G8 ----------------------------------------------------------------
 
-@query("gap_density", ids="G8", sql=with_ind("""
+@query("gap_density", ids="G8", sql=with_gap_ind("""
 WITH g AS (SELECT dashboard_section, count(*) AS rows, count(DISTINCT geography) AS communities,
                   count(DISTINCT characteristic) AS characteristics, count(DISTINCT timeframe) AS timeframes
            FROM ind GROUP BY dashboard_section)
@@ -202,7 +202,7 @@ SELECT *, communities * characteristics * timeframes AS expected_cells,
 FROM g ORDER BY dashboard_section
 """))
 def gap_density(spark, d):
-    return P.density(indicators(spark, d, single_scan=True)).orderBy("dashboard_section")
+    return P.density(gap_indicators(spark, d)).orderBy("dashboard_section")
 
 
 # ---- G9 ----------------------------------------------------------------
@@ -218,9 +218,9 @@ WHERE l.last_year < p.peer_last_year
 """
 
 
-@query("gap_stale", ids="G9", sql=with_ind(_STALE_BODY + "ORDER BY 1, 2, 3"))
+@query("gap_stale", ids="G9", sql=with_gap_ind(_STALE_BODY + "ORDER BY 1, 2, 3"))
 def gap_stale(spark, d):
-    return P.stale_series(indicators(spark, d, single_scan=True)).select(
+    return P.stale_series(gap_indicators(spark, d)).select(
         "dashboard_section", "characteristic", "geography", "last_year", "peer_last_year", "years_behind") \
         .orderBy("dashboard_section", "characteristic", "geography")
 
@@ -234,9 +234,9 @@ SELECT 'shipments' AS missing_in, 'demand' AS found_in, geography FROM (
 """
 
 
-@query("gap_elsewhere", ids="G10", sql=with_ind(_ELSEWHERE_BODY + "ORDER BY geography"))
+@query("gap_elsewhere", ids="G10", sql=with_gap_ind(_ELSEWHERE_BODY + "ORDER BY geography"))
 def gap_elsewhere(spark, d):
-    return P.available_elsewhere(indicators(spark, d, single_scan=True), "shipments", "demand").orderBy("geography")
+    return P.available_elsewhere(gap_indicators(spark, d), "shipments", "demand").orderBy("geography")
 
 
 # ---- G11 ---------------------------------------------------------------
@@ -265,7 +265,7 @@ def _issue_sql(rule: str, section: str, subject: str, detail: str, body: str) ->
             f"{_q(t)} AS issue_type, {_q(p)} AS priority, CAST({detail} AS VARCHAR) AS detail FROM ({body})")
 
 
-_REGISTER_SQL = "WITH " + IND_SQL + "\n" + "\nUNION ALL\n".join([
+_REGISTER_SQL = "WITH " + GAP_IND_SQL + "\n" + "\nUNION ALL\n".join([
     _issue_sql("G1 missing periods", "dashboard_section", "geography", "'year ' || CAST(year AS VARCHAR)", _PERIODS_BODY),
     _issue_sql("G2 missing characteristic", "dashboard_section", "characteristic", "'not in data'", _CHARS_BODY),
     _issue_sql("G4 uneven depth", "dashboard_section", "geography || ' / ' || characteristic",
@@ -281,7 +281,7 @@ _REGISTER_SQL = "WITH " + IND_SQL + "\n" + "\nUNION ALL\n".join([
 
 @query("gap_issue_register", ids="G12 G1 G2 G4 G5 G6 G9 G10", sql=_REGISTER_SQL)
 def gap_issue_register(spark, d):
-    ind = materialize(indicators(spark, d, single_scan=True))   # read by six rules: build once
+    ind = materialize(gap_indicators(spark, d))   # read by six rules: build once
     geo = geography(spark, d)
     expected = spark.createDataFrame(list(EXPECTED_CHARACTERISTICS),
                                      "dashboard_section string, characteristic string").coalesce(1)

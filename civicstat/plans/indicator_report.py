@@ -16,7 +16,7 @@ input once (a checkpoint) instead of once per plan part.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -241,19 +241,21 @@ def permits_by_sector_latest(long: DataFrame, values=None) -> DataFrame:
 
 def labour_force_top_industries(census: DataFrame, geo_dim: DataFrame, k: int = 6,
                                 industries: Sequence[str] = NAICS_INDUSTRIES, communities=None,
-                                share_input: bool = False) -> DataFrame:
+                                share_input: bool = False, rules=(("%Rocky View%", "Rocky View"),),
+                                labels: Mapping[str, str] = NAICS_SHORT) -> DataFrame:
     """Top-k industries by total workers, workers per (short label, community).
 
     census(geography_id, characteristic, indicator_value) joins the
     geography dimension; the IN list is a literal list (P5), the community
-    label comes from a searched CASE with a split fallback (F2, F3).
+    label comes from a searched CASE over ``rules`` with a split fallback
+    (F2, F3), the short label from ``labels`` with the name as fallback (F5).
     """
     c = L.normalise_value(census.filter(F.col("characteristic").isin(list(industries))))
-    community = case_like("geography", [("%Rocky View%", "Rocky View")], first_token(F.col("geography"), ","))
+    community = case_like("geography", list(rules), first_token(F.col("geography"), ","))
     rows = c.join(geo_dim.select("geography_id", "geography"), "geography_id").select(
         community.alias("community"), F.col("characteristic").alias("industry"), F.col(_VAL).alias("workers"))
     top = rank.keep_top_k(rows, "industry", "workers", k, "sum")
-    labelled = top.withColumn("short", map_with_fallback("industry", NAICS_SHORT))
+    labelled = top.withColumn("short", map_with_fallback("industry", labels))
     if share_input and communities is None:   # column discovery and pivot read it once
         from civicstat.session import materialize
         labelled = materialize(labelled)

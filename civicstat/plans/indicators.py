@@ -8,19 +8,22 @@ section x geography x characteristic x period.
     geography_type = r_name, timeframe = text of the year.
 
 Sections
-    demand     'Orders'; 'Orders - <priority> (number)' / '(value)',
-               NULL when the cell holds fewer than 10 orders (suppression)
+    demand     'Orders'; 'Orders - <priority> (number)' and '(value)', the
+               value of the year's fourth quarter: NULL while a year has none
     rates      'High value (rate)' (o_totalprice > 250,000) and 'Open (rate)'
-               (status O), percent with one decimal (half up); nation 3 has
-               no rates after 1999 (a stale series)
+               (status O), percent with one decimal (half up)
     segments   'Segment: <c_mktsegment>' order counts per year plus one
                'All years' row per nation and segment (a non-year period)
     shipments  'Shipments - <l_returnflag>' summed l_quantity by ship year
-               and supplier nation; nations 0-19 only (partial coverage)
+               and supplier nation
 
-Plan: orders are joined to customer (broadcast while customer is under the
-size threshold, else a sort-merge join on the customer key, where AQE
-splits a skewed key) and reduced, with map-side partial aggregation, to a
+Every row of the source tables counts. ``gap_indicators`` takes cells away
+again, as the input of the gap and coverage queries alone.
+
+Plan: orders are summed by customer, year and priority, so that a hot
+customer sends one row a task and cell, joined to customer (broadcast while
+customer is under the size threshold, else a sort-merge join on the customer
+key) and reduced, with map-side partial aggregation, to a
 cell table (nation, year, priority, segment) that has at most a few
 thousand rows at any scale; a hot nation or year never lands whole in one
 task.  Two plans yield identical rows (see ``indicators``): per-family
@@ -37,13 +40,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicstat.functions.numeric import pct_half_up
-from civicstat.sources.tables import load, plan_cache
+from civicstat.sources.tables import load
 
-SUPPRESS_BELOW = 10
 HIGH_VALUE = 250000
-STALE_NATION = 3
-STALE_AFTER = 1999
-SHIPMENT_NATIONS_BELOW = 20
+# Cells taken away from the input of the gap and coverage queries.
+GAP_STALE_NATION = 3
+GAP_STALE_AFTER = 1999
+GAP_SHIPMENT_NATIONS = 20
 
 
 def geography(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,10 +60,14 @@ def geography(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """orders joined to their customer's nation and segment (pruned columns)."""
-    orders = load(spark, sf_dir, "orders").select(
-        "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority",
-        F.year("o_orderdate").alias("yr"))
+    """Sums of orders by customer, year and priority, with the customer's nation and segment."""
+    price = F.col("o_totalprice").cast("decimal(18,2)")
+    orders = (load(spark, sf_dir, "orders")
+              .groupBy("o_custkey", F.year("o_orderdate").alias("yr"), F.col("o_orderpriority").alias("prio"))
+              .agg(F.count(F.lit(1)).alias("n"),
+                   F.sum(F.when(F.quarter("o_orderdate") == 4, price)).alias("amt"),
+                   F.count_if(F.col("o_totalprice") > HIGH_VALUE).alias("h"),
+                   F.count_if(F.col("o_orderstatus") == "O").alias("o")))
     customer = load(spark, sf_dir, "customer").select(
         "c_custkey", F.col("c_nationkey").alias("nk"), F.col("c_mktsegment").alias("seg"))
     return orders.join(customer, orders.o_custkey == customer.c_custkey)
@@ -80,7 +87,7 @@ def _rows(section: str, source: str, timeframe, cells: list[tuple]):
 
 
 def indicators(spark: SparkSession, sf_dir: str, single_scan: bool = False) -> DataFrame:
-    """IND over the tables in ``sf_dir`` (plan memoized per session).
+    """IND over the tables in ``sf_dir``.
 
     Two plans give identical rows; the query picks the one that fits its
     access pattern:
@@ -93,11 +100,19 @@ def indicators(spark: SparkSession, sf_dir: str, single_scan: bool = False) -> D
       families come from ONE cell aggregate, for queries that read all (or
       several) sections; orders is scanned and joined once.
     """
-    cache = plan_cache(spark)
-    key = ("ind", sf_dir.rstrip("/"), single_scan)
-    if key not in cache:
-        cache[key] = (build_indicators_single_scan if single_scan else build_indicators)(spark, sf_dir)
-    return cache[key]
+    return (build_indicators_single_scan if single_scan else build_indicators)(spark, sf_dir)
+
+
+def gap_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IND without some cells: the input made for the gap and coverage queries.
+
+    Shipments of nations 20 to 24 (partial coverage) and the rates of nation
+    3 after 1999 (a stale series) are absent.
+    """
+    nk = F.col("geography_id").cast("int")
+    absent = ((F.col("dashboard_section") == "shipments") & (nk >= GAP_SHIPMENT_NATIONS)) | (
+        (F.col("dashboard_section") == "rates") & (nk == GAP_STALE_NATION) & (F.col("timeframe") > str(GAP_STALE_AFTER)))
+    return indicators(spark, sf_dir, single_scan=True).filter(~absent)
 
 
 def order_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,11 +125,8 @@ def order_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     caller's period filter below it into the orders scan (before the join);
     the single-scan plan computes it once for all families.
     """
-    return order_facts(spark, sf_dir).groupBy("nk", "yr", F.col("o_orderpriority").alias("prio"), "seg").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("amt"),
-        F.count_if(F.col("o_totalprice") > HIGH_VALUE).alias("h"),
-        F.count_if(F.col("o_orderstatus") == "O").alias("o"))
+    return order_facts(spark, sf_dir).groupBy("nk", "yr", "prio", "seg").agg(
+        *[F.sum(c).alias(c) for c in ("n", "amt", "h", "o")])
 
 
 def build_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,18 +138,16 @@ def build_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     cells = order_cells(spark, sf_dir)
     year_txt = F.col("yr").cast("string")
-    kept = F.col("n") >= SUPPRESS_BELOW
 
     per_year = cells.groupBy("nk", "yr").agg(F.sum("n").alias("n"), F.sum("h").alias("h"), F.sum("o").alias("o"))
     demand_total = per_year.select(*_rows("demand", "orders", year_txt, [(F.lit("Orders"), F.col("n"))]))
-    fresh = per_year.filter(~((F.col("nk") == STALE_NATION) & (F.col("yr") > STALE_AFTER)))
-    rates = fresh.select(*_rows("rates", "orders", year_txt, [
+    rates = per_year.select(*_rows("rates", "orders", year_txt, [
         (F.lit("High value (rate)"), _rate("h", "n")), (F.lit("Open (rate)"), _rate("o", "n"))]))
 
     per_prio = cells.groupBy("nk", "yr", "prio").agg(F.sum("n").alias("n"), F.sum("amt").alias("amt"))
     demand_prio = per_prio.select(*_rows("demand", "orders", year_txt, [
-        (F.concat(F.lit("Orders - "), "prio", F.lit(" (number)")), F.when(kept, F.col("n"))),
-        (F.concat(F.lit("Orders - "), "prio", F.lit(" (value)")), F.when(kept, F.col("amt")))]))
+        (F.concat(F.lit("Orders - "), "prio", F.lit(" (number)")), F.col("n")),
+        (F.concat(F.lit("Orders - "), "prio", F.lit(" (value)")), F.col("amt"))]))
 
     # per year and over all years in one aggregation (grouping sets)
     per_seg = cells.groupingSets([["nk", "seg", "yr"], ["nk", "seg"]], "nk", "seg", "yr").agg(
@@ -146,15 +156,7 @@ def build_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
     segments = per_seg.select(*_rows("segments", "orders", seg_tf, [
         (F.concat(F.lit("Segment: "), "seg"), F.col("n"))]))
 
-    supplier = (load(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("nk"))
-                .filter(F.col("nk") < SHIPMENT_NATIONS_BELOW))
-    lineitem = load(spark, sf_dir, "lineitem").select(
-        "l_suppkey", "l_quantity", "l_returnflag", F.year("l_shipdate").alias("yr"))
-    ship = (lineitem.join(supplier, lineitem.l_suppkey == supplier.s_suppkey)
-            .groupBy("nk", "yr", "l_returnflag")
-            .agg(F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("q")))
-    shipments = ship.select(*_rows("shipments", "lineitem", year_txt, [
-        (F.concat(F.lit("Shipments - "), "l_returnflag"), F.col("q"))]))
+    shipments = _shipments(spark, sf_dir)
 
     parts = [demand_total, demand_prio, rates, segments, shipments]
     body = parts[0]
@@ -167,13 +169,13 @@ def build_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    supplier = (load(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("nk"))
-                .filter(F.col("nk") < SHIPMENT_NATIONS_BELOW))
-    lineitem = load(spark, sf_dir, "lineitem").select(
-        "l_suppkey", "l_quantity", "l_returnflag", F.year("l_shipdate").alias("yr"))
+    """lineitem summed by supplier, year and flag before it meets supplier."""
+    supplier = load(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("nk"))
+    lineitem = (load(spark, sf_dir, "lineitem")
+                .groupBy("l_suppkey", F.year("l_shipdate").alias("yr"), "l_returnflag")
+                .agg(F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("q")))
     ship = (lineitem.join(supplier, lineitem.l_suppkey == supplier.s_suppkey)
-            .groupBy("nk", "yr", "l_returnflag")
-            .agg(F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("q")))
+            .groupBy("nk", "yr", "l_returnflag").agg(F.sum("q").alias("q")))
     return ship.select(*_rows("shipments", "lineitem", F.col("yr").cast("string"), [
         (F.concat(F.lit("Shipments - "), "l_returnflag"), F.col("q"))]))
 
@@ -195,13 +197,10 @@ def build_indicators_single_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("n").alias("n"), F.sum("amt").alias("amt"), F.sum("h").alias("h"), F.sum("o").alias("o"),
         F.grouping("yr").alias("g_yr"), F.grouping("prio").alias("g_prio"), F.grouping("seg").alias("g_seg"))
     year_txt = F.col("yr").cast("string")
-    kept = F.col("n") >= SUPPRESS_BELOW
-    fresh = ~((F.col("nk") == STALE_NATION) & (F.col("yr") > STALE_AFTER))
 
-    def row(section, characteristic, timeframe, value, keep=F.lit(True)):
+    def row(section, characteristic, timeframe, value):
         return F.struct(F.lit(section).alias("dashboard_section"), characteristic.alias("characteristic"),
-                        timeframe.alias("timeframe"), value.cast("double").alias("indicator_value"),
-                        keep.alias("keep"))
+                        timeframe.alias("timeframe"), value.cast("double").alias("indicator_value"))
 
     by_year = (F.col("g_yr") == 0) & (F.col("g_prio") == 1) & (F.col("g_seg") == 1)
     by_prio = (F.col("g_yr") == 0) & (F.col("g_prio") == 0)
@@ -209,18 +208,18 @@ def build_indicators_single_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     generated = (
         F.when(by_year, F.array(
             row("demand", F.lit("Orders"), year_txt, F.col("n")),
-            row("rates", F.lit("High value (rate)"), year_txt, _rate("h", "n"), fresh),
-            row("rates", F.lit("Open (rate)"), year_txt, _rate("o", "n"), fresh)))
+            row("rates", F.lit("High value (rate)"), year_txt, _rate("h", "n")),
+            row("rates", F.lit("Open (rate)"), year_txt, _rate("o", "n"))))
         .when(by_prio, F.array(
             row("demand", F.concat(F.lit("Orders - "), "prio", F.lit(" (number)")), year_txt,
-                F.when(kept, F.col("n"))),
+                F.col("n")),
             row("demand", F.concat(F.lit("Orders - "), "prio", F.lit(" (value)")), year_txt,
-                F.when(kept, F.col("amt")))))
+                F.col("amt"))))
         .when(by_seg_year, F.array(
             row("segments", F.concat(F.lit("Segment: "), "seg"), year_txt, F.col("n"))))
         .otherwise(F.array(
             row("segments", F.concat(F.lit("Segment: "), "seg"), F.lit("All years"), F.col("n")))))
-    orders_rows = (fam.select("nk", F.inline(generated)).filter(F.col("keep")).drop("keep")
+    orders_rows = (fam.select("nk", F.inline(generated))
                    .withColumn("data_source", F.lit("orders"))
                    .select("dashboard_section", "nk", "timeframe", "characteristic", "indicator_value",
                            "data_source"))
@@ -236,7 +235,7 @@ geo AS (
 ),
 cells AS (
   SELECT c_nationkey AS nk, year(o_orderdate) AS yr, o_orderpriority AS prio, c_mktsegment AS seg,
-         count(*) AS n, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS amt,
+         count(*) AS n, sum(CASE WHEN quarter(o_orderdate) = 4 THEN CAST(o_totalprice AS DECIMAL(18,2)) END) AS amt,
          count_if(o_totalprice > {HIGH_VALUE}) AS n_high, count_if(o_orderstatus = 'O') AS n_open
   FROM orders JOIN customer ON o_custkey = c_custkey
   GROUP BY 1, 2, 3, 4
@@ -249,7 +248,6 @@ ship AS (
   SELECT s_nationkey AS nk, year(l_shipdate) AS yr, l_returnflag,
          sum(CAST(l_quantity AS DECIMAL(18,2))) AS q
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
-  WHERE s_nationkey < {SHIPMENT_NATIONS_BELOW}
   GROUP BY 1, 2, 3
 ),
 body AS (
@@ -257,18 +255,18 @@ body AS (
          CAST(n AS DOUBLE) AS indicator_value, 'orders' AS data_source FROM per_year
   UNION ALL
   SELECT 'demand', nk, 'Orders - ' || prio || ' (number)', CAST(yr AS VARCHAR),
-         CASE WHEN n >= {SUPPRESS_BELOW} THEN CAST(n AS DOUBLE) END, 'orders' FROM per_prio
+         CAST(n AS DOUBLE), 'orders' FROM per_prio
   UNION ALL
   SELECT 'demand', nk, 'Orders - ' || prio || ' (value)', CAST(yr AS VARCHAR),
-         CASE WHEN n >= {SUPPRESS_BELOW} THEN CAST(amt AS DOUBLE) END, 'orders' FROM per_prio
+         CAST(amt AS DOUBLE), 'orders' FROM per_prio
   UNION ALL
   SELECT 'rates', nk, 'High value (rate)', CAST(yr AS VARCHAR),
          CAST((2000 * h + n) // (2 * n) AS DOUBLE) / 10, 'orders'
-  FROM per_year WHERE NOT (nk = {STALE_NATION} AND yr > {STALE_AFTER})
+  FROM per_year
   UNION ALL
   SELECT 'rates', nk, 'Open (rate)', CAST(yr AS VARCHAR),
          CAST((2000 * o + n) // (2 * n) AS DOUBLE) / 10, 'orders'
-  FROM per_year WHERE NOT (nk = {STALE_NATION} AND yr > {STALE_AFTER})
+  FROM per_year
   UNION ALL
   SELECT 'segments', nk, 'Segment: ' || seg, CAST(yr AS VARCHAR), CAST(n AS DOUBLE), 'orders' FROM per_seg
   UNION ALL
@@ -284,6 +282,15 @@ ind AS (
 )"""
 
 
+# DuckDB twin of ``gap_indicators``.
+GAP_IND_SQL = IND_SQL.replace("\nind AS (", "\nind_all AS (") + f""",
+ind AS (
+  SELECT * FROM ind_all
+  WHERE NOT (dashboard_section = 'shipments' AND CAST(geography_id AS INTEGER) >= {GAP_SHIPMENT_NATIONS})
+    AND NOT (dashboard_section = 'rates' AND geography_id = '{GAP_STALE_NATION}' AND timeframe > '{GAP_STALE_AFTER}')
+)"""
+
+
 # Parsed year of the text period in oracle SQL (NULL for non-year periods).
 YEAR_SQL = "CASE WHEN regexp_full_match(timeframe, '[0-9]{4}') THEN CAST(timeframe AS INTEGER) END"
 
@@ -293,9 +300,13 @@ def sql_str(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def with_ind(sql: str) -> str:
+def with_ind(sql: str, ind_sql: str = IND_SQL) -> str:
     """Prefix an oracle query with the IND CTE chain (query may add CTEs)."""
     s = sql.strip()
     if s[:4].upper() == "WITH":
-        return "WITH " + IND_SQL + ",\n" + s[4:].lstrip()
-    return "WITH " + IND_SQL + "\n" + s
+        return "WITH " + ind_sql + ",\n" + s[4:].lstrip()
+    return "WITH " + ind_sql + "\n" + s
+
+
+def with_gap_ind(sql: str) -> str:
+    return with_ind(sql, GAP_IND_SQL)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from civicstat.operators import profile as P
-from civicstat.plans.indicators import geography, indicators, with_ind, YEAR_SQL
+from civicstat.plans.indicators import gap_indicators, geography, indicators, with_gap_ind, with_ind, YEAR_SQL
 from civicstat.plans.registry import query
 from civicstat.sources.tables import load
 
@@ -57,7 +57,7 @@ def completeness_rollup(spark, d):
     return P.completeness_rollup(indicators(spark, d, single_scan=True)).orderBy("is_total", "dashboard_section")
 
 
-@query("coverage_matrix_zero", ids="G3 A2", sql=with_ind(f"""
+@query("coverage_matrix_zero", ids="G3 A2", sql=with_gap_ind(f"""
 WITH c AS (SELECT dashboard_section, geography, count(*) AS n FROM ind GROUP BY 1, 2),
 grid AS (SELECT s.dashboard_section, n_name AS geography FROM nation, (VALUES {_SECTIONS_SQL}) s(dashboard_section))
 SELECT g.dashboard_section, g.geography, coalesce(c.n, 0) AS rows
@@ -67,11 +67,11 @@ ORDER BY g.dashboard_section, g.geography
 def coverage_matrix_zero(spark, d):
     """Rows per (section, community) incl. zero cells: nations 20-24 ship nothing."""
     geo = geography(spark, d)
-    return P.coverage_matrix(indicators(spark, d, single_scan=True), geo, SECTIONS).select(
+    return P.coverage_matrix(gap_indicators(spark, d), geo, SECTIONS).select(
         "dashboard_section", "geography", "rows").orderBy("dashboard_section", "geography")
 
 
-@query("gap_coverage", ids="G3", sql=with_ind(f"""
+@query("gap_coverage", ids="G3", sql=with_gap_ind(f"""
 WITH c AS (SELECT dashboard_section, geography, count(*) AS n FROM ind GROUP BY 1, 2),
 grid AS (SELECT s.dashboard_section, n_name AS geography FROM nation, (VALUES {_SECTIONS_SQL}) s(dashboard_section)),
 m AS (SELECT g.dashboard_section, coalesce(c.n, 0) AS rows FROM grid g LEFT JOIN c
@@ -81,7 +81,7 @@ SELECT dashboard_section, CAST(count_if(rows > 0) AS BIGINT) AS covered, count(*
 FROM m GROUP BY dashboard_section ORDER BY dashboard_section
 """))
 def gap_coverage(spark, d):
-    m = P.coverage_matrix(indicators(spark, d, single_scan=True), geography(spark, d), SECTIONS)
+    m = P.coverage_matrix(gap_indicators(spark, d), geography(spark, d), SECTIONS)
     return P.coverage_summary(m).orderBy("dashboard_section")
 
 

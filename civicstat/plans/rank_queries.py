@@ -166,12 +166,12 @@ def typed_value_sort(spark, d):
 
 # Segments of the driver data, as a Python list (P5: the IN list is assembled at run time).
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+SHORT_SEGMENTS = {"AUTOMOBILE": "Cars", "BUILDING": "Build", "FURNITURE": "Home"}
+COMMUNITIES = ["Europe", *(f"NATION_{i}" for i in range(25))]
 
 
 def _industry_sql() -> str:
-    from civicstat.plans.indicator_report import NAICS_SHORT
-    short = "CASE industry " + " ".join(f"WHEN {sql_str(k)} THEN {sql_str(v)}" for k, v in NAICS_SHORT.items()) \
-        + " ELSE industry END"
+    short = "CASE industry " + " ".join(f"WHEN {sql_str(k)} THEN {sql_str(v)}" for k, v in SHORT_SEGMENTS.items()) + " ELSE industry END"
     return f"""
 WITH census AS (
   SELECT CAST(c_nationkey AS VARCHAR) AS geography_id, c_mktsegment AS characteristic,
@@ -183,7 +183,7 @@ geo AS (
   FROM nation JOIN region ON n_regionkey = r_regionkey
 ),
 r AS (
-  SELECT CASE WHEN g.geography LIKE '%Rocky View%' THEN 'Rocky View' ELSE split_part(g.geography, ',', 1) END
+  SELECT CASE WHEN g.geography LIKE '%, EUROPE' THEN 'Europe' ELSE split_part(g.geography, ',', 1) END
            AS community,
          c.characteristic AS industry, c.indicator_value AS workers
   FROM census c JOIN geo g ON c.geography_id = g.geography_id
@@ -191,7 +191,8 @@ r AS (
 ),
 top AS (SELECT industry FROM r GROUP BY industry ORDER BY sum(workers) DESC, industry LIMIT 3),
 kept AS (SELECT {short} AS short, community, workers FROM r WHERE industry IN (SELECT industry FROM top))
-PIVOT kept ON community USING coalesce(avg(workers), 0) GROUP BY short ORDER BY short
+SELECT short, {", ".join(f"coalesce(avg(workers) FILTER (community = {sql_str(c)}), 0) AS {c}" for c in COMMUNITIES)}
+FROM kept GROUP BY short ORDER BY short
 """
 
 
@@ -209,4 +210,5 @@ def industry_top_pivot(spark, d):
         F.col("n_nationkey").cast("string").alias("geography_id"),
         F.concat(F.col("n_name"), F.lit(", "), F.col("r_name")).alias("geography"))
     from civicstat.plans.indicator_report import labour_force_top_industries
-    return labour_force_top_industries(census, geo, k=3, industries=SEGMENTS, share_input=True)
+    return labour_force_top_industries(census, geo, k=3, industries=SEGMENTS, communities=COMMUNITIES,
+                                       rules=(("%, EUROPE", "Europe"),), labels=SHORT_SEGMENTS)

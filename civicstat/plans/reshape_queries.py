@@ -8,7 +8,6 @@ from civicstat.operators import longform as L
 from civicstat.operators import reshape as R
 from civicstat.plans.indicators import indicators, with_ind
 from civicstat.plans.registry import query
-from civicstat.session import materialize
 from civicstat.plans.star_queries import PRIORITY_ORDER
 from civicstat.sources.tables import load
 
@@ -51,18 +50,18 @@ def period_compare_pivot(spark, d):
     return wide.orderBy("y2000")   # O5: sort by the last pivot column
 
 
-@query("transposed_pivot", ids="A16", sql=with_ind("""
-PIVOT (SELECT characteristic, geography, indicator_value FROM ind
-       WHERE dashboard_section = 'rates' AND timeframe = '1997')
-ON geography USING max(indicator_value) GROUP BY characteristic
-ORDER BY characteristic
+NATIONS = [f"NATION_{i}" for i in range(25)]
+
+
+@query("transposed_pivot", ids="A16", sql=with_ind(f"""
+SELECT characteristic, {", ".join(f"max(indicator_value) FILTER (geography = '{n}') AS {n}" for n in NATIONS)}
+FROM ind WHERE dashboard_section = 'rates' AND timeframe = '1997'
+GROUP BY characteristic ORDER BY characteristic
 """))
 def transposed_pivot(spark, d):
     """characteristic x geography, not filled (a comparison table)."""
-    # the column discovery and the pivot both read the selection: compute it once
-    sel = materialize(L.select_indicators(indicators(spark, d), section="rates", periods=["1997"]))
-    values = R.pivot_values(sel, "geography")
-    return R.pivot_unique(sel, "characteristic", "geography", "indicator_value", values).orderBy("characteristic")
+    sel = L.select_indicators(indicators(spark, d), section="rates", periods=["1997"])
+    return R.pivot_unique(sel, "characteristic", "geography", "indicator_value", NATIONS).orderBy("characteristic")
 
 
 @query("pivot_duplicates_report", ids="A16", sql="""

@@ -79,6 +79,8 @@ def layout_spec(truths: Sequence[TruthSpec] = (), expected_objects: int | None =
         sum_close=(SumCloseSpec("income_sum~=households", D.INCOME_CATEGORIES, "household_count",
                                 D.DEMOGRAPHICS, "households", bound=10),),
         spots=(
+            SpotSpec("bachelor rent row present (airdrie 2024)", D.RENTAL_MARKET,
+                     "geography_key = 'airdrie' AND timeframe_id = 2024", minimum=1),
             SpotSpec("bachelor rent suppressed (airdrie 2024)", D.RENTAL_MARKET,
                      "geography_key = 'airdrie' AND timeframe_id = 2024 AND rent_bachelor IS NOT NULL", maximum=0),
             SpotSpec("co-op units all 0", D.RENTAL_SUPPLY, "co_op_units != 0", maximum=0),

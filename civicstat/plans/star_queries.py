@@ -196,9 +196,9 @@ def dynamic_in_list(spark, d, priorities=("1-URGENT", "2-HIGH")):
 
 @query("union_distinct_refs", ids="U2 U3 J4", sql="""
 WITH refs AS (
-  SELECT s_nationkey AS nk FROM supplier WHERE s_acctbal > 9000
+  SELECT s_nationkey AS nk FROM supplier
   UNION
-  SELECT c_nationkey FROM customer WHERE c_acctbal > 9990
+  SELECT c_nationkey FROM customer
 )
 SELECT n_nationkey, n_name AS community,
        CASE WHEN refs.nk IS NOT NULL THEN 'USED' ELSE 'UNUSED' END AS status
@@ -206,8 +206,8 @@ FROM nation LEFT JOIN refs ON n_nationkey = refs.nk
 ORDER BY n_nationkey
 """)
 def union_distinct_refs(spark, d):
-    s = load(spark, d, "supplier").filter(F.col("s_acctbal") > 9000).select(F.col("s_nationkey").alias("nk"))
-    c = load(spark, d, "customer").filter(F.col("c_acctbal") > 9990).select(F.col("c_nationkey").alias("nk"))
+    s = load(spark, d, "supplier").select(F.col("s_nationkey").alias("nk"))
+    c = load(spark, d, "customer").select(F.col("c_nationkey").alias("nk"))
     refs = star.union_distinct([s, c])
     nation = _nation(spark, d).select("n_nationkey", F.col("n_name").alias("community"))
     flagged = star.presence_flag(nation, refs.withColumnRenamed("nk", "n_nationkey"), "n_nationkey")

@@ -42,24 +42,6 @@ class Tables:
         return self(name)
 
 
-def plan_cache(spark: SparkSession) -> dict:
-    """Per-session memo of lazy DataFrames (plans only, never data).
-
-    ``spark.read.parquet`` lists files and reads footers on every call; a
-    memoized handle skips that driver work while every action still scans
-    the files.  ``refresh(spark)`` drops the memo after files change.
-    """
-    cache = getattr(spark, "_civicstat_plans", None)
-    if cache is None:
-        cache = {}
-        spark._civicstat_plans = cache
-    return cache
-
-
-def refresh(spark: SparkSession) -> None:
-    plan_cache(spark).clear()
-
-
 TABLE_PREFIX = "table:"
 
 
@@ -67,14 +49,6 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Table ``name`` under a root: a folder of ``<name>.parquet`` files, or
     ``table:<database>`` for catalog tables (e.g. bucketed copies, see
     ``sources.layout``)."""
-    cache = plan_cache(spark)
     if sf_dir.startswith(TABLE_PREFIX):
-        key = ("table", f"{sf_dir[len(TABLE_PREFIX):]}.{name}")
-        if key not in cache:
-            cache[key] = spark.table(key[1])
-        return cache[key]
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = ("parquet", path)
-    if key not in cache:
-        cache[key] = spark.read.parquet(path)
-    return cache[key]
+        return spark.table(f"{sf_dir[len(TABLE_PREFIX):]}.{name}")
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")  # lists the files anew, so appended ones are read

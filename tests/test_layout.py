@@ -5,7 +5,6 @@ import io
 
 from civicstat.plans.indicators import order_facts
 from civicstat.sources.layout import bucketed_copy
-from civicstat.sources.tables import refresh
 from tests.conftest import SF_SMALL
 
 
@@ -21,7 +20,6 @@ def test_bucketed_join_has_no_exchange(spark):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")      # force the shuffle-join path
     try:
-        refresh(spark)
         bucketed = plan(order_facts(spark, root))
         plain = plan(order_facts(spark, SF_SMALL))
         assert "SortMergeJoin" in bucketed and "Exchange" not in bucketed
@@ -29,4 +27,11 @@ def test_bucketed_join_has_no_exchange(spark):
         assert order_facts(spark, root).count() == order_facts(spark, SF_SMALL).count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-        refresh(spark)
+
+
+def test_appended_files_are_read(spark, tmp_path):
+    path = str(tmp_path / "nation.parquet")
+    spark.range(3).write.parquet(path)
+    assert load(spark, str(tmp_path), "nation").count() == 3
+    spark.range(5).write.mode("append").parquet(path)
+    assert load(spark, str(tmp_path), "nation").count() == 8
