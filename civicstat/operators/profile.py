@@ -106,10 +106,12 @@ def coverage_matrix(df: DataFrame, geo: DataFrame, sections: Sequence[str]) -> D
 
 
 def coverage_summary(matrix: DataFrame) -> DataFrame:
-    """Covered n of N geographies per section."""
+    """Covered n of N geographies per section, and the names of those without a row."""
     return matrix.groupBy(SECTION).agg(
         F.count_if(F.col("rows") > 0).alias("covered"), F.count(F.lit(1)).alias("total"),
-        F.count_if(F.col("rows") == 0).alias("uncovered"))
+        F.count_if(F.col("rows") == 0).alias("uncovered"),
+        # at most one name for each row of the geography dimension
+        F.array_join(F.sort_array(F.collect_list(F.when(F.col("rows") == 0, F.col(GEOGRAPHY)))), ", ").alias("missing"))
 
 
 def depth(df: DataFrame, geo: DataFrame, sections: str | Sequence[str], good: int, sparse: int = 1) -> DataFrame:

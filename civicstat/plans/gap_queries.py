@@ -37,6 +37,7 @@ GOOD_DEPTH = 7
 RULES = {
     "G1 missing periods": ("MISSING", "High"),
     "G2 missing characteristic": ("MISSING", "High"),
+    "G3 partial coverage": ("INCOMPLETE", "Medium"),
     "G4 uneven depth": ("INCOMPLETE", "Medium"),
     "G5 non-year period": ("DATA QUALITY", "High"),
     "G6 name drift": ("DATA QUALITY", "Medium"),
@@ -259,6 +260,16 @@ def gap_scope_share(spark, d):
 
 # ---- G12 ---------------------------------------------------------------
 
+_COVERAGE_BODY = f"""
+SELECT dashboard_section, count_if(n > 0) AS covered, count(*) AS total,
+       string_agg(geography, ', ' ORDER BY geography) FILTER (n = 0) AS missing
+FROM (SELECT s.dashboard_section, g.n_name AS geography,
+             (SELECT count(*) FROM ind WHERE ind.dashboard_section = s.dashboard_section AND ind.geography = g.n_name) AS n
+      FROM nation g, (VALUES {_SECTIONS_SQL}) s(dashboard_section))
+GROUP BY dashboard_section HAVING count_if(n = 0) > 0
+"""
+
+
 def _issue_sql(rule: str, section: str, subject: str, detail: str, body: str) -> str:
     t, p = RULES[rule]
     return (f"SELECT {_q(rule)} AS rule, CAST({section} AS VARCHAR) AS section, CAST({subject} AS VARCHAR) AS subject, "
@@ -268,6 +279,8 @@ def _issue_sql(rule: str, section: str, subject: str, detail: str, body: str) ->
 _REGISTER_SQL = "WITH " + GAP_IND_SQL + "\n" + "\nUNION ALL\n".join([
     _issue_sql("G1 missing periods", "dashboard_section", "geography", "'year ' || CAST(year AS VARCHAR)", _PERIODS_BODY),
     _issue_sql("G2 missing characteristic", "dashboard_section", "characteristic", "'not in data'", _CHARS_BODY),
+    _issue_sql("G3 partial coverage", "dashboard_section", "CAST(covered AS VARCHAR) || ' of ' || CAST(total AS VARCHAR)",
+               "missing", _COVERAGE_BODY),
     _issue_sql("G4 uneven depth", "dashboard_section", "geography || ' / ' || characteristic",
                "depth || ': ' || CAST(periods AS VARCHAR) || ' periods'",
                f"SELECT * FROM ({_DEPTH_BODY}) WHERE depth <> 'good'"),
@@ -279,7 +292,7 @@ _REGISTER_SQL = "WITH " + GAP_IND_SQL + "\n" + "\nUNION ALL\n".join([
 ]) + "\nORDER BY rule, section, subject"
 
 
-@query("gap_issue_register", ids="G12 G1 G2 G4 G5 G6 G9 G10", sql=_REGISTER_SQL)
+@query("gap_issue_register", ids="G12 G1 G2 G3 G4 G5 G6 G9 G10", sql=_REGISTER_SQL)
 def gap_issue_register(spark, d):
     ind = materialize(gap_indicators(spark, d))   # read by six rules: build once
     geo = geography(spark, d)
@@ -296,6 +309,9 @@ def gap_issue_register(spark, d):
              F.col("geography"), F.concat(F.lit("year "), F.col("year").cast("string"))),
         rule("G2 missing characteristic", P.missing_characteristics(ind, expected), "dashboard_section",
              F.col("characteristic"), F.lit("not in data")),
+        rule("G3 partial coverage", P.coverage_summary(P.coverage_matrix(ind, geo, SECTIONS)).filter("uncovered > 0"),
+             "dashboard_section", F.concat(F.col("covered").cast("string"), F.lit(" of "), F.col("total").cast("string")),
+             F.col("missing")),
         rule("G4 uneven depth", dep, "dashboard_section",
              F.concat(F.col("geography"), F.lit(" / "), F.col("characteristic")),
              F.concat(F.col("depth"), F.lit(": "), F.col("periods").cast("string"), F.lit(" periods"))),

@@ -74,10 +74,11 @@ def coverage_matrix_zero(spark, d):
 @query("gap_coverage", ids="G3", sql=with_gap_ind(f"""
 WITH c AS (SELECT dashboard_section, geography, count(*) AS n FROM ind GROUP BY 1, 2),
 grid AS (SELECT s.dashboard_section, n_name AS geography FROM nation, (VALUES {_SECTIONS_SQL}) s(dashboard_section)),
-m AS (SELECT g.dashboard_section, coalesce(c.n, 0) AS rows FROM grid g LEFT JOIN c
+m AS (SELECT g.dashboard_section, g.geography, coalesce(c.n, 0) AS rows FROM grid g LEFT JOIN c
       ON g.dashboard_section = c.dashboard_section AND g.geography = c.geography)
 SELECT dashboard_section, CAST(count_if(rows > 0) AS BIGINT) AS covered, count(*) AS total,
-       CAST(count_if(rows = 0) AS BIGINT) AS uncovered
+       CAST(count_if(rows = 0) AS BIGINT) AS uncovered,
+       coalesce(string_agg(geography, ', ' ORDER BY geography) FILTER (rows = 0), '') AS missing
 FROM m GROUP BY dashboard_section ORDER BY dashboard_section
 """))
 def gap_coverage(spark, d):

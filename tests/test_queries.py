@@ -6,12 +6,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from civicstat.plans.registry import all_queries
 from tests.conftest import SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = {name: q.build for name, q in all_queries().items()}
+ORACLE = {name: q.sql for name, q in all_queries().items() if q.sql}
 
 
 @pytest.fixture(scope="module")

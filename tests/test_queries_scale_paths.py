@@ -10,11 +10,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from civicstat.plans.registry import all_queries
 from tests.conftest import SF_SMALL
 from tests.test_queries import TABLES, canon
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = {name: q.build for name, q in all_queries().items()}
+ORACLE = {name: q.sql for name, q in all_queries().items() if q.sql}
 
 SCALE_PATH_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
