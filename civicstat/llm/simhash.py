@@ -26,6 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from civicstat.llm.common import bounded_batches, grouped_batches, stage, text_list
 from civicstat.llm.graph import components
@@ -60,15 +61,20 @@ def fingerprint(text: bytes, size: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, size: int = SHINGLE) -> DataFrame:
     """(id_col, fp): fp holds the 64 bits as a signed long."""
+    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    return _with_fingerprint(own, "text", size).select(F.col("id").alias(id_col), "fp")
+
+
+def _with_fingerprint(docs: DataFrame, text_col: str, size: int) -> DataFrame:
+    """The columns of ``docs``, none of which is named fp, and fp."""
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = np.fromiter((fingerprint(t, size) for t in text_list(b, "text")), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(fp.view(np.int64))], ["id", "fp"])
+            fp = np.fromiter((fingerprint(t, size) for t in text_list(b, text_col)), np.uint64, b.num_rows)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fp.view(np.int64))], [*b.schema.names, "fp"])
 
-    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return own.mapInArrow(run, f"id {own.schema['id'].dataType.simpleString()}, fp long").withColumnRenamed("id", id_col)
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("fp", T.LongType())]))
 
 
 class BKTree:
@@ -173,17 +179,20 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", siz
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs`` with one row of each component, that with the smallest id.
 
-    Where rows share that id, or all ids of a component are null, one of them stays.
+    Where rows of a component share that id, or all its ids are null, the one of the smallest
+    fingerprint stays, and of equal fingerprints the smallest text.
     """
     columns = docs.columns
     found = classes(docs, id_col, text_col, size, radius)
-    first = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min(id_col).alias("__keep"), F.min("fp").alias("__fp"))
-    keep = stage(first.select("__keep", "__fp"), "simhash-kept")
-    # ids that occur once in the input need no second look; the rest are told apart by text
-    kept = docs.join(keep.select("__keep"), docs[id_col].eqNullSafe(keep["__keep"]), "left_semi")
-    unique = kept.dropDuplicates([id_col]) if _has_repeats(kept, id_col) else kept
-    return unique.select(*columns)
-
-
-def _has_repeats(df: DataFrame, id_col: str) -> bool:
-    return not df.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+    first = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min(id_col).alias("__id"), F.min("fp").alias("__fp"))
+    keep = stage(first.select("__id", "__fp"), "simhash-kept")
+    # ids may repeat or be null across components; a fingerprint lies in one component only
+    near = docs.join(keep.select("__id").distinct(), docs[id_col].eqNullSafe(F.col("__id")), "left_semi")
+    inner = [f"c{i}" for i in range(len(columns))]
+    own_id, own_text = inner[columns.index(id_col)], inner[columns.index(text_col)]
+    marked = stage(_with_fingerprint(near.toDF(*inner).withColumn("__text", F.col(own_text).cast("string")), "__text", size).drop("__text"), "simhash-near")
+    kept = marked.join(keep, marked[own_id].eqNullSafe(keep["__id"]) & (marked["fp"] == keep["__fp"])).select(*inner, "fp")
+    if not kept.groupBy(own_id, "fp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        least = kept.groupBy(own_id, "fp").agg(F.min_by(F.struct(*inner), F.coalesce(F.col(own_text).cast("string"), F.lit(""))).alias("row"))
+        kept = least.select("row.*")
+    return kept.select(*inner).toDF(*columns)

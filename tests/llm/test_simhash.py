@@ -109,3 +109,12 @@ def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, component_id long, fp int")
     assert simhash.classes(empty).count() == 0
     assert simhash.dedup(empty).columns == empty.columns
+
+
+def test_dedup_keeps_unlinked_documents_with_repeated_and_null_ids(frame):
+    rng = random.Random(11)
+    texts = [" ".join(f"w{rng.randrange(5000)}" for _ in range(60)) for _ in range(14)]
+    rows = [(5, texts[0]), (5, texts[1]), (5, texts[1]), (6, texts[1]), *((None, t) for t in texts[2:12]), (None, texts[2]), (7, texts[12]), (None, texts[12]), (8, None), (8, texts[13])]
+    got = [tuple(r) for r in simhash.dedup(frame(rows)).collect()]
+    want = [(5, texts[0]), (5, texts[1]), *((None, t) for t in texts[2:12]), (7, texts[12]), (8, None), (8, texts[13])]
+    assert sorted(map(str, got)) == sorted(map(str, want))
