@@ -7,13 +7,17 @@ format: separators, upper case, prefixes, a card's brand and whether its check d
 
 Two entities never share a surrogate (distinctness), and no surrogate is an entity of the corpus:
 the distinct entities are checked for collisions by a grouped count and an anti join, and those
-that collide draw again with the next attempt number until none is left.
+that collide draw again with the next attempt number until none is left. After ``ATTEMPTS`` draws
+surrogates get longer by a place a draw (addresses leave their private network), so that there
+are always free ones.
 
 Only mentions are shuffled for this. Texts without a digit, ``@``, ``=`` or name pass by untouched; the
 others meet their replacements in one join by row.
 
 Defined results:
 
+- a phone has 7 digits or more, a secret a letter or digit; letters and digits of scripts without
+  an alphabet below become Latin letters and digits 0-9;
 - null text stays null, empty text stays empty;
 - null ids and repeated rows are fine: rows are joined by id and a digest of the text, which
   determine the result;
@@ -24,6 +28,7 @@ Defined results:
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +37,7 @@ from civicstat.llm.common import stage
 
 #: Default key; production passes its own.
 KEY = "surrogates"
-#: Draws before a kind counts as used up.
+#: Draws in an entity's own length; then each draw is one place longer than the one before.
 ATTEMPTS = 40
 
 # Titles by gender, given names by script and gender, syllables by script.
@@ -69,6 +74,8 @@ ALPHABETS = [
 ]
 
 _B, _E = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
+#: A further digit of a phone; spelled out, since look-behinds take no repeated groups.
+_MORE = r"[ .\-()]{0,3}\p{Nd}"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _NAME = r"\p{Lu}[\p{L}'’\-]+"
 _TITLE = "|".join(t for g in TITLES.values() for t in sorted(g, key=len, reverse=True))
@@ -77,11 +84,11 @@ _GIVEN = "|".join(n for g in GIVEN.values() for n in g)
 KINDS = {
     "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}\-]++(?:\.[\p{L}\p{N}\-]++)+",
     "key": rf"{_B}AKIA[A-Z0-9]{{16}}{_E}",
-    "secret": r"(?i:(?:password|passwd|pwd|token|secret|api_key)\s{0,2}[=:]\s{0,2})[\"']?[A-Za-z0-9+/_\-]{8,}+[\"']?",
+    "secret": r"(?i:(?:password|passwd|pwd|token|secret|api_key)\s{0,2}[=:]\s{0,2})[\"']?(?=[+/_\-]*+[A-Za-z0-9])[A-Za-z0-9+/_\-]{8,}+[\"']?",
     "ip": rf"{_B}(?<![0-9]\.){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?[0-9]){_E}",
     "iban": rf"{_B}[A-Z]{{2}}[0-9]{{2}}(?: ?[0-9A-Z]{{4}}){{3,7}}(?: ?[0-9A-Z]{{1,3}})?{_E}",
     "ssn": rf"{_B}[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}{_E}",
-    "phone": rf"(?:\+\p{{Nd}}{{1,3}}(?:[ .\-]?\(?\p{{Nd}}{{1,4}}\)?){{2,5}}|(?:\(\p{{Nd}}{{3}}\) ?|{_B}\p{{Nd}}{{3}}[ .\-])\p{{Nd}}{{3}}[ .\-]\p{{Nd}}{{4}}){_E}",
+    "phone": rf"(?:\+\p{{Nd}}{{1,3}}(?:[ .\-]?\(?\p{{Nd}}{{1,4}}\)?){{2,5}}(?<=\p{{Nd}}{_MORE * 6}\)?)|(?:\(\p{{Nd}}{{3}}\) ?|{_B}\p{{Nd}}{{3}}[ .\-])\p{{Nd}}{{3}}[ .\-]\p{{Nd}}{{4}}){_E}",
     "card": rf"{_B}[0-9](?:[ \-]?[0-9]){{12,18}}{_E}",
     "person": rf"(?<!\p{{L}})(?=\p{{Lu}})(?:(?:{_TITLE})\.? {_NAME}(?: {_NAME}){{0,2}}|(?:{_GIVEN})(?: {_NAME}){{1,2}})",
 }
@@ -156,6 +163,8 @@ def _same_class(text: Column, stream: Column, hex_only: Column) -> Column:
         out = F.when(hex_only & c.rlike("[0-9a-f]"), F.substring(F.lit("0123456789abcdef"), b % 16 + 1, F.lit(1)))
         for a in ALPHABETS:
             out = out.when(F.instr(F.lit(a), c) > 0, F.substring(F.lit(a), b % len(a) + 1, F.lit(1)))
+        for group, a in ((r"\p{Nd}", ALPHABETS[0]), (r"\p{Lu}", ALPHABETS[2]), (r"\p{L}", ALPHABETS[1])):
+            out = out.when(c.rlike(group), F.substring(F.lit(a), b % len(a) + 1, F.lit(1)))
         return out.otherwise(c)
     return F.array_join(F.transform(F.split(text, "", -1), one), "")
 
@@ -183,10 +192,13 @@ def _candidate(kind: Column, canon: Column, attempt: Column, key: str) -> Column
     n = F.char_length(canon)
     head = F.substring(F.lit("23456789"), _byte(stream, F.lit(127)) % 8 + 1, F.lit(1))
     numbered = F.when(canon.rlike("^[0-9]"), F.concat(head, F.substring(swapped, F.lit(2), n))).otherwise(swapped)
-    card = F.concat(F.substring(canon, 1, 1), F.substring(swapped, F.lit(2), n - 2))
+    # places beyond the entity's own length
+    longer = F.greatest(attempt - (ATTEMPTS - 1), F.lit(0))
+    tail = F.when(longer > 0, F.array_join(F.transform(F.sequence(F.lit(1), longer), lambda i: (_byte(stream, i + 63) % 10).cast("string")), "")).otherwise("")
+    card = F.concat(F.substring(canon, 1, 1), F.substring(swapped, F.lit(2), n - 2), tail)
     # the last digit makes the check come out as the original's did
     check = F.pmod(_luhn(canon) - _luhn(F.concat(card, F.lit("0"))), F.lit(10))
-    octet = lambda i: F.when(canon.rlike(r"^(10|127|192\.168|169\.254)\.") & F.lit(i < 2), F.element_at(F.split(canon, r"\.", -1), i + 1)).otherwise((_byte(stream, F.lit(i)) % 223 + 1).cast("string"))
+    octet = lambda i: F.when(canon.rlike(r"^(10|127|192\.168|169\.254)\.") & F.lit(i < 2) & (attempt < ATTEMPTS), F.element_at(F.split(canon, r"\.", -1), i + 1)).otherwise((_byte(stream, F.lit(i)) % 223 + 1).cast("string"))
     script, gender = F.element_at(F.split(kind, ":", -1), -1), F.element_at(F.split(kind, ":", -1), 2)
     syllables = lambda s, count: F.array_join(F.transform(F.sequence(F.lit(0), count - 1), lambda i: _pick(SYLLABLES[s], _byte(stream, i))), "")
     family = reduce(lambda rest, s: F.when(script == s, F.concat(syllables(s, 3 + attempt), F.lit(ENDINGS[s, "n"]))).otherwise(rest), SYLLABLES, F.lit(None).cast("string"))
@@ -195,24 +207,25 @@ def _candidate(kind: Column, canon: Column, attempt: Column, key: str) -> Column
         names = GIVEN.get((s, g)) or [*GIVEN[s, "m"], *GIVEN[s, "f"]]
         made = F.concat(syllables(s, 1 + attempt), F.lit(end))
         given = F.when((script == s) & (gender == g), F.when(attempt < 2, F.lower(_pick(names, _byte(stream, F.lit(0))))).otherwise(made)).otherwise(given)
-    return (F.when(kind == "email", F.concat(_same_class(F.substring_index(canon, "@", 1), stream, F.lit(False)), F.lit("@"), label, F.when(tld.isin("com", "net", "org"), F.concat(F.lit(".example."), tld)).otherwise(".example")))
+    return (F.when(kind == "email", F.concat(_same_class(F.substring_index(canon, "@", 1), stream, F.lit(False)), tail, F.lit("@"), label, F.when(tld.isin("com", "net", "org"), F.concat(F.lit(".example."), tld)).otherwise(".example")))
             .when(kind == "card", F.concat(card, check.cast("string")))
             .when(kind == "ip", F.concat_ws(".", *[octet(i) for i in range(4)]))
-            .when(kind == "key", F.concat(F.lit("AKIA"), F.substring(swapped, F.lit(5), n)))
-            .when(kind == "iban", F.concat(F.substring(canon, 1, 2), F.substring(swapped, F.lit(3), n)))
+            .when(kind == "key", F.concat(F.lit("AKIA"), F.substring(swapped, F.lit(5), n), tail))
+            .when(kind == "iban", F.concat(F.substring(canon, 1, 2), F.substring(swapped, F.lit(3), n), tail))
             .when(kind.startswith("given:"), given).when(kind.startswith("family:"), family)
-            .when(kind == "secret", swapped).otherwise(numbered))
+            .when(kind == "secret", F.concat(swapped, tail)).otherwise(F.concat(numbered, tail)))
 
 
-def surrogates(entities: DataFrame, key: str = KEY, attempts: int = ATTEMPTS) -> DataFrame:
+def surrogates(entities: DataFrame, key: str = KEY, attempts: int | None = None) -> DataFrame:
     """(kind, canon, surrogate) for distinct entities (kind, canon), without collisions.
 
     Of several entities that draw the same surrogate, the one that sorts first keeps it. Kinds
     share no surrogates across genders or scripts of the same part of a name by construction.
+    A limit of ``attempts`` raises an error if it leaves entities; without one they draw on.
     """
     pending = entities.select("kind", "canon", F.lit(0).alias("attempt"))
     done = None
-    for _ in range(attempts):
+    for _ in count() if attempts is None else range(attempts):
         drawn = stage(pending.withColumn("surrogate", _candidate(F.col("kind"), F.col("canon"), F.col("attempt"), key)), "pii-drawn")
         first = drawn.groupBy("kind", "surrogate").agg(F.min("canon").alias("canon"))
         good = first.join(entities.select("kind", F.col("canon").alias("surrogate")), ["kind", "surrogate"], "left_anti")
@@ -234,7 +247,8 @@ def _laid_out(kind: Column, canon: Column, form: Column, surrogate: Column) -> C
         at = F.char_length(F.regexp_replace(F.substring(form, F.lit(1), i), r"[^\p{L}\p{Nd}]", "")) - skip
         return F.when(c.rlike(r"[\p{L}\p{Nd}]") & (at >= 0), F.substring(surrogate, at + 1, F.lit(1))).otherwise(c)
 
-    shaped = F.array_join(F.transform(F.split(form, "", -1), one), "")
+    # what is longer than the entity stands at the end
+    shaped = F.concat(F.array_join(F.transform(F.split(form, "", -1), one), ""), F.substring(surrogate, F.char_length(canon) + 1, F.char_length(surrogate)))
     upper = (F.upper(form) == form) & (F.lower(form) != form)
     cased = F.when(upper & (F.char_length(form) > 1), F.upper(surrogate)).otherwise(F.initcap(surrogate))
     return (F.when(kind.isin("phone", "card", "ssn", "iban"), shaped)

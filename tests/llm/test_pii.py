@@ -118,3 +118,26 @@ def test_edges(frame, edge_rows, spark):
 def test_plan_is_native(frame):
     plan = pii.replace(frame([(1, "a@b.com")]))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_blanks_and_digits_of_any_script(frame):
+    texts = ["Password: ________", "token: --------", "+250 of 300, +1.25 and +12 34", "call +৮৮০ ১৭১২ ৩৪৫৬৭৮", "call +๖๖ ๒ ๑๒๓ ๔๕๖๗", "ক@x.de", "secret=-------a", *(f"up +{k} points" for k in range(300, 800))]
+    got = run(frame, texts)
+    assert all(got[i].text == texts[i] and got[i].n == 0 for i in (0, 1, 2, *range(7, len(texts))))
+    assert all(got[i].n == 1 and got[i].text != texts[i] for i in (3, 4, 5, 6))
+    assert re.fullmatch(r"call \+\d{3} \d{4} \d{6}", got[3].text) and re.fullmatch(r"call \+\d\d \d \d{3} \d{4}", got[4].text)
+
+
+def test_entities_beyond_their_own_length_draw_longer_ones(spark, monkeypatch):
+    monkeypatch.setattr(pii, "ATTEMPTS", 2)
+    mails = [f"{c}@x.de" for c in "abcdefghijklmnopqrstuvwxyz0123456789"]
+    nets = [f"192.168.{i}.{j}" for i in range(1, 224) for j in range(1, 224)]
+    entities = spark.createDataFrame([("email", x) for x in mails] + [("ip", x) for x in nets], "kind string, canon string")
+    got = pii.surrogates(entities).collect()
+    assert len(got) == len(mails) + len(nets) == len({(r.kind, r.surrogate) for r in got})
+    assert not {r.surrogate for r in got} & {*mails, *nets}
+
+
+def test_longer_surrogates_are_laid_out_whole(spark):
+    df = spark.createDataFrame([("phone", "9885552485", "+1 (988) 555-2485", "23456789017"), ("ssn", "078051120", "078-05-1120", "234567890")], "kind string, canon string, form string, s string")
+    assert [r[0] for r in df.select(pii._laid_out(*map(F.col, df.columns))).collect()] == ["+1 (234) 567-89017", "234-56-7890"]
