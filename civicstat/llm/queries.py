@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicstat.llm import bpe, decontam, host_rules, langid, passages, pii, simhash, suffix, tokenfile, warc
+from civicstat.llm import bpe, decontam, host_rules, langid, passages, pieces, pii, simhash, suffix, tokenfile, warc
 from civicstat.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +125,9 @@ FROM f JOIN j ON f.source IS NOT DISTINCT FROM j.source
 @query("op10_host_rules", HOST_RULES_SQL)
 def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.judge(documents(spark, sf_dir))
+
+
+@query("op13_sentencepiece")
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pieces.encode(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+    return found.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), F.sha2(pieces.id_text("token_ids"), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
