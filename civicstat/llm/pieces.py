@@ -5,18 +5,15 @@ one marker is put before the text. Where no piece holds a marker behind another
 crosses from the end of a word to the next marker, so the pieces of a text are those of its chunks
 (a run of markers and the characters up to the next marker), one after another.
 
-Four steps in Spark:
+Each task keeps a table of the distinct chunks that it has met. A chunk that isn't in it yet is
+segmented once: it is cut wherever no piece holds the two adjacent characters, since no merge can
+cross there, and in each part the adjacent pair with the best score is merged first, the leftmost of
+equals. The ids of the chunks then go to the places where the chunks stand in the texts. Decoding
+joins the byte strings of the ids, without the marker that was put before the text.
 
-- blocks of some ``BLOCK_CHARS`` characters become one row each: the block's distinct chunks, and for
-  each document the places of its chunks among them;
-- the distinct chunks of all blocks become one table, and each of its rows is segmented once, the
-  adjacent pair with the best score first, the leftmost of equals;
-- the blocks' chunks are joined with that table: a chunk has one row a block, however often it
-  stands there, and what a frequent chunk still has is split by Spark as a skewed join;
-- the ids go back to their blocks, where each document takes them by position.
-
-Texts aren't shuffled, only chunks, ids and places. Decoding joins the byte strings of the ids,
-without the marker that was put before the text.
+Nothing is shuffled, so the work grows with the text and a frequent word is no hot key. A table for
+the whole corpus would be segmented a little less often, but each task's chunks and ids would travel
+twice; the README has the figures of that form.
 
 Defined results:
 
@@ -32,20 +29,19 @@ from __future__ import annotations
 
 import heapq
 import re
-import zlib
+from array import array
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civicstat.llm.common import bounded_batches, stage
+from civicstat.llm.common import bounded_batches
 
-#: Characters of text in a block, about.
-BLOCK_CHARS = 16_000_000
+#: A task's table starts anew once it holds chunks and parts of so many characters, or is so long.
+TABLE_CHARS, TABLE_ROWS = 16_000_000, 1_000_000
 #: The character that stands for a space in pieces.
 MARK = "▁"
 _CHUNK = re.compile(" *[^ ]+| +")
@@ -59,10 +55,25 @@ class Model:
     ids: dict[str, int]
     byte_ids: list[int]
     raw: dict[int, bytes]  # id -> bytes in a decoded text
+    pairs: set[str] = field(default_factory=set)  # adjacent characters of pieces
+
+    def __post_init__(self):
+        self.pairs = {p[i:i + 2] for p in self.cost for i in range(len(p) - 1)}
+
+    def parts(self, chunk: str) -> list[str]:
+        """A chunk (given without its first marker, others as spaces) cut where no merge can cross."""
+        marked = MARK + chunk.replace(" ", MARK)
+        pairs, out, start = self.pairs, [], 0
+        for i in range(1, len(marked)):
+            if marked[i - 1:i + 1] not in pairs:
+                out.append(marked[start:i])
+                start = i
+        out.append(marked[start:])
+        return out
 
-    def segment(self, chunk: str) -> list[int]:
-        """Ids of a chunk, which is given without its first marker, other markers as spaces."""
-        sym: list[str | None] = [MARK, *chunk.replace(" ", MARK)]
+    def segment(self, part: str) -> list[int]:
+        """Ids of a part."""
+        sym: list[str | None] = list(part)
         cost, n = self.cost, len(sym)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = [(c, i, t) for i in range(n - 1) if (c := cost.get(t := sym[i] + sym[i + 1])) is not None]
@@ -125,89 +136,57 @@ def chunks(text: str) -> list[str]:
     return text.split(" ")
 
 
-def _blocks(chars: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get().partitionId()
-        ids, counts, codes, places, size, number = [], [], [], {}, 0, 0
+class _Table(dict):
+    """Ids (32-bit integers) of chunks, each segmented when it is first asked for."""
 
-        def emit():
-            held = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
-            data = zlib.compress(np.concatenate(codes).tobytes(), 1)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([(task << 32) + number]), held(pa.concat_arrays(ids)), held(pa.array(counts, pa.int32())), pa.array([data], pa.binary()), held(pa.array(list(places), pa.string()))],
-                ["block", "ids", "counts", "codes", "chunks"])
+    def __init__(self, model: Model):
+        self.model, self.known, self.chars = model, {}, 0
 
-        for b in batches:
-            done = 0
-            for i, text in enumerate(b.column("text").to_pylist()):
-                own = chunks(text or "")
-                for c in set(own).difference(places):
-                    places[c] = len(places)
-                codes.append(np.fromiter(map(places.__getitem__, own), np.int32, len(own)))
-                counts.append(len(own))
-                size += len(text or "")
-                if size >= chars or i + 1 == b.num_rows:
-                    ids.append(b.column("id").slice(done, i + 1 - done))
-                    done = i + 1
-                if size >= chars:
-                    yield emit()
-                    ids, counts, codes, places, size, number = [], [], [], {}, 0, number + 1
-        if counts:
-            yield emit()
-    return run
+    def __missing__(self, chunk: str) -> bytes:
+        known, out = self.known, b""
+        for part in self.model.parts(chunk):
+            ids = known.get(part)
+            if ids is None:
+                ids = known[part] = array("i", self.model.segment(part)).tobytes()
+                self.chars += len(part)
+            out += ids
+        self.chars += len(chunk)
+        self[chunk] = out
+        return out
 
+    def full(self) -> bool:
+        return self.chars > TABLE_CHARS or len(self) + len(self.known) > TABLE_ROWS
 
-def _segment(model):
+
+def _encode(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model.value
+        table = _Table(own)
         for b in batches:
-            found = [own.segment(c) for c in b.column("chunk").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("chunk"), pa.array(found, pa.list_(pa.int32()))], ["chunk", "pieces"])
-    return run
-
-
-def _by_position(model):
-    def run(block: pa.Table, found: pa.Table) -> pa.Table:
-        """Ids and decoded bytes of a block's documents, from the pieces of its chunks."""
-        own = model.value
-        order = np.argsort(found.column("place").to_numpy())
-        pieces = found.column("pieces").combine_chunks().take(pa.array(order))
-        if isinstance(pieces, pa.ChunkedArray):
-            pieces = pa.concat_arrays(pieces.chunks) if pieces.num_chunks else pa.array([], pa.list_(pa.int32()))
-        first = pieces.offsets.to_numpy()[:-1].astype(np.int64) - (pieces.offsets[0].as_py() if len(pieces.offsets) else 0)
-        flat = pieces.flatten().to_numpy()
-        n_of = pieces.value_lengths().to_numpy().astype(np.int64)
-        listed = flat.tolist()
-        texts = [b"".join(map(own.raw.__getitem__, listed[a:a + n])) for a, n in zip(first.tolist(), n_of.tolist())]
-        codes = np.frombuffer(zlib.decompress(block.column("codes")[0].as_py()), np.int32)
-        counts = block.column("counts")[0].values.to_numpy()
-        n = n_of[codes]
-        out = np.repeat(first[codes] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-        ends = np.append(0, np.cumsum(counts))
-        token_ends = np.append(0, np.cumsum(n))[ends]
-        each = codes.tolist()
-        decoded = [b"".join(map(texts.__getitem__, each[a:b]))[1:] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
-        return pa.table([block.column("ids")[0].values, pa.ListArray.from_arrays(pa.array(token_ends.astype(np.int32)), pa.array(flat[out])), pa.array(decoded, pa.binary())], names=["id", "token_ids", "decoded"])
+            ids, decoded, n = [], [], [0]
+            for text in b.column("text").to_pylist():
+                if table.full():
+                    table = _Table(own)
+                each = b"".join(map(table.__getitem__, chunks(text or "")))
+                ids.append(each)
+                n.append(len(each) // 4)
+                decoded.append(b"".join(map(own.raw.__getitem__, np.frombuffer(each, np.int32).tolist()))[1:])
+            listed = pa.ListArray.from_arrays(pa.array(np.cumsum(n).astype(np.int32)), pa.array(np.frombuffer(b"".join(ids), np.int32)))
+            yield pa.RecordBatch.from_arrays([b.column("id"), listed, pa.array(decoded, pa.binary())], ["id", "token_ids", "decoded"])
     return run
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, token_ids array<int>, decoded binary) for each row, by the model file ``path``.
 
-    The blocks are written to the shared folder, since two steps read them.
+    The broadcast is of the size of the vocabulary.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     model = spark.sparkContext.broadcast(read_model(path))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    blocks = stage(rows.mapInArrow(_blocks(block_chars), f"block long, ids array<{kind}>, counts array<int>, codes binary, chunks array<string>"), "pieces-blocks")
-    listed = blocks.select("block", F.posexplode("chunks").alias("place", "chunk"))
-    table = listed.select("chunk").distinct().mapInArrow(_segment(model), "chunk string, pieces array<int>")
-    placed = listed.join(table, "chunk").select(F.col("block").alias("of"), "place", "pieces")
-    # a block without any chunk (only empty texts) has no row in the second group, and still gives its documents
-    found = blocks.drop("chunks").groupBy("block").cogroup(placed.groupBy("of")).applyInArrow(_by_position(model), f"id {kind}, token_ids array<int>, decoded binary")
-    return found.withColumnRenamed("id", id_col)
+    return rows.mapInArrow(_encode(model), f"id {kind}, token_ids array<int>, decoded binary").withColumnRenamed("id", id_col)
 
 
 def id_text(column: str) -> Column:

@@ -26,10 +26,9 @@ def random_texts(n):
     return ["".join(rng.choice(letters) for _ in range(rng.randrange(80))) for _ in range(n)]
 
 
-@pytest.mark.parametrize("block_chars", [300, 1 << 20])
-def test_ids_and_decoding_match_the_library(frame, edge_rows, library, block_chars):
+def test_ids_and_decoding_match_the_library(frame, edge_rows, library):
     texts = HARD + [t for _, t in edge_rows] + random_texts(400)
-    got = pieces.encode(frame(list(enumerate(texts))), PATH, block_chars=block_chars).collect()
+    got = pieces.encode(frame(list(enumerate(texts))), PATH).collect()
     assert len(got) == len(texts)
     for r in got:
         ids = library.encode(texts[r.doc_id] or "")
@@ -62,6 +61,23 @@ def test_long_texts_and_a_frequent_chunk(frame, library):
     assert got == {i: library.encode(t) for i, t in enumerate(texts)}
 
 
+def test_a_table_that_starts_anew(monkeypatch, library):
+    monkeypatch.setattr(pieces, "TABLE_CHARS", 50)
+    model = pieces.read_model(PATH)
+    texts = random_texts(60)
+    held = type("Held", (), {"value": model})
+    batch = pieces.pa.RecordBatch.from_arrays([pieces.pa.array(range(60)), pieces.pa.array(texts)], ["id", "text"])
+    got = [ids for b in pieces._encode(held)([batch]) for ids in b.column("token_ids").to_pylist()]
+    assert got == library.encode(texts)
+
+
+def test_parts_are_cut_where_no_piece_crosses(library):
+    model = pieces.read_model(PATH)
+    for text in random_texts(300):
+        for c in pieces.chunks(text):
+            assert sum((model.segment(p) for p in model.parts(c)), []) == model.segment(pieces.MARK + c.replace(" ", pieces.MARK))
+
+
 def test_a_model_whose_pieces_cross_markers_is_refused(tmp_path):
     from sentencepiece import sentencepiece_model_pb2 as pb
     proto = pb.ModelProto()
