@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicstat.llm import bpe, decontam, host_rules, langid, passages, pieces, pii, simhash, suffix, tokenfile, warc
+from civicstat.llm import bpe, decontam, host_rules, langid, merkle, passages, pieces, pii, simhash, suffix, tokenfile, warc
 from civicstat.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,6 +127,61 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.judge(documents(spark, sf_dir))
 
 
+def _field_sql(x: str) -> str:
+    return f"CASE WHEN {x} IS NULL THEN '-' ELSE CAST(strlen(CAST({x} AS VARCHAR)) AS VARCHAR) || ':' || CAST({x} AS VARCHAR) END"
+
+
+def _leaf_sql(text: str) -> str:
+    return "sha256(" + " || ".join(map(_field_sql, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+
+_CRC32_SQL = """xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(range(1, strlen(CAST(doc_id AS VARCHAR)) + 1), lambda k: CAST(ord(substr(CAST(doc_id AS VARCHAR), k, 1)) AS BIGINT))),
+    lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+MERKLE_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, {_leaf_sql("text")} AS leaf,
+         CASE WHEN {_CRC32_SQL} % 2 = 0 THEN {_leaf_sql("replace(text, chr(10), '')")} ELSE {_leaf_sql("text")} END AS later
+  FROM documents),
+r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY source) AS n FROM d),
+t(source, lvl, i, h, n) AS (
+  SELECT source, 0, i, leaf, n FROM r
+  UNION ALL
+  SELECT source, lvl + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), (n + 2) // 3 FROM t WHERE n > 1 GROUP BY source, lvl, i // 3, n),
+s AS (SELECT source, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM t WHERE n = 1),
+u(lvl, i, h, n) AS (
+  SELECT 0, i, subroot, n FROM s
+  UNION ALL
+  SELECT lvl + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), (n + 2) // 3 FROM u WHERE n > 1 GROUP BY lvl, i // 3, n),
+steps AS (
+  SELECT r.source, r.i, t.lvl, coalesce(string_agg(t.h, '' ORDER BY t.i) FILTER (t.i < r.i // CAST(pow(3, t.lvl) AS BIGINT)), '') AS b,
+         coalesce(string_agg(t.h, '' ORDER BY t.i) FILTER (t.i > r.i // CAST(pow(3, t.lvl) AS BIGINT)), '') AS a
+  FROM r JOIN t ON r.source IS NOT DISTINCT FROM t.source AND t.n > 1 AND t.i // 3 = r.i // CAST(pow(3, t.lvl + 1) AS BIGINT)
+  GROUP BY r.source, r.i, t.lvl
+  UNION ALL
+  SELECT s.source, r.i, 1000 + u.lvl, coalesce(string_agg(u.h, '' ORDER BY u.i) FILTER (u.i < s.i // CAST(pow(3, u.lvl) AS BIGINT)), ''),
+         coalesce(string_agg(u.h, '' ORDER BY u.i) FILTER (u.i > s.i // CAST(pow(3, u.lvl) AS BIGINT)), '')
+  FROM s JOIN u ON u.n > 1 AND u.i // 3 = s.i // CAST(pow(3, u.lvl + 1) AS BIGINT) JOIN r ON r.source IS NOT DISTINCT FROM s.source
+  GROUP BY s.source, r.i, u.lvl),
+p AS (SELECT source, i, list({{'b': b, 'a': a}} ORDER BY lvl) AS path FROM steps GROUP BY source, i),
+f AS (
+  SELECT r.doc_id, r.leaf, s.subroot, (SELECT h FROM u WHERE n = 1) AS root, coalesce(p.path, []) AS path, r.later
+  FROM r JOIN s ON r.source IS NOT DISTINCT FROM s.source LEFT JOIN p ON p.source IS NOT DISTINCT FROM r.source AND p.i = r.i)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda x: x.b || x.a), '')) AS proof_sha256,
+       list_reduce(list_prepend({{'b': '', 'a': later}}, path), lambda acc, x: {{'b': '', 'a': sha256(x.b || acc.a || x.a)}}).a AS folded_root,
+       list_reduce(list_prepend({{'b': '', 'a': later}}, path), lambda acc, x: {{'b': '', 'a': sha256(x.b || acc.a || x.a)}}).a = root AS verified
+FROM f
+"""
+
+
+@query("op12_merkle_manifest", MERKLE_SQL)
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    found = merkle.verify(documents(spark, sf_dir), ["doc_id", "source", "lang", "n_chars", "text"], {"text": tampered})
+    return found.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.sha2(merkle.proof_text("path"), 256).alias("proof_sha256"), "folded_root", "verified")
+
+
 @query("op13_sentencepiece")
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pieces.encode(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
