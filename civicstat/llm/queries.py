@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicstat.llm import bpe, decontam, host_rules, langid, merkle, passages, pieces, pii, simhash, suffix, tokenfile, warc
+from civicstat.llm import bpe, decontam, host_rules, langid, merkle, passages, pieces, pii, repair, simhash, suffix, tokenfile, warc
 from civicstat.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,6 +127,71 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.judge(documents(spark, sf_dir))
 
 
+def _crc32_sql(x: str) -> str:
+    """crc32 of an ASCII text."""
+    return f"""xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(range(1, strlen({x}) + 1), lambda k: CAST(ord(substr({x}, k, 1)) AS BIGINT))),
+    lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+
+_SPACES = r"[\x20\x09-\x0D]"
+
+
+def _repair_sql() -> str:
+    key = "(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))"
+    return rf"""
+WITH RECURSIVE c AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_crc32_sql(key)} % 20 AS k FROM conversations),
+d AS (
+  SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN k = 1 THEN '' WHEN k = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM (SELECT * FROM c UNION ALL SELECT * FROM c WHERE k = 3) WHERE k <> 0),
+o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+         substr(role, 1, 1) AS r,
+         right(regexp_replace(text, '{_SPACES}', '', 'g'), 1) AS z FROM d),
+f AS (
+  SELECT *, CASE WHEN z = '' THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd' WHEN z NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+         lag(r) OVER (PARTITION BY conv_id ORDER BY i) || r AS pair FROM o),
+m AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) AS n, count(*) FILTER (fault = 'b') AS blank,
+         count(*) FILTER (fault = 'd') AS dup, count(*) FILTER (fault = 't') AS cut, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM f GROUP BY conv_id),
+ins(q, q2, names) AS (VALUES (0, 0, ''), (0, 2, 'I'), (0, 3, 'II'), (1, 1, ''), (1, 2, 'I'), (1, 3, 'II'), (2, 2, ''), (2, 3, 'I'), (3, 3, ''), (3, 2, 'I')),
+nx(q, r, q2) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+ed AS (
+  SELECT conv_id, i, 'D' AS name, 4 AS cost, q.q, q.q AS q2 FROM f, (VALUES (0), (1), (2), (3)) q(q)
+  UNION ALL
+  SELECT conv_id, i, 'K', CASE fault WHEN 't' THEN 3 ELSE 0 END, nx.q, nx.q2 FROM f JOIN nx USING (r) WHERE fault IN ('', 't')
+  UNION ALL
+  SELECT conv_id, i, 'R', CASE fault WHEN 't' THEN 6 ELSE 3 END, nx.q, nx.q2 FROM f, nx WHERE nx.r <> 's' AND fault IN ('', 't')),
+w(conv_id, i, q, best) AS (
+  SELECT conv_id, CAST(0 AS BIGINT), q2, printf('%08d', 3 * length(names)) || names FROM (SELECT DISTINCT conv_id FROM c), ins WHERE q = 0
+  UNION ALL
+  SELECT w.conv_id, w.i + 1, ins.q2, min(printf('%08d', CAST(substr(best, 1, 8) AS INTEGER) + ed.cost + 3 * length(names)) || substr(best, 9) || ed.name || names)
+  FROM w JOIN ed ON w.conv_id IS NOT DISTINCT FROM ed.conv_id AND ed.i = w.i + 1 AND ed.q = w.q JOIN ins ON ins.q = ed.q2
+  GROUP BY w.conv_id, w.i, ins.q2),
+a AS (
+  SELECT w.conv_id, min(best) AS best FROM w LEFT JOIN m ON w.conv_id IS NOT DISTINCT FROM m.conv_id
+  WHERE w.i = coalesce(m.n, 0) AND w.q IN (0, 3) GROUP BY w.conv_id),
+e AS (SELECT conv_id, unnest(string_split(substr(best, 9), '')) AS name, generate_subscripts(string_split(substr(best, 9), ''), 1) AS p FROM a WHERE length(best) > 8),
+g AS (
+  SELECT *, count(*) FILTER (name <> 'I') OVER (PARTITION BY conv_id ORDER BY p) AS i, count(*) FILTER (name <> 'D') OVER (PARTITION BY conv_id ORDER BY p) AS pos,
+         count(*) FILTER (name <> 'D') OVER (PARTITION BY conv_id) AS total FROM e),
+t AS (
+  SELECT g.conv_id, string_agg(CASE WHEN name = 'K' THEN role WHEN (pos - total) % 2 = 0 THEN 'assistant' ELSE 'user' END || ':' || CASE name WHEN 'I' THEN '' ELSE text END, chr(10) ORDER BY pos) AS s
+  FROM g LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM g.conv_id AND f.i = g.i WHERE name <> 'D' GROUP BY g.conv_id)
+SELECT a.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(dup, 0) AS duplicate, coalesce(cut, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, CAST(substr(best, 1, 8) AS BIGINT) AS cost, substr(best, 9) AS audit, sha256(coalesce(t.s, '')) AS repaired_sha256
+FROM a LEFT JOIN m ON a.conv_id IS NOT DISTINCT FROM m.conv_id LEFT JOIN t ON a.conv_id IS NOT DISTINCT FROM t.conv_id
+"""
+
+
+@query("op11_conversation_repair", _repair_sql())
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repaired(documents(spark, sf_dir, "conversations")).drop("rows")
+
+
 def _field_sql(x: str) -> str:
     return f"CASE WHEN {x} IS NULL THEN '-' ELSE CAST(strlen(CAST({x} AS VARCHAR)) AS VARCHAR) || ':' || CAST({x} AS VARCHAR) END"
 
@@ -135,14 +200,10 @@ def _leaf_sql(text: str) -> str:
     return "sha256(" + " || ".join(map(_field_sql, ("doc_id", "source", "lang", "n_chars", text))) + ")"
 
 
-_CRC32_SQL = """xor(4294967295, list_reduce(
-    list_prepend(4294967295, list_transform(range(1, strlen(CAST(doc_id AS VARCHAR)) + 1), lambda k: CAST(ord(substr(CAST(doc_id AS VARCHAR), k, 1)) AS BIGINT))),
-    lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))))"""
-
 MERKLE_SQL = f"""
 WITH RECURSIVE d AS (
   SELECT doc_id, source, {_leaf_sql("text")} AS leaf,
-         CASE WHEN {_CRC32_SQL} % 2 = 0 THEN {_leaf_sql("replace(text, chr(10), '')")} ELSE {_leaf_sql("text")} END AS later
+         CASE WHEN {_crc32_sql('CAST(doc_id AS VARCHAR)')} % 2 = 0 THEN {_leaf_sql("replace(text, chr(10), '')")} ELSE {_leaf_sql("text")} END AS later
   FROM documents),
 r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY source) AS n FROM d),
 t(source, lvl, i, h, n) AS (
