@@ -1,17 +1,20 @@
 """Byte-level BPE by folds of ranked merges over distinct words.
 
-Documents are packed into blocks of ``BLOCK_CHARS``; a block is one row that holds its distinct
-words and, for each document, which of them follow one another. Spark's higher-order functions
-then fold the merges over each distinct word: its bytes are a list of token ids, a step finds the
-adjacent pair whose merge has the lowest rank and puts the merged id in its place, and the fold ends
-when no pair merges. The rank map is a literal array of small maps, so that a look-up scans few
-entries. A block's row then gives each document its ids,
-and decoding concatenates the binary pieces of the ids.
-
-No word is shuffled, so the work grows with the text only and a frequent word is no hot key.
+Each task numbers the distinct words that it meets. A block of ``BLOCK_CHARS`` of text becomes one
+row: the words that are new with it, and for each document the numbers of its words. Spark's
+higher-order functions fold the merges over each word: its bytes are an array of token ids, each with
+the rank of its merge with the next, a step puts the merged id in the place of the pair of lowest
+rank, and the fold ends when no pair merges. The rank map is a literal array. The task that reads
+the folded rows keeps the ids by number and gives each document its ids, and decoding concatenates
+the binary pieces of the ids.
+
+No word is shuffled, so the work grows with the text only and a frequent word is no hot key. A word
+is folded once a task, and a row holds the new words of one block, so memory doesn't grow with the
+text: numbering starts anew, on both sides, after ``TABLE_CHARS``.
 
 The rank of a token is its id. A word that is a token as a whole is that token, as the reference
-tokenizers have it.
+tokenizers have it. Words of more than ``LONG`` bytes go around the fold, which takes time with the
+square of the length: a heap of pairs merges them, to the same ids.
 
 Defined results:
 
@@ -26,7 +29,9 @@ from __future__ import annotations
 import base64
 import heapq
 import json
+import random
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -37,12 +42,16 @@ from pyspark.sql import functions as F
 from civicstat.llm.common import bounded_batches, chunk_text, space_chunks
 
 #: Characters of text in a block, about.
-BLOCK_CHARS = 32_000_000
-#: Buckets of the literal rank map, a power of two above the number of tokens.
-BUCKETS = 1 << 17
+BLOCK_CHARS = 1_000_000
+#: A task's numbers start anew once its distinct words and chunks have so many characters.
+TABLE_CHARS = 12_000_000
+#: Places of the literal rank map, but for the ids that are added to them.
+PLACES = 1 << 18
+#: Tokens that the rank map is made for.
+MOST_TOKENS = 1 << 17
 #: Words of more bytes are merged by a heap: a fold takes time with the square of the length.
 LONG = 128
-#: Codes below are token ids, codes from here on are places in a block's list of words.
+#: Codes below are token ids, codes from here on are numbers of words.
 WORD = 1 << 20
 #: Tokens in a batch that goes back to Spark, about.
 BATCH = 1 << 19
@@ -54,30 +63,64 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
-def merges(ranks: dict[bytes, int]) -> dict[int, int]:
-    """left id * 2**20 + right id -> merged id, for every two tokens that make up a token."""
+def merges(ranks: dict[bytes, int]) -> dict[tuple[int, int], int]:
+    """(left id, right id) -> merged id, one pair for each token.
+
+    Inside a token's bytes merges go on as they do for these bytes alone, whatever stands around
+    them, so the last of them always joins the same two parts.
+    """
     out = {}
     for token, rank in ranks.items():
-        for cut in range(1, len(token)):
-            a, b = ranks.get(token[:cut]), ranks.get(token[cut:])
-            if a is not None and b is not None:
-                out[(a << 20) + b] = rank
+        pairs = [(token[:i], token[i:]) for i in range(1, len(token)) if token[:i] in ranks and token[i:] in ranks]
+        if len(pairs) > 1:
+            parts = [token[i:i + 1] for i in range(len(token))]
+            while len(parts) > 2:
+                known = [(r, i) for i in range(len(parts) - 1) if (r := ranks.get(parts[i] + parts[i + 1])) is not None]
+                if not known:
+                    break
+                _, i = min(known)
+                parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            pairs = [tuple(parts)] if len(parts) == 2 else []
+        for left, right in pairs:
+            out[ranks[left], ranks[right]] = rank
     return out
 
 
-def rank_literal(ranks: dict[bytes, int]) -> Column:
-    """The merges as a literal array of maps right id -> merged id; folded to a literal by the optimizer.
+@dataclass
+class RankMap:
+    """The merges as two literal arrays, folded to literals by the optimizer.
 
-    The pair's place in the array is (31 * left + right) mod BUCKETS, so place and right id determine
-    the left id, and a map holds about two entries.
+    A left id has a shift, and the merge with a right id stands at shift + right id, as
+    left id * 2**20 + merged id; no two merges share a place. ``byte_ids`` are the ids of single bytes.
     """
-    if len(ranks) > BUCKETS:
-        raise ValueError(f"{len(ranks)} tokens; the rank map is made for {BUCKETS}")
-    held: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
-    for pair, rank in merges(ranks).items():
-        left, right = pair >> 20, pair & 0xFFFFF
-        held[(left * 31 + right) & (BUCKETS - 1)][str(right)] = rank
-    return F.from_json(F.lit(json.dumps(held, separators=(",", ":"))), "array<map<string,int>>").cast("array<map<int,int>>")
+
+    shifts: Column
+    merged: Column
+    byte_ids: Column
+
+    def packed(self, left: Column, right: Column) -> Column:
+        """Rank of a pair * 2**20 + left id; the rank is 2**20 or more if the pair doesn't merge."""
+        entry = F.get(self.merged, F.get(self.shifts, left) + right)
+        return F.shiftleft(entry.bitwiseXOR(F.shiftleft(left, 20)), 20).bitwiseOR(left)
+
+
+def rank_map(ranks: dict[bytes, int]) -> RankMap:
+    if len(ranks) > MOST_TOKENS:
+        raise ValueError(f"{len(ranks)} tokens; the rank map is made for {MOST_TOKENS}")
+    rows: dict[int, list[tuple[int, int]]] = {}
+    for (left, right), rank in merges(ranks).items():
+        rows.setdefault(left, []).append((right, rank))
+    most = max(ranks.values(), default=0) + 1
+    merged, shifts, draw = [MOST_TOKENS << 20] * (PLACES + most), [0] * most, random.Random(0)
+    for left in sorted(rows, key=lambda x: (-len(rows[x]), x)):
+        shift = 0
+        while any(merged[shift + right] >> 20 != MOST_TOKENS for right, _ in rows[left]):
+            shift = draw.randrange(PLACES)
+        shifts[left] = shift
+        for right, rank in rows[left]:
+            merged[shift + right] = (left << 20) + rank
+    literal = lambda x: F.from_json(F.lit(json.dumps(x, separators=(",", ":"))), "array<bigint>")
+    return RankMap(literal(shifts), literal(merged), literal([ranks[bytes([b])] for b in range(256)]))
 
 
 def _let(value: Column, body) -> Column:
@@ -85,26 +128,32 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def fold(word: Column, table: Column, byte_ids: Column) -> Column:
+def fold(word: Column, table: RankMap) -> Column:
     """Token ids of a word, an array of its bytes (0 to 255).
 
-    Each step looks up the rank of every adjacent pair and merges the lowest, the leftmost of
-    equals; once no pair merges, the steps left only pass the ids on.
+    The folded array holds, for each token, the rank of its merge with the next and its id in one
+    number, so the least is the pair to merge, the leftmost of equals comes first, and a step changes
+    the three numbers round the pair. Once no pair merges, the steps left only pass the array on.
     """
-    def rank(left: Column, right: Column) -> Column:
-        return F.try_element_at(F.get(table, (left * 31 + right).bitwiseAND(F.lit(BUCKETS - 1))), right)
+    low_bits, none = F.lit((1 << 20) - 1), 1 << 41
 
     def step(acc: Column, _: Column) -> Column:
-        ids = acc["ids"]
-        ranks = F.transform(ids, lambda right, i: rank(F.get(ids, i - 1), right))
-        return F.when(acc["done"], acc).otherwise(_let(ranks, lambda ranks: _let(F.array_min(ranks), lambda low: F.when(
-            low.isNull(), F.struct(ids.alias("ids"), F.lit(True).alias("done"))).otherwise(_let(
-                F.array_position(ranks, low).cast("int"), lambda at: F.struct(
-                    F.concat(F.slice(ids, F.lit(1), at - 2), F.array(low), F.slice(ids, at + 1, F.size(ids))).alias("ids"),
-                    F.lit(False).alias("done")))))))
+        def join(low: Column, at: Column) -> Column:
+            new = F.shiftright(low, 20)
+            right = F.coalesce(table.packed(new, F.get(acc, at + 1).bitwiseAND(low_bits)), new + none)
 
-    start = F.struct(F.transform(word, lambda b: F.get(byte_ids, b.cast("int"))).alias("ids"), F.lit(False).alias("done"))
-    return F.aggregate(word, start, step, lambda acc: acc["ids"])
+            def each(x: Column, i: Column) -> Column:
+                k = i - at
+                return (F.when((k > 0) | (k < -2), x).when(k == -2, table.packed(x.bitwiseAND(low_bits), new))
+                        .when(k == -1, right).otherwise(F.lit(-1)))
+            return F.array_remove(F.transform(acc, each), -1)
+
+        return _let(F.array_min(acc), lambda low: F.when(low < 1 << 40, _let(
+            F.array_position(acc, low).cast("int"), lambda at: join(low, at))).otherwise(acc))
+
+    ids = F.transform(word, lambda b: F.get(table.byte_ids, b.cast("int")))
+    start = _let(ids, lambda ids: F.transform(ids, lambda left, i: F.coalesce(table.packed(left, F.get(ids, i + 1)), left + none)))
+    return F.aggregate(word, start, step, lambda acc: F.transform(acc, lambda x: x.bitwiseAND(low_bits).cast("int")))
 
 
 def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -129,10 +178,10 @@ def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class _Words(dict):
-    """Codes (32-bit integers) of a chunk of text, by the chunk; collects the words that need a fold."""
+    """Codes (32-bit integers) of a chunk of text, by the chunk; numbers the words that need a fold."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks, self.find, self.word, self.places = ranks, regex.compile(pattern).findall, [], {}
+        self.ranks, self.find, self.numbers, self.new, self.chars = ranks, regex.compile(pattern).findall, {}, [], 0
 
     def __missing__(self, chunk: str) -> bytes:
         out: list[int] = []
@@ -144,11 +193,13 @@ class _Words(dict):
             elif len(raw) > LONG:
                 out += merge(raw, self.ranks)
             else:
-                at = self.places.get(raw)
+                at = self.numbers.get(raw)
                 if at is None:
-                    at = self.places[raw] = len(self.word)
-                    self.word.append(raw)
+                    at = self.numbers[raw] = len(self.numbers)
+                    self.new.append(raw)
+                    self.chars += len(raw)
                 out.append(WORD + at)
+        self.chars += len(chunk)
         own = self[chunk] = np.array(out, np.int32).tobytes()
         return own
 
@@ -159,20 +210,21 @@ class _Words(dict):
 def _blocks(ranks, pattern: str, chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = ranks.value
-        ids, codes, counts, size, words = [], [], [], 0, _Words(own, pattern)
-
-        def row():
-            n = np.array([len(w) for w in words.word], np.int64)
-            flat = pa.array(np.frombuffer(b"".join(words.word), np.uint8).astype(np.int16))
-            word = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)).astype(np.int32)), flat)
-            data = b"".join(codes)
-            return pa.RecordBatch.from_arrays(
-                [pa.concat_arrays(ids).cast(ids[0].type) if len(ids) > 1 else ids[0]], ["id"]), pa.array(counts, pa.int64()), data, word
+        ids, codes, counts, size, base, words = [], [], [], 0, 0, _Words(own, pattern)
 
         def emit():
-            b, n, data, word = row()
+            nonlocal ids, codes, counts, size, base, words
             held = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
-            return pa.RecordBatch.from_arrays([held(b.column(0)), held(n), pa.array([data], pa.binary()), held(word)], ["ids", "counts", "codes", "words"])
+            n = np.array([len(w) for w in words.new], np.int64)
+            flat = pa.array(np.frombuffer(b"".join(words.new), np.uint8).astype(np.int16))
+            word = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)).astype(np.int32)), flat)
+            out = pa.RecordBatch.from_arrays(
+                [held(pa.concat_arrays(ids)), held(pa.array(counts, pa.int64())), pa.array([b"".join(codes)], pa.binary()), pa.array([base], pa.int64()), held(word)],
+                ["ids", "counts", "codes", "base", "words"])
+            ids, codes, counts, size, base, words.new = [], [], [], 0, base + len(words.new), []
+            if words.chars > TABLE_CHARS:
+                base, words = 0, _Words(own, pattern)
+            return out
 
         for b in batches:
             texts = b.column("text").to_pylist()
@@ -186,23 +238,39 @@ def _blocks(ranks, pattern: str, chars: int):
                     ids.append(b.column("id").slice(done, i + 1 - done))
                     done = i + 1
                 if size >= chars:
-                    block = emit()
-                    ids, codes, counts, size, words = [], [], [], 0, _Words(own, pattern)  # before Spark takes the block
-                    yield block
+                    yield emit()
         if counts:
             yield emit()
     return run
 
 
+class _Folded:
+    """Ids of the words of a task by number, in two arrays that grow by doubling."""
+
+    def __init__(self):
+        self.flat, self.ends, self.n, self.used = np.zeros(1 << 16, np.int32), np.zeros(1 << 14, np.int64), 0, 0
+
+    def add(self, folded: pa.ListArray) -> None:
+        n_of = np.diff(folded.offsets.to_numpy()) if len(folded) else np.zeros(0, np.int64)
+        new = folded.flatten().to_numpy()
+        while self.n + len(n_of) + 1 > len(self.ends):
+            self.ends = np.append(self.ends, np.zeros_like(self.ends))
+        while self.used + len(new) > len(self.flat):
+            self.flat = np.append(self.flat, np.zeros_like(self.flat))
+        self.flat[self.used:self.used + len(new)] = new
+        self.ends[self.n + 1:self.n + 1 + len(n_of)] = self.used + np.cumsum(n_of)
+        self.n, self.used = self.n + len(n_of), self.used + len(new)
+
+
 def _documents(pieces):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece = pieces.value
+        piece, known = pieces.value, _Folded()
         for b in batches:
             for k in range(b.num_rows):
-                folded = b.column("folded")[k].values
-                flat = folded.flatten().to_numpy().astype(np.int32)
-                n_of = np.diff(folded.offsets.to_numpy()) if len(folded) else np.zeros(0, np.int64)
-                first = np.cumsum(n_of) - n_of
+                if b.column("base")[k].as_py() == 0:
+                    known = _Folded()
+                known.add(b.column("folded")[k].values)
+                first, n_of = known.ends[:known.n], np.diff(known.ends[:known.n + 1])
                 codes = np.frombuffer(b.column("codes")[k].as_py(), np.int32)
                 counts = b.column("counts")[k].values.to_numpy()
                 ids = b.column("ids")[k].values
@@ -211,7 +279,7 @@ def _documents(pieces):
                 while lo < len(counts):
                     hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + BATCH, "right")))
                     at = int(ends[lo - 1]) if lo else 0
-                    yield _tokens(ids.slice(lo, hi - lo), counts[lo:hi], codes[at:int(ends[hi - 1])], flat, n_of, first, piece)
+                    yield _tokens(ids.slice(lo, hi - lo), counts[lo:hi], codes[at:int(ends[hi - 1])], known.flat, n_of, first, piece)
                     lo = hi
     return run
 
@@ -243,12 +311,11 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     own = read_ranks(path)
     ranks = spark.sparkContext.broadcast(own)
     pieces = spark.sparkContext.broadcast({r: t for t, r in own.items()})
-    table = rank_literal(own)
-    byte_ids = F.from_json(F.lit(json.dumps([own[bytes([b])] for b in range(256)])), "array<int>")
+    table = rank_map(own)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
-    blocks = rows.mapInArrow(_blocks(ranks, pattern, block_chars), f"ids array<{id_type}>, counts array<bigint>, codes binary, words array<array<smallint>>")
-    folded = blocks.select("ids", "counts", "codes", F.transform("words", lambda w: fold(w, table, byte_ids)).alias("folded"))
+    blocks = rows.mapInArrow(_blocks(ranks, pattern, block_chars), f"ids array<{id_type}>, counts array<bigint>, codes binary, base long, words array<array<smallint>>")
+    folded = blocks.select("ids", "counts", "codes", "base", F.transform("words", lambda w: fold(w, table)).alias("folded"))
     return folded.mapInArrow(_documents(pieces), f"id {id_type}, token_ids array<int>, decoded binary").withColumnRenamed("id", id_col)
 
 

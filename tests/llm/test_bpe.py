@@ -49,3 +49,35 @@ def test_empty_table_null_ids_and_further_columns(spark, frame):
     assert bpe.encode(spark.createDataFrame([], schema), path, public_tokenizers.PATTERN).count() == 0
     got = bpe.encode(frame([(None, "one", "i", 1, 2)] * 2, schema), path, public_tokenizers.PATTERN).collect()
     assert [(r.doc_id, bytes(r.decoded)) for r in got] == [(None, b"one")] * 2
+
+
+def test_numbers_that_start_anew(frame, monkeypatch):
+    rng = random.Random(4)
+    texts = [" ".join("".join(rng.choice("theinagor") for _ in range(rng.randrange(1, 14))) for _ in range(40)) for _ in range(60)]
+    own, pieces = library(PATHS[0]), bpe.read_ranks(public_tokenizers.path(PATHS[0]))
+    held = lambda x: type("Held", (), {"value": x})
+    monkeypatch.setattr(bpe, "TABLE_CHARS", 900)
+    batch = bpe.pa.RecordBatch.from_arrays([bpe.pa.array(range(60)), bpe.pa.array(texts)], ["id", "text"])
+    rows = list(bpe._blocks(held(pieces), public_tokenizers.PATTERN, 500)([batch]))
+    assert len(rows) > 10 and sum(r.column("base")[0].as_py() == 0 for r in rows) > 3
+    folded = []
+    for r in rows:
+        words = [[*map(int, bpe.merge(bytes(w), pieces))] for w in r.column("words")[0].as_py()]
+        folded.append(r.drop_columns(["words"]).append_column("folded", bpe.pa.array([words], bpe.pa.list_(bpe.pa.list_(bpe.pa.int32())))))
+    got = [ids for b in bpe._documents(held({r: t for t, r in pieces.items()}))(folded) for ids in b.column("token_ids").to_pylist()]
+    assert got == [own.encode_ordinary(t) for t in texts]
+
+
+@pytest.mark.parametrize("name", PATHS)
+def test_one_pair_for_each_token_is_enough(name):
+    ranks = bpe.read_ranks(public_tokenizers.path(name))
+    pairs = bpe.merges(ranks)
+    assert len(set(pairs.values())) == len(pairs)
+    rng = random.Random(5)
+    for _ in range(300):
+        word = bytes(rng.choice(b"theinagors \xc3\xa9") for _ in range(rng.randrange(1, 30)))
+        ids = [ranks[word[i:i + 1]] for i in range(len(word))]
+        while found := [(pairs[p], i) for i, p in enumerate(zip(ids, ids[1:])) if p in pairs]:
+            rank, i = min(found)
+            ids[i:i + 2] = [rank]
+        assert ids == bpe.merge(word, ranks)
