@@ -7,7 +7,9 @@ format: separators, upper case, prefixes, a card's brand and whether its check d
 
 Two entities never share a surrogate (distinctness), and no surrogate is an entity of the corpus:
 the distinct entities are checked for collisions by a grouped count and an anti join, and those
-that collide draw again with the next attempt number until none is left. After ``ATTEMPTS`` draws
+that collide draw again with the next attempt number until none is left. Names of a script are
+checked together, given and family names of every gender. A person's gender is settled over all
+mentions of the full name, so a title that tells less leads to the same name. After ``ATTEMPTS`` draws
 surrogates get longer by a place a draw (addresses leave their private network), so that there
 are always free ones.
 
@@ -35,8 +37,6 @@ from pyspark.sql import functions as F
 
 from civicstat.llm.common import stage
 
-#: Default key; production passes its own.
-KEY = "surrogates"
 #: Draws in an entity's own length; then each draw is one place longer than the one before.
 ATTEMPTS = 40
 
@@ -216,22 +216,39 @@ def _candidate(kind: Column, canon: Column, attempt: Column, key: str) -> Column
             .when(kind == "secret", F.concat(swapped, tail)).otherwise(F.concat(numbered, tail)))
 
 
-def surrogates(entities: DataFrame, key: str = KEY, attempts: int | None = None) -> DataFrame:
+def _pool(kind: Column) -> Column:
+    """Kinds whose surrogates are checked together: all names of a script, else the kind."""
+    return F.when(kind.rlike("^(given|family):"), F.concat(F.lit("name:"), F.element_at(F.split(kind, ":", -1), -1))).otherwise(kind)
+
+
+def _settled(piece: DataFrame) -> DataFrame:
+    """Given names with the gender that most mentions of the full name have; with none, or as many of each, neutral."""
+    parts = F.split("kind", ":", -1)
+    given = piece.where(F.col("kind").startswith("given:")).withColumn("gender", F.get(parts, F.lit(1)))
+    votes = given.groupBy(F.col("person").alias("of")).agg(F.count_if(F.col("gender") == "m").alias("m"), F.count_if(F.col("gender") == "f").alias("f"))
+    gender = F.when(F.col("m") > F.col("f"), "m").when(F.col("f") > F.col("m"), "f").otherwise("n")
+    same = given.join(votes, given["person"] == votes["of"]).withColumn("kind", F.concat_ws(":", F.lit("given"), gender, F.get(parts, F.lit(2))))
+    rest = piece.where(F.col("kind").isNull() | ~F.col("kind").startswith("given:"))
+    return rest.drop("person").unionByName(same.select(*[c for c in piece.columns if c != "person"]))
+
+
+def surrogates(entities: DataFrame, key: str, attempts: int | None = None) -> DataFrame:
     """(kind, canon, surrogate) for distinct entities (kind, canon), without collisions.
 
-    Of several entities that draw the same surrogate, the one that sorts first keeps it. Kinds
-    share no surrogates across genders or scripts of the same part of a name by construction.
+    Of several entities that draw the same surrogate, the one that sorts first keeps it.
     A limit of ``attempts`` raises an error if it leaves entities; without one they draw on.
     """
     pending = entities.select("kind", "canon", F.lit(0).alias("attempt"))
+    taken = entities.select(_pool(F.col("kind")).alias("pool"), F.col("canon").alias("surrogate")).distinct()
     done = None
     for _ in count() if attempts is None else range(attempts):
         drawn = stage(pending.withColumn("surrogate", _candidate(F.col("kind"), F.col("canon"), F.col("attempt"), key)), "pii-drawn")
-        first = drawn.groupBy("kind", "surrogate").agg(F.min("canon").alias("canon"))
-        good = first.join(entities.select("kind", F.col("canon").alias("surrogate")), ["kind", "surrogate"], "left_anti")
+        first = drawn.groupBy(_pool(F.col("kind")).alias("pool"), "surrogate").agg(F.min(F.struct("kind", "canon")).alias("own"))
+        good = first.join(taken, ["pool", "surrogate"], "left_anti")
         if done is not None:
-            good = good.join(done, ["kind", "surrogate"], "left_anti")
-        good = stage(good.select("kind", "canon", "surrogate"), "pii-good")
+            good = good.join(done.select(_pool(F.col("kind")).alias("pool"), "surrogate"), ["pool", "surrogate"], "left_anti")
+        good = good.select("own.kind", "own.canon", "surrogate")
+        good = stage(good, "pii-good")
         done = good if done is None else stage(done.unionByName(good), "pii-done")
         pending = drawn.join(good, ["kind", "canon"], "left_anti").select("kind", "canon", (F.col("attempt") + 1).alias("attempt"))
         if pending.isEmpty():
@@ -256,8 +273,11 @@ def _laid_out(kind: Column, canon: Column, form: Column, surrogate: Column) -> C
             .when(kind == "email", F.when(upper, F.upper(surrogate)).otherwise(surrogate)).otherwise(surrogate))
 
 
-def replace(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: str = KEY, count_col: str | None = None) -> DataFrame:
-    """``docs`` with every entity of ``text_col`` replaced; ``count_col`` adds the number of mentions."""
+def replace(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text", count_col: str | None = None) -> DataFrame:
+    """``docs`` with every entity of ``text_col`` replaced; ``count_col`` adds the number of mentions.
+
+    Who knows ``key`` can look entities up by their surrogates, so it is a secret and has no default.
+    """
     names = docs.columns
     inner = [f"c{i}" for i in range(len(names))]
     t, i = inner[names.index(text_col)], inner[names.index(id_col)]
@@ -266,9 +286,9 @@ def replace(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key
     some = rows.where(maybe).withColumn("sha", F.sha1(F.col(t).cast("binary")))
     mention = some.select(F.col(i).alias("id"), "sha", F.posexplode(F.regexp_extract_all(F.col(t), F.lit(PATTERN), F.lit(0))).alias("pos", "raw"))
     piece = (mention.withColumn("kind", _kind(F.col("raw"))).where("kind is not null or raw is not null")
-             .select("id", "sha", "pos", F.posexplode(_pieces(F.col("raw"), F.col("kind"))).alias("part", "p"))
-             .select("id", "sha", "pos", "part", "p.kind", "p.canon", "p.form", "p.spaced"))
-    piece = stage(piece.distinct(), "pii-mentions")
+             .select("id", "sha", "pos", F.lower(F.regexp_replace("raw", rf"^(?:{_TITLE})\.? ", "")).alias("person"), F.posexplode(_pieces(F.col("raw"), F.col("kind"))).alias("part", "p"))
+             .select("id", "sha", "pos", "part", "p.kind", "p.canon", "p.form", "p.spaced", F.when(F.col("p.kind").startswith("given:"), F.col("person")).alias("person")))
+    piece = stage(_settled(stage(piece.distinct(), "pii-mentions")), "pii-settled")
     mapping = surrogates(piece.where("kind is not null").select("kind", "canon").distinct(), key)
     # a part that stands in many documents is a hot key of an inner join, which Spark splits
     new = piece.where("kind is not null").join(mapping, ["kind", "canon"]).select("id", "sha", "pos", "part", "spaced", _laid_out(F.col("kind"), F.col("canon"), F.col("form"), F.col("surrogate")).alias("s"))
