@@ -12,7 +12,7 @@ For each id the coder mixes three predictions into one interval of the range:
 - where both name the same id, their rates are averaged; else order 1 gets its share of what
   order 2 leaves;
 - order 0: adaptive rates of three groups of ids (tokenizers number frequent tokens low), even
-  within a group.
+  within a group, so it predicts a group and no single id.
 
 All arithmetic is in integers, so files read the same on every machine. The blocks of a segment are
 coded side by side, one array lane each: step t codes the t-th id of every block.
@@ -24,7 +24,7 @@ and a task that runs again replaces its own.
 Defined results:
 
 - null or empty text: only the end id;
-- documents are ordered by id, nulls first, equal ids by text; repeated rows: one entry each;
+- documents are ordered by id, nulls first, equal ids by a hash of their texts; repeated rows: one entry each;
 - an empty table writes no segment and reads back no row;
 - only the two named columns are read.
 """
@@ -156,7 +156,9 @@ def _group(ids: np.ndarray) -> np.ndarray:
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
-    """Each block of ids (below 2 ** 17) coded by itself."""
+    """Each block of ids (below 2 ** 17, else ValueError) coded by itself."""
+    if any(len(b) and (b.min() < 0 or b.max() >= 1 << 17) for b in blocks):
+        raise ValueError("an id is not in 0 to 2 ** 17 - 1")
     order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
     n = np.array([len(blocks[i]) for i in order])
     most = int(n[0]) if len(n) else 0
@@ -282,14 +284,17 @@ class _Tokenizer:
     """Ids of texts by the tokenizers library, each distinct chunk encoded once.
 
     The byte-level pattern begins a match at a single space between two other characters, so a
-    text's ids are those of its chunks cut there.
+    text's ids are those of its chunks cut there. A special token in a text is that token, as the
+    library has it, and none holds a space.
     """
 
     def __init__(self, data: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_str(data)
-        self.library.encode_special_tokens = True
+        spaced = [t.content for t in self.library.get_added_tokens_decoder().values() if " " in t.content or t.lstrip or t.rstrip]
+        if spaced:
+            raise ValueError(f"special tokens that take spaces: {spaced}")
         self.known: dict[str, bytes] = {}
         self.mark = {m: np.array(self.library.encode(m, add_special_tokens=False).ids, "<u4").tobytes() for m in _MARKS}
 

@@ -14,9 +14,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def library():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 def test_blocks():
@@ -71,3 +69,17 @@ def test_empty_table_and_further_columns(spark, frame):
     schema = "doc_id long, text string, tie int, data string, start int"
     assert tokenfile.round_trip(spark.createDataFrame([], schema), PATH).count() == 0
     assert tokenfile.round_trip(frame([(4, "one two", 1, "d", 2)], schema), PATH).first().n_ids == 3
+
+
+def test_special_tokens_are_the_librarys(frame):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y z", "<|endoftext|> <|endoftext|>.", "a  <|endoftext|>  b\n<|endoftext|>", "<|endoftext", "w <|endoftext|>."]
+    own = library()
+    assert own.encode(texts[0], add_special_tokens=False).ids == [64, 220, 50256, 275]
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in tokenfile.round_trip(frame(list(enumerate(texts))), PATH).collect()}
+    assert got == {i: own.encode(t, add_special_tokens=False).ids + [0] for i, t in enumerate(texts)}
+
+
+def test_ids_out_of_range_are_refused():
+    for bad in (1 << 17, -1):
+        with pytest.raises(ValueError, match="id"):
+            tokenfile.encode_blocks([np.array([1, 2]), np.array([bad])])
