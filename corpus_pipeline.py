@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from civicstat.llm import bpe, decontam, langid, pii, simhash
 from civicstat.llm.common import documents, stage
+from civicstat.llm.queries import PII_KEY
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +37,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pii.replace(docs)
+    return pii.replace(docs, PII_KEY)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
