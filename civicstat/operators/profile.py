@@ -9,7 +9,7 @@ grows with the fact rows.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -105,13 +105,22 @@ def coverage_matrix(df: DataFrame, geo: DataFrame, sections: Sequence[str]) -> D
             .withColumn("rows", F.coalesce(F.col("rows"), F.lit(0).cast("bigint"))))
 
 
-def coverage_summary(matrix: DataFrame) -> DataFrame:
-    """Covered n of N geographies per section, and the names of those without a row."""
+def coverage_summary(matrix: DataFrame, names: bool = True) -> DataFrame:
+    """Covered n of N geographies per section, and the names of those without a row.
+
+    The names are one cell, at most one for each row of the geography
+    dimension; for a large dimension leave them out and use ``uncovered``.
+    """
+    listed = F.array_join(F.sort_array(F.collect_list(F.when(F.col("rows") == 0, F.col(GEOGRAPHY)))), ", ")
     return matrix.groupBy(SECTION).agg(
         F.count_if(F.col("rows") > 0).alias("covered"), F.count(F.lit(1)).alias("total"),
-        F.count_if(F.col("rows") == 0).alias("uncovered"),
-        # at most one name for each row of the geography dimension
-        F.array_join(F.sort_array(F.collect_list(F.when(F.col("rows") == 0, F.col(GEOGRAPHY)))), ", ").alias("missing"))
+        F.count_if(F.col("rows") == 0).alias("uncovered"), *([listed.alias("missing")] if names else []))
+
+
+def uncovered(matrix: DataFrame) -> DataFrame:
+    """The geographies of a section without a row, one a row, with covered n of N."""
+    n_of = matrix.groupBy(SECTION).agg(F.count_if(F.col("rows") > 0).alias("covered"), F.count(F.lit(1)).alias("total"))
+    return matrix.filter("rows = 0").select(SECTION, GEOGRAPHY).join(n_of, SECTION)
 
 
 def depth(df: DataFrame, geo: DataFrame, sections: str | Sequence[str], good: int, sparse: int = 1) -> DataFrame:
@@ -201,13 +210,14 @@ def scope_share(df: DataFrame, group: str, in_scope: Column) -> DataFrame:
 ISSUE_COLUMNS = ("rule", "section", "subject", "issue_type", "priority", "detail")
 
 
-def issue(df: DataFrame, rule: str, issue_type: str, priority: str, section: Column | str | None,
+def issue(df: DataFrame, rule: str, issue_type: str, priority: Column | str, section: Column | str | None,
           subject: Column, detail: Column) -> DataFrame:
-    """One issue-register row per finding of a gap rule."""
+    """One issue-register row per finding of a gap rule; ``priority`` is one for the rule, or a column for each finding."""
+    prio = F.lit(priority) if isinstance(priority, str) else priority
     sec = F.col(section) if isinstance(section, str) else (section if section is not None else F.lit(None))
     return df.select(F.lit(rule).alias("rule"), sec.cast("string").alias("section"),
                      subject.cast("string").alias("subject"), F.lit(issue_type).alias("issue_type"),
-                     F.lit(priority).alias("priority"), detail.cast("string").alias("detail"))
+                     prio.alias("priority"), detail.cast("string").alias("detail"))
 
 
 def issue_register(parts: Sequence[DataFrame]) -> DataFrame:
@@ -221,10 +231,3 @@ def issue_register(parts: Sequence[DataFrame]) -> DataFrame:
 def issue_counts(register: DataFrame) -> DataFrame:
     """G12 summary: findings per rule, type and priority."""
     return register.groupBy("rule", "issue_type", "priority").agg(F.count(F.lit(1)).alias("findings"))
-
-
-def priority_of(rule_priority: Mapping[str, str], rule: Column) -> Column:
-    pairs = []
-    for k, v in rule_priority.items():
-        pairs += [F.lit(k), F.lit(v)]
-    return F.try_element_at(F.create_map(*pairs), rule)

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from civicstat.functions.labels import clean_geography_name
 from civicstat.operators import profile as P
-from civicstat.plans.indicators import GAP_IND_SQL, geography, gap_indicators, with_gap_ind, YEAR_SQL, sql_str
-from civicstat.plans.profile_queries import SECTIONS
+from civicstat.plans.indicators import GAP_IND_SQL, customers, geography, gap_indicators, with_gap_ind, YEAR_SQL, sql_str
+from civicstat.plans.profile_queries import SECTIONS, UNCOVERED_SQL, coverage_matrix
 from civicstat.plans.registry import query
 from civicstat.session import materialize
 from civicstat.sources.tables import load
@@ -29,21 +29,27 @@ EXPECTED_CHARACTERISTICS = (
     ("shipments", "Shipments - N"),
     ("shipments", "Shipments - R"),
     ("shipments", "Shipments - X"),
+    ("activity", "Events - click"),
+    ("activity", "Events - refund"),
 )
 DEPTH_SECTIONS = ("rates", "shipments")
 GOOD_DEPTH = 7
 
-# Issue register: rule -> (issue type, priority)
+# Issue register: rule -> issue type
 RULES = {
-    "G1 missing periods": ("MISSING", "High"),
-    "G2 missing characteristic": ("MISSING", "High"),
-    "G3 partial coverage": ("INCOMPLETE", "Medium"),
-    "G4 uneven depth": ("INCOMPLETE", "Medium"),
-    "G5 non-year period": ("DATA QUALITY", "High"),
-    "G6 name drift": ("DATA QUALITY", "Medium"),
-    "G9 stale series": ("STALE", "Low"),
-    "G10 available elsewhere": ("INCOMPLETE", "Medium"),
+    "G1 missing periods": "MISSING",
+    "G2 missing characteristic": "MISSING",
+    "G3 partial coverage": "INCOMPLETE",
+    "G4 uneven depth": "INCOMPLETE",
+    "G5 non-year period": "DATA QUALITY",
+    "G6 name drift": "DATA QUALITY",
+    "G8 low density": "INCOMPLETE",
+    "G9 stale series": "STALE",
+    "G10 available elsewhere": "INCOMPLETE",
+    "G11 mostly out of scope": "INCOMPLETE",
 }
+LOW_DENSITY = 0.9
+LOW_SCOPE_PCT = 50.0
 
 
 _q = sql_str
@@ -59,19 +65,22 @@ SELECT g.dashboard_section, g.geography, g.year FROM (
   SELECT s.dashboard_section, n_name AS geography, CAST(y.year AS INTEGER) AS year
   FROM nation, (VALUES {_SECTIONS_SQL}) s(dashboard_section),
        (SELECT unnest(range({YEARS[0]}, {YEARS[-1] + 1})) AS year) y
+  UNION ALL
+  SELECT 'orders', c_name, CAST(y.year AS INTEGER) FROM customer, (SELECT unnest(range({YEARS[0]}, {YEARS[-1] + 1})) AS year) y
 ) g
 WHERE NOT EXISTS (SELECT 1 FROM ind i WHERE i.dashboard_section = g.dashboard_section
                   AND i.geography = g.geography AND {_YEAR_SQL.replace('timeframe', 'i.timeframe')} = g.year)
 """
 
 
-def missing_periods(spark, d):
-    return P.missing_periods(gap_indicators(spark, d), geography(spark, d), SECTIONS, YEARS)
+def missing_periods(ind, spark, d):
+    return P.missing_periods(ind, geography(spark, d), SECTIONS, YEARS).unionByName(
+        P.missing_periods(ind, customers(spark, d), ("orders",), YEARS))
 
 
 @query("gap_periods", ids="G1", sql=with_gap_ind(_PERIODS_BODY + "ORDER BY 1, 2, 3"))
 def gap_periods(spark, d):
-    return missing_periods(spark, d).orderBy("dashboard_section", "geography", "year")
+    return missing_periods(gap_indicators(spark, d), spark, d).orderBy("dashboard_section", "geography", "year")
 
 
 # ---- G2 ----------------------------------------------------------------
@@ -97,9 +106,10 @@ def gap_characteristics(spark, d):
 # ---- G4 ----------------------------------------------------------------
 
 _DEPTH_BODY = f"""
-WITH sec AS (SELECT * FROM ind WHERE dashboard_section IN ({", ".join(_q(s) for s in DEPTH_SECTIONS)})),
+WITH sec AS (SELECT * FROM ind WHERE dashboard_section IN ({", ".join(_q(s) for s in (*DEPTH_SECTIONS, "orders"))})),
 chars AS (SELECT DISTINCT dashboard_section, characteristic FROM sec),
-grid AS (SELECT c.dashboard_section, n_name AS geography, c.characteristic FROM chars c, nation),
+grid AS (SELECT c.dashboard_section, n_name AS geography, c.characteristic FROM chars c, nation WHERE c.dashboard_section <> 'orders'
+         UNION ALL SELECT c.dashboard_section, c_name, c.characteristic FROM chars c, customer WHERE c.dashboard_section = 'orders'),
 yrs AS (SELECT dashboard_section, geography, characteristic, count(DISTINCT timeframe) AS periods FROM sec
         WHERE {_YEAR_SQL} IS NOT NULL GROUP BY 1, 2, 3),
 o AS (SELECT g.dashboard_section, g.geography, g.characteristic, coalesce(y.periods, 0) AS periods
@@ -111,14 +121,15 @@ FROM o
 """
 
 
-def depth(spark, d):
-    return P.depth(gap_indicators(spark, d), geography(spark, d), DEPTH_SECTIONS, good=GOOD_DEPTH).select(
+def depth(ind, spark, d):
+    return P.depth(ind, geography(spark, d), DEPTH_SECTIONS, good=GOOD_DEPTH).unionByName(
+        P.depth(ind, customers(spark, d), "orders", good=GOOD_DEPTH)).select(
         "dashboard_section", "geography", "characteristic", "periods", "depth")
 
 
 @query("gap_depth", ids="G4", sql=with_gap_ind(_DEPTH_BODY + "ORDER BY 1, 2, 3"))
 def gap_depth(spark, d):
-    return depth(spark, d).orderBy("dashboard_section", "geography", "characteristic")
+    return depth(gap_indicators(spark, d), spark, d).orderBy("dashboard_section", "geography", "characteristic")
 
 
 # ---- G5 ----------------------------------------------------------------
@@ -194,14 +205,17 @@ def label_clean_names(spark, d):
 
 # ---- G8 ----------------------------------------------------------------
 
-@query("gap_density", ids="G8", sql=with_gap_ind("""
+_DENSITY_BODY = """
 WITH g AS (SELECT dashboard_section, count(*) AS rows, count(DISTINCT geography) AS communities,
                   count(DISTINCT characteristic) AS characteristics, count(DISTINCT timeframe) AS timeframes
            FROM ind GROUP BY dashboard_section)
 SELECT *, communities * characteristics * timeframes AS expected_cells,
        CAST(rows AS DOUBLE) / CAST(communities * characteristics * timeframes AS DOUBLE) AS density
-FROM g ORDER BY dashboard_section
-"""))
+FROM g
+"""
+
+
+@query("gap_density", ids="G8", sql=with_gap_ind(_DENSITY_BODY + "ORDER BY dashboard_section"))
 def gap_density(spark, d):
     return P.density(gap_indicators(spark, d)).orderBy("dashboard_section")
 
@@ -229,107 +243,120 @@ def gap_stale(spark, d):
 # ---- G10 ---------------------------------------------------------------
 
 _ELSEWHERE_BODY = """
-SELECT 'shipments' AS missing_in, 'demand' AS found_in, geography FROM (
-  SELECT DISTINCT geography FROM ind WHERE dashboard_section = 'demand'
-  EXCEPT SELECT DISTINCT geography FROM ind WHERE dashboard_section = 'shipments')
+SELECT 'activity' AS missing_in, 'orders' AS found_in, geography FROM (
+  SELECT DISTINCT geography FROM ind WHERE dashboard_section = 'orders'
+  EXCEPT SELECT DISTINCT geography FROM ind WHERE dashboard_section = 'activity')
 """
 
 
 @query("gap_elsewhere", ids="G10", sql=with_gap_ind(_ELSEWHERE_BODY + "ORDER BY geography"))
 def gap_elsewhere(spark, d):
-    return P.available_elsewhere(gap_indicators(spark, d), "shipments", "demand").orderBy("geography")
+    return P.available_elsewhere(gap_indicators(spark, d), "activity", "orders").orderBy("geography")
 
 
 # ---- G11 ---------------------------------------------------------------
 
-@query("gap_scope_share", ids="G11", sql="""
+_SCOPE_BODY = """
 WITH lab AS (SELECT DISTINCT doc_id FROM labels),
 t AS (SELECT source, count(*) AS total_rows, count(lab.doc_id) AS in_scope_rows
       FROM documents LEFT JOIN lab ON documents.doc_id = lab.doc_id GROUP BY source)
 SELECT source, total_rows, in_scope_rows,
        CAST((2000 * in_scope_rows + total_rows) // (2 * total_rows) AS DOUBLE) / 10 AS in_scope_pct
-FROM t ORDER BY source
-""")
-def gap_scope_share(spark, d):
+FROM t
+"""
+
+
+def scope_share(spark, d):
     """Share of each document source that is labelled (in scope)."""
     docs = load(spark, d, "documents").select("doc_id", "source")
     lab = load(spark, d, "labels").select(F.col("doc_id").alias("__lab")).distinct()
     j = docs.join(lab, docs.doc_id == lab["__lab"], "left")
-    return P.scope_share(j, "source", F.col("__lab").isNotNull()).orderBy("source")
+    return P.scope_share(j, "source", F.col("__lab").isNotNull())
 
 
-# ---- G12 ---------------------------------------------------------------
+@query("gap_scope_share", ids="G11", sql=_SCOPE_BODY + "ORDER BY source")
+def gap_scope_share(spark, d):
+    return scope_share(spark, d).orderBy("source")
 
-_COVERAGE_BODY = f"""
-SELECT dashboard_section, count_if(n > 0) AS covered, count(*) AS total,
-       string_agg(geography, ', ' ORDER BY geography) FILTER (n = 0) AS missing
-FROM (SELECT s.dashboard_section, g.n_name AS geography,
-             (SELECT count(*) FROM ind WHERE ind.dashboard_section = s.dashboard_section AND ind.geography = g.n_name) AS n
-      FROM nation g, (VALUES {_SECTIONS_SQL}) s(dashboard_section))
-GROUP BY dashboard_section HAVING count_if(n = 0) > 0
-"""
 
+# ---- G12 ---------------------------------------------------------------
 
-def _issue_sql(rule: str, section: str, subject: str, detail: str, body: str) -> str:
-    t, p = RULES[rule]
+def _issue_sql(rule: str, priority: str, section: str, subject: str, detail: str, body: str) -> str:
     return (f"SELECT {_q(rule)} AS rule, CAST({section} AS VARCHAR) AS section, CAST({subject} AS VARCHAR) AS subject, "
-            f"{_q(t)} AS issue_type, {_q(p)} AS priority, CAST({detail} AS VARCHAR) AS detail FROM ({body})")
+            f"{_q(RULES[rule])} AS issue_type, {priority} AS priority, CAST({detail} AS VARCHAR) AS detail FROM ({body})")
 
 
+# A finding's priority: the newest expected year, a characteristic or a whole series that is absent weigh most.
 _REGISTER_SQL = "WITH " + GAP_IND_SQL + "\n" + "\nUNION ALL\n".join([
-    _issue_sql("G1 missing periods", "dashboard_section", "geography", "'year ' || CAST(year AS VARCHAR)", _PERIODS_BODY),
-    _issue_sql("G2 missing characteristic", "dashboard_section", "characteristic", "'not in data'", _CHARS_BODY),
-    _issue_sql("G3 partial coverage", "dashboard_section", "CAST(covered AS VARCHAR) || ' of ' || CAST(total AS VARCHAR)",
-               "missing", _COVERAGE_BODY),
-    _issue_sql("G4 uneven depth", "dashboard_section", "geography || ' / ' || characteristic",
-               "depth || ': ' || CAST(periods AS VARCHAR) || ' periods'",
+    _issue_sql("G1 missing periods", f"CASE WHEN year = {YEARS[-1]} THEN 'High' ELSE 'Medium' END", "dashboard_section", "geography",
+               "'year ' || CAST(year AS VARCHAR)", _PERIODS_BODY),
+    _issue_sql("G2 missing characteristic", "'High'", "dashboard_section", "characteristic", "'not in data'", _CHARS_BODY),
+    _issue_sql("G3 partial coverage", "CASE WHEN 2 * covered < total THEN 'High' ELSE 'Medium' END", "dashboard_section", "geography",
+               "'covered ' || CAST(covered AS VARCHAR) || ' of ' || CAST(total AS VARCHAR)", UNCOVERED_SQL),
+    _issue_sql("G4 uneven depth", "CASE WHEN depth = 'missing' THEN 'High' ELSE 'Medium' END", "dashboard_section",
+               "geography || ' / ' || characteristic", "depth || ': ' || CAST(periods AS VARCHAR) || ' periods'",
                f"SELECT * FROM ({_DEPTH_BODY}) WHERE depth <> 'good'"),
-    _issue_sql("G5 non-year period", "dashboard_section", "timeframe", "CAST(rows AS VARCHAR) || ' rows'", _BAD_BODY),
-    _issue_sql("G6 name drift", "NULL", "geography_id", "drift || ': ' || source_name", _DRIFT_BODY),
-    _issue_sql("G9 stale series", "dashboard_section", "geography || ' / ' || characteristic",
+    _issue_sql("G5 non-year period", "'High'", "dashboard_section", "timeframe", "CAST(rows AS VARCHAR) || ' rows'", _BAD_BODY),
+    _issue_sql("G6 name drift", "CASE WHEN drift = 'decorated' THEN 'Low' ELSE 'Medium' END", "NULL", "geography_id",
+               "drift || ': ' || source_name", _DRIFT_BODY),
+    _issue_sql("G8 low density", "CASE WHEN 2 * rows < expected_cells THEN 'Medium' ELSE 'Low' END", "dashboard_section", "'all cells'",
+               "CAST(rows AS VARCHAR) || ' of ' || CAST(expected_cells AS VARCHAR)",
+               f"SELECT * FROM ({_DENSITY_BODY}) WHERE density < {LOW_DENSITY}"),
+    _issue_sql("G9 stale series", "CASE WHEN years_behind >= 3 THEN 'High' WHEN years_behind = 2 THEN 'Medium' ELSE 'Low' END",
+               "dashboard_section", "geography || ' / ' || characteristic",
                "'last ' || CAST(last_year AS VARCHAR) || ' vs ' || CAST(peer_last_year AS VARCHAR)", _STALE_BODY),
-    _issue_sql("G10 available elsewhere", "missing_in", "geography", "'found in ' || found_in", _ELSEWHERE_BODY),
+    _issue_sql("G10 available elsewhere", "'Medium'", "missing_in", "geography", "'found in ' || found_in", _ELSEWHERE_BODY),
+    _issue_sql("G11 mostly out of scope", "CASE WHEN 10 * in_scope_rows < total_rows THEN 'High' ELSE 'Low' END", "'documents'", "source",
+               "CAST(in_scope_rows AS VARCHAR) || ' of ' || CAST(total_rows AS VARCHAR)",
+               f"SELECT * FROM ({_SCOPE_BODY}) WHERE in_scope_pct < {LOW_SCOPE_PCT}"),
 ]) + "\nORDER BY rule, section, subject"
 
 
-@query("gap_issue_register", ids="G12 G1 G2 G3 G4 G5 G6 G9 G10", sql=_REGISTER_SQL)
-def gap_issue_register(spark, d):
-    ind = materialize(gap_indicators(spark, d))   # read by six rules: build once
-    geo = geography(spark, d)
+def issue_register(spark, d):
+    """Findings of all rules; IND and the series are built once."""
+    ind = materialize(gap_indicators(spark, d))
     expected = spark.createDataFrame(list(EXPECTED_CHARACTERISTICS),
                                      "dashboard_section string, characteristic string").coalesce(1)
-
-    def rule(name, df, section, subject, detail):
-        t, p = RULES[name]
-        return P.issue(df, name, t, p, section, subject, detail)
-
-    dep = P.depth(ind, geo, DEPTH_SECTIONS, good=GOOD_DEPTH).filter(F.col("depth") != "good")
-    parts = [
-        rule("G1 missing periods", P.missing_periods(ind, geo, SECTIONS, YEARS), "dashboard_section",
-             F.col("geography"), F.concat(F.lit("year "), F.col("year").cast("string"))),
-        rule("G2 missing characteristic", P.missing_characteristics(ind, expected), "dashboard_section",
-             F.col("characteristic"), F.lit("not in data")),
-        rule("G3 partial coverage", P.coverage_summary(P.coverage_matrix(ind, geo, SECTIONS)).filter("uncovered > 0"),
-             "dashboard_section", F.concat(F.col("covered").cast("string"), F.lit(" of "), F.col("total").cast("string")),
-             F.col("missing")),
-        rule("G4 uneven depth", dep, "dashboard_section",
-             F.concat(F.col("geography"), F.lit(" / "), F.col("characteristic")),
-             F.concat(F.col("depth"), F.lit(": "), F.col("periods").cast("string"), F.lit(" periods"))),
-        rule("G5 non-year period", P.bad_periods(ind), "dashboard_section", F.col("timeframe"),
-             F.concat(F.col("rows").cast("string"), F.lit(" rows"))),
-        rule("G6 name drift", drift(spark, d), None, F.col("geography_id"),
-             F.concat(F.col("drift"), F.lit(": "), F.col("source_name"))),
-        rule("G9 stale series", P.stale_series(ind), "dashboard_section",
-             F.concat(F.col("geography"), F.lit(" / "), F.col("characteristic")),
-             F.concat(F.lit("last "), F.col("last_year").cast("string"), F.lit(" vs "),
-                      F.col("peer_last_year").cast("string"))),
-        rule("G10 available elsewhere", P.available_elsewhere(ind, "shipments", "demand"), "missing_in",
-             F.col("geography"), F.concat(F.lit("found in "), F.col("found_in"))),
-    ]
-    return P.issue_register(parts).orderBy("rule", "section", "subject")
+    c, text = F.col, lambda name: F.col(name).cast("string")
+
+    def rule(name, priority, df, section, subject, detail):
+        return P.issue(df, name, RULES[name], priority, section, subject, detail)
+
+    series = F.concat("geography", F.lit(" / "), "characteristic")
+    return P.issue_register([
+        rule("G1 missing periods", F.when(c("year") == YEARS[-1], "High").otherwise("Medium"), missing_periods(ind, spark, d),
+             "dashboard_section", c("geography"), F.concat(F.lit("year "), text("year"))),
+        rule("G2 missing characteristic", "High", P.missing_characteristics(ind, expected), "dashboard_section",
+             c("characteristic"), F.lit("not in data")),
+        rule("G3 partial coverage", F.when(2 * c("covered") < c("total"), "High").otherwise("Medium"),
+             P.uncovered(coverage_matrix(ind, spark, d)), "dashboard_section", c("geography"),
+             F.concat(F.lit("covered "), text("covered"), F.lit(" of "), text("total"))),
+        rule("G4 uneven depth", F.when(c("depth") == "missing", "High").otherwise("Medium"), depth(ind, spark, d).filter("depth <> 'good'"),
+             "dashboard_section", series, F.concat("depth", F.lit(": "), text("periods"), F.lit(" periods"))),
+        rule("G5 non-year period", "High", P.bad_periods(ind), "dashboard_section", c("timeframe"),
+             F.concat(text("rows"), F.lit(" rows"))),
+        rule("G6 name drift", F.when(c("drift") == "decorated", "Low").otherwise("Medium"), drift(spark, d), None,
+             c("geography_id"), F.concat("drift", F.lit(": "), "source_name")),
+        rule("G8 low density", F.when(2 * c("rows") < c("expected_cells"), "Medium").otherwise("Low"),
+             P.density(ind).filter(c("density") < LOW_DENSITY), "dashboard_section", F.lit("all cells"),
+             F.concat(text("rows"), F.lit(" of "), text("expected_cells"))),
+        rule("G9 stale series", F.when(c("years_behind") >= 3, "High").when(c("years_behind") == 2, "Medium").otherwise("Low"),
+             P.stale_series(ind), "dashboard_section", series,
+             F.concat(F.lit("last "), text("last_year"), F.lit(" vs "), text("peer_last_year"))),
+        rule("G10 available elsewhere", "Medium", P.available_elsewhere(ind, "activity", "orders"), "missing_in",
+             c("geography"), F.concat(F.lit("found in "), "found_in")),
+        rule("G11 mostly out of scope", F.when(10 * c("in_scope_rows") < c("total_rows"), "High").otherwise("Low"),
+             scope_share(spark, d).filter(c("in_scope_pct") < LOW_SCOPE_PCT), F.lit("documents"), c("source"),
+             F.concat(text("in_scope_rows"), F.lit(" of "), text("total_rows"))),
+    ])
+
+
+@query("gap_issue_register", ids="G12 G1 G2 G3 G4 G5 G6 G8 G9 G10 G11", sql=_REGISTER_SQL)
+def gap_issue_register(spark, d):
+    return issue_register(spark, d).orderBy("rule", "section", "subject")
 
 
 @query("gap_issue_counts", ids="G12", sql="WITH reg AS (" + _REGISTER_SQL.replace("\nORDER BY rule, section, subject", "")
-       + ")\nSELECT rule, issue_type, priority, count(*) AS findings FROM reg GROUP BY 1, 2, 3 ORDER BY 1")
+       + ")\nSELECT rule, issue_type, priority, count(*) AS findings FROM reg GROUP BY 1, 2, 3 ORDER BY 1, 3")
 def gap_issue_counts(spark, d):
-    return P.issue_counts(gap_issue_register(spark, d)).orderBy("rule")
+    return P.issue_counts(issue_register(spark, d)).orderBy("rule", "priority")

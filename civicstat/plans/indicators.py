@@ -8,8 +8,9 @@ section x geography x characteristic x period.
     geography_type = r_name, timeframe = text of the year.
 
 Sections
-    demand     'Orders'; 'Orders - <priority> (number)' and '(value)', the
-               value of the year's fourth quarter: NULL while a year has none
+    demand     'Orders'; 'Orders - <priority> (number)', '(value)' and
+               '(Q4 value)', the value of the year's fourth quarter: NULL
+               while a year has none
     rates      'High value (rate)' (o_totalprice > 250,000) and 'Open (rate)'
                (status O), percent with one decimal (half up)
     segments   'Segment: <c_mktsegment>' order counts per year plus one
@@ -17,13 +18,13 @@ Sections
     shipments  'Shipments - <l_returnflag>' summed l_quantity by ship year
                and supplier nation
 
-Every row of the source tables counts. ``gap_indicators`` takes cells away
-again, as the input of the gap and coverage queries alone.
+Every row of the source tables counts. ``gap_indicators`` adds the series of
+single customers, which have gaps of their own, as the input of the gap and
+coverage queries.
 
-Plan: orders are summed by customer, year and priority, so that a hot
-customer sends one row a task and cell, joined to customer (broadcast while
-customer is under the size threshold, else a sort-merge join on the customer
-key) and reduced, with map-side partial aggregation, to a
+Plan: orders meet customer (broadcast while customer is under the size
+threshold, else a sort-merge join on the customer key, whose hot keys AQE
+splits) and are reduced, with map-side partial aggregation, to a
 cell table (nation, year, priority, segment) that has at most a few
 thousand rows at any scale; a hot nation or year never lands whole in one
 task.  Two plans yield identical rows (see ``indicators``): per-family
@@ -43,10 +44,8 @@ from civicstat.functions.numeric import pct_half_up
 from civicstat.sources.tables import load
 
 HIGH_VALUE = 250000
-# Cells taken away from the input of the gap and coverage queries.
-GAP_STALE_NATION = 3
-GAP_STALE_AFTER = 1999
-GAP_SHIPMENT_NATIONS = 20
+# Sections of the customers' series, by the table that they come from.
+CUSTOMER_SECTIONS = ("orders", "activity")
 
 
 def geography(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,14 +59,12 @@ def geography(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sums of orders by customer, year and priority, with the customer's nation and segment."""
+    """Orders with their customer's nation and segment, one row an order."""
     price = F.col("o_totalprice").cast("decimal(18,2)")
-    orders = (load(spark, sf_dir, "orders")
-              .groupBy("o_custkey", F.year("o_orderdate").alias("yr"), F.col("o_orderpriority").alias("prio"))
-              .agg(F.count(F.lit(1)).alias("n"),
-                   F.sum(F.when(F.quarter("o_orderdate") == 4, price)).alias("amt"),
-                   F.count_if(F.col("o_totalprice") > HIGH_VALUE).alias("h"),
-                   F.count_if(F.col("o_orderstatus") == "O").alias("o")))
+    orders = load(spark, sf_dir, "orders").select(
+        "o_custkey", F.year("o_orderdate").alias("yr"), F.col("o_orderpriority").alias("prio"), price.alias("amt"),
+        F.when(F.quarter("o_orderdate") == 4, price).alias("q4"),
+        (F.col("o_totalprice") > HIGH_VALUE).alias("h"), (F.col("o_orderstatus") == "O").alias("o"))
     customer = load(spark, sf_dir, "customer").select(
         "c_custkey", F.col("c_nationkey").alias("nk"), F.col("c_mktsegment").alias("seg"))
     return orders.join(customer, orders.o_custkey == customer.c_custkey)
@@ -103,16 +100,37 @@ def indicators(spark: SparkSession, sf_dir: str, single_scan: bool = False) -> D
     return (build_indicators_single_scan if single_scan else build_indicators)(spark, sf_dir)
 
 
-def gap_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """IND without some cells: the input made for the gap and coverage queries.
+def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customers as a geography dimension."""
+    return load(spark, sf_dir, "customer").select(
+        F.col("c_name").alias("geography"), F.col("c_custkey").cast("string").alias("geography_id"),
+        F.col("c_mktsegment").alias("geography_type"), F.col("c_custkey").alias("ck"))
+
+
+def customer_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long table of single customers: orders by priority and year, events by type and year.
 
-    Shipments of nations 20 to 24 (partial coverage) and the rates of nation
-    3 after 1999 (a stale series) are absent.
+    Most customers have years without an order and no event at all. One row
+    for each cell with a row of the source, so it grows with the tables.
     """
-    nk = F.col("geography_id").cast("int")
-    absent = ((F.col("dashboard_section") == "shipments") & (nk >= GAP_SHIPMENT_NATIONS)) | (
-        (F.col("dashboard_section") == "rates") & (nk == GAP_STALE_NATION) & (F.col("timeframe") > str(GAP_STALE_AFTER)))
-    return indicators(spark, sf_dir, single_scan=True).filter(~absent)
+    orders = (load(spark, sf_dir, "orders")
+              .groupBy(F.col("o_custkey").alias("ck"), F.concat(F.lit("Orders - "), "o_orderpriority").alias("characteristic"),
+                       F.year("o_orderdate").cast("string").alias("timeframe"))
+              .agg(F.count(F.lit(1)).cast("double").alias("indicator_value"))
+              .select(F.lit("orders").alias("dashboard_section"), F.lit("orders").alias("data_source"), "*"))
+    events = (load(spark, sf_dir, "events")
+              .groupBy(F.col("user_id").alias("ck"), F.concat(F.lit("Events - "), "event_type").alias("characteristic"),
+                       F.year("ts").cast("string").alias("timeframe"))
+              .agg(F.count(F.lit(1)).cast("double").alias("indicator_value"))
+              .select(F.lit("activity").alias("dashboard_section"), F.lit("events").alias("data_source"), "*"))
+    return orders.unionByName(events).join(customers(spark, sf_dir), "ck").select(
+        "dashboard_section", "geography", "geography_id", "geography_type",
+        "characteristic", "timeframe", "indicator_value", "data_source")
+
+
+def gap_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IND and the customers' series: what the gap and coverage queries read."""
+    return indicators(spark, sf_dir, single_scan=True).unionByName(customer_series(spark, sf_dir))
 
 
 def order_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,7 +144,8 @@ def order_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     the single-scan plan computes it once for all families.
     """
     return order_facts(spark, sf_dir).groupBy("nk", "yr", "prio", "seg").agg(
-        *[F.sum(c).alias(c) for c in ("n", "amt", "h", "o")])
+        F.count(F.lit(1)).alias("n"), F.sum("amt").alias("amt"), F.sum("q4").alias("q4"),
+        F.count_if("h").alias("h"), F.count_if("o").alias("o"))
 
 
 def build_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,10 +163,11 @@ def build_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
     rates = per_year.select(*_rows("rates", "orders", year_txt, [
         (F.lit("High value (rate)"), _rate("h", "n")), (F.lit("Open (rate)"), _rate("o", "n"))]))
 
-    per_prio = cells.groupBy("nk", "yr", "prio").agg(F.sum("n").alias("n"), F.sum("amt").alias("amt"))
+    per_prio = cells.groupBy("nk", "yr", "prio").agg(*[F.sum(c).alias(c) for c in ("n", "amt", "q4")])
     demand_prio = per_prio.select(*_rows("demand", "orders", year_txt, [
         (F.concat(F.lit("Orders - "), "prio", F.lit(" (number)")), F.col("n")),
-        (F.concat(F.lit("Orders - "), "prio", F.lit(" (value)")), F.col("amt"))]))
+        (F.concat(F.lit("Orders - "), "prio", F.lit(" (value)")), F.col("amt")),
+        (F.concat(F.lit("Orders - "), "prio", F.lit(" (Q4 value)")), F.col("q4"))]))
 
     # per year and over all years in one aggregation (grouping sets)
     per_seg = cells.groupingSets([["nk", "seg", "yr"], ["nk", "seg"]], "nk", "seg", "yr").agg(
@@ -194,7 +214,7 @@ def build_indicators_single_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = order_cells(spark, sf_dir)
     fam = cells.groupingSets([["nk", "yr"], ["nk", "yr", "prio"], ["nk", "seg", "yr"], ["nk", "seg"]],
                              "nk", "yr", "prio", "seg").agg(
-        F.sum("n").alias("n"), F.sum("amt").alias("amt"), F.sum("h").alias("h"), F.sum("o").alias("o"),
+        *[F.sum(c).alias(c) for c in ("n", "amt", "q4", "h", "o")],
         F.grouping("yr").alias("g_yr"), F.grouping("prio").alias("g_prio"), F.grouping("seg").alias("g_seg"))
     year_txt = F.col("yr").cast("string")
 
@@ -214,7 +234,9 @@ def build_indicators_single_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
             row("demand", F.concat(F.lit("Orders - "), "prio", F.lit(" (number)")), year_txt,
                 F.col("n")),
             row("demand", F.concat(F.lit("Orders - "), "prio", F.lit(" (value)")), year_txt,
-                F.col("amt"))))
+                F.col("amt")),
+            row("demand", F.concat(F.lit("Orders - "), "prio", F.lit(" (Q4 value)")), year_txt,
+                F.col("q4"))))
         .when(by_seg_year, F.array(
             row("segments", F.concat(F.lit("Segment: "), "seg"), year_txt, F.col("n"))))
         .otherwise(F.array(
@@ -235,13 +257,14 @@ geo AS (
 ),
 cells AS (
   SELECT c_nationkey AS nk, year(o_orderdate) AS yr, o_orderpriority AS prio, c_mktsegment AS seg,
-         count(*) AS n, sum(CASE WHEN quarter(o_orderdate) = 4 THEN CAST(o_totalprice AS DECIMAL(18,2)) END) AS amt,
+         count(*) AS n, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS amt,
+         sum(CASE WHEN quarter(o_orderdate) = 4 THEN CAST(o_totalprice AS DECIMAL(18,2)) END) AS q4,
          count_if(o_totalprice > {HIGH_VALUE}) AS n_high, count_if(o_orderstatus = 'O') AS n_open
   FROM orders JOIN customer ON o_custkey = c_custkey
   GROUP BY 1, 2, 3, 4
 ),
 per_year AS (SELECT nk, yr, sum(n) AS n, sum(n_high) AS h, sum(n_open) AS o FROM cells GROUP BY nk, yr),
-per_prio AS (SELECT nk, yr, prio, sum(n) AS n, sum(amt) AS amt FROM cells GROUP BY nk, yr, prio),
+per_prio AS (SELECT nk, yr, prio, sum(n) AS n, sum(amt) AS amt, sum(q4) AS q4 FROM cells GROUP BY nk, yr, prio),
 per_seg AS (SELECT nk, yr, seg, sum(n) AS n FROM cells GROUP BY nk, yr, seg),
 per_seg_all AS (SELECT nk, seg, sum(n) AS n FROM cells GROUP BY nk, seg),
 ship AS (
@@ -260,6 +283,9 @@ body AS (
   SELECT 'demand', nk, 'Orders - ' || prio || ' (value)', CAST(yr AS VARCHAR),
          CAST(amt AS DOUBLE), 'orders' FROM per_prio
   UNION ALL
+  SELECT 'demand', nk, 'Orders - ' || prio || ' (Q4 value)', CAST(yr AS VARCHAR),
+         CAST(q4 AS DOUBLE), 'orders' FROM per_prio
+  UNION ALL
   SELECT 'rates', nk, 'High value (rate)', CAST(yr AS VARCHAR),
          CAST((2000 * h + n) // (2 * n) AS DOUBLE) / 10, 'orders'
   FROM per_year
@@ -283,11 +309,20 @@ ind AS (
 
 
 # DuckDB twin of ``gap_indicators``.
-GAP_IND_SQL = IND_SQL.replace("\nind AS (", "\nind_all AS (") + f""",
+GAP_IND_SQL = IND_SQL.replace("\nind AS (", "\nind_nations AS (") + """,
+cust AS (
+  SELECT 'orders' AS dashboard_section, o_custkey AS ck, 'Orders - ' || o_orderpriority AS characteristic,
+         CAST(year(o_orderdate) AS VARCHAR) AS timeframe, CAST(count(*) AS DOUBLE) AS indicator_value, 'orders' AS data_source
+  FROM orders GROUP BY ALL
+  UNION ALL
+  SELECT 'activity', user_id, 'Events - ' || event_type, CAST(year(ts) AS VARCHAR), CAST(count(*) AS DOUBLE), 'events'
+  FROM events GROUP BY ALL
+),
 ind AS (
-  SELECT * FROM ind_all
-  WHERE NOT (dashboard_section = 'shipments' AND CAST(geography_id AS INTEGER) >= {GAP_SHIPMENT_NATIONS})
-    AND NOT (dashboard_section = 'rates' AND geography_id = '{GAP_STALE_NATION}' AND timeframe > '{GAP_STALE_AFTER}')
+  SELECT * FROM ind_nations
+  UNION ALL
+  SELECT dashboard_section, c_name, CAST(c_custkey AS VARCHAR), c_mktsegment, characteristic, timeframe, indicator_value, data_source
+  FROM cust JOIN customer ON ck = c_custkey
 )"""
 
 

@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from civicstat.operators import profile as P
-from civicstat.plans.indicators import gap_indicators, geography, indicators, with_gap_ind, with_ind, YEAR_SQL
+from civicstat.plans.indicators import (CUSTOMER_SECTIONS, customers, gap_indicators, geography, indicators,
+                                         with_gap_ind, with_ind, YEAR_SQL)
 from civicstat.plans.registry import query
 from civicstat.sources.tables import load
 
 SECTIONS = ("demand", "rates", "segments", "shipments")
 _YEAR_SQL = YEAR_SQL
 _SECTIONS_SQL = ", ".join(f"('{s}')" for s in SECTIONS)
+# Every section with every community that it could have.
+GRID_SQL = f"""SELECT s.dashboard_section, n_name AS geography FROM nation, (VALUES {_SECTIONS_SQL}) s(dashboard_section)
+  UNION ALL
+  SELECT s.dashboard_section, c_name FROM customer, (VALUES {", ".join(f"('{s}')" for s in CUSTOMER_SECTIONS)}) s(dashboard_section)"""
 
 
 @query("section_profile", ids="A3", sql=with_ind("""
@@ -59,31 +64,51 @@ def completeness_rollup(spark, d):
 
 @query("coverage_matrix_zero", ids="G3 A2", sql=with_gap_ind(f"""
 WITH c AS (SELECT dashboard_section, geography, count(*) AS n FROM ind GROUP BY 1, 2),
-grid AS (SELECT s.dashboard_section, n_name AS geography FROM nation, (VALUES {_SECTIONS_SQL}) s(dashboard_section))
+grid AS ({GRID_SQL})
 SELECT g.dashboard_section, g.geography, coalesce(c.n, 0) AS rows
 FROM grid g LEFT JOIN c ON g.dashboard_section = c.dashboard_section AND g.geography = c.geography
 ORDER BY g.dashboard_section, g.geography
 """))
 def coverage_matrix_zero(spark, d):
-    """Rows per (section, community) incl. zero cells: nations 20-24 ship nothing."""
-    geo = geography(spark, d)
-    return P.coverage_matrix(gap_indicators(spark, d), geo, SECTIONS).select(
+    """Rows per (section, community) incl. zero cells: most customers have no event."""
+    return coverage_matrix(gap_indicators(spark, d), spark, d).select(
         "dashboard_section", "geography", "rows").orderBy("dashboard_section", "geography")
 
 
+def coverage_matrix(ind, spark, d):
+    """The cells of nations and of customers."""
+    return P.coverage_matrix(ind, geography(spark, d), SECTIONS).unionByName(
+        P.coverage_matrix(ind, customers(spark, d), CUSTOMER_SECTIONS))
+
+
 @query("gap_coverage", ids="G3", sql=with_gap_ind(f"""
 WITH c AS (SELECT dashboard_section, geography, count(*) AS n FROM ind GROUP BY 1, 2),
-grid AS (SELECT s.dashboard_section, n_name AS geography FROM nation, (VALUES {_SECTIONS_SQL}) s(dashboard_section)),
+grid AS ({GRID_SQL}),
 m AS (SELECT g.dashboard_section, g.geography, coalesce(c.n, 0) AS rows FROM grid g LEFT JOIN c
       ON g.dashboard_section = c.dashboard_section AND g.geography = c.geography)
 SELECT dashboard_section, CAST(count_if(rows > 0) AS BIGINT) AS covered, count(*) AS total,
-       CAST(count_if(rows = 0) AS BIGINT) AS uncovered,
-       coalesce(string_agg(geography, ', ' ORDER BY geography) FILTER (rows = 0), '') AS missing
+       CAST(count_if(rows = 0) AS BIGINT) AS uncovered
 FROM m GROUP BY dashboard_section ORDER BY dashboard_section
 """))
 def gap_coverage(spark, d):
-    m = P.coverage_matrix(gap_indicators(spark, d), geography(spark, d), SECTIONS)
-    return P.coverage_summary(m).orderBy("dashboard_section")
+    """Covered n of N; ``gap_uncovered`` has the names, one a row, since customers are too many for one cell."""
+    m = coverage_matrix(gap_indicators(spark, d), spark, d)
+    return P.coverage_summary(m, names=False).orderBy("dashboard_section")
+
+
+UNCOVERED_SQL = f"""
+SELECT dashboard_section, geography, CAST(covered AS BIGINT) AS covered, total FROM (
+  SELECT *, count_if(rows > 0) OVER (PARTITION BY dashboard_section) AS covered, count(*) OVER (PARTITION BY dashboard_section) AS total
+  FROM (SELECT g.dashboard_section, g.geography, coalesce(c.n, 0) AS rows
+        FROM ({GRID_SQL}) g LEFT JOIN (SELECT dashboard_section, geography, count(*) AS n FROM ind GROUP BY 1, 2) c
+        ON g.dashboard_section = c.dashboard_section AND g.geography = c.geography))
+WHERE rows = 0
+"""
+
+
+@query("gap_uncovered", ids="G3", sql=with_gap_ind(UNCOVERED_SQL + "ORDER BY 1, 2"))
+def gap_uncovered(spark, d):
+    return P.uncovered(coverage_matrix(gap_indicators(spark, d), spark, d)).orderBy("dashboard_section", "geography")
 
 
 @query("event_profile", ids="A3 A5", sql="""

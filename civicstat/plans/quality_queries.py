@@ -437,7 +437,7 @@ def dq_unused_refs(spark, d):
 
 _SPOT_SQL = _register_sql("dq_spot", f"""
 WITH last AS (SELECT count(*) AS n, count(indicator_value) AS n_values FROM ind
-         WHERE characteristic LIKE 'Orders - %(value)' AND timeframe = '2001'),
+         WHERE characteristic LIKE 'Orders - %(Q4 value)' AND timeframe = '2001'),
 small AS (SELECT n_name FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name, n_nationkey
           ORDER BY count(*), n_nationkey LIMIT 2),
 present AS (SELECT count(*) AS n FROM ind WHERE dashboard_section = 'rates'
@@ -463,7 +463,7 @@ FROM neg
 
 def spot_checks(spark, d, ind=None):
     ind = indicators(spark, d, single_scan=True) if ind is None else ind
-    last = L.select_indicators(ind, like="Orders - %(value)", periods=["2001"])
+    last = L.select_indicators(ind, like="Orders - %(Q4 value)", periods=["2001"])
     customer = load(spark, d, "customer").select("c_nationkey")
     nation = load(spark, d, "nation").select("n_nationkey", "n_name")
     sizes = (customer.join(nation, customer.c_nationkey == nation.n_nationkey)

@@ -114,18 +114,18 @@ def pivot_sum_fill(spark, d):
                        aliases=["qty_f", "qty_o", "qty_x"], fill=0).orderBy("l_returnflag")
 
 
-_VALUE_CHARS = [f"Orders - {p} (value)" for p in PRIORITY_ORDER]
+_VALUE_CHARS = [f"Orders - {p} (Q4 value)" for p in PRIORITY_ORDER]
 
 
 @query("pivot_latest", ids="A18 A20 O6", sql=with_ind("WITH t AS (SELECT geography, characteristic, indicator_value, "
        "CASE WHEN regexp_full_match(timeframe, '[0-9]{4}') THEN CAST(timeframe AS INTEGER) END AS year "
-       "FROM ind WHERE dashboard_section = 'demand' AND characteristic LIKE 'Orders - %(value)' "
+       "FROM ind WHERE dashboard_section = 'demand' AND characteristic LIKE 'Orders - %(Q4 value)' "
        "AND indicator_value IS NOT NULL)\nSELECT geography,\n       " + ",\n       ".join(
            f"coalesce(arg_max(indicator_value, year) FILTER (WHERE characteristic = '{c}'), 0) AS {a}"
            for c, a in zip(_VALUE_CHARS, PRIORITY_ALIASES)) + "\nFROM t GROUP BY geography ORDER BY geography"))
 def pivot_latest(spark, d):
     """Latest non-null value per cell by parsed year (not by row order)."""
-    sel = L.with_year(L.select_indicators(indicators(spark, d), section="demand", like="Orders - %(value)"))
+    sel = L.with_year(L.select_indicators(indicators(spark, d), section="demand", like="Orders - %(Q4 value)"))
     return R.pivot_latest(sel, "geography", "characteristic", "indicator_value", "year", _VALUE_CHARS,
                           aliases=PRIORITY_ALIASES, fill=0).orderBy("geography")
 

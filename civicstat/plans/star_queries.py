@@ -162,14 +162,14 @@ def three_way_sum(spark, d):
 @query("star_null_filtered_series", ids="P9 O1", sql=with_ind("""
 SELECT geography AS community, CAST(timeframe AS INTEGER) AS year, indicator_value AS urgent_value
 FROM ind
-WHERE dashboard_section = 'demand' AND characteristic = 'Orders - 1-URGENT (value)'
+WHERE dashboard_section = 'demand' AND characteristic = 'Orders - 1-URGENT (Q4 value)'
   AND indicator_value IS NOT NULL
 ORDER BY community, year
 """))
 def star_null_filtered_series(spark, d):
     ind = indicators(spark, d)
     return (ind.filter((F.col("dashboard_section") == "demand")
-                       & (F.col("characteristic") == "Orders - 1-URGENT (value)")
+                       & (F.col("characteristic") == "Orders - 1-URGENT (Q4 value)")
                        & F.col("indicator_value").isNotNull())
             .select(F.col("geography").alias("community"), F.col("timeframe").cast("int").alias("year"),
                     F.col("indicator_value").alias("urgent_value"))

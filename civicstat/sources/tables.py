@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession
 
 DRIVER_TABLES = (
@@ -43,6 +45,8 @@ class Tables:
 
 
 TABLE_PREFIX = "table:"
+#: Schemas that a session has read, by path. A file that is added later is read with the columns known then.
+_SCHEMAS: weakref.WeakKeyDictionary[SparkSession, dict] = weakref.WeakKeyDictionary()
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,4 +55,9 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ``sources.layout``)."""
     if sf_dir.startswith(TABLE_PREFIX):
         return spark.table(f"{sf_dir[len(TABLE_PREFIX):]}.{name}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")  # lists the files anew, so appended ones are read
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schemas = _SCHEMAS.setdefault(spark, {})
+    if path not in schemas:
+        schemas[path] = spark.read.parquet(path).schema
+    # the files are listed anew, so appended ones are read; only their footers aren't opened again
+    return spark.read.schema(schemas[path]).parquet(path)
