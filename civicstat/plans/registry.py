@@ -33,5 +33,5 @@ def all_queries() -> dict[str, Query]:
     # import for registration side effects
     from civicstat.plans import (star_queries, longform_queries, reshape_queries,  # noqa: F401
                                  rank_queries, label_queries, quality_queries, profile_queries,
-                                 gap_queries)
+                                 gap_queries, scale_queries)
     return dict(REGISTRY)
