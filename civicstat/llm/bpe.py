@@ -13,8 +13,9 @@ is folded once a task, and a row holds the new words of one block, so memory doe
 text: numbering starts anew, on both sides, after ``TABLE_CHARS``.
 
 The rank of a token is its id. A word that is a token as a whole is that token, as the reference
-tokenizers have it. Words of more than ``LONG`` bytes go around the fold, which takes time with the
-square of the length: a heap of pairs merges them, to the same ids.
+tokenizers have it. Other words are cut first between bytes that stand side by side in no token,
+since no merge crosses there. Parts of more than ``LONG`` bytes go around the fold, which takes time
+with the square of the length: a heap of pairs merges them, to the same ids.
 
 Defined results:
 
@@ -42,19 +43,19 @@ from pyspark.sql import functions as F
 from civicstat.llm.common import bounded_batches, chunk_text, space_chunks
 
 #: Characters of text in a block, about.
-BLOCK_CHARS = 1_000_000
+BLOCK_CHARS = 250_000
 #: A task's numbers start anew once its distinct words and chunks have so many characters.
-TABLE_CHARS = 12_000_000
+TABLE_CHARS = 6_000_000
 #: Places of the literal rank map, but for the ids that are added to them.
 PLACES = 1 << 18
 #: Tokens that the rank map is made for.
 MOST_TOKENS = 1 << 17
-#: Words of more bytes are merged by a heap: a fold takes time with the square of the length.
+#: Parts of more bytes are merged by a heap: a fold takes time with the square of the length.
 LONG = 128
 #: Codes below are token ids, codes from here on are numbers of words.
 WORD = 1 << 20
 #: Tokens in a batch that goes back to Spark, about.
-BATCH = 1 << 19
+BATCH = 1 << 16
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -180,8 +181,18 @@ def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 class _Words(dict):
     """Codes (32-bit integers) of a chunk of text, by the chunk; numbers the words that need a fold."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks, self.find, self.numbers, self.new, self.chars = ranks, regex.compile(pattern).findall, {}, [], 0
+    def __init__(self, ranks: dict[bytes, int], pairs: set[bytes], pattern: str):
+        self.ranks, self.pairs, self.find, self.numbers, self.new, self.chars = ranks, pairs, regex.compile(pattern).findall, {}, [], 0
+
+    def parts(self, word: bytes) -> list[bytes]:
+        """The word cut where no token holds the two adjacent bytes."""
+        pairs, out, start = self.pairs, [], 0
+        for i in range(1, len(word)):
+            if word[i - 1:i + 1] not in pairs:
+                out.append(word[start:i])
+                start = i
+        out.append(word[start:])
+        return out
 
     def __missing__(self, chunk: str) -> bytes:
         out: list[int] = []
@@ -190,15 +201,19 @@ class _Words(dict):
             rank = self.ranks.get(raw)
             if rank is not None:
                 out.append(rank)
-            elif len(raw) > LONG:
-                out += merge(raw, self.ranks)
             else:
-                at = self.numbers.get(raw)
-                if at is None:
-                    at = self.numbers[raw] = len(self.numbers)
-                    self.new.append(raw)
-                    self.chars += len(raw)
-                out.append(WORD + at)
+                for part in self.parts(raw):
+                    if len(part) > LONG:
+                        out += merge(part, self.ranks)
+                    elif len(part) == 1:
+                        out.append(self.ranks[part])
+                    else:
+                        at = self.numbers.get(part)
+                        if at is None:
+                            at = self.numbers[part] = len(self.numbers)
+                            self.new.append(part)
+                            self.chars += len(part)
+                        out.append(WORD + at)
         self.chars += len(chunk)
         own = self[chunk] = np.array(out, np.int32).tobytes()
         return own
@@ -210,7 +225,8 @@ class _Words(dict):
 def _blocks(ranks, pattern: str, chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = ranks.value
-        ids, codes, counts, size, base, words = [], [], [], 0, 0, _Words(own, pattern)
+        pairs = {t[i:i + 2] for t in own for i in range(len(t) - 1)}
+        ids, codes, counts, size, base, words = [], [], [], 0, 0, _Words(own, pairs, pattern)
 
         def emit():
             nonlocal ids, codes, counts, size, base, words
@@ -223,7 +239,7 @@ def _blocks(ranks, pattern: str, chars: int):
                 ["ids", "counts", "codes", "base", "words"])
             ids, codes, counts, size, base, words.new = [], [], [], 0, base + len(words.new), []
             if words.chars > TABLE_CHARS:
-                base, words = 0, _Words(own, pattern)
+                base, words = 0, _Words(own, pairs, pattern)
             return out
 
         for b in batches:
