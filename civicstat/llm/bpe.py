@@ -31,6 +31,7 @@ import base64
 import heapq
 import json
 import random
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -178,44 +179,53 @@ def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in parts if p is not None]
 
 
+#: Marks that are a match of their own behind a word.
+_MARKS = frozenset(".,")
+
+
 class _Words(dict):
     """Codes (32-bit integers) of a chunk of text, by the chunk; numbers the words that need a fold."""
 
-    def __init__(self, ranks: dict[bytes, int], pairs: set[bytes], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pairs: set[tuple[int, int]], pattern: str):
         self.ranks, self.pairs, self.find, self.numbers, self.new, self.chars = ranks, pairs, regex.compile(pattern).findall, {}, [], 0
-
-    def parts(self, word: bytes) -> list[bytes]:
-        """The word cut where no token holds the two adjacent bytes."""
-        pairs, out, start = self.pairs, [], 0
-        for i in range(1, len(word)):
-            if word[i - 1:i + 1] not in pairs:
-                out.append(word[start:i])
-                start = i
-        out.append(word[start:])
-        return out
+        self.mark = {m: array("i", [ranks[m.encode()]]).tobytes() for m in _MARKS}
+        # letters after a space are one match, and a mark behind them another, by the pattern at hand
+        self.plain = self.find(" word") == [" word"] and all(self.find(" word" + m) == [" word", m] for m in _MARKS)
+
+    def word(self, raw: bytes, out: array) -> None:
+        """Appends the codes of a word: cut where no token holds the two adjacent bytes."""
+        rank = self.ranks.get(raw)
+        if rank is not None:
+            out.append(rank)
+            return
+        pairs, numbers, start = self.pairs, self.numbers, 0
+        for end in [*(i for i, p in enumerate(zip(raw, raw[1:]), 1) if p not in pairs), len(raw)]:
+            part = raw[start:end]
+            start = end
+            if len(part) == 1:
+                out.append(self.ranks[part])
+            elif len(part) > LONG:
+                out.extend(merge(part, self.ranks))
+            else:
+                at = numbers.get(part)
+                if at is None:
+                    at = numbers[part] = len(numbers)
+                    self.new.append(part)
+                    self.chars += len(part)
+                out.append(WORD + at)
 
     def __missing__(self, chunk: str) -> bytes:
-        out: list[int] = []
-        for piece in self.find(chunk_text(chunk)):
-            raw = piece.encode()
-            rank = self.ranks.get(raw)
-            if rank is not None:
-                out.append(rank)
-            else:
-                for part in self.parts(raw):
-                    if len(part) > LONG:
-                        out += merge(part, self.ranks)
-                    elif len(part) == 1:
-                        out.append(self.ranks[part])
-                    else:
-                        at = self.numbers.get(part)
-                        if at is None:
-                            at = self.numbers[part] = len(self.numbers)
-                            self.new.append(part)
-                            self.chars += len(part)
-                        out.append(WORD + at)
         self.chars += len(chunk)
-        own = self[chunk] = np.array(out, np.int32).tobytes()
+        if self.plain and chunk[-1:] in self.mark and chunk[:-1].isalpha():
+            own = self[chunk] = self[chunk[:-1]] + self.mark[chunk[-1]]
+            return own
+        out = array("i")
+        if self.plain and chunk.isalpha():
+            self.word(b" " + chunk.encode(), out)
+        else:
+            for piece in self.find(chunk_text(chunk)):
+                self.word(piece.encode(), out)
+        own = self[chunk] = out.tobytes()
         return own
 
     def codes(self, text: str) -> bytes:
@@ -225,7 +235,7 @@ class _Words(dict):
 def _blocks(ranks, pattern: str, chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = ranks.value
-        pairs = {t[i:i + 2] for t in own for i in range(len(t) - 1)}
+        pairs = {p for t in own for p in zip(t, t[1:])}
         ids, codes, counts, size, base, words = [], [], [], 0, 0, _Words(own, pairs, pattern)
 
         def emit():
