@@ -96,12 +96,13 @@ def row_count_checks(actual: DataFrame, expected: DataFrame, category: str = "1-
 def key_set_check(actual: DataFrame, expected: DataFrame, key: str, name: str,
                   category: str = "2-dims") -> DataFrame:
     """Key-set equality as one check row (counts of missing / extra)."""
-    a = actual.select(F.col(key).alias("__a")).distinct()
-    e = expected.select(F.col(key).alias("__e")).distinct()
-    j = e.join(a, e["__e"] == a["__a"], "full_outer").agg(
-        F.count("__a").alias("n_actual"), F.count("__e").alias("n_expected"),
-        F.count_if(F.col("__a").isNull()).alias("n_missing"),
-        F.count_if(F.col("__e").isNull()).alias("n_extra"))
+    a = actual.select(F.col(key).alias("__a"), F.lit(True).alias("__in_a")).distinct()
+    e = expected.select(F.col(key).alias("__e"), F.lit(True).alias("__in_e")).distinct()
+    # flags tell presence, so that a NULL key is a key like any other
+    j = e.join(a, e["__e"].eqNullSafe(a["__a"]), "full_outer").agg(
+        F.count("__in_a").alias("n_actual"), F.count("__in_e").alias("n_expected"),
+        F.count_if(F.col("__in_a").isNull()).alias("n_missing"),
+        F.count_if(F.col("__in_e").isNull()).alias("n_extra"))
     ok = (F.col("n_missing") == 0) & (F.col("n_extra") == 0)
     detail = F.when(~ok, F.concat(_count_text("missing", F.col("n_missing")), F.lit(" "),
                                   _count_text("extra", F.col("n_extra"))))
@@ -139,6 +140,57 @@ def orphan_checks(pairs: Sequence[tuple[str, DataFrame, str, str, DataFrame, str
     return union_checks(parts)
 
 
+_INTEGRAL = ("tinyint", "smallint", "int", "bigint")
+
+
+def key_counts(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """(table_name, column, key, n): rows by key of every listed column, one scan for each table.
+
+    The columns of a row are stacked and summed on the map side, so a hot key
+    sends one row a task.  Keys are long where all listed columns are
+    integral, else text.
+    """
+    kinds = {df.schema[c].dataType.simpleString() for df, cols in tables.values() for c in cols}
+    kind = "bigint" if kinds <= set(_INTEGRAL) else "string"
+    parts = []
+    for name, (df, cols) in tables.items():
+        stacked = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast(kind).alias("key")) for c in cols])))
+        parts.append(stacked.groupBy("column", "key").agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "*"))
+    return reduce(lambda x, y: x.unionByName(y), parts)
+
+
+def orphan_checks_one_scan(pairs: Sequence[tuple[str, DataFrame, str, str, DataFrame, str]],
+                           category: str = "3-fk") -> DataFrame:
+    """``orphan_checks`` of many pairs, with one scan for each table; a name is one table.
+
+    Each table is scanned once for all its keys, whether
+    they are looked up or looked up in, and all pairs meet in one grouping
+    by (pair, key): no join, and a key has one row a column in it.
+    """
+    tables: dict[str, tuple[DataFrame, list[str]]] = {}
+    for fname, fact, fkey, dname, dim, dkey in pairs:
+        for name, df, key in ((fname, fact, fkey), (dname, dim, dkey)):
+            cols = tables.setdefault(name, (df, []))[1]
+            if key not in cols:
+                cols.append(key)
+    roles = F.array(*[F.struct(F.lit(i).alias("pair"), F.lit(t).alias("t"), F.lit(c).alias("c"), F.lit(is_dim).alias("is_dim"))
+                      for i, (fname, _, fkey, dname, _, dkey) in enumerate(pairs)
+                      for t, c, is_dim in ((fname, fkey, False), (dname, dkey, True))])
+    own = F.filter(roles, lambda r: (r["t"] == F.col("table_name")) & (r["c"] == F.col("column")))
+    met = key_counts(tables).select("key", "n", F.inline(own)).groupBy("pair", "key").agg(
+        F.sum(F.when(~F.col("is_dim"), F.col("n"))).alias("n"), F.max("is_dim").alias("known"))
+    lost = F.col("key").isNull() | ~F.col("known")
+    counts = met.groupBy("pair").agg(F.coalesce(F.sum(F.when(lost, F.col("n"))), F.lit(0)).alias("n"))
+    # a pair of empty tables has no key and is still checked
+    listed = [F.struct(F.lit(i).alias("of"), F.lit(f"{p[0]}->{p[3]}").alias("name"), F.lit(p[0]).alias("fact"), F.lit(p[2]).alias("fkey"))
+              for i, p in enumerate(pairs)]
+    every = pairs[0][1].sparkSession.range(1).select(F.inline(F.array(*listed)))
+    n = F.coalesce(F.col("n"), F.lit(0).cast("long"))
+    return every.join(counts, F.col("of") == F.col("pair"), "left").select(*check_row(
+        category, F.col("name"), F.col("fact"), F.col("fkey"), _status(n == 0), n, 0, n,
+        F.when(n > 0, F.concat(n.cast("string"), F.lit(" orphan rows")))))
+
+
 # -- C4 -------------------------------------------------------------------
 
 def null_checks(tables: Mapping[str, tuple[DataFrame, Sequence[str]]], category: str = "4-nulls") -> DataFrame:
@@ -207,12 +259,14 @@ def equal_totals_check(left: DataFrame, right: DataFrame, key: str, name: str,
                                None, status, l, r, F.abs(truncate(l) - truncate(r)), None))
 
 
-def sum_close_check(parts: DataFrame, whole: DataFrame, key: str, name: str, bound: float = 10,
+def sum_close_check(parts: DataFrame, whole: DataFrame, key: str | Sequence[str], name: str, bound: float = 10,
                     category: str = "6-consistency") -> DataFrame:
-    """Sum of parts per key within ``bound`` of the whole."""
-    p = parts.groupBy(F.col(key).cast("string").alias("subject")).agg(F.sum("value").alias("p"))
-    w = whole.select(F.col(key).cast("string").alias("subject"), F.col("value").alias("w"))
-    j = w.join(p, "subject", "left")
+    """Sum of parts per key within ``bound`` of the whole; NULL is a key like any other."""
+    keys = [key] if isinstance(key, str) else list(key)
+    p = parts.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.sum("value").alias("p"))
+    subject = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
+    w = whole.select(*keys, subject.alias("subject"), F.col("value").alias("w"))
+    j = w.join(p, reduce(lambda x, y: x & y, [w[k].eqNullSafe(p[f"__{k}"]) for k in keys]), "left")
     pv, wv = F.col("p"), F.col("w")
     diff = F.abs(truncate(pv) - truncate(wv))
     status = F.when(pv.isNull() | wv.isNull(), F.lit(MISSING)).otherwise(_status(diff <= F.lit(bound)))

@@ -50,11 +50,6 @@ def presence_flag(dim: DataFrame, refs: DataFrame, key: str,
     return out.withColumn(alias, F.when(F.col("__ref").isNotNull(), F.lit(used)).otherwise(F.lit(unused))).drop("__ref")
 
 
-def keep_keys(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    """Semi join to a selected key set."""
-    return df.join(keys, on, "left_semi")
-
-
 def key_set_diff(actual: DataFrame, expected: DataFrame, key: str) -> DataFrame:
     """Full outer join of two key sets -> (key, status OK/MISSING/EXTRA)."""
     a = actual.select(F.col(key).alias("__a"), F.lit(True).alias("__in_a")).distinct()

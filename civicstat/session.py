@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,7 +44,8 @@ def get_session(app: str = "civicstat", cores: int | str = "*",
 
 def _is_local(spark: SparkSession) -> bool:
     try:
-        return spark.conf.get("spark.master", "local").startswith("local")
+        # local[...] is one machine; local-cluster[...] has executors that may not share a folder
+        return re.match(r"local(\[.*)?$", spark.conf.get("spark.master", "local")) is not None
     except Exception:  # noqa: BLE001 - master not readable (e.g. Connect): treat as cluster
         return False
 

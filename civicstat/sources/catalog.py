@@ -109,8 +109,3 @@ def listing(df: DataFrame, section: str, columns: list[str], order: list[str],
             section_col: str = "dashboard_section") -> DataFrame:
     """Project + section filter + sort."""
     return df.filter(F.col(section_col) == F.lit(section)).select(*columns).orderBy(*order)
-
-
-def views_from_mapping(frames: Mapping[str, DataFrame]) -> None:
-    for name, df in frames.items():
-        df.createOrReplaceTempView(name)

@@ -227,3 +227,36 @@ def test_all_null_measure(spark):
     latest = rank.latest_per_group(df.withColumn("year", F.col("timeframe").cast("int")), "geography", "year",
                                    ["indicator_value"])
     assert {r.indicator_value for r in latest.collect()} == {None}
+
+
+def test_key_set_check_takes_null_as_a_key(spark):
+    a = spark.createDataFrame([(1,), (None,), (None,)], "y int")
+    same = Q.key_set_check(a, spark.createDataFrame([(None,), (1,)], "y int"), "y", "k").first()
+    assert (same.status, same.actual, same.expected) == ("PASS", 2.0, 2.0)
+    r = Q.key_set_check(a, spark.createDataFrame([(1,), (2,)], "y int"), "y", "k").first()
+    assert (r.status, r.detail) == ("FAIL", "missing=1 extra=1")
+
+
+def test_orphans_of_all_pairs_from_one_scan_a_table(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    rows = [(1, 10, "a")] * 500 + [(2, 11, "b"), (None, 12, None), (3, 99, "zz")]
+    spark.createDataFrame(rows, "k1 int, k2 long, s string").repartition(4).write.parquet(path)
+    fact = spark.read.parquet(path)
+    d1 = spark.createDataFrame([(1,), (2,), (2,)], "id long")
+    d2 = spark.createDataFrame([(10,), (11,), (12,)], "id int")
+    empty = d2.filter("id < 0")
+    pairs = [("fact", fact, "k1", "d1", d1, "id"), ("fact", fact, "k2", "d2", d2, "id"), ("d1", d1, "id", "fact", fact, "k1"), ("empty", empty, "id", "d1", d1, "id"), ("d2", d2, "id", "empty", empty, "id")]
+    got = Q.orphan_checks_one_scan(pairs)
+    assert {(r.check_name, r.column): (r.status, r.actual) for r in got.collect()} == {
+        ("fact->d1", "k1"): ("FAIL", 2.0), ("fact->d2", "k2"): ("FAIL", 1.0), ("d1->fact", "id"): ("PASS", 0.0), ("empty->d1", "id"): ("PASS", 0.0), ("d2->empty", "id"): ("FAIL", 3.0)}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
+    text = Q.orphan_checks_one_scan([("fact", fact, "s", "d", spark.createDataFrame([("a",), ("b",)], "s string"), "s")]).first()
+    assert text.actual == 2.0
+
+
+def test_sum_close_check_keeps_null_keys(spark):
+    parts = spark.createDataFrame([("a", None, 3.0), ("a", None, 4.0), (None, "1", 1.0)], "g string, t string, value double")
+    whole = spark.createDataFrame([("a", None, 8.0), (None, "1", 50.0)], "g string, t string, value double")
+    got = {r.subject: r.status for r in Q.sum_close_check(parts, whole, ["g", "t"], "n", bound=10).collect()}
+    assert got == {"a|NULL": "PASS", "NULL|1": "FAIL"}
