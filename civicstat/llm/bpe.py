@@ -48,7 +48,7 @@ BLOCK_CHARS = 250_000
 #: A task's numbers start anew once its distinct words and chunks have so many characters.
 TABLE_CHARS = 6_000_000
 #: Places of the literal rank map, but for the ids that are added to them.
-PLACES = 1 << 18
+PLACES = 1 << 17
 #: Tokens that the rank map is made for.
 MOST_TOKENS = 1 << 17
 #: Parts of more bytes are merged by a heap: a fold takes time with the square of the length.
@@ -90,10 +90,11 @@ def merges(ranks: dict[bytes, int]) -> dict[tuple[int, int], int]:
 
 @dataclass
 class RankMap:
-    """The merges as two literal arrays, folded to literals by the optimizer.
+    """The merges as two arrays.
 
     A left id has a shift, and the merge with a right id stands at shift + right id, as
-    left id * 2**20 + merged id; no two merges share a place. ``byte_ids`` are the ids of single bytes.
+    (left id + 1) * 2**20 + merged id, 0 where none does; no two merges share a place. ``byte_ids`` are
+    the ids of single bytes.
     """
 
     shifts: Column
@@ -103,26 +104,32 @@ class RankMap:
     def packed(self, left: Column, right: Column) -> Column:
         """Rank of a pair * 2**20 + left id; the rank is 2**20 or more if the pair doesn't merge."""
         entry = F.get(self.merged, F.get(self.shifts, left) + right)
-        return F.shiftleft(entry.bitwiseXOR(F.shiftleft(left, 20)), 20).bitwiseOR(left)
+        return F.shiftleft(entry.bitwiseXOR(F.shiftleft(left + 1, 20)), 20).bitwiseOR(left)
 
 
-def rank_map(ranks: dict[bytes, int]) -> RankMap:
+def rank_literal(ranks: dict[bytes, int]) -> Column:
+    """The parts of a RankMap as a struct, folded to a literal by the optimizer."""
     if len(ranks) > MOST_TOKENS:
         raise ValueError(f"{len(ranks)} tokens; the rank map is made for {MOST_TOKENS}")
     rows: dict[int, list[tuple[int, int]]] = {}
     for (left, right), rank in merges(ranks).items():
         rows.setdefault(left, []).append((right, rank))
     most = max(ranks.values(), default=0) + 1
-    merged, shifts, draw = [MOST_TOKENS << 20] * (PLACES + most), [0] * most, random.Random(0)
+    merged, shifts, draw = [0] * (PLACES + most), [0] * most, random.Random(0)
     for left in sorted(rows, key=lambda x: (-len(rows[x]), x)):
         shift = 0
-        while any(merged[shift + right] >> 20 != MOST_TOKENS for right, _ in rows[left]):
+        while any(merged[shift + right] for right, _ in rows[left]):
             shift = draw.randrange(PLACES)
         shifts[left] = shift
         for right, rank in rows[left]:
-            merged[shift + right] = (left << 20) + rank
-    literal = lambda x: F.from_json(F.lit(json.dumps(x, separators=(",", ":"))), "array<bigint>")
-    return RankMap(literal(shifts), literal(merged), literal([ranks[bytes([b])] for b in range(256)]))
+            merged[shift + right] = (left + 1 << 20) + rank
+    held = {"shifts": shifts, "merged": merged, "byte_ids": [ranks[bytes([b])] for b in range(256)]}
+    return F.from_json(F.lit(json.dumps(held, separators=(",", ":"))), ", ".join(f"{k} array<bigint>" for k in held))
+
+
+def folded(words: Column, table: Column) -> Column:
+    """``fold`` of each word; the literal stands once in the plan."""
+    return _let(table, lambda t: F.transform(words, lambda w: fold(w, RankMap(t["shifts"], t["merged"], t["byte_ids"]))))
 
 
 def _let(value: Column, body) -> Column:
@@ -337,12 +344,12 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     own = read_ranks(path)
     ranks = spark.sparkContext.broadcast(own)
     pieces = spark.sparkContext.broadcast({r: t for t, r in own.items()})
-    table = rank_map(own)
+    table = rank_literal(own)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
     blocks = rows.mapInArrow(_blocks(ranks, pattern, block_chars), f"ids array<{id_type}>, counts array<bigint>, codes binary, base long, words array<array<smallint>>")
-    folded = blocks.select("ids", "counts", "codes", "base", F.transform("words", lambda w: fold(w, table)).alias("folded"))
-    return folded.mapInArrow(_documents(pieces), f"id {id_type}, token_ids array<int>, decoded binary").withColumnRenamed("id", id_col)
+    done = blocks.select("ids", "counts", "codes", "base", folded(F.col("words"), table).alias("folded"))
+    return done.mapInArrow(_documents(pieces), f"id {id_type}, token_ids array<int>, decoded binary").withColumnRenamed("id", id_col)
 
 
 def id_text(column: str) -> Column:
