@@ -29,7 +29,7 @@ def test_distance():
         assert (got[0] if got else None) == (want if want <= most else None)
 
 
-@pytest.mark.parametrize("length", [80, 150, 300])
+@pytest.mark.parametrize("length", [40, 50, 65, 79, 80, 150, 300])
 def test_recall(length):
     assert decontam.recall(length, 0.0, 100) == 1.0
     assert decontam.recall(length, 0.05, 200) >= 0.97
@@ -40,6 +40,45 @@ def prose(rng, n):
     return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz     ") for _ in range(n))
 
 
+def with_edits(item, k, rng):
+    """``item`` with ``k`` random edits at places of their own."""
+    out = list(item)
+    for at in sorted(rng.sample(range(len(out)), k), reverse=True):
+        out[at] = rng.choice(["", rng.choice("abcxyz "), out[at] + rng.choice("abcxyz ")])
+    return "".join(out)
+
+
+@pytest.mark.parametrize("length, least", [(1, 1), (5, 1), (9, 1), (10, 1), (19, 1), (20, 1), (29, 1), (39, 1), (40, 0.97), (45, 0.97), (60, 0.97), (79, 0.97), (80, 0.9), (120, 0.95)])
+def test_items_with_as_many_edits_as_allowed(length, least):
+    rng, caught = random.Random(length), 0
+    for _ in range(100):
+        item = prose(rng, length)
+        text = prose(rng, rng.randrange(200)) + with_edits(item, length // 10, rng) + prose(rng, rng.randrange(200))
+        got = decontam.Index([(0, item.encode())]).hits([b"", text.encode(), b""])
+        caught += bool(got[1])
+        assert not got[0] and not got[2]
+        assert all(edits <= length // 10 for _, _, _, edits, _ in got[1])
+    assert caught >= least * 100
+
+
+def test_short_items_equal_all_distances():
+    rng = random.Random(8)
+    items = [(k, "".join(rng.choice("abc ") for _ in range(rng.randrange(1, 40)))) for k in range(60)]
+    texts = ["".join(rng.choice("abc ") for _ in range(rng.randrange(60))) for _ in range(60)] + [t for _, t in items[:9]] + [""]
+    index = decontam.Index([(k, t.encode()) for k, t in items])
+    got = {(n, h[0]) for n, hits in enumerate(index.hits([t.encode() for t in texts])) for h in hits}
+    want = {(n, k) for n, t in enumerate(texts) for k, i in items if plain_distance(i.encode(), t.encode()) <= len(i) // 10}
+    assert got == want
+
+
+def test_repeated_item_ids_have_their_own_lengths(frame, spark):
+    rng = random.Random(9)
+    short, long = prose(rng, 30), prose(rng, 200)
+    bench = spark.createDataFrame([(1, short), (1, long)], "item_id long, text string")
+    got = decontam.find(frame([(1, "-" + long[1:]), (2, short + "!" * 60)]), bench).collect()
+    assert {(r.doc_id, r.edits, round(r.similarity, 4)) for r in got} == {(1, 1, 0.995), (2, 0, 1.0)}
+
+
 def test_planted_passages_are_found_and_clean_texts_left(frame, spark):
     rng, np_rng = random.Random(5), np.random.default_rng(5)
     items = [(k, prose(rng, rng.randrange(80, 300))) for k in range(20)]
