@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from civicstat.functions.numeric import as_double, tolerance_pass, truncate, DEFAULT_TOLERANCE
+from civicstat.operators.scan import Lookup, scan_once
 
 CHECK_COLUMNS = ("category", "check_name", "subject", "column", "status",
                  "actual", "expected", "diff", "detail")
@@ -112,9 +113,13 @@ def key_set_check(actual: DataFrame, expected: DataFrame, key: str, name: str,
 
 def count_check(df: DataFrame, expected: int, name: str, category: str = "2-dims") -> DataFrame:
     """A frame must hold exactly ``expected`` rows."""
-    a = df.agg(F.count(F.lit(1)).alias("n"))
+    return count_rows(df.agg(F.count(F.lit(1)).alias("n")), expected, name, category)
+
+
+def count_rows(facts: DataFrame, expected: int, name: str, category: str = "2-dims") -> DataFrame:
+    """``count_check`` from a count: ``facts(n)``."""
     ok = F.col("n") == expected
-    return a.select(*check_row(category, name, None, None, _status(ok), F.col("n"), expected,
+    return facts.select(*check_row(category, name, None, None, _status(ok), F.col("n"), expected,
                                F.abs(F.col("n") - F.lit(expected)),
                                F.when(~ok, _count_text("actual", F.col("n")))))
 
@@ -140,55 +145,19 @@ def orphan_checks(pairs: Sequence[tuple[str, DataFrame, str, str, DataFrame, str
     return union_checks(parts)
 
 
-_INTEGRAL = ("tinyint", "smallint", "int", "bigint")
-
-
-def key_counts(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
-    """(table_name, column, key, n): rows by key of every listed column, one scan for each table.
-
-    The columns of a row are stacked and summed on the map side, so a hot key
-    sends one row a task.  Keys are long where all listed columns are
-    integral, else text.
-    """
-    kinds = {df.schema[c].dataType.simpleString() for df, cols in tables.values() for c in cols}
-    kind = "bigint" if kinds <= set(_INTEGRAL) else "string"
-    parts = []
-    for name, (df, cols) in tables.items():
-        stacked = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast(kind).alias("key")) for c in cols])))
-        parts.append(stacked.groupBy("column", "key").agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "*"))
-    return reduce(lambda x, y: x.unionByName(y), parts)
+def orphan_rows(facts: DataFrame, category: str = "3-fk") -> DataFrame:
+    """C3 from ``scan_once``: ``subject`` is 'fact->dim', ``column`` the fact's key."""
+    n = F.col("n")
+    return facts.select(*check_row(
+        category, F.col("subject"), F.substring_index("subject", "->", 1), F.col("column"), _status(n == 0), n, 0, n,
+        F.when(n > 0, F.concat(n.cast("string"), F.lit(" orphan rows")))))
 
 
 def orphan_checks_one_scan(pairs: Sequence[tuple[str, DataFrame, str, str, DataFrame, str]],
                            category: str = "3-fk") -> DataFrame:
-    """``orphan_checks`` of many pairs, with one scan for each table; a name is one table.
-
-    Each table is scanned once for all its keys, whether
-    they are looked up or looked up in, and all pairs meet in one grouping
-    by (pair, key): no join, and a key has one row a column in it.
-    """
-    tables: dict[str, tuple[DataFrame, list[str]]] = {}
-    for fname, fact, fkey, dname, dim, dkey in pairs:
-        for name, df, key in ((fname, fact, fkey), (dname, dim, dkey)):
-            cols = tables.setdefault(name, (df, []))[1]
-            if key not in cols:
-                cols.append(key)
-    roles = F.array(*[F.struct(F.lit(i).alias("pair"), F.lit(t).alias("t"), F.lit(c).alias("c"), F.lit(is_dim).alias("is_dim"))
-                      for i, (fname, _, fkey, dname, _, dkey) in enumerate(pairs)
-                      for t, c, is_dim in ((fname, fkey, False), (dname, dkey, True))])
-    own = F.filter(roles, lambda r: (r["t"] == F.col("table_name")) & (r["c"] == F.col("column")))
-    met = key_counts(tables).select("key", "n", F.inline(own)).groupBy("pair", "key").agg(
-        F.sum(F.when(~F.col("is_dim"), F.col("n"))).alias("n"), F.max("is_dim").alias("known"))
-    lost = F.col("key").isNull() | ~F.col("known")
-    counts = met.groupBy("pair").agg(F.coalesce(F.sum(F.when(lost, F.col("n"))), F.lit(0)).alias("n"))
-    # a pair of empty tables has no key and is still checked
-    listed = [F.struct(F.lit(i).alias("of"), F.lit(f"{p[0]}->{p[3]}").alias("name"), F.lit(p[0]).alias("fact"), F.lit(p[2]).alias("fkey"))
-              for i, p in enumerate(pairs)]
-    every = pairs[0][1].sparkSession.range(1).select(F.inline(F.array(*listed)))
-    n = F.coalesce(F.col("n"), F.lit(0).cast("long"))
-    return every.join(counts, F.col("of") == F.col("pair"), "left").select(*check_row(
-        category, F.col("name"), F.col("fact"), F.col("fkey"), _status(n == 0), n, 0, n,
-        F.when(n > 0, F.concat(n.cast("string"), F.lit(" orphan rows")))))
+    """``orphan_checks`` of many pairs, with one scan for each table; a name is one table."""
+    tables = {name: df for fname, fact, _, dname, dim, _ in pairs for name, df in ((fname, fact), (dname, dim))}
+    return orphan_rows(scan_once(tables, [Lookup("orphans", f"{f}->{d}", (f, fk), [(d, dk)]) for f, _, fk, d, _, dk in pairs]), category)
 
 
 # -- C4 -------------------------------------------------------------------
@@ -202,13 +171,18 @@ def null_checks(tables: Mapping[str, tuple[DataFrame, Sequence[str]]], category:
     for name, (df, cols) in tables.items():
         agg = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
         long = agg.unpivot([], list(cols), "column", "n")
-        parts.append(long.select(*check_row(
-            category, F.concat(F.lit(name + "."), F.col("column")), name, F.col("column"),
-            _status(F.col("n") == 0), F.col("n"), 0, F.col("n"),
-            F.when(F.col("n") > 0, F.concat(F.col("n").cast("string"), F.lit(" NULLs"))))))
+        parts.append(null_rows(long.withColumn("subject", F.lit(name)), category))
     return union_checks(parts)
 
 
+def null_rows(facts: DataFrame, category: str = "4-nulls") -> DataFrame:
+    """C4 from counts of NULLs: ``facts(subject, column, n)``."""
+    n = F.col("n")
+    return facts.select(*check_row(
+        category, F.concat(F.col("subject"), F.lit("."), F.col("column")), F.col("subject"), F.col("column"),
+        _status(n == 0), n, 0, n, F.when(n > 0, F.concat(n.cast("string"), F.lit(" NULLs")))))
+
+
 # -- C5 -------------------------------------------------------------------
 
 def truth_checks(actual: DataFrame, truth: DataFrame, subject: str, measures: Sequence[str],
@@ -284,10 +258,15 @@ def unused_refs_check(dim: DataFrame, refs: Sequence[DataFrame], key: str, name:
                [x.select(F.col(key).alias("__r")) for x in refs]).distinct()
     d = dim.select(F.col(key).alias("__d")).distinct()
     agg = d.join(r, d["__d"] == r["__r"], "left").agg(
-        F.count_if(F.col("__r").isNull()).alias("unused"), F.count(F.lit(1)).alias("n"))
-    ok = F.col("unused") == 0
-    return agg.select(*check_row(category, name, None, key, _status(ok), F.col("unused"), 0, F.col("unused"),
-                                 F.when(~ok, _count_text("unused", F.col("unused")))))
+        F.count_if(F.col("__r").isNull()).alias("n"))
+    return unused_rows(agg, key, name, category)
+
+
+def unused_rows(facts: DataFrame, key: str, name: str, category: str = "7-traceability") -> DataFrame:
+    """``unused_refs_check`` from the number of keys without a reference: ``facts(n)``."""
+    n = F.col("n")
+    return facts.select(*check_row(category, name, None, key, _status(n == 0), n, 0, n,
+                                   F.when(n != 0, _count_text("unused", n))))
 
 
 # -- C8 -------------------------------------------------------------------
@@ -298,7 +277,12 @@ def expect_rows(df: DataFrame, name: str, minimum: int | None = None, maximum: i
 
     Use maximum=0 for "violations must be empty", minimum=1 for "present".
     """
-    a = df.agg(F.count(F.lit(1)).alias("n"))
+    return bound_rows(df.agg(F.count(F.lit(1)).alias("n")), name, minimum, maximum, category)
+
+
+def bound_rows(facts: DataFrame, name: str, minimum: int | None = None, maximum: int | None = None,
+               category: str = "8-spot") -> DataFrame:
+    """``expect_rows`` from a count: ``facts(n)``."""
     n = F.col("n")
     ok = F.lit(True)
     if minimum is not None:
@@ -306,7 +290,7 @@ def expect_rows(df: DataFrame, name: str, minimum: int | None = None, maximum: i
     if maximum is not None:
         ok = ok & (n <= maximum)
     exp = maximum if maximum is not None else minimum
-    return a.select(*check_row(category, name, None, None, _status(ok), n, exp, None,
+    return facts.select(*check_row(category, name, None, None, _status(ok), n, exp, None,
                                F.when(~ok, _count_text("rows", n))))
 
 

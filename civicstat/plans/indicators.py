@@ -207,11 +207,12 @@ def _finish(spark: SparkSession, sf_dir: str, body: DataFrame) -> DataFrame:
         "characteristic", "timeframe", "indicator_value", "data_source")
 
 
-def build_indicators_single_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+def build_indicators_single_scan(spark: SparkSession, sf_dir: str, cells: DataFrame | None = None) -> DataFrame:
     """IND with one orders scan: the cells are re-aggregated by grouping sets
     (the ``Expand`` multiplies only the few-thousand-row cell table) and
-    every order family's rows come from one generator."""
-    cells = order_cells(spark, sf_dir)
+    every order family's rows come from one generator.  A caller that has
+    ``order_cells`` already passes them."""
+    cells = order_cells(spark, sf_dir) if cells is None else cells
     fam = cells.groupingSets([["nk", "yr"], ["nk", "yr", "prio"], ["nk", "seg", "yr"], ["nk", "seg"]],
                              "nk", "yr", "prio", "seg").agg(
         *[F.sum(c).alias(c) for c in ("n", "amt", "q4", "h", "o")],

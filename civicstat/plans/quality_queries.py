@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from civicstat.operators import longform as L
 from civicstat.operators import quality as Q
 from civicstat.operators import star
-from civicstat.plans.indicators import indicators, with_ind, IND_SQL, sql_str
+from civicstat.operators.scan import Count, Lookup, scan_once
+from civicstat.plans.indicators import build_indicators_single_scan, indicators, order_cells, with_ind, IND_SQL, sql_str
 from civicstat.plans.registry import query
 from civicstat.session import materialize
 from civicstat.sources.expected import truth_frame
@@ -72,8 +73,8 @@ _ROWCOUNT_SQL = _register_sql("dq_row_counts", "WITH counts AS (\n  " + "\n  UNI
     + "\nFROM expected e LEFT JOIN counts c ON e.table_name = c.table_name")
 
 
-def row_count_checks(spark, d):
-    counts = Q.table_counts({t: load(spark, d, t) for t in COUNTED})
+def row_count_checks(spark, d, counts=None):
+    counts = Q.table_counts({t: load(spark, d, t) for t in COUNTED}) if counts is None else counts
     fixed = spark.createDataFrame([(k, v) for k, v in FIXED_COUNTS.items()],
                                   "table_name string, expected_rows bigint").coalesce(1)
     ratios = [counts.filter(F.col("table_name") == src).select(
@@ -118,13 +119,16 @@ FROM (SELECT count(*) AS n FROM nation)
 """)
 
 
-def key_set_checks(spark, d):
+def first_region_check(spark, d):
     nation = load(spark, d, "nation").withColumn("in_first_region", F.col("n_regionkey") == 0)
     actual = nation.filter(F.col("in_first_region")).select(F.col("n_nationkey").alias("k"))
     expected = spark.createDataFrame([(k,) for k in EXPECTED_REGION0_KEYS], "k int").coalesce(1)
+    return Q.key_set_check(actual, expected, "k", "first-region nation keys").withColumn("column", F.lit("n_nationkey"))
+
+
+def key_set_checks(spark, d):
     return Q.union_checks([
-        Q.key_set_check(actual, expected, "k", "first-region nation keys").withColumn(
-            "column", F.lit("n_nationkey")),
+        first_region_check(spark, d),
         Q.count_check(load(spark, d, "region"), 5, "region count"),
         Q.count_check(load(spark, d, "nation"), 25, "nation count"),
     ])
@@ -274,17 +278,21 @@ FROM j
 """)
 
 
-def truth_compare_checks(spark, d):
-    customer = load(spark, d, "customer").select("c_nationkey")
+def customers_by_nation(spark, d):
+    return load(spark, d, "customer").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"))
+
+
+def truth_compare_checks(spark, d, sizes=None):
+    sizes = customers_by_nation(spark, d) if sizes is None else sizes
     nation = load(spark, d, "nation")
     region = load(spark, d, "region")
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey)
     per = geo.groupBy(F.col("r_name").alias("subject")).agg(
         F.count_distinct("n_nationkey").cast("double").alias("n_nations"))
-    total = customer.select(F.count(F.lit(1)).cast("double")).scalar()
-    cust = (customer.join(geo, customer.c_nationkey == geo.n_nationkey)
+    total = sizes.select(F.sum("n").cast("double")).scalar()
+    cust = (sizes.join(geo, sizes.c_nationkey == geo.n_nationkey)
             .groupBy(F.col("r_name").alias("subject"))
-            .agg((F.count(F.lit(1)).cast("double") * F.lit(100.0) / total).alias("cust_share_pct")))
+            .agg((F.sum("n").cast("double") * F.lit(100.0) / total).alias("cust_share_pct")))
     wide = per.join(cust, "subject", "left")
     truth = truth_frame(spark, REGION_TRUTH)
     return Q.truth_checks(wide, truth, "subject", ["n_nations", "cust_share_pct"], "5-truth-regions")
@@ -332,15 +340,22 @@ FROM j
 """, uses_ind=True)
 
 
-def tolerance_rule_checks(spark, d, ind=None):
-    """IND's rounded rates and counts against values recomputed from orders."""
+def order_counts(spark, d, cells=None):
+    """(nk, yr, n, n_open): orders by nation and year, from rows or from IND's cells."""
+    if cells is not None:
+        return cells.groupBy("nk", "yr").agg(F.sum("n").alias("n"), F.sum("o").alias("n_open"))
     orders = load(spark, d, "orders").select("o_custkey", "o_orderstatus", F.year("o_orderdate").alias("yr"))
-    customer = load(spark, d, "customer").select("c_custkey", "c_nationkey")
-    nation = load(spark, d, "nation").select("n_nationkey", "n_name")
-    raw = (orders.join(customer, orders.o_custkey == customer.c_custkey)
-           .join(nation, customer.c_nationkey == nation.n_nationkey)
+    customer = load(spark, d, "customer").select("c_custkey", F.col("c_nationkey").alias("nk"))
+    return orders.join(customer, orders.o_custkey == customer.c_custkey).groupBy("nk", "yr").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("o_orderstatus") == "O").alias("n_open"))
+
+
+def tolerance_rule_checks(spark, d, ind=None, cells=None):
+    """IND's rounded rates and counts against values recomputed from orders."""
+    nation = load(spark, d, "nation").select(F.col("n_nationkey").alias("nk"), "n_name")
+    raw = (order_counts(spark, d, cells).join(nation, "nk")
            .groupBy(F.col("n_name").alias("subject"), F.col("yr").cast("string").alias("period"))
-           .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("o_orderstatus") == "O").alias("n_open")))
+           .agg(F.sum("n").alias("n"), F.sum("n_open").alias("n_open")))
     truth = raw.select("subject", "period",
                        (F.col("n_open").cast("double") * F.lit(100.0) / F.col("n").cast("double")).alias("open_rate"),
                        F.col("n").cast("double").alias("orders")) \
@@ -375,17 +390,13 @@ FROM j
 """, uses_ind=True)
 
 
-def total_equal_checks(spark, d, ind=None):
+def total_equal_checks(spark, d, ind=None, cells=None):
     ind = indicators(spark, d) if ind is None else ind
     left = (L.select_indicators(ind, like="Segment: %", periods=["All years"])
             .groupBy("geography").agg(F.sum("indicator_value").alias("value")))
-    orders = load(spark, d, "orders").select("o_custkey")
-    customer = load(spark, d, "customer").select("c_custkey", "c_nationkey")
-    nation = load(spark, d, "nation").select("n_nationkey", "n_name")
-    right = (orders.join(customer, orders.o_custkey == customer.c_custkey)
-             .join(nation, customer.c_nationkey == nation.n_nationkey)
-             .groupBy(F.col("n_name").alias("geography"))
-             .agg(F.count(F.lit(1)).cast("double").alias("value")))
+    nation = load(spark, d, "nation").select(F.col("n_nationkey").alias("nk"), "n_name")
+    right = (order_counts(spark, d, cells).join(nation, "nk").groupBy(F.col("n_name").alias("geography"))
+             .agg(F.sum("n").cast("double").alias("value")))
     return Q.equal_totals_check(left, right, "geography", "segments total = orders")
 
 
@@ -475,22 +486,22 @@ FROM neg
 """, uses_ind=True)
 
 
-def spot_checks(spark, d, ind=None):
+def spot_checks(spark, d, ind=None, sizes=None, negative=None):
     ind = indicators(spark, d, single_scan=True) if ind is None else ind
     last = L.select_indicators(ind, like="Orders - %(Q4 value)", periods=["2001"])
-    customer = load(spark, d, "customer").select("c_nationkey")
     nation = load(spark, d, "nation").select("n_nationkey", "n_name")
-    sizes = (customer.join(nation, customer.c_nationkey == nation.n_nationkey)
-             .groupBy("n_name", "n_nationkey").agg(F.count(F.lit(1)).alias("n")))
-    smallest = sizes.orderBy("n", "n_nationkey").limit(2).select(F.col("n_name").alias("geography"))
+    sizes = customers_by_nation(spark, d) if sizes is None else sizes
+    named = sizes.join(nation, sizes.c_nationkey == nation.n_nationkey)
+    smallest = named.orderBy("n", "n_nationkey").limit(2).select(F.col("n_name").alias("geography"))
     present = L.select_indicators(ind, section="rates").join(F.broadcast(smallest), "geography", "left_semi")
-    neg = load(spark, d, "lineitem").filter(F.col("l_quantity") <= 0)
+    if negative is None:
+        negative = load(spark, d, "lineitem").filter(F.col("l_quantity") <= 0).agg(F.count(F.lit(1)).alias("n"))
     return Q.union_checks([
         Q.expect_rows(last, "unfinished year present", minimum=1),
         Q.expect_rows(last.filter(F.col("indicator_value").isNotNull()), "no fourth quarter in an unfinished year",
                       maximum=0),
         Q.expect_rows(present, "smallest communities present", minimum=1),
-        Q.expect_rows(neg, "no non-positive quantities", maximum=0),
+        Q.bound_rows(negative, "no non-positive quantities", maximum=0),
     ])
 
 
@@ -522,13 +533,21 @@ SELECT {sql_check("'9-standards'", "'comments'", status="'SKIPPED'", detail=f"'{
 """)
 
 
-def naming_checks(spark, d):
-    """C9 on the given tables: every name follows its pattern; comments can't be checked on parquet."""
+def misnamed(column, pattern):
+    return ~F.coalesce(F.col(column).rlike(pattern), F.lit(False))
+
+
+def naming_checks(spark, d, wrong=None):
+    """C9 on the given tables: every name follows its pattern; comments can't be checked on parquet.
+
+    ``wrong(table)`` gives a frame (n) of the names off their pattern.
+    """
+    wrong = wrong or (lambda t: load(spark, d, t).filter(misnamed(*patterns[t])).agg(F.count(F.lit(1)).alias("n")))
+    patterns = {t: (c, r) for t, c, r in NUMBERED}
     names = star.union_distinct([load(spark, d, "nation").select(F.col("n_name").alias("table_name")),
                                  load(spark, d, "region").select(F.col("r_name").alias("table_name"))])
-    wrong = [Q.expect_rows(load(spark, d, t).filter(~F.coalesce(F.col(c).rlike(r), F.lit(False))), f"names of {t}",
-                           maximum=0, category="9-standards") for t, c, r in NUMBERED]
-    return Q.union_checks([Q.naming_checks(names, NAME_PATTERN), *wrong,
+    numbered = [Q.bound_rows(wrong(t), f"names of {t}", maximum=0, category="9-standards") for t in patterns]
+    return Q.union_checks([Q.naming_checks(names, NAME_PATTERN), *numbered,
                            Q.skipped(spark, "9-standards", ["comments"], NO_COMMENTS)])
 
 
@@ -543,14 +562,74 @@ _ALL = ("dq_row_counts", "dq_key_set", "dq_orphans", "dq_nulls", "dq_truth_compa
         "dq_total_equal", "dq_sum_close", "dq_unused_refs", "dq_spot", "dq_names")
 
 
+def asked(nulls=NULL_COLUMNS):
+    """What C1, C3, C4, C7, C8 and C9 count in whole tables."""
+    return [
+        *[Count("rows", t) for t in COUNTED],
+        *[Count("nulls", t, c, F.col(c).isNull()) for t, cols in nulls.items() for c in cols],
+        *[Lookup("orphans", f"{f}->{t}", (f, fk), [(t, k)]) for f, fk, t, k in FK_PAIRS],
+        Lookup("unused", "nation", ("nation", "n_nationkey"), [("supplier", "s_nationkey"), ("customer", "c_nationkey")], distinct=True),
+        Count("negative", "lineitem", "l_quantity", F.col("l_quantity") <= 0),
+        *[Count("misnamed", t, c, misnamed(c, r)) for t, c, r in NUMBERED],
+    ]
+
+
+def tables_of(spark, d, questions, **given):
+    """The tables that ``questions`` name; ``given`` ones instead of those in ``d``."""
+    names = {t for a in questions for t in ([a.table] if isinstance(a, Count) else [a.of[0], *[t for t, _ in a.known]])}
+    return {t: given[t] if t in given else load(spark, d, t) for t in sorted(names)}
+
+
+_FACTS_SQL = "\nUNION ALL\n".join(
+    [f"SELECT 'rows' AS kind, '{t}' AS subject, NULL AS \"column\", count(*) AS n FROM {t}" for t in COUNTED]
+    + [f"SELECT 'nulls', '{t}', '{c}', CAST(count_if({c} IS NULL) AS BIGINT) FROM {t}" for t, cols in NULL_COLUMNS.items() if t != "ind" for c in cols]
+    + [f"SELECT 'orphans', '{f}->{t}', '{fk}', count(*) FROM {f} WHERE {fk} IS NULL OR {fk} NOT IN (SELECT {k} FROM {t} WHERE {k} IS NOT NULL)"
+       for f, fk, t, k in FK_PAIRS]
+    + ["SELECT 'unused', 'nation', 'n_nationkey', count(DISTINCT n_nationkey) FROM nation WHERE n_nationkey NOT IN "
+       "(SELECT s_nationkey FROM supplier WHERE s_nationkey IS NOT NULL UNION SELECT c_nationkey FROM customer WHERE c_nationkey IS NOT NULL)",
+       "SELECT 'negative', 'lineitem', 'l_quantity', CAST(count_if(l_quantity <= 0) AS BIGINT) FROM lineitem"]
+    + [f"SELECT 'misnamed', '{t}', '{c}', CAST(count_if(NOT coalesce(regexp_matches({c}, '{r}'), FALSE)) AS BIGINT) FROM {t}" for t, c, r in NUMBERED])
+
+
+@query("dq_scan_once", ids="C1 C3 C4 C7 C8 C9 J3 J4", sql=_FACTS_SQL + "\nORDER BY kind, subject, \"column\"")
+def dq_scan_once(spark, d):
+    """Row counts, NULLs, orphans, unused references and values out of bounds: each table is scanned once."""
+    questions = asked({t: cols for t, cols in NULL_COLUMNS.items() if t != "ind"})
+    return scan_once(tables_of(spark, d, questions), questions).orderBy("kind", "subject", "column")
+
+
 def all_checks(spark, d):
-    """Every check in one frame.  IND is built once and checkpointed to the
-    shared checkpoint folder, since five check families read it."""
-    ind = materialize(indicators(spark, d, single_scan=True))
-    ind_free = [row_count_checks, key_set_checks, orphan_checks_one_scan, truth_compare_checks, unused_ref_checks,
-                naming_checks]
-    with_ind_checks = [null_checks, tolerance_rule_checks, total_equal_checks, sum_close_checks, spot_checks]
-    return Q.union_checks([f(spark, d) for f in ind_free] + [f(spark, d, ind) for f in with_ind_checks])
+    """Every check in one frame.
+
+    Orders meet customer once, for the cells that IND and the recomputed
+    truth share; ``scan_once`` reads each table once for whatever else is
+    counted in it.  These frames are small at any scale and are checkpointed
+    to the shared folder.
+    """
+    cells = materialize(order_cells(spark, d))
+    ind = materialize(build_indicators_single_scan(spark, d, cells))
+    sizes = materialize(customers_by_nation(spark, d))
+    questions = asked()
+    facts = materialize(scan_once(tables_of(spark, d, questions, ind=ind), questions))
+
+    def fact(kind, subject=None):
+        return facts.filter(F.col("kind") == kind) if subject is None else facts.filter((F.col("kind") == kind) & (F.col("subject") == subject))
+
+    return Q.union_checks([
+        row_count_checks(spark, d, fact("rows").select(F.col("subject").alias("table_name"), F.col("n").alias("actual_rows"))),
+        first_region_check(spark, d),
+        Q.count_rows(fact("rows", "region"), 5, "region count"),
+        Q.count_rows(fact("rows", "nation"), 25, "nation count"),
+        Q.orphan_rows(fact("orphans")),
+        Q.null_rows(fact("nulls")),
+        truth_compare_checks(spark, d, sizes),
+        tolerance_rule_checks(spark, d, ind, cells),
+        total_equal_checks(spark, d, ind, cells),
+        sum_close_checks(spark, d, ind),
+        Q.unused_rows(fact("unused"), "n_nationkey", "all nations referenced"),
+        spot_checks(spark, d, ind, sizes, fact("negative")),
+        naming_checks(spark, d, lambda t: fact("misnamed", t)),
+    ])
 
 
 def _all_checks_sql() -> str:
