@@ -31,9 +31,10 @@ import base64
 import heapq
 import json
 import random
-from array import array
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +46,7 @@ from civicstat.llm.common import bounded_batches, chunk_text, space_chunks
 
 #: Characters of text in a block, about.
 BLOCK_CHARS = 250_000
-#: A task's numbers start anew once its distinct words and chunks have so many characters.
+#: A task's numbers start anew once its distinct words have so many characters; so does its table of chunks.
 TABLE_CHARS = 6_000_000
 #: Places of the literal rank map, but for the ids that are added to them.
 PLACES = 1 << 17
@@ -190,120 +191,200 @@ def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 _MARKS = frozenset(".,")
 
 
-class _Words(dict):
-    """Codes (32-bit integers) of a chunk of text, by the chunk; numbers the words that need a fold."""
+def _numbers() -> defaultdict:
+    """Numbers its keys in the order in which they are first looked up."""
+    out = defaultdict()
+    out.default_factory = out.__len__
+    return out
+
+
+def _newest(numbers: defaultdict, known: int) -> list:
+    """The keys numbered from ``known`` on."""
+    return [*islice(reversed(numbers), len(numbers) - known)][::-1]
+
+
+class _Lists:
+    """Lists of integers by number, in two arrays that grow by doubling."""
+
+    def __init__(self, kind: type = np.int32):
+        self.flat, self.ends, self.n, self.used = np.zeros(1 << 16, kind), np.zeros(1 << 14, np.int64), 0, 0
+
+    def add(self, flat: np.ndarray, n_of: np.ndarray) -> None:
+        while self.n + len(n_of) + 1 > len(self.ends):
+            self.ends = np.append(self.ends, np.zeros_like(self.ends))
+        while self.used + len(flat) > len(self.flat):
+            self.flat = np.append(self.flat, np.zeros_like(self.flat))
+        self.flat[self.used:self.used + len(flat)] = flat
+        self.ends[self.n + 1:self.n + 1 + len(n_of)] = self.used + np.cumsum(n_of)
+        self.n, self.used = self.n + len(n_of), self.used + len(flat)
+
+    def lengths(self, numbers: np.ndarray) -> np.ndarray:
+        return self.ends[numbers + 1] - self.ends[numbers]
+
+    def places(self, numbers: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Places in ``flat`` of the lists of ``numbers``, one after another; ``n`` are their lengths."""
+        return np.arange(int(n.sum())) + np.repeat(self.ends[numbers] - np.cumsum(n) + n, n)
 
-    def __init__(self, ranks: dict[bytes, int], pairs: set[tuple[int, int]], pattern: str):
-        self.ranks, self.pairs, self.find, self.numbers, self.new, self.chars = ranks, pairs, regex.compile(pattern).findall, {}, [], 0
-        self.mark = {m: array("i", [ranks[m.encode()]]).tobytes() for m in _MARKS}
+
+class _Words:
+    """Codes (32-bit integers) of texts; numbers the words that need a fold.
+
+    Texts are cut into chunks, and a chunk that was met before is a look-up. What is new in a block is
+    worked out together: chunks to words by the pattern, words to parts by one array of all their bytes.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str):
+        self.ranks, self.find, self.parts, self.part_chars = ranks, regex.compile(pattern).findall, _numbers(), 0
+        self.by_text = {}
+        for token, rank in ranks.items():
+            try:
+                self.by_text[token.decode()] = rank
+            except UnicodeDecodeError:  # a piece of a character, which is no word
+                pass
+        self.byte_ranks = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
+        self.together = np.zeros(1 << 16, bool)
+        for token in ranks:
+            for left, right in zip(token, token[1:]):
+                self.together[left << 8 | right] = True
         # letters after a space are one match, and a mark behind them another, by the pattern at hand
         self.plain = self.find(" word") == [" word"] and all(self.find(" word" + m) == [" word", m] for m in _MARKS)
-
-    def word(self, raw: bytes, out: array) -> None:
-        """Appends the codes of a word: cut where no token holds the two adjacent bytes."""
-        rank = self.ranks.get(raw)
-        if rank is not None:
-            out.append(rank)
-            return
-        pairs, numbers, start = self.pairs, self.numbers, 0
-        for end in [*(i for i, p in enumerate(zip(raw, raw[1:]), 1) if p not in pairs), len(raw)]:
-            part = raw[start:end]
-            start = end
-            if len(part) == 1:
-                out.append(self.ranks[part])
-            elif len(part) > LONG:
-                out.extend(merge(part, self.ranks))
+        self.chunks = _numbers()
+        self.forget_chunks()
+
+    def forget_chunks(self) -> None:
+        self.chunks.default_factory = None  # no cycle that waits for the collector
+        self.chunks, self.chunk_codes, self.chunk_chars = _numbers(), _Lists(), 0
+
+    def forget(self) -> None:
+        self.parts.default_factory = None
+        self.parts, self.part_chars = _numbers(), 0
+        self.forget_chunks()
+
+    def look_up(self, text: str) -> np.ndarray:
+        """Numbers of a text's chunks."""
+        own = space_chunks(text)
+        return np.fromiter(map(self.chunks.__getitem__, own), np.int32, len(own))
+
+    def codes(self, looked_up: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of texts, one after another, and the number of codes of each."""
+        new = _newest(self.chunks, self.chunk_codes.n)
+        if new:
+            self.chunk_chars += sum(map(len, new))
+            words, n_of = self._words(new)
+            flat, n = self._word_codes(words)
+            ends = np.append(0, np.cumsum(n))[np.append(0, np.cumsum(n_of))]
+            self.chunk_codes.add(flat, np.diff(ends))
+        numbers = np.concatenate(looked_up)
+        n = self.chunk_codes.lengths(numbers)
+        ends = np.append(0, np.cumsum(n))[np.append(0, np.cumsum([*map(len, looked_up)]))]
+        return self.chunk_codes.flat[self.chunk_codes.places(numbers, n)], np.diff(ends)
+
+    def _words(self, chunks: list[str]) -> tuple[list[str], list[int]]:
+        """The chunks' words, one after another, and the number of words of each."""
+        words, n_of, plain, find = [], [], self.plain, self.find
+        for chunk in chunks:
+            if plain and chunk.isalpha():
+                words.append(" " + chunk)
+                n_of.append(1)
+            elif plain and chunk[-1:] in _MARKS and chunk[:-1].isalpha():
+                words += (" " + chunk[:-1], chunk[-1])
+                n_of.append(2)
             else:
-                at = numbers.get(part)
-                if at is None:
-                    at = numbers[part] = len(numbers)
-                    self.new.append(part)
-                    self.chars += len(part)
-                out.append(WORD + at)
-
-    def __missing__(self, chunk: str) -> bytes:
-        self.chars += len(chunk)
-        if self.plain and chunk[-1:] in self.mark and chunk[:-1].isalpha():
-            own = self[chunk] = self[chunk[:-1]] + self.mark[chunk[-1]]
-            return own
-        out = array("i")
-        if self.plain and chunk.isalpha():
-            self.word(b" " + chunk.encode(), out)
-        else:
-            for piece in self.find(chunk_text(chunk)):
-                self.word(piece.encode(), out)
-        own = self[chunk] = out.tobytes()
-        return own
-
-    def codes(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, space_chunks(text)))
+                found = find(chunk_text(chunk))
+                words += found
+                n_of.append(len(found))
+        return words, n_of
+
+    def _word_codes(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of words, one after another, and the number of codes of each."""
+        codes = np.fromiter(map(self.by_text.get, words, repeat(-1)), np.int32, len(words))
+        todo = np.flatnonzero(codes < 0)
+        raws = [words[i].encode() for i in todo.tolist()]
+        flat, n_of = self._part_codes(b"".join(raws), np.cumsum(np.fromiter(map(len, raws), np.int64, len(raws))))
+        n = np.ones(len(words), np.int64)
+        n[todo] = n_of
+        start = np.cumsum(n) - n
+        out = np.empty(int(n.sum()), np.int32)
+        out[start] = codes
+        out[np.repeat(start[todo] - np.cumsum(n_of) + n_of, n_of) + np.arange(len(flat))] = flat
+        return out, n
+
+    def _part_codes(self, raw: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of words that end at ``ends``, cut where no token holds the two adjacent bytes."""
+        data = np.frombuffer(raw, np.uint8)
+        apart = ~self.together[data[:-1].astype(np.uint16) << 8 | data[1:]]
+        apart[ends[:-1] - 1] = True  # two words meet here
+        edges = np.append(0, np.append(np.flatnonzero(apart) + 1, ends[-1:]))
+        size, known = np.diff(edges), len(self.parts)
+        codes, n = np.empty(len(size), np.int32), np.ones(len(size), np.int64)
+        single, long = size == 1, size > LONG
+        codes[single] = self.byte_ranks[data[edges[:-1][single]]]
+        numbered = np.flatnonzero(~single & ~long)
+        parts = [raw[a:b] for a, b in zip(edges[numbered].tolist(), edges[numbered + 1].tolist())]
+        codes[numbered] = np.fromiter(map(self.parts.__getitem__, parts), np.int32, len(parts)) + WORD
+        self.part_chars += sum(map(len, _newest(self.parts, known)))
+        merged = {i: merge(raw[edges[i]:edges[i + 1]], self.ranks) for i in np.flatnonzero(long).tolist()}
+        for i, own in merged.items():
+            n[i] = len(own)
+        start = np.append(0, np.cumsum(n))
+        out = np.empty(int(start[-1]), np.int32)
+        out[start[:-1]] = codes
+        for i, own in merged.items():
+            out[start[i]:start[i + 1]] = own
+        return out, np.diff(start[np.searchsorted(edges, np.append(0, ends))])
 
 
 def _blocks(ranks, pattern: str, chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = ranks.value
-        pairs = {p for t in own for p in zip(t, t[1:])}
-        ids, codes, counts, size, base, words = [], [], [], 0, 0, _Words(own, pairs, pattern)
+        words = _Words(ranks.value, pattern)
+        ids, chunks, size, base = [], [], 0, 0
 
         def emit():
-            nonlocal ids, codes, counts, size, base, words
+            nonlocal ids, chunks, size, base
             held = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
-            n = np.array([len(w) for w in words.new], np.int64)
-            flat = pa.array(np.frombuffer(b"".join(words.new), np.uint8).astype(np.int16))
+            codes, counts = words.codes(chunks)
+            new = _newest(words.parts, base)
+            n = np.fromiter(map(len, new), np.int64, len(new))
+            flat = pa.array(np.frombuffer(b"".join(new), np.uint8).astype(np.int16))
             word = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)).astype(np.int32)), flat)
             out = pa.RecordBatch.from_arrays(
-                [held(pa.concat_arrays(ids)), held(pa.array(counts, pa.int64())), pa.array([b"".join(codes)], pa.binary()), pa.array([base], pa.int64()), held(word)],
+                [held(pa.concat_arrays(ids)), held(pa.array(counts, pa.int64())), pa.array([codes.tobytes()], pa.binary()), pa.array([base], pa.int64()), held(word)],
                 ["ids", "counts", "codes", "base", "words"])
-            ids, codes, counts, size, base, words.new = [], [], [], 0, base + len(words.new), []
-            if words.chars > TABLE_CHARS:
-                base, words = 0, _Words(own, pairs, pattern)
+            ids, chunks, size, base = [], [], 0, len(words.parts)
+            if words.part_chars > TABLE_CHARS:
+                words.forget()
+                base = 0
+            elif words.chunk_chars > TABLE_CHARS:
+                words.forget_chunks()
             return out
 
         for b in batches:
             texts = b.column("text").to_pylist()
             done = 0
             for i, t in enumerate(texts):
-                c = words.codes(t or "")
-                codes.append(c)
-                counts.append(len(c) // 4)
+                chunks.append(words.look_up(t or ""))
                 size += len(t or "")
                 if size >= chars or i + 1 == len(texts):
                     ids.append(b.column("id").slice(done, i + 1 - done))
                     done = i + 1
                 if size >= chars:
                     yield emit()
-        if counts:
+        if chunks:
             yield emit()
     return run
 
 
-class _Folded:
-    """Ids of the words of a task by number, in two arrays that grow by doubling."""
-
-    def __init__(self):
-        self.flat, self.ends, self.n, self.used = np.zeros(1 << 16, np.int32), np.zeros(1 << 14, np.int64), 0, 0
-
-    def add(self, folded: pa.ListArray) -> None:
-        n_of = np.diff(folded.offsets.to_numpy()) if len(folded) else np.zeros(0, np.int64)
-        new = folded.flatten().to_numpy()
-        while self.n + len(n_of) + 1 > len(self.ends):
-            self.ends = np.append(self.ends, np.zeros_like(self.ends))
-        while self.used + len(new) > len(self.flat):
-            self.flat = np.append(self.flat, np.zeros_like(self.flat))
-        self.flat[self.used:self.used + len(new)] = new
-        self.ends[self.n + 1:self.n + 1 + len(n_of)] = self.used + np.cumsum(n_of)
-        self.n, self.used = self.n + len(n_of), self.used + len(new)
-
-
 def _documents(pieces):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece, known = pieces.value, _Folded()
+        known, piece = _Lists(), _Lists(np.uint8)
+        by_id = [pieces.value.get(i, b"") for i in range(max(pieces.value, default=-1) + 1)]
+        piece.add(np.frombuffer(b"".join(by_id), np.uint8), np.fromiter(map(len, by_id), np.int64, len(by_id)))
         for b in batches:
             for k in range(b.num_rows):
                 if b.column("base")[k].as_py() == 0:
-                    known = _Folded()
-                known.add(b.column("folded")[k].values)
-                first, n_of = known.ends[:known.n], np.diff(known.ends[:known.n + 1])
+                    known = _Lists()
+                new = b.column("folded")[k].values
+                known.add(new.flatten().to_numpy(), np.diff(new.offsets.to_numpy()) if len(new) else np.zeros(0, np.int64))
                 codes = np.frombuffer(b.column("codes")[k].as_py(), np.int32)
                 counts = b.column("counts")[k].values.to_numpy()
                 ids = b.column("ids")[k].values
@@ -312,25 +393,25 @@ def _documents(pieces):
                 while lo < len(counts):
                     hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + BATCH, "right")))
                     at = int(ends[lo - 1]) if lo else 0
-                    yield _tokens(ids.slice(lo, hi - lo), counts[lo:hi], codes[at:int(ends[hi - 1])], known.flat, n_of, first, piece)
+                    yield _tokens(ids.slice(lo, hi - lo), counts[lo:hi], codes[at:int(ends[hi - 1])], known, piece)
                     lo = hi
     return run
 
 
-def _tokens(ids, counts, codes, flat, n_of, first, piece) -> pa.RecordBatch:
+def _tokens(ids, counts, codes, folded: _Lists, pieces: _Lists) -> pa.RecordBatch:
     is_word = codes >= WORD
+    number = codes[is_word] - WORD
     n = np.ones(len(codes), np.int64)
-    n[is_word] = n_of[codes[is_word] - WORD]
+    k = n[is_word] = folded.lengths(number)
     start = np.cumsum(n) - n
     out = np.empty(int(n.sum()), np.int32)
     out[start[~is_word]] = codes[~is_word]
-    k = n[is_word]
-    within = np.arange(int(k.sum())) - np.repeat(np.cumsum(k) - k, k)
-    out[np.repeat(start[is_word], k) + within] = flat[np.repeat(first[codes[is_word] - WORD], k) + within]
+    out[np.repeat(start[is_word] - np.cumsum(k) + k, k) + np.arange(int(k.sum()))] = folded.flat[folded.places(number, k)]
     ends = np.append(0, np.cumsum(n))[np.append(0, np.cumsum(counts))]
-    listed = out.tolist()
-    decoded = [b"".join(map(piece.__getitem__, listed[a:b])) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
-    return pa.RecordBatch.from_arrays([ids, pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(out)), pa.array(decoded, pa.binary())], ["id", "token_ids", "decoded"])
+    size = pieces.lengths(out)
+    bounds = np.append(0, np.cumsum(size))[ends].astype(np.int32)
+    decoded = pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(bounds), pa.py_buffer(pieces.flat[pieces.places(out, size)])])
+    return pa.RecordBatch.from_arrays([ids, pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(out)), decoded], ["id", "token_ids", "decoded"])
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:

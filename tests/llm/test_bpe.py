@@ -81,3 +81,23 @@ def test_one_pair_for_each_token_is_enough(name):
             rank, i = min(found)
             ids[i:i + 2] = [rank]
         assert ids == bpe.merge(word, ranks)
+
+
+def test_words_keep_their_numbers_when_chunks_start_anew(monkeypatch):
+    rng = random.Random(6)
+    texts = [" ".join("theinagor\n" + str(rng.randrange(10, 100)) for _ in range(30)) + " xqzjw kvxqjz" for _ in range(40)]
+    own, pieces = library(PATHS[0]), bpe.read_ranks(public_tokenizers.path(PATHS[0]))
+    held = lambda x: type("Held", (), {"value": x})
+    monkeypatch.setattr(bpe, "TABLE_CHARS", 600)
+    batch = bpe.pa.RecordBatch.from_arrays([bpe.pa.array(range(40)), bpe.pa.array(texts)], ["id", "text"])
+    rows = list(bpe._blocks(held(pieces), public_tokenizers.PATTERN, 500)([batch]))
+    words = [bytes(w) for r in rows for w in r.column("words")[0].as_py()]
+    assert len(rows) > 10 and sum(r.column("base")[0].as_py() == 0 for r in rows) == 1
+    assert b" theinagor" in words and len(words) == len(set(words))
+    folded, done = [], 0
+    for r in rows:
+        n = len(r.column("words")[0])
+        folded.append(r.drop_columns(["words"]).append_column("folded", bpe.pa.array([[bpe.merge(w, pieces) for w in words[done:done + n]]], bpe.pa.list_(bpe.pa.list_(bpe.pa.int32())))))
+        done += n
+    got = [(ids, text) for b in bpe._documents(held({r: t for t, r in pieces.items()}))(folded) for ids, text in zip(b.column("token_ids").to_pylist(), b.column("decoded").to_pylist())]
+    assert got == [(own.encode_ordinary(t), t.encode()) for t in texts]
