@@ -2,9 +2,10 @@
 
 Each task numbers the distinct words that it meets. A block of ``BLOCK_CHARS`` of text becomes one
 row: the words that are new with it, and for each document the numbers of its words. Spark's
-higher-order functions fold the merges over each word: its bytes are an array of token ids, each with
+higher-order functions fold the merges over each word: it is an array of token ids, each with
 the rank of its merge with the next, a step puts the merged id in the place of the pair of lowest
-rank, and the fold ends when no pair merges. The rank map is a literal array. The task that reads
+rank, and the fold ends when no pair merges. A word comes to the fold as the ids of its bytes, with
+two bytes as one id where no merge around them can come before theirs. The rank map is a literal array. The task that reads
 the folded rows keeps the ids by number and gives each document its ids, and decoding concatenates
 the binary pieces of the ids.
 
@@ -94,13 +95,11 @@ class RankMap:
     """The merges as two arrays.
 
     A left id has a shift, and the merge with a right id stands at shift + right id, as
-    (left id + 1) * 2**20 + merged id, 0 where none does; no two merges share a place. ``byte_ids`` are
-    the ids of single bytes.
+    (left id + 1) * 2**20 + merged id, 0 where none does; no two merges share a place.
     """
 
     shifts: Column
     merged: Column
-    byte_ids: Column
 
     def packed(self, left: Column, right: Column) -> Column:
         """Rank of a pair * 2**20 + left id; the rank is 2**20 or more if the pair doesn't merge."""
@@ -124,13 +123,13 @@ def rank_literal(ranks: dict[bytes, int]) -> Column:
         shifts[left] = shift
         for right, rank in rows[left]:
             merged[shift + right] = (left + 1 << 20) + rank
-    held = {"shifts": shifts, "merged": merged, "byte_ids": [ranks[bytes([b])] for b in range(256)]}
+    held = {"shifts": shifts, "merged": merged}
     return F.from_json(F.lit(json.dumps(held, separators=(",", ":"))), ", ".join(f"{k} array<bigint>" for k in held))
 
 
 def folded(words: Column, table: Column) -> Column:
     """``fold`` of each word; the literal stands once in the plan."""
-    return _let(table, lambda t: F.transform(words, lambda w: fold(w, RankMap(t["shifts"], t["merged"], t["byte_ids"]))))
+    return _let(table, lambda t: F.transform(words, lambda w: fold(w, RankMap(t["shifts"], t["merged"]))))
 
 
 def _let(value: Column, body) -> Column:
@@ -139,7 +138,7 @@ def _let(value: Column, body) -> Column:
 
 
 def fold(word: Column, table: RankMap) -> Column:
-    """Token ids of a word, an array of its bytes (0 to 255).
+    """Token ids of a word, an array of the ids that its merges go on from (see ``_first_merges``).
 
     The folded array holds, for each token, the rank of its merge with the next and its id in one
     number, so the least is the pair to merge, the leftmost of equals comes first, and a step changes
@@ -161,8 +160,7 @@ def fold(word: Column, table: RankMap) -> Column:
         return _let(F.array_min(acc), lambda low: F.when(low < 1 << 40, _let(
             F.array_position(acc, low).cast("int"), lambda at: join(low, at))).otherwise(acc))
 
-    ids = F.transform(word, lambda b: F.get(table.byte_ids, b.cast("int")))
-    start = _let(ids, lambda ids: F.transform(ids, lambda left, i: F.coalesce(table.packed(left, F.get(ids, i + 1)), left + none)))
+    start = F.transform(word, lambda left, i: F.coalesce(table.packed(left, F.get(word, i + 1)), left + none))
     return F.aggregate(word, start, step, lambda acc: F.transform(acc, lambda x: x.bitwiseAND(low_bits).cast("int")))
 
 
@@ -374,6 +372,44 @@ def _blocks(ranks, pattern: str, chars: int):
     return run
 
 
+def _first_merges(ranks: dict[bytes, int]):
+    """Words of bytes (``_blocks``) to words of ids, the merges of two bytes that come before all around them made.
+
+    A merge that joins either byte to what stands beside it makes a token that holds these two adjacent
+    bytes. Where all such tokens have higher ranks, the two bytes merge before any of them does.
+    """
+    byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+    none = np.iinfo(np.int32).max
+    merged, least = np.full(1 << 16, none, np.int32), np.full(1 << 16, none, np.int32)
+    size, rank_of = np.fromiter(map(len, ranks), np.int64, len(ranks)), np.fromiter(ranks.values(), np.int32, len(ranks))
+    data, of = np.frombuffer(b"".join(ranks), np.uint8), np.repeat(np.arange(len(ranks)), size)
+    inside = np.flatnonzero(of[:-1] == of[1:])
+    pairs, of = data[inside].astype(np.int32) << 8 | data[inside + 1], of[inside]
+    np.minimum.at(least, pairs, rank_of[of])
+    merged[pairs[size[of] == 2]] = rank_of[size == 2]
+
+    def ids(words: pa.ListArray) -> pa.ListArray:
+        data, ends = words.values.to_numpy(), words.offsets.to_numpy()
+        out = byte_ids[data]
+        if not len(data):
+            return pa.ListArray.from_arrays(words.offsets, pa.array(out))
+        pair = data[:-1].astype(np.int32) << 8 | data[1:]
+        apart = ends[(ends > 0) & (ends < len(data))] - 1
+        rank, around = merged[pair], np.append(least[pair], none)
+        rank[apart], around[apart] = none, none
+        first = np.flatnonzero((rank < around[1:]) & (rank < np.append(none, around[:-2])))
+        out[first] = rank[first]
+        kept = np.ones(len(data), bool)
+        kept[first + 1] = False
+        return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(kept))[ends].astype(np.int32)), pa.array(out[kept]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            words = b.column("words")
+            yield b.drop_columns(["words"]).append_column("words", pa.ListArray.from_arrays(words.offsets, ids(words.values)))
+    return run
+
+
 def _documents(pieces):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, piece = _Lists(), _Lists(np.uint8)
@@ -428,7 +464,11 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     table = rank_literal(own)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
-    blocks = rows.mapInArrow(_blocks(ranks, pattern, block_chars), f"ids array<{id_type}>, counts array<bigint>, codes binary, base long, words array<array<smallint>>")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _first_merges(ranks.value)(_blocks(ranks, pattern, block_chars)(batches))
+
+    blocks = rows.mapInArrow(cut, f"ids array<{id_type}>, counts array<bigint>, codes binary, base long, words array<array<bigint>>")
     done = blocks.select("ids", "counts", "codes", "base", folded(F.col("words"), table).alias("folded"))
     return done.mapInArrow(_documents(pieces), f"id {id_type}, token_ids array<int>, decoded binary").withColumnRenamed("id", id_col)
 

@@ -101,3 +101,20 @@ def test_words_keep_their_numbers_when_chunks_start_anew(monkeypatch):
         done += n
     got = [(ids, text) for b in bpe._documents(held({r: t for t, r in pieces.items()}))(folded) for ids, text in zip(b.column("token_ids").to_pylist(), b.column("decoded").to_pylist())]
     assert got == [(own.encode_ordinary(t), t.encode()) for t in texts]
+
+
+@pytest.mark.parametrize("name", PATHS)
+def test_first_merges_are_merges_of_the_word(name):
+    ranks = bpe.read_ranks(public_tokenizers.path(name))
+    pairs, rng = bpe.merges(ranks), random.Random(7)
+    words = [b"", b"a", b"aaaa", b"th", b" the"] + [bytes(rng.choice(b"theinagors \xc3\xa9") for _ in range(rng.randrange(30))) for _ in range(400)]
+    rows = [[list(w) for w in part] for part in (words, [], words[:3], [b""])]
+    batch = bpe.pa.RecordBatch.from_arrays([bpe.pa.array(range(4)), bpe.pa.array(rows, bpe.pa.list_(bpe.pa.list_(bpe.pa.int16())))], ["base", "words"])
+    got = [row for b in bpe._first_merges(ranks)([batch.slice(0, 1), batch.slice(1)]) for row in b.column("words").to_pylist()]
+    assert [len(row) for row in got] == [len(row) for row in rows] and got[2] == got[0][:3]
+    assert sum(map(len, got[0])) < 0.9 * sum(map(len, words))
+    for word, ids in zip(words, got[0]):
+        while found := [(pairs[p], i) for i, p in enumerate(zip(ids, ids[1:])) if p in pairs]:
+            rank, i = min(found)
+            ids[i:i + 2] = [rank]
+        assert ids == bpe.merge(word, ranks)
