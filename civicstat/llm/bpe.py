@@ -43,7 +43,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civicstat.llm.common import bounded_batches, chunk_text, space_chunks
+from civicstat.llm.common import bounded_batches, chunk_text, released, space_chunks
 
 #: Characters of text in a block, about.
 BLOCK_CHARS = 250_000
@@ -369,6 +369,7 @@ def _blocks(ranks, pattern: str, chars: int):
                     yield emit()
         if chunks:
             yield emit()
+        words.forget()  # the tables would wait for the collector
     return run
 
 
@@ -468,9 +469,9 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _first_merges(ranks.value)(_blocks(ranks, pattern, block_chars)(batches))
 
-    blocks = rows.mapInArrow(cut, f"ids array<{id_type}>, counts array<bigint>, codes binary, base long, words array<array<bigint>>")
+    blocks = rows.mapInArrow(released(cut), f"ids array<{id_type}>, counts array<bigint>, codes binary, base long, words array<array<bigint>>")
     done = blocks.select("ids", "counts", "codes", "base", folded(F.col("words"), table).alias("folded"))
-    return done.mapInArrow(_documents(pieces), f"id {id_type}, token_ids array<int>, decoded binary").withColumnRenamed("id", id_col)
+    return done.mapInArrow(released(_documents(pieces)), f"id {id_type}, token_ids array<int>, decoded binary").withColumnRenamed("id", id_col)
 
 
 def id_text(column: str) -> Column:

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from civicstat.llm.common import bounded_batches
+from civicstat.llm.common import bounded_batches, released
 
 #: Bytes of context at most.
 ORDER = 3
@@ -40,8 +40,8 @@ ORDER = 3
 TRAIN_DOCS = 600
 #: Contexts in the tree.
 NODES = 8192
-#: Bytes scored at once.
-CHUNK = 1 << 20
+#: Bytes whose costs are summed in a row, and those of them that are held at once.
+CHUNK, PIECE = 1 << 20, 1 << 16
 UND = "und"
 #: Rows with a prediction below this score are rejected by ``identified``.
 MIN_SCORE = 0.5
@@ -75,24 +75,33 @@ class Model:
         n = np.array([len(t) for t in texts])
         starts = np.concatenate(([0], np.cumsum(n)[:-1]))
         s = self.symbol[np.frombuffer(b"".join(texts), np.uint8)]
-        a = self.n_symbols
         for lo in range(0, len(s), CHUNK):  # a very long text goes in pieces that see the bytes before them
             hi = min(lo + CHUNK, len(s))
-            ctx = np.zeros(hi - lo, np.int64)
-            for back in range(ORDER, 0, -1):
-                ctx *= a
-                k = max(0, back - lo)
-                ctx[k:] += s[lo - back + k:hi - back]
-            heads = starts[(starts < hi) & (starts + ORDER > lo) & (n > 0)]
-            for j in range(ORDER):  # contexts don't reach into the text before
-                at = heads + j - lo
-                at = at[(at >= 0) & (at < hi - lo)]
-                ctx[at] = ctx[at] % a**j if j else 0
-            cost = self.bits[self.node[ctx] * a + s[lo:hi]]
-            cut = np.clip(starts, lo, hi) - lo
-            ends = np.clip(starts + n, lo, hi) - lo
-            total = np.concatenate((np.zeros((1, cost.shape[1])), np.cumsum(cost, 0, dtype=np.float64)))
-            out += total[ends] - total[cut]
+            cuts = np.clip(starts, lo, hi), np.clip(starts + n, lo, hi)
+            sums, before = [np.zeros_like(out), np.zeros_like(out)], np.zeros((1, out.shape[1]))
+            for p in range(lo, hi, PIECE):
+                q = min(p + PIECE, hi)
+                total = np.cumsum(np.concatenate((before, self._costs(s, p, q, starts[n > 0]))), 0)
+                for cut, own in zip(cuts, sums):
+                    here = (cut >= p) & (cut <= q)
+                    own[here] = total[cut[here] - p]
+                before = total[-1:].copy()
+            out += sums[1] - sums[0]
+
+    def _costs(self, s: np.ndarray, lo: int, hi: int, starts: np.ndarray) -> np.ndarray:
+        """Cost by language of the symbols [lo, hi) of texts that begin at ``starts``."""
+        a = self.n_symbols
+        ctx = np.zeros(hi - lo, np.int64)
+        for back in range(ORDER, 0, -1):
+            ctx *= a
+            k = max(0, back - lo)
+            ctx[k:] += s[lo - back + k:hi - back]
+        heads = starts[(starts < hi) & (starts + ORDER > lo)]
+        for j in range(ORDER):  # contexts don't reach into the text before
+            at = heads + j - lo
+            at = at[(at >= 0) & (at < hi - lo)]
+            ctx[at] = ctx[at] % a**j if j else 0
+        return self.bits[self.node[ctx] * a + s[lo:hi]]
 
 
 def _sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, usable: Column, per_lang: int) -> DataFrame:
@@ -223,7 +232,7 @@ def predict(docs: DataFrame, model: Model | None, id_col: str | None, text_col:
                 bits = np.where(ok, least / np.maximum([len(t) for t in texts], 1), 0.0)
             yield pa.RecordBatch.from_arrays([*b.columns[:-2], pa.array(lang, pa.string()), pa.array(score), pa.array(bits)], [*b.schema.names[:-2], "lang_pred", "score", "bits_per_byte"])
 
-    return rows.mapInArrow(run, f"{out}lang_pred string, score double, bits_per_byte double")
+    return rows.mapInArrow(released(run), f"{out}lang_pred string, score double, bits_per_byte double")
 
 
 def fold(id_col: str) -> Column:

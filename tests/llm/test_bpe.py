@@ -1,12 +1,14 @@
 """Token ids against the tiktoken library, decoding, defined results."""
 
+import gc
 import random
+import tracemalloc
 
 import public_tokenizers
 import pytest
 import tiktoken
 
-from civicstat.llm import bpe
+from civicstat.llm import bpe, common
 
 PATHS = ["byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken"]
 HARD = ["a  b", "a \n b", "  lead", "trail ", "trail  ", "x\n\ny z", "\tq r\xa0 s", "can't we'll I'M it's", "日本 語 text", "e f　g", " ", " a", "\n", "a. b, c.. d.,",
@@ -118,3 +120,35 @@ def test_first_merges_are_merges_of_the_word(name):
             rank, i = min(found)
             ids[i:i + 2] = [rank]
         assert ids == bpe.merge(word, ranks)
+
+
+def test_a_task_leaves_nothing_to_the_collector():
+    class Ranks:
+        value = bpe.read_ranks(public_tokenizers.path(PATHS[0]))
+
+    rng = random.Random(9)
+    texts = [" ".join("".join(rng.choice("theinagors") for _ in range(9)) for _ in range(500)) for _ in range(100)]
+    batch = bpe.pa.RecordBatch.from_arrays([bpe.pa.array(range(100)), bpe.pa.array(texts)], ["id", "text"])
+    gc.collect()
+    gc.disable()
+    tracemalloc.start()
+    try:
+        assert len([b.num_rows for b in bpe._blocks(Ranks, public_tokenizers.PATTERN, 40_000)([batch])]) > 5
+        held, most = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+        gc.enable()
+    assert held < most / 10
+
+
+def test_unused_memory_goes_back_when_a_stream_ends(monkeypatch):
+    done = []
+
+    class Pool:
+        def release_unused(self):
+            done.append(True)
+
+    monkeypatch.setattr(common.pa, "default_memory_pool", Pool)
+    rows = common.released(lambda batches: (b + 1 for b in batches))(iter([1, 2]))
+    assert next(rows) == 2 and not done
+    assert list(rows) == [3] and done

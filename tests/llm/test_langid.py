@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -102,3 +103,20 @@ def test_identified_keeps_columns_and_clear_documents(spark):
     got = langid.identified(docs)
     assert got.columns == docs.columns and got.schema["n_chars"].dataType == docs.schema["n_chars"].dataType
     assert got.count() >= 0.98 * docs.where("length(text) > 20").count()
+
+
+def test_a_long_text_is_scored_in_little_memory():
+    rng = np.random.default_rng(3)
+    langs, symbols = ["a", "b", "c", "d", "e"], 4
+    symbol = rng.integers(0, symbols, 256).astype(np.int32)
+    model = langid.Model(langs, symbol, symbols, np.arange(symbols**langid.ORDER, dtype=np.int32), rng.random((symbols**(langid.ORDER + 1), len(langs))).astype(np.float32))
+    texts = [b"", b"x", rng.bytes(3 * langid.CHUNK + 5), b"", rng.bytes(langid.PIECE), b"yz"]
+    tracemalloc.start()
+    got = model.lengths(texts)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 12 * sum(map(len, texts))
+    for text, own in zip(texts, got):
+        s = np.append(np.zeros(langid.ORDER, np.int64), symbol[np.frombuffer(text, np.uint8)])
+        value = sum(s[langid.ORDER - back:len(s) - back] * symbols**back for back in range(langid.ORDER + 1))
+        assert np.allclose(own, model.bits[value].sum(0, dtype=np.float64), rtol=1e-9)
